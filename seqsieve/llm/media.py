@@ -296,7 +296,7 @@ def thumbnails(media: list[bytes]) -> list[list[np.ndarray]]:
             alike.setdefault(key, []).append((i, len(found[i]), frame))
             found[i].append(np.zeros((0, 0), np.uint8))
     for group in alike.values():
-        raw = np.frombuffer(b"".join(media[i][f.start : f.end] for i, f in group), np.uint8)
+        raw = np.frombuffer(b"".join(media[i][f.start : f.end] for i, _, f in group), np.uint8)
         sizes = np.array([f.end - f.start for *_, f in group], np.int64)
         frame_at = np.concatenate([[0], np.cumsum(sizes)])
         full = np.flatnonzero(raw[:-1] == 255) if len(raw) else np.zeros(0, np.int64)
