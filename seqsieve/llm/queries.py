@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import media, pieces, token_counts
-from .common import documents
+from . import media, pieces, quality, token_counts, token_files
+from .common import documents, shared_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -30,11 +30,23 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode(documents(spark, sf_dir), tokenizer_path("piece_bpe_32k.model")).drop("ids")
 
 
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = token_files.write(documents(spark, sf_dir), tokenizer_path("word_bpe_49k.json"), shared_path(spark, "tokens"), end_id=1)
+    return files.read(spark)
+
+
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return quality.score(docs, quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_token_counts": op1_token_counts,
         "op2_media_columns": op2_media_columns,
+        "op4_token_files": op4_token_files,
         "op5_sentencepiece": op5_sentencepiece,
+        "op10_quality": op10_quality,
     }
 
 
