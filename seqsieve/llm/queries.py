@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import media, pieces, quality, token_counts, token_files
+from . import decontaminate, licenses, media, pieces, quality, token_counts, token_files
 from .common import documents, shared_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,11 +30,19 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode(documents(spark, sf_dir), tokenizer_path("piece_bpe_32k.model")).drop("ids")
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaked_pairs(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = token_files.write(documents(spark, sf_dir), tokenizer_path("word_bpe_49k.json"), shared_path(spark, "tokens"), end_id=1)
     return files.read(spark)
 
 
+def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(documents(spark, sf_dir))
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     return quality.score(docs, quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
@@ -44,11 +52,28 @@ def queries() -> dict[str, Query]:
     return {
         "op1_token_counts": op1_token_counts,
         "op2_media_columns": op2_media_columns,
+        "op3_decontamination": op3_decontamination,
         "op4_token_files": op4_token_files,
         "op5_sentencepiece": op5_sentencepiece,
+        "op8_licenses": op8_licenses,
         "op10_quality": op10_quality,
     }
 
 
+_WORDS = r"[w FOR w IN string_split_regex(lower(coalesce(text, '')), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+') IF w <> '']"
+
+#: Brute force: every document's shingles against every item's.
+OP3_SQL = f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+b AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+ds AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM d)),
+bs AS (SELECT DISTINCT item_id, array_to_string(w[i:i + 4], ' ') AS s FROM (SELECT item_id, w, unnest(range(1, len(w) - 3)) AS i FROM b)),
+n AS (SELECT item_id, count(*) AS n_shingles FROM bs GROUP BY item_id),
+m AS (SELECT doc_id, item_id, count(*) AS n_shared FROM ds JOIN bs USING (s) GROUP BY doc_id, item_id)
+SELECT doc_id, item_id, n_shared, n_shingles, n_shared / n_shingles AS containment
+FROM m JOIN n USING (item_id) WHERE n_shared * 5 >= n_shingles * 4
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_decontamination": OP3_SQL}
