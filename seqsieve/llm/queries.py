@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, licenses, media, pieces, quality, token_counts, token_files
+from . import decontaminate, jaccard_join, licenses, media, pieces, quality, token_counts, token_files
 from .common import documents, shared_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,6 +39,10 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.read(spark)
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_copies(documents(spark, sf_dir))
+
+
 def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(documents(spark, sf_dir))
 
@@ -55,6 +59,7 @@ def queries() -> dict[str, Query]:
         "op3_decontamination": op3_decontamination,
         "op4_token_files": op4_token_files,
         "op5_sentencepiece": op5_sentencepiece,
+        "op6_jaccard_join": op6_jaccard_join,
         "op8_licenses": op8_licenses,
         "op10_quality": op10_quality,
     }
