@@ -2,8 +2,9 @@
 
 The model's protobuf is parsed here and rebuilt: normaliser and metaspace marker, scores (a Unigram model keeps them;
 a BPE model's scores give its merges) and byte fallback. Words are encoded in multithreaded batches, each distinct one
-of a step once; a cut before a marker is safe since no piece holds a marker after another character (checked). Each
-text's ids are then compared with the sentencepiece library's (parity); where they differ, the library's ids stand.
+once while a bounded table holds it; a cut before a marker is safe since no piece holds a marker after another
+character (checked, else texts are encoded whole). Parity: the sentencepiece library encodes each distinct part too,
+and a text agrees if all its parts do; where a text does not, the library's ids of the whole text stand.
 Decoding goes from ids to text by the rebuilt decoder. Map-only: nothing is shuffled.
 
 Edge cases: null and empty texts have no ids; repeated rows give a row each; an empty table gives no rows; special
@@ -29,7 +30,9 @@ from .common import steps, utf8
 from .spm_model import SPACE
 
 #: Words whose ids a worker keeps.
-MAX_WORDS = 300_000
+MAX_WORDS = 500_000
+#: Parts that are encoded as one text.
+JOINED = 1024
 SCHEMA = "doc_id long, ids array<int>, n_tokens long, ids_crc32 long, parity boolean, round_trip boolean"
 
 
@@ -63,12 +66,90 @@ def rebuild(model: spm_model.PieceModel):
     return tokenizer
 
 
+@lru_cache(maxsize=2)
+def _library(path: str):
+    import sentencepiece
+
+    return sentencepiece.SentencePieceProcessor(model_file=path)
+
+
 class Codec:
     def __init__(self, path: str):
         self.model = spm_model.load(path)
         self.tokenizer = rebuild(self.model)
+        self.library = _library(path)
         self.cuttable = all(SPACE not in p.lstrip(SPACE) for p in self.model.pieces)
-        self.ids: dict[str, np.ndarray] = {}
+        # control characters that no piece of several characters holds never merge, so texts are cut around them too
+        merged = set("".join(p for p, k in zip(self.model.pieces, self.model.kinds, strict=True) if k == spm_model.NORMAL and len(p) > 1))
+        alone = "".join(c for c in "\t\n\r" if c not in merged)
+        self.newline = self.model.pieces.index("<0x0A>") if "\n" in alone and self.model.byte_fallback and "\n" not in self.model.pieces else None
+        self.part = re.compile(f" +[^ {alone}]*|[^ {alone}]+" + (f"|[{alone}]+" if alone else ""))
+        self.bytes = [self._bytes(p, k) for p, k in zip(self.model.pieces, self.model.kinds, strict=True)]
+        self.clear()
+
+    @staticmethod
+    def _bytes(piece: str, kind: int) -> bytes:
+        return bytes([int(piece[3:5], 16)]) if kind == spm_model.BYTE else piece.replace(SPACE, " ").encode()
+
+    def clear(self) -> None:
+        self.index: dict[str, int] = {}
+        self.flat, self.starts, self.sizes, self.agreed = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool)
+
+    def keep(self, wanted: set[str]) -> None:
+        """Forgets the parts that are not wanted now."""
+        old = [w for w in self.index if w in wanted]
+        at = np.array([self.index[w] for w in old], dtype=np.int64)
+        ids, sizes, agreed = self.gather(at), self.sizes[at], self.agreed[at]
+        self.clear()
+        self.add(old, ids, sizes, agreed)
+
+    def add(self, words: list[str], ids: np.ndarray, sizes: np.ndarray, agreed: np.ndarray) -> None:
+        n = len(self.sizes)
+        self.index.update(zip(words, range(n, n + len(words)), strict=True))
+        self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(sizes) - sizes])
+        self.sizes, self.flat = np.concatenate([self.sizes, sizes]), np.concatenate([self.flat, ids])
+        self.agreed = np.concatenate([self.agreed, agreed])
+
+    def gather(self, at: np.ndarray) -> np.ndarray:
+        """The ids of the table's entries at these places, one after the other."""
+        sizes = self.sizes[at]
+        ends = np.cumsum(sizes)
+        shift = np.repeat(self.starts[at] - ends + sizes, sizes)
+        return self.flat[np.arange(len(shift)) + shift]
+
+    def learn(self, words: list[str]) -> None:
+        """Encodes new parts, and the library encodes them too. Parts that hold no line feed are joined by it, as it
+        merges with nothing, and their ids are cut at its id, so that one call takes many parts."""
+        newline = self.newline
+        joined = [w for w in words if newline is not None and "\n" not in w]
+        texts = ["\n".join(joined[i : i + JOINED]) for i in range(0, len(joined), JOINED)]
+        got = [np.array(g.ids, dtype=np.int32) for g in self.tokenizer.encode_batch_fast([t.replace(" ", SPACE) for t in texts], add_special_tokens=False)]
+        if got:
+            ids, sizes = self._cut(got)
+            # a line feed before the first part parts it from the marker that the library puts before a text
+            skip = 1 + self.model.dummy_prefix
+            theirs, their_sizes = self._cut([np.array(x[skip:], dtype=np.int32) for x in self.library.encode(["\n" + t for t in texts])])
+            same = np.zeros(len(joined), bool)
+            if np.array_equal(sizes, their_sizes):
+                wrong = np.concatenate([[0], np.cumsum(ids != theirs)])
+                ends = np.cumsum(sizes)
+                same = wrong[ends] == wrong[ends - sizes]
+            self.add(joined, ids, sizes, same)
+        rest = [w for w in words if newline is None or "\n" in w]
+        got = [np.array(g.ids, dtype=np.int32) for g in self.tokenizer.encode_batch_fast([w.replace(" ", SPACE) for w in rest], add_special_tokens=False)]
+        if got:
+            if self.cuttable:  # runs of characters that merge with nothing; what they are alone they are anywhere
+                skip = len(self.library.encode("a"))
+                same = [g.tolist() == x[skip:] for g, x in zip(got, self.library.encode(["a" + w for w in rest]), strict=True)]
+            else:
+                same = [g.tolist() == x for g, x in zip(got, self.library.encode([w[self.model.dummy_prefix :] for w in rest]), strict=True)]
+            self.add(rest, np.concatenate(got), np.array([len(g) for g in got], dtype=np.int64), np.array(same, bool))
+
+    def _cut(self, rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of joined parts without the line feeds, and how many each part has."""
+        ids = np.concatenate([x for row in rows for x in (row, [self.newline])]).astype(np.int32)
+        cut = np.flatnonzero(ids == self.newline)
+        return np.delete(ids, cut), np.diff(cut, prepend=-1) - 1
 
     def normalise(self, text: str) -> str:
         """The model's normaliser for an identity character map."""
@@ -79,27 +160,43 @@ class Codec:
         return (" " if self.model.dummy_prefix else "") + text
 
     def words(self, text: str) -> list[str]:
-        """Parts of the normalised text, each a run of spaces and what follows it."""
-        text = self.normalise(text)
+        """Parts of the normalised text that no piece reaches across: a run of spaces and what follows it."""
+        text = self.normalise(text).replace(SPACE, " ")
         if not text:
             return []
-        text = text.replace(SPACE, " ")
-        return re.findall(" +[^ ]*|[^ ]+", text) if self.cuttable else [text]
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        parts = [self.words(t) for t in texts]
-        wanted = set().union(*parts)
-        if len(self.ids) > MAX_WORDS:
-            self.ids = {w: self.ids[w] for w in wanted if w in self.ids}
-        new = [w for w in wanted if w not in self.ids]
-        for word, got in zip(new, self.tokenizer.encode_batch_fast([w.replace(" ", SPACE) for w in new], add_special_tokens=False), strict=True):
-            self.ids[word] = np.array(got.ids, dtype=np.int32)
-        ids = self.ids
-        return [np.concatenate([ids[w] for w in words]) if words else np.zeros(0, np.int32) for words in parts]
+        return self.part.findall(text) if self.cuttable else [text]
+
+    def encode(self, texts: list[str]) -> tuple[list[np.ndarray], np.ndarray]:
+        """Ids of each text, and whether the library agrees on all its parts. Parts are looked up in a bounded table; new ones are encoded in one batch."""
+        parts: list[str] = []
+        counts = np.zeros(len(texts), np.int64)
+        for i, text in enumerate(texts):
+            found = self.words(text)
+            counts[i] = len(found)
+            parts += found
+        wanted = set(parts)
+        if len(self.index) > MAX_WORDS:
+            self.keep(wanted)
+        new = list(wanted - self.index.keys())
+        self.learn(new)
+        at = np.fromiter(map(self.index.__getitem__, parts), np.int64, len(parts))
+        ends = np.concatenate([[0], np.cumsum(self.sizes[at])])
+        if not len(texts):
+            return [], np.zeros(0, bool)
+        last = np.cumsum(counts)
+        wrong = np.concatenate([[0], np.cumsum(~self.agreed[at])])
+        return np.split(self.gather(at), ends[last][:-1]), wrong[last] == wrong[last - counts]
 
     def decode(self, ids: list[np.ndarray]) -> list[str]:
-        texts = self.tokenizer.decode_batch([x.tolist() for x in ids], skip_special_tokens=False)
-        return [t[1:] if self.model.dummy_prefix and t.startswith(" ") else t for t in texts]
+        """Texts of ids: pieces and bytes are joined; where bytes are no UTF-8, the rebuilt decoder replaces them."""
+        table, texts = self.bytes.__getitem__, []
+        for row in ids:
+            try:
+                text = b"".join(map(table, row.tolist())).decode("utf-8")
+            except UnicodeDecodeError:
+                text = self.tokenizer.decode(row.tolist(), skip_special_tokens=False)
+            texts.append(text[1:] if self.model.dummy_prefix and text.startswith(" ") else text)
+        return texts
 
 
 @lru_cache(maxsize=2)
@@ -107,28 +204,20 @@ def _codec(path: str) -> Codec:
     return Codec(path)
 
 
-@lru_cache(maxsize=2)
-def _library(path: str):
-    import sentencepiece
-
-    return sentencepiece.SentencePieceProcessor(model_file=path)
-
-
 def encode(docs: DataFrame, model_path: str, threads: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """SCHEMA for each row of docs. round_trip: the decoded ids give the text (its normalised form) again."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "true"
         os.environ.setdefault("RAYON_NUM_THREADS", str(threads))
-        codec, library = _codec(model_path), _library(model_path)
+        codec = _codec(model_path)
         for batch in batches:
             _, offsets = utf8(batch.column(1))
             for start, end in steps(offsets):
                 texts = pc.fill_null(batch.column(1)[start:end], "").to_pylist()
-                ids, theirs = codec.encode(texts), library.encode(texts, num_threads=threads)
-                theirs = [np.array(x, dtype=np.int32) for x in theirs]
-                parity = [np.array_equal(a, b) for a, b in zip(ids, theirs, strict=True)]
-                ids = [a if same else b for a, b, same in zip(ids, theirs, parity, strict=True)]
+                ids, parity = codec.encode(texts)
+                for i in np.flatnonzero(~parity):
+                    ids[i] = np.array(codec.library.encode(texts[i]), dtype=np.int32)
                 back = codec.decode(ids)
                 same = [b == codec.normalise(t)[codec.model.dummy_prefix :].replace(SPACE, " ") for t, b in zip(texts, back, strict=True)]
                 lengths = np.array([len(x) for x in ids], dtype=np.int64)
