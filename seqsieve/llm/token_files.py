@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from .common import steps, utf8
 
 #: Parts of texts whose ids a worker keeps.
-MAX_PARTS = 300_000
+MAX_PARTS = 500_000
 NO_ID = np.iinfo(np.int64).min
 
 
@@ -56,6 +56,19 @@ class PartEncoder:
         self.index: dict[str | None, int] = {None: 0, "": 1}
         self.flat, self.starts, self.sizes = array("I", [self.end_id]), array("q", [0, 1]), array("q", [1, 0])
 
+    def keep(self, wanted: set[str | None]) -> None:
+        """Forgets the parts that are not wanted now."""
+        old = [(p, self.flat[self.starts[i] : self.starts[i] + self.sizes[i]]) for p, i in self.index.items() if i > 1 and p in wanted]
+        self.clear()
+        for part, ids in old:
+            self.add(part, ids)
+
+    def add(self, part: str, ids) -> None:
+        self.index[part] = len(self.starts)
+        self.starts.append(len(self.flat))
+        self.sizes.append(len(ids))
+        self.flat.extend(ids)
+
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after the other, and the number of ids of each text with its end."""
         parts: list[str | None] = []
@@ -65,15 +78,12 @@ class PartEncoder:
             counts[i] = len(found) + 1
             parts += found
             parts.append(None)
+        wanted = set(parts)
         if len(self.index) > MAX_PARTS:
-            self.clear()
-        new = list(set(parts) - self.index.keys())
+            self.keep(wanted)
+        new = list(wanted - self.index.keys())
         for part, got in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            ids = got.ids
-            self.index[part] = len(self.starts)
-            self.starts.append(len(self.flat))
-            self.sizes.append(len(ids))
-            self.flat.extend(ids)
+            self.add(part, got.ids)
         at = np.fromiter(map(self.index.__getitem__, parts), np.int64, len(parts))
         sizes = np.array(self.sizes)[at]
         ends = np.cumsum(sizes)
