@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import decontaminate, jaccard_join, licenses, media, pieces, quality, token_counts, token_files
+from . import decontaminate, jaccard_join, licenses, line_dedup, media, pieces, quality, token_counts, token_files
 from .common import documents, shared_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,6 +44,11 @@ def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_copies(documents(spark, sf_dir))
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.dedup_lines(documents(spark, sf_dir))
+    return found.select("doc_id", "n_lines", "n_removed", F.md5(F.coalesce("text", F.lit("")).cast("binary")).alias("text_md5"))
+
+
 def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(documents(spark, sf_dir))
 
@@ -60,6 +66,7 @@ def queries() -> dict[str, Query]:
         "op4_token_files": op4_token_files,
         "op5_sentencepiece": op5_sentencepiece,
         "op6_jaccard_join": op6_jaccard_join,
+        "op7_line_dedup": op7_line_dedup,
         "op8_licenses": op8_licenses,
         "op10_quality": op10_quality,
     }

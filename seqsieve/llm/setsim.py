@@ -20,12 +20,14 @@ def needed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return -(-(a + b) * top // (top + bottom))
 
 
-def shingles(body: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the rows' five-word shingles in order, and their rows. One to four words are one shingle."""
+def shingles(body: np.ndarray, offsets: np.ndarray, short: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the rows' five-word shingles in order, and their rows. One to four words are one shingle, if short."""
     body = lower_ascii(body)
     starts, ends, rows = spans(body, offsets, WORD_BYTES)
     word = hashes(body, starts, ends)
     found, of = rolling(word, rows, SHINGLE)
+    if not short:
+        return found, of
     counts = np.bincount(rows, minlength=len(offsets) - 1)
     few = np.flatnonzero((counts > 0) & (counts < SHINGLE))
     if len(few):
