@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, jaccard_join, licenses, line_dedup, media, pieces, quality, token_counts, token_files
+from . import decontaminate, jaccard_join, licenses, line_dedup, lm, media, pieces, quality, token_counts, token_files
 from .common import documents, shared_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,6 +53,10 @@ def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(documents(spark, sf_dir))
 
 
+def op9_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(documents(spark, sf_dir))
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     return quality.score(docs, quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
@@ -68,6 +72,7 @@ def queries() -> dict[str, Query]:
         "op6_jaccard_join": op6_jaccard_join,
         "op7_line_dedup": op7_line_dedup,
         "op8_licenses": op8_licenses,
+        "op9_lm_scores": op9_lm_scores,
         "op10_quality": op10_quality,
     }
 
