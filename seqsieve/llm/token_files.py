@@ -6,8 +6,10 @@ allows it, else 32), NAME.offsets (n + 1 signed 64-bit token offsets) and NAME.d
 written under a name of the attempt and renamed at the end, so a task that is lost or runs twice leaves one good
 copy. Bases of partitions are prefix sums of their token counts (one small row for each partition).
 
-Every text is encoded by the tokenizers library. Its normaliser and its pre-tokeniser never look across a space or
-line feed, so the parts between them are encoded in batches, each distinct one once while a bounded table holds it.
+Every text is encoded by the tokenizers library, part by part, each distinct part once while a bounded table holds
+it. Its normaliser and its pre-tokeniser never look across a space or line feed, so any text may be cut there. Text of
+ASCII and Latin-1 letters alone is cut finer, at the pre-tokeniser's own rule, if the tokenizer is one that lower-cases
+and has that rule (CUTS); such parts are pre-tokens, and many of them are encoded as one text of words.
 
 Files go to the shared folder; on stores that have no paths (any URI but file:) pyarrow's file systems are used and
 a partition's arrays are read instead of mapped.
@@ -18,9 +20,10 @@ another; an empty table gives no documents; other columns are ignored, whatever
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import zlib
-from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -37,11 +40,19 @@ from .common import steps, utf8
 
 #: Parts of texts whose ids a worker keeps.
 MAX_PARTS = 500_000
+#: Words that are encoded as one text.
+JOINED = 512
 NO_ID = np.iinfo(np.int64).min
 
 
+#: The pre-tokeniser's rule as tokenizer files state it, and the same rule for lower-cased Latin text.
+CUTS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+LATIN = re.compile("[\x00-\x1b\x20-\x7fÀ-ÖØ-öø-ÿ]*")
+PRETOKENS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^ \t\n\x0b\x0c\ra-zß-öø-ÿ0-9]+")
+
+
 class PartEncoder:
-    """Token ids of texts, from ids of their parts between spaces and line feeds."""
+    """Token ids of texts, from ids of their parts."""
 
     def __init__(self, path: str, end_id: int):
         from tokenizers import Tokenizer
@@ -49,48 +60,79 @@ class PartEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.dtype = np.dtype("<u2") if max(self.tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else np.dtype("<u4")
         self.end_id = end_id
+        said = json.loads(self.tokenizer.to_str())
+        rules = [x.get("type") for x in (said["normalizer"] or {}).get("normalizers", [])]
+        cuts = [(x.get("pattern") or {}).get("Regex") for x in (said["pre_tokenizer"] or {}).get("pretokenizers", [])]
+        suffix = said["model"].get("end_of_word_suffix")
+        self.fine = rules == ["NFC", "Replace", "Lowercase"] and CUTS in cuts and bool(suffix)
+        self.special = [x["content"] for x in said["added_tokens"]]
+        self.last = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        if self.fine:
+            self.last[[i for t, i in self.tokenizer.get_vocab(with_added_tokens=False).items() if t.endswith(suffix)]] = True
         self.clear()
 
     def clear(self) -> None:
         #: None stands for the end of a text, the empty part has no ids.
         self.index: dict[str | None, int] = {None: 0, "": 1}
-        self.flat, self.starts, self.sizes = array("I", [self.end_id]), array("q", [0, 1]), array("q", [1, 0])
+        self.flat, self.sizes = np.array([self.end_id], np.uint32), np.array([1, 0], np.int64)
+        self.starts = np.array([0, 1], np.int64)
+
+    def add(self, parts: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+        n = len(self.sizes)
+        self.index.update(zip(parts, range(n, n + len(parts)), strict=True))
+        self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(sizes) - sizes])
+        self.sizes, self.flat = np.concatenate([self.sizes, sizes]), np.concatenate([self.flat, ids])
+
+    def gather(self, at: np.ndarray) -> np.ndarray:
+        """The ids of the table's entries at these places, one after the other."""
+        sizes = self.sizes[at]
+        ends = np.cumsum(sizes)
+        shift = np.repeat(self.starts[at] - ends + sizes, sizes)
+        return self.flat[np.arange(len(shift)) + shift]
 
     def keep(self, wanted: set[str | None]) -> None:
         """Forgets the parts that are not wanted now."""
-        old = [(p, self.flat[self.starts[i] : self.starts[i] + self.sizes[i]]) for p, i in self.index.items() if i > 1 and p in wanted]
+        old = [p for p, i in self.index.items() if i > 1 and p in wanted]
+        at = np.array([self.index[p] for p in old], np.int64)
+        ids, sizes = self.gather(at), self.sizes[at]
         self.clear()
-        for part, ids in old:
-            self.add(part, ids)
+        self.add(old, ids, sizes)
 
-    def add(self, part: str, ids) -> None:
-        self.index[part] = len(self.starts)
-        self.starts.append(len(self.flat))
-        self.sizes.append(len(ids))
-        self.flat.extend(ids)
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(g.ids, np.uint32) for g in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def learn(self, words: list[str], others: list[str]) -> None:
+        """Encodes new parts; words are pre-tokens, so each ends with its first id that ends a word."""
+        if words:
+            ids = np.concatenate(self._ids([" ".join(words[i : i + JOINED]) for i in range(0, len(words), JOINED)]))
+            self.add(words, ids, np.diff(np.flatnonzero(self.last[ids]), prepend=-1))
+        if others:
+            got = self._ids(others)
+            self.add(others, np.concatenate(got), np.array([len(g) for g in got], np.int64))
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after the other, and the number of ids of each text with its end."""
         parts: list[str | None] = []
         counts = np.zeros(len(texts), np.int64)
+        fine: set[str] = set()
+        coarse: set[str] = set()
         for i, text in enumerate(texts):
-            found = text.replace("\n", " ").split(" ")
+            if self.fine and LATIN.fullmatch(text) and not any(x in text for x in self.special):
+                found = PRETOKENS.findall(text.lower())
+                fine.update(found)
+            else:
+                found = text.replace("\n", " ").split(" ")
+                coarse.update(found)
             counts[i] = len(found) + 1
             parts += found
             parts.append(None)
-        wanted = set(parts)
         if len(self.index) > MAX_PARTS:
-            self.keep(wanted)
-        new = list(wanted - self.index.keys())
-        for part, got in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            self.add(part, got.ids)
+            self.keep(fine | coarse)
+        self.learn(list(fine - self.index.keys()), list(coarse - fine - self.index.keys()))
         at = np.fromiter(map(self.index.__getitem__, parts), np.int64, len(parts))
-        sizes = np.array(self.sizes)[at]
-        ends = np.cumsum(sizes)
-        shift = np.repeat(np.array(self.starts)[at] - ends + sizes, sizes)
-        ids = np.array(self.flat, dtype=np.uint32)[np.arange(len(shift)) + shift]
+        ends = np.cumsum(self.sizes[at])
         last = np.cumsum(counts) - 1
-        return ids.astype(self.dtype), np.diff(ends[last], prepend=0) if len(texts) else counts
+        return self.gather(at).astype(self.dtype), np.diff(ends[last], prepend=0) if len(texts) else counts
 
 
 @lru_cache(maxsize=2)
