@@ -1,0 +1,16 @@
+"""Column functions."""
+
+from .scalars import (
+    error_rate,
+    mismatch_count,
+    null_if_missing,
+    parse_yes,
+    percentage,
+    r_round,
+    split_tokens,
+    trim_white,
+    trimmed,
+    yes_no,
+)
+
+__all__ = ["error_rate", "mismatch_count", "null_if_missing", "parse_yes", "percentage", "r_round", "split_tokens", "trim_white", "trimmed", "yes_no"]
