@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Places of a piece of a long sequence, and characters that an exact screen joins by.
-PIECE, SEED = 256, 16
+PIECE, SEED = 64, 16
 #: Which base pairs with which, and the scores of a match, of a mismatch, and of an alignment that counts.
 BASES, PARTNERS = "ACGTacgt", "TGCAtgca"
 MATCH, MISMATCH, LEAST_SCORE = 5, -4, 100
@@ -23,14 +23,16 @@ def reverse_complement(seq):
 
 
 def _pieces(df: DataFrame, keep: list[str], overlap: int) -> DataFrame:
-    """Sequences in pieces of PIECE places with `overlap` more on both sides: columns start (of the piece's text),
-    low and high (the piece's own places, high excluded) and seq. Taking a substring costs time in proportion to its
-    place, so long sequences are cut once."""
-    at = F.explode(F.sequence(F.lit(0), F.greatest(F.length("seq") - 1, F.lit(0)), F.lit(PIECE))).alias("low")
-    cut = df.select(*keep, "seq", at)
-    part = F.expr(f"substring(seq, greatest(low - {overlap}, 0) + 1, low + {PIECE + overlap} - greatest(low - {overlap}, 0))")
-    high = F.least(F.col("low") + PIECE, F.length("seq"))
-    return cut.select(*keep, F.greatest(F.col("low") - overlap, F.lit(0)).alias("start"), "low", high.alias("high"), part.alias("seq"))
+    """Sequences in pieces of PIECE places or more, with `overlap` more on both sides: columns start (of the piece's
+    text), low and high (the piece's own places, high excluded) and seq. Taking a substring costs time in proportion to
+    its place, so long sequences are cut once, in one pass."""
+    size = max(PIECE, overlap)
+    cut = df.select(*keep, F.split("seq", f"(?s)(?<=\\G.{{{size}}})").alias("parts"))
+    cut = cut.select(*keep, "parts", F.posexplode("parts").alias("n", "part")).filter(F.length("part") > 0)
+    left = F.when(F.col("n") > 0, F.right(F.get("parts", F.col("n") - 1), F.lit(overlap))).otherwise("")
+    right = F.coalesce(F.left(F.get("parts", F.col("n") + 1), F.lit(overlap)), F.lit(""))
+    low = F.col("n") * size
+    return cut.select(*keep, (low - F.length(left)).alias("start"), low.alias("low"), (low + F.length("part")).alias("high"), F.concat(left, "part", right).alias("seq"))
 
 
 def reference_kmers(references: DataFrame, k: int, length: int) -> DataFrame:
