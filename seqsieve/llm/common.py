@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Text bytes that one numpy step handles at once; bounds the temporary arrays of a task.
-STEP_BYTES = 4 << 20
+STEP_BYTES = 1 << 20
 #: Most ids that are broadcast (32 MB of longs); more are joined by a shuffle.
 BROADCAST_IDS = 4_000_000
 

@@ -46,12 +46,12 @@ def blocks(members: DataFrame, size: int) -> DataFrame:
     return joined.withColumn("block", F.pmod(F.xxhash64("node"), F.col("n_blocks")).cast("int"))
 
 
-def block_pairs(items: DataFrame, groups: int) -> DataFrame:
-    """A row for each pair of blocks that an item (root, block, n_blocks) takes part in. The columns part and pair tell
+def block_pairs(items: DataFrame, groups: int, by: str = "root") -> DataFrame:
+    """A row for each pair of blocks that an item (by, block, n_blocks) takes part in. The columns part and pair tell
     a task's group: whole small components share one of `groups` parts, a pair of blocks of a large one stands alone."""
     others = F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)).alias("other")
     rows = items.select("*", others)
     pair = F.least("block", "other").cast("long") * F.col("n_blocks") + F.greatest("block", "other")
     small = F.col("n_blocks") == 1
-    part = F.when(small, F.pmod(F.xxhash64("root"), F.lit(groups))).otherwise(F.col("root"))
+    part = F.when(small, F.pmod(F.xxhash64(by), F.lit(groups))).otherwise(F.col(by))
     return rows.withColumn("part", part).withColumn("pair", F.when(small, F.lit(-1).cast("long")).otherwise(pair)).drop("other")

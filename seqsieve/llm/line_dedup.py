@@ -8,7 +8,9 @@ whether or not that line goes as well. Lines of fewer than five words have no to
    everywhere keeps the join exact; this one puts rare tokens first and common passages last.
 2. Lines of one token set are a class (128-bit fingerprint) with its first place; each other member is a later match.
 3. Prefix filter: a class of n tokens puts its n - ceil(0.8 n) + 1 rarest into the join; matching classes share one.
-   Each token links its classes to the smallest (a star), and components of these links hold all matches.
+   Classes that meet at a token are linked if they pass the length filter, the positional filter and a bound from 128
+   parity bits (sets differ in at least as many tokens as their bits differ); a token with many classes is cut into
+   blocks, and a spanning forest of its links is all that leaves a block. Components of the forests hold all matches.
 4. Components are cut into blocks (see components); within a pair of blocks candidates come from shared prefix tokens
    with the positional and the length filter, and Jaccard is verified by whole token sets. A block tells only which
    classes have an earlier match.
@@ -38,9 +40,11 @@ from .setsim import needed, shingles, similar
 from .words import mix
 
 BUCKET_BITS, BLOCK = 16, 256
+#: Classes of a block of one token, and lines whose tokens make about one group's work.
+TOKEN_BLOCK, GROUP_LINES = 512, 8192
 MAX_BROADCAST_LINES = 1_000_000
 
-LINES = "key long, mark long, line_no int, print_a long, print_b long, tokens array<long>"
+LINES = "key long, mark long, line_no int, print_a long, print_b long, size int, bits_a long, bits_b long, tokens array<long>"
 
 
 def line_offsets(body: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -116,6 +120,7 @@ def _lines(rank: np.ndarray):
                 line, n = of[first], np.diff(np.append(first, len(of)))
                 a = mix(np.add.reduceat(mix(found + np.uint64(0x51ED270B)), first))
                 b = mix(np.add.reduceat(mix(found ^ np.uint64(0x7F4A7C159E3779B9)), first) + n.astype(np.uint64))
+                bits = [np.bitwise_xor.reduceat(np.where((found >> np.uint64(58)) & np.uint64(1) == half, np.uint64(1) << (found & np.uint64(63)), np.uint64(0)), first) for half in (0, 1)]
                 place = np.arange(len(of)) - np.repeat(first, n)
                 kept = place < np.repeat(prefix(n), n)
                 cut = np.concatenate([[0], np.cumsum(prefix(n))]).astype(np.int32)
@@ -127,9 +132,12 @@ def _lines(rank: np.ndarray):
                         pa.array(number[line].astype(np.int32)),
                         pa.array(a.astype(np.int64)),
                         pa.array(b.astype(np.int64)),
+                        pa.array(n.astype(np.int32)),
+                        pa.array(bits[0].view(np.int64)),
+                        pa.array(bits[1].view(np.int64)),
                         pa.ListArray.from_arrays(pa.array(cut), pa.array(found[kept].astype(np.int64))),
                     ],
-                    names=["key", "mark", "line_no", "print_a", "print_b", "tokens"],
+                    names=[c.split()[0] for c in LINES.split(", ")],
                 )
 
     return run
@@ -162,6 +170,44 @@ def _token_sets(rank: np.ndarray):
     return run
 
 
+def _roots(parent: np.ndarray) -> np.ndarray:
+    while (up := parent[parent]).tobytes() != parent.tobytes():
+        parent = up
+    return parent
+
+
+def _met(table: pa.Table) -> pa.Table:
+    """A spanning forest of the links of one group's tokens: each class with the root of its tree."""
+    order = np.argsort(table.column("token").to_numpy(), kind="stable")
+    table = table.take(pa.array(order))
+    token, name, block, size, place = (table.column(c).to_numpy() for c in ("token", "print_a", "block", "size", "place"))
+    bits = [table.column(c).to_numpy().view(np.uint64) for c in ("bits_a", "bits_b")]
+    size, rest = size.astype(np.int64), size.astype(np.int64) - place
+    parent, alive = np.arange(len(token)), np.arange(len(token))
+    for ahead in range(1, len(token)):
+        alive = alive[alive < len(token) - ahead]
+        alive = alive[token[alive] == token[alive + ahead]]
+        if not len(alive):
+            break
+        left, right = alive, alive + ahead
+        need = needed(size[left], size[right])
+        differ = sum(np.bitwise_count(b[left] ^ b[right]).astype(np.int64) for b in bits)
+        good = (np.minimum(rest[left], rest[right]) >= need) & (np.minimum(size[left], size[right]) >= need) & (differ <= size[left] + size[right] - 2 * need)
+        left, right = left[good], right[good]
+        parent = _roots(parent)
+        ends = np.stack([parent[left], parent[right]], axis=1)
+        for a, b in np.unique(ends[ends[:, 0] != ends[:, 1]], axis=0).tolist():
+            while parent[a] != a:
+                a = parent[a]
+            while parent[b] != b:
+                b = parent[b]
+            if a != b:
+                parent[max(a, b)] = min(a, b)
+    parent = _roots(parent)
+    some = np.flatnonzero(name != name[parent])
+    return pa.table({"a": name[some], "b": name[parent[some]]})
+
+
 def candidates(sets: list[np.ndarray], block: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Pairs that share a prefix token and pass the positional and the length filter; sets are ordered by rarity."""
     size = np.array([len(s) for s in sets], np.int64)
@@ -220,10 +266,16 @@ def later_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     first = lines.groupBy("print_a", "print_b").agg(place).select("print_a", "print_b", "place.*")
     first = materialise(first, "first-lines")
 
-    tokens = lines.select("print_a", F.explode("tokens").alias("token"))
+    tokens = lines.select("print_a", F.posexplode("tokens").alias("place", "token"))
     same = Window.partitionBy("token")
-    stars = tokens.withColumn("b", F.min("print_a").over(same)).filter("b <> print_a").select(F.col("print_a").alias("a"), "b")
-    members = connected_components(stars)
+    shared = tokens.withColumns({"low": F.min("print_a").over(same), "high": F.max("print_a").over(same)}).filter("low < high")
+    shared = shared.groupBy("token", "print_a").agg(F.min("place").alias("place"))
+    shared = shared.withColumn("n_blocks", F.ceil(F.count("*").over(same) / TOKEN_BLOCK).cast("int"))
+    light = lines.groupBy("print_a").agg(F.first("size").alias("size"), F.first("bits_a").alias("bits_a"), F.first("bits_b").alias("bits_b"))
+    shared = shared.join(light, "print_a").withColumn("block", F.pmod(F.xxhash64("print_a"), F.col("n_blocks")).cast("int"))
+    groups = max(1, lines.count() // GROUP_LINES)
+    links = block_pairs(shared, groups, "token").groupBy("part", "pair").applyInArrow(_met, "a long, b long")
+    members = connected_components(links)
 
     items = blocks(members, BLOCK).withColumnRenamed("node", "print_a").join(first, "print_a")
     items = materialise(items.groupBy("key", "mark").agg(F.collect_list(F.struct(*ITEM)).alias("wanted")), "line-members")
