@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 #: Text bytes that one numpy step handles at once; bounds the temporary arrays of a task.
 STEP_BYTES = 1 << 20
+#: Bytes of an Arrow batch between Spark and Python, the setting's name and its default.
+BATCH_BYTES, ARROW_BYTES, ARROW_DEFAULT = 4 << 20, "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
 #: Most ids that are broadcast (32 MB of longs); more are joined by a shuffle.
 BROADCAST_IDS = 4_000_000
 
@@ -46,6 +48,15 @@ def with_ids(df: DataFrame, ids: DataFrame, id_col: str, how: str = "inner") ->
     return df.join(F.broadcast(ids) if small else ids, id_col, how)
 
 
+def map_batches(df: DataFrame, run, schema) -> DataFrame:
+    """df.mapInArrow(), with the bytes of a batch bounded in the session: whole texts go to Python, and Spark's own
+    bounds are 10,000 rows or 64 MB. A bound that the session was given stays."""
+    conf = df.sparkSession.conf
+    if conf.get(ARROW_BYTES) == ARROW_DEFAULT:
+        conf.set(ARROW_BYTES, str(BATCH_BYTES))
+    return df.mapInArrow(run, schema)
+
+
 def utf8(column) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a text column and its row offsets (one more than rows); nulls are empty."""
     if isinstance(column, pa.ChunkedArray):

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_IDS, materialise, steps, utf8, with_ids
+from .common import BROADCAST_IDS, map_batches, materialise, steps, utf8, with_ids
 from .components import block_pairs, blocks, connected_components
 from .setsim import fingerprint, least_matches, minhash, sets_of, shingles, similar
 from .words import mix
@@ -153,7 +153,7 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """doc_id, copy_id (smallest id with this shingle set), class_id (smallest id of the component of links) and
     n_links (other documents with similarity 0.8 or more) for every row of docs."""
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    signed = materialise(texts.mapInArrow(_signed, "doc_id long, n_shingles long, print_a long, print_b long, bands array<long>"), "signatures")
+    signed = materialise(texts.transform(map_batches, _signed, "doc_id long, n_shingles long, print_a long, print_b long, bands array<long>"), "signatures")
     able = signed.filter("doc_id is not null and n_shingles > 0")
     classes = able.groupBy("print_a", "print_b").agg(F.min("doc_id").alias("copy_id"), F.count("*").alias("n_docs"), F.first("bands").alias("bands"))
     classes = materialise(classes, "copy-classes")
@@ -167,7 +167,7 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     n_items = items.count()
     items = items.select(F.col("node").alias("doc_id"), "n_docs", "root", "n_blocks", "block")
     own = with_ids(texts, items, "doc_id").select("doc_id", "text", "n_docs", "root", "n_blocks", "block")
-    sets = own.mapInArrow(_with_sets, "doc_id long, n_docs long, root long, n_blocks int, block int, held binary")
+    sets = own.transform(map_batches, _with_sets, "doc_id long, n_docs long, root long, n_blocks int, block int, held binary")
     pairs = block_pairs(sets, max(1, n_items // (2 * BLOCK)))
     links = materialise(pairs.groupBy("part", "pair").applyInArrow(_linked, "a long, n long, b long"), "near-links")
 

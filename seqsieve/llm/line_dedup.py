@@ -32,8 +32,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import materialise, steps, utf8
+from .common import map_batches, materialise, steps, utf8
 from .components import block_pairs, blocks, connected_components
 from .licenses import NO_ID, keyed
 from .setsim import needed, shingles, similar
@@ -77,7 +78,7 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def rarity(docs: DataFrame, text_col: str = "text") -> np.ndarray:
     """The rank of each bucket of tokens, by the number of its tokens in all lines; the driver gets the fixed table."""
-    rows = docs.select(F.col(text_col).alias("text")).mapInArrow(_counts, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).collect()
+    rows = docs.select(F.col(text_col).alias("text")).transform(map_batches, _counts, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).collect()
     total = np.zeros(1 << BUCKET_BITS, np.int64)
     total[[r["bucket"] for r in rows]] = [r["n"] for r in rows]
     rank = np.empty(len(total), np.uint16)
@@ -261,7 +262,7 @@ def later_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """key, mark (see licenses.keyed) and line_no of every line that goes; a written table."""
     rank = rarity(docs, text_col)
     texts = keyed(docs, id_col, text_col).select("key", "mark", "text")
-    lines = materialise(texts.mapInArrow(_lines(rank), LINES), "lines")
+    lines = materialise(texts.transform(map_batches, _lines(rank), LINES), "lines")
     place = F.min(F.struct("key", "mark", "line_no")).alias("place")
     first = lines.groupBy("print_a", "print_b").agg(place).select("print_a", "print_b", "place.*")
     first = materialise(first, "first-lines")
@@ -280,7 +281,7 @@ def later_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     items = blocks(members, BLOCK).withColumnRenamed("node", "print_a").join(first, "print_a")
     items = materialise(items.groupBy("key", "mark").agg(F.collect_list(F.struct(*ITEM)).alias("wanted")), "line-members")
     n_items = items.agg(F.sum(F.size("wanted"))).first()[0] or 0
-    sets = texts.join(_maybe(items, n_items), ["key", "mark"]).select("text", "wanted").mapInArrow(_token_sets(rank), ITEMS)
+    sets = texts.join(_maybe(items, n_items), ["key", "mark"]).select("text", "wanted").transform(map_batches, _token_sets(rank), ITEMS)
     pairs = block_pairs(sets, max(1, n_items // (2 * BLOCK)))
     matched = pairs.groupBy("part", "pair").applyInArrow(_matched, "print_a long, print_b long").distinct()
     matched = materialise(matched, "matched-lines").withColumn("late", F.lit(True))
@@ -299,15 +300,21 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     by_text = gone.groupBy(F.col("key").alias("__key"), F.col("mark").alias("__mark")).agg(F.collect_set("line_no").alias("__gone"))
     same = (F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)) == F.col("__key")) & (F.xxhash64(text_col) == F.col("__mark"))
     joined = docs.join(_maybe(by_text, n_gone), same, "left")
-    parts = F.split(F.col(text_col), "\n")
-    kept = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("__gone"))
-    text = F.array_join(F.transform(kept, lambda i: parts[i]), "\n")
-    joined = joined.withColumns(
-        {
-            "n_lines": F.coalesce(F.size(parts), F.lit(0)).cast("long"),
-            "n_removed": F.coalesce(F.size("__gone"), F.lit(0)).cast("long"),
-            "__text": F.when(F.col("__gone").isNull(), F.col(text_col)).otherwise(text),
-        }
-    )
-    columns = [F.col("__text").alias(c) if c == text_col else F.col(c) for c in docs.columns if c not in ("n_lines", "n_removed")]
-    return joined.select(*columns, "n_lines", "n_removed")
+    columns = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
+    kinds = {f.name: f.dataType for f in docs.schema.fields}
+    schema = T.StructType([T.StructField(c, kinds[c]) for c in columns] + [T.StructField(c, T.LongType()) for c in ("n_lines", "n_removed")])
+    place = columns.index(text_col)
+
+    def rebuilt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts, numbers = batch.column(place).to_pylist(), batch.column(len(columns)).to_pylist()
+            for i, (text, lines) in enumerate(zip(texts, numbers, strict=True)):
+                if lines is not None:
+                    late = set(lines)
+                    texts[i] = "\n".join([x for n, x in enumerate(text.split("\n")) if n not in late])
+            before = pc.add(pc.count_substring(pc.fill_null(batch.column(place), ""), "\n").cast(pa.int64()), 1)
+            arrays = [pa.array(texts, batch.column(place).type) if i == place else c for i, c in enumerate(batch.columns[:-1])]
+            removed = pa.array([len(x) if x is not None else 0 for x in numbers], pa.int64())
+            yield pa.RecordBatch.from_arrays([*arrays, before, removed], names=schema.names)
+
+    return joined.select(*(F.col(f"`{c}`") for c in columns), "__gone").transform(map_batches, rebuilt, schema)

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, steps, utf8
+from .common import map_batches, materialise, steps, utf8
 from .quality import held_out as remainder_is_0
 
 HELD_OUT, SMOOTH = 10, 0.1
@@ -272,7 +272,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     held = remainder_is_0(id_col, HELD_OUT)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), held.alias("held_out"), F.col(text_col).alias("text"))
     training = rows.filter("not held_out").select("text")
-    counts = training.mapInArrow(_counted, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    counts = training.transform(map_batches, _counted, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
     counts = materialise(counts, "word-counts")
     n, v = (x or 0 for x in counts.agg(F.sum("n"), F.count("*")).first())
     # words from the rarest class of counts on whose words, with all more frequent ones, are FREQUENT at most
@@ -293,12 +293,12 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
 
     model = initial(frequent)
     if n:
-        got = sorted(_averaged(training.mapInArrow(_trained(frequent), "row int, salt int, tokens long, values binary")), key=lambda r: r["row"])
+        got = sorted(_averaged(training.transform(map_batches, _trained(frequent), "row int, salt int, tokens long, values binary")), key=lambda r: r["row"])
         whole = np.array([np.frombuffer(r["values"], np.float64) / r["tokens"] for r in got], np.float32)
         model = Model(whole[:, :WIDTH], whole[:, WIDTH : 2 * WIDTH], whole[:, 2 * WIDTH : 3 * WIDTH], whole[:, 3 * WIDTH])
     model.bias[START] = -1e4  # never a token
 
-    scored = rows.mapInArrow(_scored(frequent, model), ROWS).withColumn("row", F.monotonically_increasing_id())
+    scored = rows.transform(map_batches, _scored(frequent, model), ROWS).withColumn("row", F.monotonically_increasing_id())
     scored = materialise(scored, "scored-rows")
     rare = scored.select("row", F.explode(F.arrays_zip("rare", "rare_n")).alias("x")).select("row", F.col("x.rare").alias("word"), F.col("x.rare_n").alias("m"))
     logs = F.log10(F.coalesce(F.col("n"), F.lit(0)) + SMOOTH)

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import steps, utf8
+from .common import map_batches, steps, utf8
 
 UNIT, WIDTH, FILL = 576, 24, 255
 FRAME_ROWS = 8184
@@ -366,7 +366,7 @@ def store_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                 media = encode_payloads(data, lengths)
                 yield pa.RecordBatch.from_arrays([batch.column(0)[start:end], pa.array(sizes), pa.array(media, pa.binary())], names=["doc_id", "n_bytes", "media"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id long, n_bytes long, media binary")
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).transform(map_batches, run, "doc_id long, n_bytes long, media binary")
 
 
 FEATURES = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
@@ -390,4 +390,4 @@ def read_features(media: DataFrame, media_col: str = "media") -> DataFrame:
                 arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
                 yield pa.RecordBatch.from_arrays([batch.column(0)[start:end], batch.column(1)[start:end], *arrays], names=[f.split()[0] for f in FEATURES.split(", ")])
 
-    return media.select("doc_id", "n_bytes", media_col).mapInArrow(run, FEATURES)
+    return media.select("doc_id", "n_bytes", media_col).transform(map_batches, run, FEATURES)

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import spm_model
-from .common import steps, utf8
+from .common import map_batches, steps, utf8
 from .spm_model import SPACE
 
 #: Words whose ids a worker keeps.
@@ -235,7 +235,7 @@ def encode(docs: DataFrame, model_path: str, threads: int = 2, id_col: str = "do
                     names=["doc_id", "ids", "n_tokens", "ids_crc32", "parity", "round_trip"],
                 )
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, SCHEMA)
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).transform(map_batches, run, SCHEMA)
 
 
 def decode(encoded: DataFrame, model_path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
@@ -247,4 +247,4 @@ def decode(encoded: DataFrame, model_path: str, id_col: str = "doc_id", ids_col:
             ids = [np.array(x or [], dtype=np.int32) for x in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(codec.decode(ids), pa.string())], names=["doc_id", "text"])
 
-    return encoded.select(F.col(id_col).cast("long").alias("doc_id"), F.col(ids_col).alias("ids")).mapInArrow(run, "doc_id long, text string")
+    return encoded.select(F.col(id_col).cast("long").alias("doc_id"), F.col(ids_col).alias("ids")).transform(map_batches, run, "doc_id long, text string")

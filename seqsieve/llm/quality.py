@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import steps, utf8
+from .common import map_batches, steps, utf8
 from .words import DARK_BYTES, hashes, mix, spans
 
 BITS = 17
@@ -203,7 +203,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     picked = [known.filter(F.col("label") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_PER_CLASS) for c in (0, 1)]
     sample = F.broadcast(picked[0].unionByName(picked[1]))  # at most 2 * MAX_PER_CLASS rows
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).join(sample, "doc_id")
-    found = texts.select("doc_id", "label", "text").mapInArrow(_features, "doc_id long, label int, found binary")
+    found = texts.select("doc_id", "label", "text").transform(map_batches, _features, "doc_id long, label int, found binary")
     first = found.groupBy("doc_id").agg(F.min_by("label", "found").alias("label"), F.min("found").alias("found"))  # an id stands for one text
     got = sorted(first.collect(), key=lambda r: r["doc_id"])
     rows = [_unpacked(bytes(r["found"])) for r in got]
@@ -227,7 +227,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
                     names=["doc_id", "held_out", "score", "predicted"],
                 )
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), held_out(id_col).alias("held_out"), F.col(text_col).alias("text")).mapInArrow(run, SCORES)
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), held_out(id_col).alias("held_out"), F.col(text_col).alias("text")).transform(map_batches, run, SCORES)
 
 
 def keep_good(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -246,4 +246,4 @@ def keep_good(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: s
                 keep += [fitted.score(x) >= THRESHOLD for x in indicators(body[at[0] : at[-1]], at - at[0])]
             yield batch.filter(pa.array(keep, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.transform(map_batches, run, docs.schema)

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import spm_model
-from .common import steps, utf8
+from .common import map_batches, steps, utf8
 
 ZIPF_SHIFT = 2.7
 PENALTY = 10.0
@@ -130,4 +130,4 @@ def token_counts(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_
                     names=["doc_id", "n_pretokens", "n_tokens", "n_unknown", "log_prob"],
                 )
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(count, SCHEMA)
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).transform(map_batches, count, SCHEMA)

@@ -36,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import steps, utf8
+from .common import map_batches, steps, utf8
 
 #: Parts of texts whose ids a worker keeps.
 MAX_PARTS = 500_000
@@ -211,7 +211,7 @@ class TokenFiles:
                             columns.append(pa.ListArray.from_arrays(pa.array((at - at[0]).astype(np.int32)), pa.array(ids[at[0] : at[-1]].astype(np.int64))))
                         yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "start", "n_tokens", "ids_crc32", "ids"][: len(columns)])
 
-        return self._rows(spark).mapInArrow(run, schema)
+        return self._rows(spark).transform(map_batches, run, schema)
 
 
 def write(docs: DataFrame, tokenizer_path: str, uri: str, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> TokenFiles:
@@ -243,7 +243,7 @@ def write(docs: DataFrame, tokenizer_path: str, uri: str, end_id: int, id_col: s
             store.rename(f"{attempt}.{kind}", f"{name}.{kind}")
         yield pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "n_docs": [n_docs], "n_tokens": [n_tokens], "dtype": [encoder.dtype.str]})
 
-    made = rows.mapInArrow(run, "part int, n_docs long, n_tokens long, dtype string").collect()  # a row for each partition
+    made = rows.transform(map_batches, run, "part int, n_docs long, n_tokens long, dtype string").collect()  # a row for each partition
     parts, base = [], 0
     for row in sorted(made, key=lambda r: r["part"]):
         if row["n_docs"]:

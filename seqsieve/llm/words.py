@@ -55,7 +55,9 @@ def spans(body: np.ndarray, offsets: np.ndarray, of: np.ndarray) -> tuple[np.nda
     last = inside & ~np.concatenate([inside[1:], [False]]) if len(inside) else inside
     ends_at = edges[edges > 0] - 1
     last[ends_at] = inside[ends_at]
-    return starts, np.flatnonzero(last) + 1, np.searchsorted(offsets, starts, side="right") - 1
+    cut = np.searchsorted(starts, offsets)  # few offsets in many starts; of equal ones the last row has the runs
+    cut[-1] = len(starts)
+    return starts, np.flatnonzero(last) + 1, np.repeat(np.arange(len(offsets) - 1), np.diff(cut))
 
 
 def hashes(body: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
