@@ -48,6 +48,16 @@ def with_ids(df: DataFrame, ids: DataFrame, id_col: str, how: str = "inner") ->
     return df.join(F.broadcast(ids) if small else ids, id_col, how)
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, with underscores before them until no column of df has them."""
+    taken = {c.lower() for c in df.columns}
+
+    def free(name: str) -> str:
+        return name if name.lower() not in taken else free("_" + name)
+
+    return [free(n) for n in names]
+
+
 def map_batches(df: DataFrame, run, schema) -> DataFrame:
     """df.mapInArrow(), with the bytes of a batch bounded in the session: whole texts go to Python, and Spark's own
     bounds are 10,000 rows or 64 MB. A bound that the session was given stays."""

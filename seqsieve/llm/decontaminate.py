@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_IDS, materialise
+from .common import BROADCAST_IDS, free_names, materialise
 from .licenses import NO_ID, keyed, word_array
 
 SHINGLE, CONTAINMENT, MARGIN = 5, 0.8, 4
@@ -83,7 +83,8 @@ def leaked_pairs(docs: DataFrame, items: DataFrame, **columns: str) -> DataFrame
 def drop_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs that leak no item, with all their columns."""
     found = materialise(leaks(docs, items, id_col, text_col).select("key", "mark").distinct(), "leaking")
-    found = found.withColumnsRenamed({"key": "__key", "mark": "__mark"})
+    key, mark = free_names(docs, "__key", "__mark")
+    found = found.withColumnsRenamed({"key": key, "mark": mark})
     found = F.broadcast(found) if found.count() <= BROADCAST_IDS else found
-    here = (F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)) == F.col("__key")) & (F.xxhash64(text_col) == F.col("__mark"))
+    here = (F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)) == F.col(key)) & (F.xxhash64(text_col) == F.col(mark))
     return docs.join(found, here, "left_anti")

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_IDS, map_batches, materialise, steps, utf8, with_ids
+from .common import BROADCAST_IDS, free_names, map_batches, materialise, steps, utf8, with_ids
 from .components import block_pairs, blocks, connected_components
 from .setsim import fingerprint, least_matches, minhash, sets_of, shingles, similar
 from .words import mix
@@ -181,13 +181,14 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs without those whose class has a smaller id, and without repeats of a row's id."""
+    late, twice = free_names(docs, "__late", "__twice")
     classes = materialise(near_copies(docs, id_col, text_col), "near-copies")
-    gone = materialise(classes.filter("class_id < doc_id").select(F.col("doc_id").alias("__gone")).distinct(), "later-copies")
+    gone = materialise(classes.filter("class_id < doc_id").select(F.col("doc_id").alias(late)).distinct(), "later-copies")
     gone = F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone
-    kept = docs.join(gone, F.col(id_col).cast("long") == F.col("__gone"), "left_anti")
-    again = materialise(classes.filter("class_id = doc_id").groupBy("doc_id").count().filter("count > 1").select(F.col("doc_id").alias("__again")), "repeated-ids")
+    kept = docs.join(gone, F.col(id_col).cast("long") == F.col(late), "left_anti")
+    again = materialise(classes.filter("class_id = doc_id").groupBy("doc_id").count().filter("count > 1").select(F.col("doc_id").alias(twice)), "repeated-ids")
     if again.isEmpty():
         return kept
     again = F.broadcast(again) if again.count() <= BROADCAST_IDS else again
-    same = F.col(id_col).cast("long") == F.col("__again")
+    same = F.col(id_col).cast("long") == F.col(twice)
     return kept.join(again, same, "left_anti").unionByName(kept.join(again, same, "left_semi").dropDuplicates([id_col]))

@@ -29,19 +29,21 @@ PHRASES = [
     ("apache license version 2", "apache-2"),
     ("cc by nc", "cc-by-nc"),
 ]
-#: Sentences that licenses and notices share, with the method's labels.
+#: Sentences that licenses and notices share, with the method's labels. Names that differ from another's
+#: by one word or number are so short that a text must hold them whole.
 TEMPLATES = [
     ("permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files", "mit"),
     ("licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license", "apache-2"),
     ("redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met", "bsd"),
     ("this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation", "gpl"),
-    ("this work is licensed under the gnu general public license version 3", "gpl-3"),
-    ("licensed under the gnu general public license version 2", "gpl-2"),
-    ("licensed under the gnu lesser general public license", "lgpl"),
+    ("gnu general public license version 2", "gpl-2"),
+    ("gnu general public license version 3", "gpl-3"),
+    ("gnu lesser general public license", "lgpl"),
+    ("gnu affero general public license", "agpl"),
     ("this source code form is subject to the terms of the mozilla public license v 2 0", "mpl-2"),
-    ("this work is licensed under a creative commons attribution 4 0 international license", "cc-by"),
-    ("this work is licensed under a creative commons attribution sharealike 4 0 international license", "cc-by-sa"),
-    ("this work is licensed under a creative commons attribution noncommercial 4 0 international license", "cc-by-nc"),
+    ("creative commons attribution 4 0 international", "cc-by"),
+    ("creative commons attribution sharealike 4 0 international", "cc-by-sa"),
+    ("creative commons attribution noncommercial 4 0 international", "cc-by-nc"),
     ("this is free and unencumbered software released into the public domain", "unlicense"),
     ("permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted", "isc"),
 ]

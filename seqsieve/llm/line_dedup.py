@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import map_batches, materialise, steps, utf8
+from .common import free_names, map_batches, materialise, steps, utf8
 from .components import block_pairs, blocks, connected_components
 from .licenses import NO_ID, keyed
 from .setsim import needed, shingles, similar
@@ -297,8 +297,9 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     all lines went is empty and has n_removed = n_lines."""
     gone = later_lines(docs, id_col, text_col)
     n_gone = gone.count()
-    by_text = gone.groupBy(F.col("key").alias("__key"), F.col("mark").alias("__mark")).agg(F.collect_set("line_no").alias("__gone"))
-    same = (F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)) == F.col("__key")) & (F.xxhash64(text_col) == F.col("__mark"))
+    key, mark, late = free_names(docs, "__key", "__mark", "__late")
+    by_text = gone.groupBy(F.col("key").alias(key), F.col("mark").alias(mark)).agg(F.collect_set("line_no").alias(late))
+    same = (F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)) == F.col(key)) & (F.xxhash64(text_col) == F.col(mark))
     joined = docs.join(_maybe(by_text, n_gone), same, "left")
     columns = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
     kinds = {f.name: f.dataType for f in docs.schema.fields}
@@ -310,11 +311,11 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
             texts, numbers = batch.column(place).to_pylist(), batch.column(len(columns)).to_pylist()
             for i, (text, lines) in enumerate(zip(texts, numbers, strict=True)):
                 if lines is not None:
-                    late = set(lines)
-                    texts[i] = "\n".join([x for n, x in enumerate(text.split("\n")) if n not in late])
+                    drop = set(lines)
+                    texts[i] = "\n".join([x for n, x in enumerate(text.split("\n")) if n not in drop])
             before = pc.add(pc.count_substring(pc.fill_null(batch.column(place), ""), "\n").cast(pa.int64()), 1)
             arrays = [pa.array(texts, batch.column(place).type) if i == place else c for i, c in enumerate(batch.columns[:-1])]
             removed = pa.array([len(x) if x is not None else 0 for x in numbers], pa.int64())
             yield pa.RecordBatch.from_arrays([*arrays, before, removed], names=schema.names)
 
-    return joined.select(*(F.col(f"`{c}`") for c in columns), "__gone").transform(map_batches, rebuilt, schema)
+    return joined.select(*(F.col(f"`{c}`") for c in columns), late).transform(map_batches, rebuilt, schema)

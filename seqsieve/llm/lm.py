@@ -284,7 +284,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
             break
         least = row["level"]
     top = short.filter(F.col("level") >= least).select("word", "n").collect() if levels and least < math.inf else []
-    by_word = {bytes(r["word"]): r["n"] for r in top}
+    by_word = {bytes(r["word"]): r["n"] for r in top} | {END_WORD: counts.filter(F.length("word") == 0).agg(F.sum("n")).first()[0] or 0}
     words = [END_WORD, *sorted(by_word.keys() - {END_WORD}, key=lambda w: (-by_word[w], w))] if n else []
     places = {w: i for i, w in enumerate(words)}
     numbers = np.array([by_word.get(w, 0) for w in words], np.int64)
