@@ -175,10 +175,13 @@ def exact_hits(texts: DataFrame, passages: DataFrame) -> DataFrame:
     """(doc, item, position) of the first place where a passage stands in a text, letter by letter: a literal screen.
     Passages are joined by their first SEED characters, so no text is compared with every passage. Passages shorter
     than that are not looked for."""
-    passages = passages.filter(F.length("passage") >= SEED).select("item", "passage", F.expr(f"substring(passage, 1, {SEED})").alias("seed"))
+    key = lambda text: F.xxhash64(F.expr(text))
+    passages = passages.filter(F.length("passage") >= SEED).select("item", "passage", key(f"substring(passage, 1, {SEED})").alias("seed"))
     longest = passages.agg(F.max(F.length("passage"))).first()[0] or SEED
     cut = _pieces(texts.filter(F.length("seq") >= SEED), ["doc"], longest)
     places = cut.select("doc", "start", "seq", F.explode(F.sequence(F.col("low"), F.col("high") - 1)).alias("at"))
-    seeds = places.select("doc", "at", F.expr(f"substring(seq, at - start + 1, {SEED})").alias("seed"), F.expr(f"substring(seq, at - start + 1, {longest})").alias("there"))
-    found = seeds.join(passages, "seed").filter(F.col("there").startswith(F.col("passage")))
+    seeds = places.withColumn("seed", key(f"substring(seq, at - start + 1, {SEED})"))
+    # the whole passage is compared only where the first characters' hash is met
+    there = F.expr(f"substring(seq, at - start + 1, {longest})").startswith(F.col("passage"))
+    found = seeds.join(passages, (seeds["seed"] == passages["seed"]) & there)
     return found.groupBy("doc", "item").agg(F.min("at").cast("long").alias("position"))
