@@ -21,9 +21,12 @@ BROADCAST_IDS = 4_000_000
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder that driver and executors share. Only where the session names none (tests), one is made."""
+    """The folder that driver and executors share. Only where the session names none and runs on this machine alone
+    (tests), one is made."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         base = "file://" + tempfile.mkdtemp(prefix="seqsieve-")
         spark.sparkContext.setCheckpointDir(base)
     return base.rstrip("/")
