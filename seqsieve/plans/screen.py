@@ -103,6 +103,29 @@ def run_screen(samples: DataFrame, reads: DataFrame, details: DataFrame, referen
     return summarise(resolved.samples, resolved.genomes, counts, found, matched, resolved.warnings)
 
 
+def write_checked(resolved: resolve.Resolved, config: ScreenConfig) -> None:
+    """The checked samples and the genomes that have an index."""
+    tables.write_table(resolved.samples.select(*tables.CHECKED_SAMPLES), config.output_path("samples.checked.csv"))
+    tables.write_table(resolved.genomes, config.output_path("genomes.checked.csv"))
+
+
+def summarise_files(spark: SparkSession, samples: str, genomes: str, sampled: str, genome_alignments: str, adapter_alignments: str) -> ScreenResult:
+    """The relational core on files that other tools made: checked samples and genomes, a sampling summary, and
+    alignments. Samples and genomes keep the order of their files."""
+
+    def placed(df: DataFrame) -> DataFrame:
+        rows = df.coalesce(1).withColumn("place", F.monotonically_increasing_id())  # a small table in its file's order
+        return ordinals(rows, "place").drop("place")
+
+    return summarise(
+        placed(tables.read_metadata(spark, samples, tables.CHECKED_SAMPLES)),
+        placed(tables.read_metadata(spark, genomes, ["genome", "species"])),
+        tables.sampling_summary(spark, sampled),
+        tables.genome_alignments(spark, genome_alignments),
+        tables.adapter_alignments(spark, adapter_alignments),
+    )
+
+
 def run_files(spark: SparkSession, sheet: str, details: str, references: list[str], adapters: str, config: ScreenConfig) -> ScreenResult:
     """A screen of files: a sample sheet, genome details, a FASTA file for each genome (named GENOME.fa) and adapters."""
     fastq.register(spark)

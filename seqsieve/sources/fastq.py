@@ -256,5 +256,13 @@ def fasta_text(name: Column, desc: Column, seq: Column, width: int = 80) -> Colu
     return F.concat_ws("\n", head, F.when(seq != "", wrapped))
 
 
+def write_chunks(records: DataFrame, folder: str, chunk_size: int, compress: bool = False) -> None:
+    """FASTQ and FASTA files of at most chunk_size records each, below folder/fastq and folder/fasta."""
+    name, desc, seq, qual = (F.col(c) for c in ("id", "desc", "seq", "qual"))
+    for kind, text in (("fastq", fastq_text(name, desc, seq, qual)), ("fasta", fasta_text(name, desc, seq))):
+        out = records.select(text.alias("value")).write.mode("overwrite").option("maxRecordsPerFile", chunk_size)
+        out.option("compression", "gzip" if compress else "none").text(f"{folder}/{kind}")
+
+
 def write_text(records: DataFrame, text: Column, path: str, compress: bool = False) -> None:
     records.select(text.alias("value")).write.mode("overwrite").option("compression", "gzip" if compress else "none").text(path)

@@ -14,6 +14,7 @@ from ..operators.checks import require_columns
 from ..operators.resolve import cleaned
 
 GENOME_ALIGNMENTS = {"id": "string", "read": "string", "genome": "string", "chromosome": "string", "position": "long", "strand": "string", "sequence": "string", "quality": "string", "mismatches": "string"}
+CHECKED_SAMPLES = ["id", "user_id", "species", "controls", "genomes", "control_genomes"]
 ADAPTER_ALIGNMENTS = {
     "id": "string", "read": "string", "start": "int", "end": "int", "strand": "string", "adapter": "string", "adapter start": "int", "adapter end": "int",
     "adapter strand": "string", "percent identity": "double", "score": "int",
@@ -44,6 +45,17 @@ def adapter_alignments(spark: SparkSession, path: str) -> DataFrame:
     return read_tsv(spark, path, ADAPTER_ALIGNMENTS)
 
 
+def sampling_summary(spark: SparkSession, path: str) -> DataFrame:
+    """id, read and sampled of each sample."""
+    df = read_metadata(spark, path, ["id", "read", "sampled"])
+    return df.select("id", *(F.col(c).cast("double").cast("long").alias(c) for c in ("read", "sampled")))
+
+
+def write_by_sample(df: DataFrame, path: str) -> None:
+    """A folder of files for each sample that has rows; each row's id is in its folder's name."""
+    printable(df).write.mode("overwrite").partitionBy("id").options(header=True, sep="\t", quote="", compression="gzip").csv(path)
+
+
 def index_names(files: list[str]) -> list[str]:
     """Names of indexes, from the names of their files."""
     found = {INDEX_SUFFIX.sub("", f.rsplit("/", 1)[-1]) for f in files if INDEX_SUFFIX.search(f)}

@@ -234,3 +234,26 @@ def test_stream_of_alignments(spark, tmp_path):
     assigned_stream(spark, str(tmp_path / "in"), pairs, pairs.limit(0), str(tmp_path / "state"), lambda df, n: seen.extend(df.select("read", "genome").collect())).awaitTermination()
     assert [tuple(r) for r in seen] == [("r", "mmu")]
     assert assign.genome_counts(hits(spark, ROWS)).count() == 2
+
+
+def test_summaries_of_files(spark, tmp_path):
+    (tmp_path / "samples.csv").write_text("id,user_id,species,controls,genomes,control_genomes\n2,B,,,,\n1,A,human,phix,hsa,phix\n")
+    (tmp_path / "genomes.csv").write_text("genome,species\nmmu,Mus\nhsa,Homo sapiens\nphix,PhiX\n")
+    (tmp_path / "sampled.csv").write_text("id,read,sampled\n1,10,4\n2,7,0\n3,1,1\n")
+    lines = [f"0\t{s}\t{r}\t+\tc\t5\t{'A' * 36}\t{'I' * 36}\t{g}\t{','.join(['1:A>C'] * m)}" for s, r, g, m in ROWS]
+    (tmp_path / "genome.tsv").write_text("num\tid\tread\tstrand\tchromosome\tposition\tsequence\tquality\tgenome\tmismatches\n" + "\n".join(lines) + "\n")
+    (tmp_path / "adapter.tsv").write_text("\t".join(tables.ADAPTER_ALIGNMENTS) + "\n1\tr1\t0\t30\t+\ta1\t0\t30\t+\t99.5\t140\n")
+    found = screen.summarise_files(spark, *(str(tmp_path / n) for n in ("samples.csv", "genomes.csv", "sampled.csv", "genome.tsv", "adapter.tsv")))
+    assert [(r["id"], r["genome aligned"], r["adapter"], r["unmapped"]) for r in found.summary.collect()] == [("B", 0, 0, 0), ("A", 2, 1, 1)]
+    assert [r["genome"] for r in found.alignment_summary.collect()] == ["mmu", "hsa", "phix", "unmapped", "mmu", "hsa", "phix", "unmapped"]
+    tables.write_by_sample(found.adapter_alignments, str(tmp_path / "by"))
+    assert [p.name for p in (tmp_path / "by").glob("id=*")] == ["id=A"]
+
+
+def test_chunks(spark, tmp_path):
+    from seqsieve.sources import fastq
+
+    reads = spark.createDataFrame([(f"r{n}", None, "ACGT", "IIII") for n in range(25)], "id string, desc string, seq string, qual string").coalesce(1)
+    fastq.write_chunks(reads, str(tmp_path), 10)
+    assert sorted(len(p.read_text().splitlines()) // 4 for p in (tmp_path / "fastq").glob("part-*")) == [5, 10, 10]
+    assert sorted(len(p.read_text().splitlines()) // 2 for p in (tmp_path / "fasta").glob("part-*")) == [5, 10, 10]
