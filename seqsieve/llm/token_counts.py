@@ -89,17 +89,18 @@ class Counter:
     def __init__(self, scores: dict[str, float]):
         self.trie = PrefixTrie(scores)
         self.index: dict[str, int] = {}
-        self.rows: list[tuple[int, int, float]] = []
+        self.rows = np.zeros((0, 3))
 
     def table(self, words: set[str]) -> tuple[dict[str, int], np.ndarray]:
         if len(self.index) > MAX_WORDS:
             kept = [w for w in words if w in self.index]
-            self.rows = [self.rows[self.index[w]] for w in kept]
+            self.rows = self.rows[[self.index[w] for w in kept]]
             self.index = {w: i for i, w in enumerate(kept)}
-        for word in sorted(words - self.index.keys()):
-            self.index[word] = len(self.rows)
-            self.rows.append(self.trie.add(spm_model.SPACE + word))
-        return self.index, np.array(self.rows, dtype=np.float64).reshape(-1, 3)
+        new = sorted(words - self.index.keys())
+        self.index.update(zip(new, range(len(self.rows), len(self.rows) + len(new)), strict=True))
+        found = np.array([self.trie.add(spm_model.SPACE + word) for word in new], dtype=np.float64).reshape(-1, 3)
+        self.rows = np.concatenate([self.rows, found])
+        return self.index, self.rows
 
 
 @lru_cache(maxsize=2)
