@@ -30,7 +30,7 @@ from .common import map_batches, steps, utf8
 from .spm_model import SPACE
 
 #: Words whose ids a worker keeps.
-MAX_WORDS = 500_000
+MAX_WORDS = 200_000
 #: Parts that are encoded as one text.
 JOINED = 1024
 SCHEMA = "doc_id long, ids array<int>, n_tokens long, ids_crc32 long, parity boolean, round_trip boolean"
@@ -234,6 +234,7 @@ def encode(docs: DataFrame, model_path: str, threads: int = 2, id_col: str = "do
                     ],
                     names=["doc_id", "ids", "n_tokens", "ids_crc32", "parity", "round_trip"],
                 )
+        codec.clear()  # a worker outlives its task, and may serve other stages next
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).transform(map_batches, run, SCHEMA)
 
