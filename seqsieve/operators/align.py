@@ -36,17 +36,13 @@ def _pieces(df: DataFrame, keep: list[str], overlap: int) -> DataFrame:
 
 
 def reference_kmers(references: DataFrame, k: int, length: int) -> DataFrame:
-    """The seed index: a row for each place of a reference (genome, chromosome, seq) with its k-mer and the bases around
-    it that a read of this length may cover. It is built once for a set of references and can be written as a table."""
-    near = length - k
+    """The seed index: a row for each place of a reference (genome, chromosome, seq) with its k-mer's hash and the piece
+    of the reference around it (from place start on) that covers any read of this length. It is built once for a set of
+    references and can be written as a table."""
     cut = _pieces(references.filter(F.length("seq") >= k), ["genome", "chromosome"], length)
-    places = cut.select("genome", "chromosome", "start", "seq", F.explode(F.sequence(F.col("low"), F.col("high") - 1)).alias("place"))
-    rows = places.select(
-        "genome", "chromosome", "place", F.greatest(F.col("place") - near, F.lit(0)).alias("around_start"),
-        F.expr(f"substring(seq, greatest(place - {near}, 0) - start + 1, place + {length} - greatest(place - {near}, 0))").alias("around"),
-        F.expr(f"substring(seq, place - start + 1, {k})").alias("seed"),
-    )
-    return rows.filter(F.length("seed") == k).withColumnRenamed("around_start", "start")
+    places = cut.select("genome", "chromosome", "start", F.col("seq").alias("around"), F.explode(F.sequence(F.col("low"), F.col("high") - 1)).alias("place"))
+    places = places.filter(F.col("place") - F.col("start") + k <= F.length("around"))
+    return places.withColumn("seed", F.xxhash64(F.expr(f"substring(around, place - start + 1, {k})")))
 
 
 def _verified(length: int, most: int):
@@ -78,10 +74,11 @@ def align_ungapped(reads: DataFrame, references: DataFrame, max_mismatches: int
     strands = F.explode(F.array(F.struct(F.lit("+").alias("strand"), F.col("seq").alias("seq")), F.struct(F.lit("-").alias("strand"), reverse_complement(F.col("seq")).alias("seq"))))
     both = whole.select("id", "read", strands.alias("s")).select("id", "read", "s.strand", "s.seq")
     offsets = F.explode(F.array(*(F.lit(i * k) for i in range(max_mismatches + 1)))).alias("offset")
-    seeds = both.select("*", offsets).withColumn("seed", F.expr(f"substring(seq, offset + 1, {k})"))
+    seeds = both.select("*", offsets).withColumn("seed", F.xxhash64(F.expr(f"substring(seq, offset + 1, {k})")))
     hits = seeds.join(index, "seed").withColumn("position", F.col("place") - F.col("offset"))
     window = F.expr(f"substring(around, position - start + 1, {length})")
-    hits = hits.filter("position >= start").withColumn("window", window).filter(F.length("window") == length)
+    inside = (F.col("position") >= F.col("start")) & (F.col("position") - F.col("start") + length <= F.length("around"))
+    hits = hits.filter(inside).withColumn("window", window)
     hits = hits.select("id", "read", "genome", "chromosome", F.col("position").cast("long").alias("position"), "strand", "seq", "window")
     kinds = dict(reads.select("id", "read").dtypes) | dict(references.select("genome", "chromosome").dtypes)
     schema = f"id {kinds['id']}, read {kinds['read']}, genome {kinds['genome']}, chromosome {kinds['chromosome']}, position long, strand string, seq string, mismatches int"
