@@ -23,6 +23,12 @@ class ScreenResult:
     genome_alignments: DataFrame
     adapter_alignments: DataFrame
     warnings: list[str] = field(default_factory=list)
+    #: what the tables above share and Spark keeps until release(); lost parts are computed anew
+    kept: list[DataFrame] = field(default_factory=list)
+
+    def release(self) -> None:
+        for df in self.kept:
+            df.unpersist()
 
     def plot_data(self) -> DataFrame:
         """Chart data; the summary's rows are in order, which the single task that numbers them keeps."""
@@ -82,7 +88,7 @@ def summarise(samples: DataFrame, genomes: DataFrame, sampled: DataFrame, alignm
 def sample_and_trim(reads: DataFrame, config: ScreenConfig) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The sampled reads, their trimmed form, and the sampling summary. Names must be unique in the sample."""
     capped = sampling.capped(reads, config.max_reads)
-    sampled = sampling.sample_reads(capped, config.sample_size, config.min_length, config.seed)
+    sampled = sampling.sample_reads(capped, config.sample_size, config.min_length, config.seed).persist()
     again = [(r["sample"], r["id"]) for r in checks.repeated_reads(sampled).limit(5).collect()]
     if again:
         raise checks.ScreenError("reads of one name in a sample: " + ", ".join(f"{s}|{r}" for s, r in again))
@@ -92,15 +98,20 @@ def sample_and_trim(reads: DataFrame, config: ScreenConfig) -> tuple[DataFrame,
 def run_screen(samples: DataFrame, reads: DataFrame, details: DataFrame, references: DataFrame, adapters: DataFrame, config: ScreenConfig) -> ScreenResult:
     """A screen with the native aligners. samples: id, user_id, species, controls; reads: sample, ordinal, id, seq,
     qual; details: genome, species, synonyms; references: genome, chromosome, seq; adapters: name, seq."""
-    resolved = resolve.resolve(samples, details, references.select(F.col("genome").alias("id")).distinct())
+    names = [(r["genome"],) for r in references.select("genome").distinct().orderBy("genome").collect()]  # metadata: some dozens
+    resolved = resolve.resolve(samples, details, samples.sparkSession.createDataFrame(names, "id string"))
     sampled, trimmed, counts = sample_and_trim(reads, config)
+    counts = counts.persist()
     short = trimmed.select(F.col("sample").alias("id"), F.col("id").alias("read"), "seq", "qual")
     found = align.align_ungapped(short, references, config.max_mismatches, config.trim_length)
     found = found.join(short.select("id", "read", F.col("qual").alias("quality")), ["id", "read"])
-    found = found.withColumn("length", F.length("sequence"))
+    found = found.withColumn("length", F.length("sequence")).persist()
     whole = sampled.select(F.col("sample").alias("id"), F.col("id").alias("read"), "seq")
-    matched = align.match_adapters(whole, adapters)
-    return summarise(resolved.samples, resolved.genomes, counts, found, matched, resolved.warnings)
+    matched = align.match_adapters(whole, adapters).persist()
+    checked, genomes = resolved.samples.persist(), resolved.genomes.persist()
+    result = summarise(checked, genomes, counts, found, matched, resolved.warnings)
+    result.kept = [counts, found, matched, sampled, checked, genomes]
+    return result
 
 
 def write_checked(resolved: resolve.Resolved, config: ScreenConfig) -> None:
