@@ -90,24 +90,25 @@ def align_ungapped(reads: DataFrame, references: DataFrame, max_mismatches: int
 def best_segment(read: str, adapter: str) -> tuple[int, int, int, int]:
     """The ungapped segment with the highest score: score, start in the read, start in the adapter, length. Of equals
     the first in the read, then in the adapter, counts."""
-    a, b = np.frombuffer(read.encode(), np.uint8), np.frombuffer(adapter.encode(), np.uint8)
-    best = (0, 0, 0, 0)
-    for shift in range(-(len(b) - 1), len(a)):
-        x, y = max(shift, 0), max(-shift, 0)
-        n = min(len(a) - x, len(b) - y)
-        value = np.where(a[x : x + n] == b[y : y + n], MATCH, MISMATCH)
-        ends = np.concatenate([[0], np.cumsum(value)])
-        low = np.minimum.accumulate(ends)
-        gain = ends - low
-        score = int(gain.max())
-        if score <= 0:
-            continue
-        end = int(np.argmax(gain))
-        start = int(np.flatnonzero(ends[: end + 1] == low[end])[-1])
-        found = (score, x + start, y + start, end - start)
-        if (found[0], -found[1], -found[2]) > (best[0], -best[1], -best[2]):
-            best = found
-    return best
+    a, b = (np.frombuffer(s.encode("utf-32-le"), np.uint32) for s in (read, adapter))
+    if not len(a) or not len(b):
+        return 0, 0, 0, 0
+    # one running score for each diagonal, all diagonals at once; a diagonal starts anew when its score is not positive
+    n = len(a) + len(b) - 1
+    score, begin, best, first, last = (np.zeros(n, np.int64) for _ in range(5))
+    for y, base in enumerate(b):
+        part = slice(len(b) - 1 - y, len(b) - 1 - y + len(a))
+        anew = score[part] <= 0
+        begin[part] = np.where(anew, y, begin[part])
+        score[part] = np.where(anew, 0, score[part]) + np.where(a == base, MATCH, MISMATCH)
+        more = np.flatnonzero(score[part] > best[part]) + part.start
+        best[more], first[more], last[more] = score[more], begin[more], y + 1
+    top = np.flatnonzero(best == best.max())
+    if best[top[0]] <= 0:
+        return 0, 0, 0, 0
+    start = first[top] + top - (len(b) - 1)
+    at = top[np.lexsort((first[top], start))[0]]
+    return int(best[at]), int(first[at] + at - (len(b) - 1)), int(first[at]), int(last[at] - first[at])
 
 
 def _adapter_hits(adapters: list[tuple[str, str]], least: int, k: int):

@@ -443,10 +443,3 @@ def ungapped_alignment(spark, sf_dir):
     references = _table(spark, sf_dir, "documents").select(F.col("lang").alias("genome"), F.col("doc_id").alias("chromosome"), F.col("text").alias("seq"))
     return align.align_ungapped(short, references, 2, 36)
 
-
-@query("")
-def adapter_matches_native(spark, sf_dir):
-    """Best adapter (the first 40 letters of a benchmark item) of each read; tested against a plain search."""
-    whole = _table(spark, sf_dir, "documents").select(F.col("source").alias("id"), F.col("doc_id").alias("read"), F.col("text").alias("seq"))
-    adapters = _table(spark, sf_dir, "benchmark").select(F.concat(F.lit("item "), "item_id").alias("name"), F.substring("text", 1, 40).alias("seq"))
-    return align.match_adapters(whole, adapters)

@@ -16,16 +16,3 @@ def test_contract(spark, small):
     assert set(entry.oracle_sql()) <= set(entry.queries())
     assert set(core.QUERIES) <= set(entry.queries())
     assert entry.entry(spark).count() == 33
-
-
-def test_adapter_matches_by_plain_search(spark, small):
-    from seqsieve.operators.align import best_segment
-
-    found = {(r["read"]): r for r in core.adapter_matches_native(spark, small).collect()}
-    docs = spark.read.parquet(f"{small}/documents.parquet").orderBy("doc_id").limit(12).collect()
-    items = {f"item {r['item_id']}": r["text"][:40] for r in spark.read.parquet(f"{small}/benchmark.parquet").collect()}
-    for doc in docs:
-        ascii_text = doc["text"].encode("ascii", "replace").decode()
-        if ascii_text == doc["text"]:
-            best = max(best_segment(doc["text"], s)[0] for s in items.values())
-            assert (found[doc["doc_id"]]["score"] if doc["doc_id"] in found else 0) >= (best if best >= 100 else 0)

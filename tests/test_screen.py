@@ -175,6 +175,26 @@ def test_adapters(spark):
     assert align.exact_run(100, 20) == 20 and align.exact_run(100, 33) < 20
 
 
+def test_best_segment_equals_plain_search():
+    import random
+
+    r = random.Random(6)
+    for _ in range(60):
+        read, adapter = ("".join(r.choice("ACGé") for _ in range(r.randrange(25))) for _ in range(2))
+        found = [(0, 0, 0)]
+        for x in range(len(read)):
+            for y in range(len(adapter)):
+                total = 0
+                for n in range(min(len(read) - x, len(adapter) - y)):
+                    total += align.MATCH if read[x + n] == adapter[y + n] else align.MISMATCH
+                    found.append((total, -x, -y))
+        best = max(found)
+        got = align.best_segment(read, adapter)
+        assert got[0] == best[0]
+        same = sum(a == b for a, b in zip(read[got[1] : got[1] + got[3]], adapter[got[2] : got[2] + got[3]], strict=True))
+        assert got[0] == align.MATCH * same + align.MISMATCH * (got[3] - same)
+
+
 def test_config_limits():
     for bad in ({"sample_size": 999}, {"max_reads": 10}, {"chunk_size": 5}, {"trim_start": 0}, {"trim_length": 29}):
         with pytest.raises(ValueError):
