@@ -40,6 +40,8 @@ from .common import map_batches, steps, utf8
 
 #: Parts of texts whose ids a worker keeps.
 MAX_PARTS = 500_000
+#: Text bytes of a step; a step copies the table of parts, so steps are not small.
+STEP = 4 << 20
 #: Words that are encoded as one text.
 JOINED = 512
 NO_ID = np.iinfo(np.int64).min
@@ -232,7 +234,7 @@ def write(docs: DataFrame, tokenizer_path: str, uri: str, end_id: int, id_col: s
         files["offsets"].write(np.zeros(1, "<i8").tobytes())
         for batch in batches:
             _, offsets = utf8(batch.column(1))
-            for start, end in steps(offsets):
+            for start, end in steps(offsets, STEP):
                 ids, counts = encoder.encode(pc.fill_null(batch.column(1)[start:end], "").to_pylist())
                 files["ids"].write(ids.tobytes())
                 files["offsets"].write((n_tokens + np.cumsum(counts)).astype("<i8").tobytes())
