@@ -2,12 +2,14 @@
 
 A line's tokens are its five-word shingles (the rule for near copies here), so a line is a set and two lines match at
 Jaccard similarity 0.8 or more. A line goes if any earlier line matches it, in the order of id, text and line number,
-whether or not that line goes as well. Lines of fewer than five words have no tokens and stay.
+whether or not that line goes as well. With short=True a line of one to four words is one token, and only lines without
+any word stay unmatched; without it lines of fewer than five words have no tokens and stay.
 
 1. Rarity: tokens are counted over all lines in 65,536 hash buckets, a table of fixed size. Any order that is the same
    everywhere keeps the join exact; this one puts rare tokens first and common passages last.
 2. Lines of one token set are a class (128-bit fingerprint) with its first place; each other member is a later match.
 3. Prefix filter: a class of n tokens puts its n - ceil(0.8 n) + 1 rarest into the join; matching classes share one.
+   Sets of fewer than ALONE tokens match no set but their own, so their classes need no join.
    Classes that meet at a token are linked if they pass the length filter, the positional filter and a bound from 128
    parity bits (sets differ in at least as many tokens as their bits differ); a token with many classes is cut into
    blocks, and a spanning forest of its links is all that leaves a block. Components of the forests hold all matches.
@@ -44,6 +46,8 @@ BUCKET_BITS, BLOCK = 16, 256
 #: Classes of a block of one token, and lines whose tokens make about one group's work.
 TOKEN_BLOCK, GROUP_LINES = 512, 8192
 MAX_BROADCAST_LINES = 1_000_000
+#: Least size of a set that a different set can match: 4 of 5 tokens.
+ALONE = 4
 
 LINES = "key long, mark long, line_no int, print_a long, print_b long, size int, bits_a long, bits_b long, tokens array<long>"
 
@@ -106,7 +110,12 @@ def prefix(n: np.ndarray) -> np.ndarray:
     return n - -(-4 * n // 5) + 1
 
 
-def _lines(rank: np.ndarray):
+def joined(n: np.ndarray) -> np.ndarray:
+    """How many of a set's n rarest tokens go into the join."""
+    return np.where(n < ALONE, 0, prefix(n))
+
+
+def _lines(rank: np.ndarray, short: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             body, offsets = utf8(batch.column(2))
@@ -114,7 +123,7 @@ def _lines(rank: np.ndarray):
                 at = offsets[start : end + 1]
                 part = body[at[0] : at[-1]]
                 lines, owner, number = line_offsets(part, at - at[0])
-                found, of = ordered(*shingles(part, lines, short=False), rank)
+                found, of = ordered(*shingles(part, lines, short=short), rank)
                 if not len(found):
                     continue
                 first = np.flatnonzero(np.diff(of, prepend=-1))
@@ -123,8 +132,8 @@ def _lines(rank: np.ndarray):
                 b = mix(np.add.reduceat(mix(found ^ np.uint64(0x7F4A7C159E3779B9)), first) + n.astype(np.uint64))
                 bits = [np.bitwise_xor.reduceat(np.where((found >> np.uint64(58)) & np.uint64(1) == half, np.uint64(1) << (found & np.uint64(63)), np.uint64(0)), first) for half in (0, 1)]
                 place = np.arange(len(of)) - np.repeat(first, n)
-                kept = place < np.repeat(prefix(n), n)
-                cut = np.concatenate([[0], np.cumsum(prefix(n))]).astype(np.int32)
+                kept = place < np.repeat(joined(n), n)
+                cut = np.concatenate([[0], np.cumsum(joined(n))]).astype(np.int32)
                 rows = pa.array(owner[line] + start)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -258,11 +267,12 @@ def _maybe(df: DataFrame, lines: int) -> DataFrame:
     return F.broadcast(df) if lines <= MAX_BROADCAST_LINES else df
 
 
-def later_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """key, mark (see licenses.keyed) and line_no of every line that goes; a written table."""
+def later_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", short: bool = False) -> DataFrame:
+    """key, mark (see licenses.keyed) and line_no of every line that goes; a written table. Tokens of short lines have no
+    rank and are not asked for again, as their classes are never joined."""
     rank = rarity(docs, text_col)
     texts = keyed(docs, id_col, text_col).select("key", "mark", "text")
-    lines = materialise(texts.transform(map_batches, _lines(rank), LINES), "lines")
+    lines = materialise(texts.transform(map_batches, _lines(rank, short), LINES), "lines")
     place = F.min(F.struct("key", "mark", "line_no")).alias("place")
     first = lines.groupBy("print_a", "print_b").agg(place).select("print_a", "print_b", "place.*")
     first = materialise(first, "first-lines")
@@ -292,10 +302,10 @@ def later_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return materialise(gone.select("key", "mark", "line_no"), "later-lines")
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", short: bool = False) -> DataFrame:
     """docs with their later lines removed from the text, and columns n_lines (before) and n_removed. A text of which
-    all lines went is empty and has n_removed = n_lines."""
-    gone = later_lines(docs, id_col, text_col)
+    all lines went is empty and has n_removed = n_lines. With short, repeats of lines of one to four words go as well."""
+    gone = later_lines(docs, id_col, text_col, short)
     n_gone = gone.count()
     key, mark, late = free_names(docs, "__key", "__mark", "__late")
     by_text = gone.groupBy(F.col("key").alias(key), F.col("mark").alias(mark)).agg(F.collect_set("line_no").alias(late))

@@ -45,7 +45,7 @@ def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = line_dedup.dedup_lines(documents(spark, sf_dir))
+    found = line_dedup.dedup_lines(documents(spark, sf_dir), short=True)
     return found.select("doc_id", "n_lines", "n_removed", F.md5(F.coalesce("text", F.lit("")).cast("binary")).alias("text_md5"))
 
 

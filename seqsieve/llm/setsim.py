@@ -31,8 +31,11 @@ def shingles(body: np.ndarray, offsets: np.ndarray, short: bool = True) -> tuple
     counts = np.bincount(rows, minlength=len(offsets) - 1)
     few = np.flatnonzero((counts > 0) & (counts < SHINGLE))
     if len(few):
-        first = np.searchsorted(rows, few)
-        short = np.array([mix(word[f : f + n] * np.arange(3, 2 * n + 3, 2, dtype=np.uint64)).sum() + np.uint64(n) for f, n in zip(first, counts[few], strict=True)], np.uint64)
+        n = counts[few]
+        first = np.cumsum(n) - n
+        place = np.arange(n.sum()) - np.repeat(first, n)
+        mixed = mix(word[np.repeat(np.searchsorted(rows, few), n) + place] * (2 * place + 3).astype(np.uint64))
+        short = np.add.reduceat(mixed, first) + n.astype(np.uint64)
         at = np.searchsorted(of, few)
         found, of = np.insert(found, at, mix(short)), np.insert(of, at, few)
     return found, of

@@ -127,6 +127,40 @@ def test_line_dedup_in_blocks(spark, monkeypatch):
     assert got == {i: v for (i, _), v in zip(texts, brute.dedup_lines(texts), strict=True)}
 
 
+def plain_dedup_of_all_lines(rows):
+    """As brute.dedup_lines, with lines of one to four words as one token."""
+    seen, out = [], []
+    for i, t in sorted(rows):
+        parts, kept = t.split("\n"), []
+        for x in parts:
+            s = brute.shingle_set(x)
+            if not any(brute.alike(s, y) for y in seen):
+                kept.append(x)
+            seen.append(s)
+        out.append((i, len(parts), len(parts) - len(kept), "\n".join(kept)))
+    return out
+
+
+def test_line_dedup_of_short_lines(spark, monkeypatch):
+    r = random.Random(9)
+    menu = ["Home", "home!", "Log in", "in log", "Read more here", "one two three four", "one two three four five", "***", "", "Ünï 日本"]
+    near = [f"w{n}" for n in range(30)]
+    texts = []
+    for n in range(40):
+        w = list(near)
+        w[r.randrange(30)] = f"x{n}"
+        texts.append((n, "\n".join([r.choice(menu) for _ in range(6)] + [" ".join(w), " ".join(near[n % 4 : n % 4 + 5 + n % 5])])))
+    monkeypatch.setattr(line_dedup, "BLOCK", 7)
+    table = spark.createDataFrame(texts, "doc_id long, text string")
+    got = sorted((x["doc_id"], x["n_lines"], x["n_removed"], x["text"]) for x in line_dedup.dedup_lines(table, short=True).collect())
+    assert got == plain_dedup_of_all_lines(texts)
+
+
+def test_op7_removes_short_lines(spark, tmp_path):
+    spark.createDataFrame([(1, "Home\nLog in"), (2, "home\nother\n***"), (3, "***\nLog in")], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    assert {x["doc_id"]: x["n_removed"] for x in module.op7_line_dedup(spark, str(tmp_path)).collect()} == {1: 0, 2: 1, 3: 1}
+
+
 # 3
 
 
