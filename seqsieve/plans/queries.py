@@ -397,6 +397,17 @@ def record_texts(spark, sf_dir):
     return docs.select("doc_id", fastq_text(name, F.col("lang"), t, t).alias("fastq"), fasta_text(name, F.lit(None).cast("string"), t).alias("fasta"))
 
 
+@query("""SELECT doc_id, '@' || doc_id || ' ' || lang || chr(10) || t || chr(10) || '+' || chr(10) || t AS fastq,
+'>' || doc_id || chr(10) || rtrim(regexp_replace(t, '(.{80})', '\\1' || chr(10), 'g'), chr(10)) AS fasta
+FROM (SELECT doc_id, lang, replace(text, chr(10), ' ') AS t FROM documents)""")
+def whole_record_texts(spark, sf_dir):
+    """As record_texts, with whole texts."""
+    docs = _table(spark, sf_dir, "documents")
+    t = F.replace("text", F.lit("\n"), F.lit(" "))
+    name = F.col("doc_id").cast("string")
+    return docs.select("doc_id", fastq_text(name, F.col("lang"), t, t).alias("fastq"), fasta_text(name, F.lit(None).cast("string"), t).alias("fasta"))
+
+
 @query("SELECT l_orderkey AS read, l_linenumber AS line, (l_linenumber - 1)::INT AS mismatches FROM lineitem")
 def mismatch_counts(spark, sf_dir):
     described = F.when(F.col("l_linenumber") > 1, F.concat(F.repeat(F.lit("3:A>C,"), F.col("l_linenumber") - 2), F.lit("9:G>T")))

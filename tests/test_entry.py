@@ -16,3 +16,12 @@ def test_contract(spark, small):
     assert set(entry.oracle_sql()) <= set(entry.queries())
     assert set(core.QUERIES) <= set(entry.queries())
     assert entry.entry(spark).count() == 33
+
+
+def test_records_hold_whole_texts(spark, small):
+    texts = {r["doc_id"]: r["text"].replace("\n", " ") for r in spark.read.parquet(f"{small}/documents.parquet").collect()}
+    got = {r["doc_id"]: r for r in core.QUERIES["whole_record_texts"](spark, small).collect()}
+    assert got.keys() == texts.keys() and max(map(len, texts.values())) > 1000
+    for i, t in texts.items():
+        assert got[i]["fastq"].split("\n")[1::2] == [t, t]
+        assert got[i]["fasta"].split("\n")[1:] == [t[n : n + 80] for n in range(0, len(t), 80)]
