@@ -3,11 +3,16 @@
 Tokens are words between white space (A-Z lower-cased) and one end for each text. Rows whose crc32(id as text) modulo
 HELD_OUT is 0 are held out; all others are learnt from.
 
-1. Counts of all training tokens, in Spark. The HEADS most frequent short words are the model's vocabulary; every
-   other word is the class OTHER, and a word's share of OTHER comes from its count, smoothed by SMOOTH.
+1. Counts of all training tokens, in Spark. The SINGLE most frequent short words are numbers of the model by themselves.
+   The other words of the table of frequent words (all above a level of counts, FREQUENT at most) are put by count into
+   classes of one size, and each class is a number as well. Words outside the table are the class OTHER, and a word's
+   share of OTHER comes from its count, smoothed by SMOOTH.
 2. The model predicts a token from the two before it: exp(b[w] + (A[u] + B[v]) . R[w]). It starts from the unigram
    distribution. Every task trains its own copy on all of its training texts, in numpy, by noise-contrastive estimation
    with noise words shared in a batch; the copies' parameters are averaged, weighted by tokens, in two steps of sums.
+   A class's words have vectors T and biases of their own: the share of w in its class is exp(t[w] + (A[u] + B[v]) . T[w])
+   over the sum of the class, from the counts' shares on, learnt by exact gradients and averaged in the same way. As a
+   context such a word is its class.
 3. Scores: exp(A[u] . R[w]) and exp(B[v] . R[w] + b[w]) are matrices over the vocabulary, and their product holds the
    normaliser of every context, so each token's log-probability is exact and normalised.
 4. Rare words' counts come by a join: frequent words are a broadcast table of fixed size, and only rarer words of each
@@ -35,12 +40,16 @@ from .common import map_batches, materialise, steps, utf8
 from .quality import held_out as remainder_is_0
 
 HELD_OUT, SMOOTH = 10, 0.1
-#: Vocabulary of the model with OTHER, START and END, width of its vectors, and words that are broadcast with counts.
-HEADS, WIDTH, FREQUENT = 1024, 16, 1 << 17
+#: Most numbers of the model (OTHER, START, words and classes), width of its vectors, and words that are broadcast with
+#: counts; words that are no class's.
+HEADS, WIDTH, FREQUENT = 2048, 16, 1 << 17
+SINGLE = 1022
+#: Floats of a piece of the parameters as they are summed, and sums of each piece before the last one.
+PIECE, SALTS = 1 << 16, 16
 #: Bytes of the longest word that may be broadcast: bounds that table.
 LONGEST = 64
 OTHER, START, END = 0, 1, 2
-BATCH, NOISE, RATE = 8192, 25, 0.03
+BATCH, NOISE, RATE, CLASS_RATE = 8192, 25, 0.03, 0.1
 #: Words that a task counts before it passes the counts on.
 FLUSH = 300_000
 END_WORD = b""
@@ -85,15 +94,23 @@ class Frequent:
     v: int
     other_n: int
     other_v: int
+    #: Words of a class; 0: there are no classes.
+    members: int = 0
+
+    @property
+    def size(self) -> int:
+        """Numbers of the model."""
+        return 2 + self.heads + (-(-(len(self.counts) - self.heads) // self.members) if self.members else 0)
 
     def head_ids(self, places: np.ndarray) -> np.ndarray:
-        """Numbers in the model's vocabulary of places, where -1 stands for a word that is not in the table."""
-        return np.where((places >= 0) & (places < self.heads), places + 2, OTHER)
+        """Numbers in the model of places, where -1 stands for a word that is not in the table."""
+        alone = np.where((places >= 0) & (places < self.heads), places + 2, OTHER)
+        return np.where(places >= self.heads, self.heads + 2 + (places - self.heads) // self.members, alone) if self.members else alone
 
 
 @dataclass
 class Model:
-    """The vectors as (HEADS, WIDTH) matrices of the first and second word before, the word itself, and its bias."""
+    """The vectors as (numbers, WIDTH) matrices of the first and second word before, the word itself, and its bias."""
 
     far: np.ndarray
     near: np.ndarray
@@ -111,10 +128,13 @@ class Model:
 def initial(frequent: Frequent) -> Model:
     """The unigram distribution, with small vectors; the same in every task."""
     random = np.random.RandomState(11)
-    vectors = [random.normal(0, 0.1, (HEADS, WIDTH)).astype(np.float32) for _ in range(3)]
-    share = np.full(HEADS, 1e-6)
+    vectors = [random.normal(0, 0.1, (frequent.size, WIDTH)).astype(np.float32) for _ in range(3)]
+    share = np.full(frequent.size, 1e-6)
     share[2 : 2 + frequent.heads] += frequent.counts[: frequent.heads]
     share[OTHER] += frequent.other_n
+    if frequent.members:
+        sums = np.add.reduceat(frequent.counts[frequent.heads :], np.arange(0, len(frequent.counts) - frequent.heads, frequent.members))
+        share[2 + frequent.heads : 2 + frequent.heads + len(sums)] += sums
     return Model(*vectors, np.log(share / share.sum()).astype(np.float32))
 
 
@@ -127,9 +147,9 @@ def contexts(ids: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return far, near
 
 
-def _summed_rows(rows: np.ndarray, values: np.ndarray) -> np.ndarray:
+def _summed_rows(rows: np.ndarray, values: np.ndarray, size: int) -> np.ndarray:
     """For each word the sum of the values (words across) whose row is its number."""
-    return np.stack([np.bincount(rows, column, HEADS) for column in values]).T.astype(np.float32)
+    return np.stack([np.bincount(rows, column, size) for column in values]).T.astype(np.float32)
 
 
 class Trainer:
@@ -141,7 +161,7 @@ class Trainer:
         self.noise /= self.noise.sum()
         self.cumulative = np.cumsum(self.noise)
         self.log_noise = np.log(self.noise * NOISE).astype(np.float32)
-        self.learnt = [np.full(HEADS, 1e-6, np.float32) for _ in range(4)]
+        self.learnt = [np.full(len(model.bias), 1e-6, np.float32) for _ in range(4)]
 
     def _move(self, which: int, values: np.ndarray, gradient: np.ndarray) -> None:
         squares = gradient**2
@@ -151,10 +171,10 @@ class Trainer:
 
     def learn(self, far: np.ndarray, near: np.ndarray, word: np.ndarray, random: np.random.RandomState) -> None:
         """Each token against NOISE words, drawn once for a batch."""
-        model = self.model
+        model, size = self.model, len(self.model.bias)
         for low in range(0, len(word), BATCH):
             u, v, w = far[low : low + BATCH], near[low : low + BATCH], word[low : low + BATCH]
-            drawn = np.minimum(np.searchsorted(self.cumulative, random.random_sample(NOISE) * self.cumulative[-1]), HEADS - 1)
+            drawn = np.minimum(np.searchsorted(self.cumulative, random.random_sample(NOISE) * self.cumulative[-1]), size - 1)
             query = model.far[u] + model.near[v]
             mine, others = model.word[w], model.word[drawn]
             margin = np.einsum("ij,ij->i", query, mine) + (model.bias - self.log_noise)[w]
@@ -167,16 +187,68 @@ class Trainer:
             bad += 1
             np.divide(-1, bad, out=bad)
             to_query = (good[:, None] * mine + bad @ others).T.copy()
-            to_word = _summed_rows(w, (good[:, None] * query).T.copy())
+            to_word = _summed_rows(w, (good[:, None] * query).T.copy(), size)
             np.add.at(to_word, drawn, bad.T @ query)
-            to_bias = np.bincount(w, good, HEADS)
+            to_bias = np.bincount(w, good, size)
             np.add.at(to_bias, drawn, bad.sum(axis=0))
-            self._move(0, model.far, _summed_rows(u, to_query))
-            self._move(1, model.near, _summed_rows(v, to_query))
+            self._move(0, model.far, _summed_rows(u, to_query, size))
+            self._move(1, model.near, _summed_rows(v, to_query, size))
             self._move(2, model.word, to_word)
             self._move(3, model.bias, to_bias.astype(np.float32))
 
 
+class Members:
+    """The words of classes: their vectors and biases, from the counts' shares on."""
+
+    def __init__(self, frequent: Frequent, values: np.ndarray | None = None):
+        self.heads, self.size = frequent.heads, frequent.members
+        counts = frequent.counts[self.heads :] if self.size else np.zeros(0)
+        if values is None:
+            values = np.zeros((len(counts), WIDTH + 1), np.float32)
+            values[:, WIDTH] = np.log(np.maximum(counts, 1e-6))
+        self.values = values
+        self.learnt = np.ones(len(counts), np.float32), np.ones(len(counts), np.float32)
+
+    def _classes(self, model: Model, far: np.ndarray, near: np.ndarray, places: np.ndarray) -> Iterator[tuple]:
+        """For each class its first word, its values, its tokens' positions, contexts and words, and their shares."""
+        at = np.flatnonzero(places >= self.heads) if self.size else np.zeros(0, np.int64)
+        if not len(at):
+            return
+        at = at[np.argsort(places[at], kind="stable")]
+        word = places[at] - self.heads
+        of = word // self.size
+        query = np.ones((len(at), WIDTH + 1), np.float32)
+        query[:, :WIDTH] = model.far[far[at]] + model.near[near[at]]
+        cut = np.append(np.flatnonzero(np.diff(of, prepend=-1)), len(of)).tolist()
+        for a, b in zip(cut[:-1], cut[1:], strict=True):
+            low = int(of[a]) * self.size
+            values = self.values[low : low + self.size]
+            shares = query[a:b] @ values.T
+            shares -= shares.max(axis=1, keepdims=True)
+            yield low, values, at[a:b], query[a:b], word[a:b] - low, shares
+
+    def learn(self, model: Model, far: np.ndarray, near: np.ndarray, places: np.ndarray) -> None:
+        """One step of each class that has tokens."""
+        for low, values, _, query, word, shares in self._classes(model, far, near, places):
+            np.exp(shares, out=shares)
+            shares /= -shares.sum(axis=1, keepdims=True)
+            shares[np.arange(len(word)), word] += 1
+            gradient = shares.T @ query
+            squares = gradient**2
+            high = low + len(values)
+            for learnt, part, more in zip(self.learnt, (slice(0, WIDTH), slice(WIDTH, None)), (squares[:, :WIDTH].mean(axis=1), squares[:, WIDTH]), strict=True):
+                learnt[low:high] += more
+                values[:, part] += (np.float32(CLASS_RATE) / np.sqrt(learnt[low:high]))[:, None] * gradient[:, part]
+
+    def logs(self, model: Model, far: np.ndarray, near: np.ndarray, places: np.ndarray) -> np.ndarray:
+        """The natural log of each token's share of its class; 0 for words that are no class's."""
+        out = np.zeros(len(places))
+        for _, _, at, _, word, shares in self._classes(model, far, near, places):
+            mine = shares[np.arange(len(word)), word]
+            out[at] = mine - np.log(np.exp(shares, out=shares).sum(axis=1))
+        return out
+
+
 def _places(frequent: Frequent, words: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
     """The place of each word of all texts (-1: not in the table), and the first position of each text."""
     sizes = np.array([len(w) for w in words], np.int64)
@@ -187,18 +259,22 @@ def _places(frequent: Frequent, words: list[list[bytes]]) -> tuple[np.ndarray, n
 def _trained(frequent: Frequent):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, random, seen = initial(frequent), np.random.RandomState(5), 0
-        trainer = Trainer(model)
+        trainer, members = Trainer(model), Members(frequent)
         for batch in batches:
             _, offsets = utf8(batch.column(0))
             for start, end in steps(offsets):
                 places, first = _places(frequent, [tokens(t) for t in _texts(batch.column(0), start, end)])
                 ids = frequent.head_ids(places)
-                trainer.learn(*contexts(ids, first), ids, random)
+                far, near = contexts(ids, first)
+                trainer.learn(far, near, ids, random)
+                members.learn(model, far, near, places)
                 seen += len(ids)
         if seen:
-            whole = np.concatenate([model.far, model.near, model.word, model.bias[:, None]], axis=1).astype(np.float64) * seen
+            flat = np.concatenate([x.ravel() for x in (model.far, model.near, model.word, model.bias, members.values)]) * np.float32(seen)
+            parts = [flat[at : at + PIECE].tobytes() for at in range(0, len(flat), PIECE)]
+            salt = random.randint(SALTS)
             yield pa.RecordBatch.from_pydict(
-                {"row": pa.array(np.arange(HEADS), pa.int32()), "salt": pa.array(np.full(HEADS, random.randint(64)), pa.int32()), "tokens": pa.array(np.full(HEADS, seen), pa.int64()), "values": pa.array([r.tobytes() for r in whole], pa.binary())}
+                {"row": pa.array(np.arange(len(parts)), pa.int32()), "salt": pa.array(np.full(len(parts), salt), pa.int32()), "tokens": pa.array(np.full(len(parts), seen), pa.int64()), "values": pa.array(parts, pa.binary())}
             )
 
     return run
@@ -206,12 +282,12 @@ def _trained(frequent: Frequent):
 
 def _summed(table: pa.Table) -> pa.Table:
     row = table.column("row")[0].as_py()
-    total = np.sum([np.frombuffer(v, np.float64) for v in table.column("values").to_pylist()], axis=0)
+    total = np.sum([np.frombuffer(v, np.float32) for v in table.column("values").to_pylist()], axis=0, dtype=np.float64).astype(np.float32)
     return pa.table({"row": pa.array([row], pa.int32()), "tokens": pa.array([sum(table.column("tokens").to_pylist())], pa.int64()), "values": pa.array([total.tobytes()], pa.binary())})
 
 
 def _averaged(trained: DataFrame) -> list:
-    """The token-weighted mean of the tasks' parameters; 64 sums of each row come before its one sum."""
+    """The token-weighted mean of the tasks' parameters, in pieces; SALTS sums of each piece come before its one sum."""
     half = trained.groupBy("row", "salt").applyInArrow(_summed, "row int, tokens long, values binary")
     return half.groupBy("row").applyInArrow(_summed, "row int, tokens long, values binary").collect()
 
@@ -219,7 +295,7 @@ def _averaged(trained: DataFrame) -> list:
 _TABLES: dict[bytes, tuple] = {}
 
 
-def _scored(frequent: Frequent, model: Model):
+def _scored(frequent: Frequent, model: Model, members: Members):
     stamp = model.word.tobytes()[:64] + model.bias.tobytes()[:64]
     log_counts = np.log10(frequent.counts + SMOOTH)
 
@@ -228,7 +304,6 @@ def _scored(frequent: Frequent, model: Model):
             _TABLES.clear()
             _TABLES[stamp] = model.tables()
         a, b, z = _TABLES[stamp]
-        other = math.log10(frequent.other_n + SMOOTH * (frequent.other_v + 1))
         for batch in batches:
             _, offsets = utf8(batch.column(2))
             for start, end in steps(offsets):
@@ -236,10 +311,9 @@ def _scored(frequent: Frequent, model: Model):
                 places, first = _places(frequent, words)
                 ids = frequent.head_ids(places)
                 far, near = contexts(ids, first)
-                logs = ((a[far, ids] + b[near, ids] - z[far, near]) / math.log(10)).astype(np.float64)
+                logs = ((a[far, ids] + b[near, ids] - z[far, near]).astype(np.float64) + members.logs(model, far, near, places)) / math.log(10)
                 known = places >= 0
                 base = np.where(known, log_counts[places], 0.0) if len(log_counts) else np.zeros(len(places))
-                logs += np.where(known & (ids == OTHER), base - other, 0.0)
                 sums = [np.add.reduceat(x, first) for x in (logs, base, known.astype(np.int64))]
                 rare, rare_n = [], []
                 for text, at in zip(words, first.tolist(), strict=True):
@@ -288,17 +362,19 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     words = [END_WORD, *sorted(by_word.keys() - {END_WORD}, key=lambda w: (-by_word[w], w))] if n else []
     places = {w: i for i, w in enumerate(words)}
     numbers = np.array([by_word.get(w, 0) for w in words], np.int64)
-    heads = min(HEADS - 2, len(places))
-    frequent = Frequent(places, numbers, heads, n, v, n - int(numbers[:heads].sum()), v - heads)
+    heads = min(SINGLE, len(places))
+    frequent = Frequent(places, numbers, heads, n, v, n - int(numbers.sum()), v - len(places), -(-(len(places) - heads) // (HEADS - 2 - heads)))
 
-    model = initial(frequent)
+    model, members = initial(frequent), Members(frequent)
     if n:
         got = sorted(_averaged(training.transform(map_batches, _trained(frequent), "row int, salt int, tokens long, values binary")), key=lambda r: r["row"])
-        whole = np.array([np.frombuffer(r["values"], np.float64) / r["tokens"] for r in got], np.float32)
-        model = Model(whole[:, :WIDTH], whole[:, WIDTH : 2 * WIDTH], whole[:, 2 * WIDTH : 3 * WIDTH], whole[:, 3 * WIDTH])
+        flat = np.concatenate([np.frombuffer(r["values"], np.float32) / r["tokens"] for r in got]).astype(np.float32)
+        *vectors, bias, rest = np.split(flat, np.cumsum([frequent.size * WIDTH] * 3 + [frequent.size]))
+        model = Model(*(x.reshape(-1, WIDTH) for x in vectors), bias.copy())
+        members = Members(frequent, rest.reshape(-1, WIDTH + 1))
     model.bias[START] = -1e4  # never a token
 
-    scored = rows.transform(map_batches, _scored(frequent, model), ROWS).withColumn("row", F.monotonically_increasing_id())
+    scored = rows.transform(map_batches, _scored(frequent, model, members), ROWS).withColumn("row", F.monotonically_increasing_id())
     scored = materialise(scored, "scored-rows")
     rare = scored.select("row", F.explode(F.arrays_zip("rare", "rare_n")).alias("x")).select("row", F.col("x.rare").alias("word"), F.col("x.rare_n").alias("m"))
     logs = F.log10(F.coalesce(F.col("n"), F.lit(0)) + SMOOTH)

@@ -256,6 +256,32 @@ def test_lm_is_normalised():
     assert np.allclose(total, 1, atol=1e-3) and not np.array_equal(before, model.bias)
 
 
+def test_lm_tells_less_frequent_words_apart(spark):
+    fill = [f"f{n}" for n in range(3000)]
+    texts = [(1000 + n, " ".join(fill[n * 10 % 3000 : n * 10 % 3000 + 10] + ["left xray", "right yoke"])) for n in range(900)]
+    texts += [(2000 + n, " ".join(fill[:1100] * 6)) for n in range(60)]
+    held = [i for i in range(1000) if zlib.crc32(str(i).encode()) % 10 == 0]
+    probes = dict(zip(held, ["left xray", "left yoke", "right yoke", "right xray"], strict=False))
+    rows = lm.score(spark.createDataFrame([*texts, *probes.items()], "doc_id long, text string").repartition(2)).filter("doc_id < 1000").collect()
+    got = {probes[r["doc_id"]]: r for r in rows}
+    assert all(r["held_out"] and r["n_known"] == 3 for r in rows)
+    assert got["left xray"]["score"] > got["left yoke"]["score"] and got["right yoke"]["score"] > got["right xray"]["score"]
+
+
+def test_lm_classes_are_normalised():
+    counts = np.array([90, 80, 9, 8, 7, 6, 5, 4, 3])
+    frequent = lm.Frequent({b"%d" % n: n for n in range(9)}, counts, 2, 230, 12, 18, 3, 3)
+    model, members = lm.initial(frequent), lm.Members(frequent)
+    assert frequent.head_ids(np.array([-1, 0, 1, 2, 4, 5, 8])).tolist() == [0, 2, 3, 4, 4, 5, 6]
+    shares = lambda u, v: np.exp(members.logs(model, np.full(7, u), np.full(7, v), np.arange(2, 9)))
+    assert np.allclose(shares(1, 2), [9 / 24, 8 / 24, 7 / 24, 6 / 15, 5 / 15, 4 / 15, 1], atol=1e-5)
+    for _ in range(20):
+        members.learn(model, np.array([1, 3] * 40), np.array([2, 4] * 40), np.array([2, 3] * 40))
+    one, two = shares(1, 2), shares(3, 4)
+    assert np.allclose([one[:3].sum(), one[3:6].sum(), one[6]], 1, atol=1e-5)
+    assert one[0] / one[1] > two[0] / two[1]
+
+
 # 10
 
 
