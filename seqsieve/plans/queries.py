@@ -437,6 +437,14 @@ def exact_seed_screen(spark, sf_dir):
     return align.exact_hits(texts, passages)
 
 
+@query("""SELECT doc_id AS doc, item_id AS item, position(p IN text) - 1 AS position
+FROM documents JOIN (SELECT item_id, text AS p FROM benchmark) ON contains(text, p)""")
+def whole_passage_screen(spark, sf_dir):
+    """As exact_seed_screen, with whole passages."""
+    texts = _table(spark, sf_dir, "documents").select(F.col("doc_id").alias("doc"), F.col("text").alias("seq"))
+    return align.exact_hits(texts, _table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("item"), F.col("text").alias("passage")))
+
+
 UNGAPPED = """WITH forms AS (SELECT item_id AS read, '+' AS strand, substring(text, 1, 36) AS seq FROM benchmark WHERE length(text) >= 36
   UNION ALL SELECT item_id, '-', translate(reverse(substring(text, 1, 36)), 'ACGTacgt', 'TGCAtgca') FROM benchmark WHERE length(text) >= 36),
 windows AS (SELECT lang AS genome, doc_id AS chromosome, i AS position, substring(text, i + 1, 36) AS w FROM (SELECT lang, doc_id, text, unnest(range(length(text) - 35)) AS i FROM documents WHERE length(text) >= 36)),

@@ -25,3 +25,10 @@ def test_records_hold_whole_texts(spark, small):
     for i, t in texts.items():
         assert got[i]["fastq"].split("\n")[1::2] == [t, t]
         assert got[i]["fasta"].split("\n")[1:] == [t[n : n + 80] for n in range(0, len(t), 80)]
+
+
+def test_screen_compares_whole_passages(spark, tmp_path):
+    passage = "the opening of a passage, thirty-six letters and more, and its end"
+    spark.createDataFrame([(1, f"x {passage} y"), (2, passage[:40] + " another end")], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(5, passage)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert [tuple(r) for r in core.QUERIES["whole_passage_screen"](spark, str(tmp_path)).collect()] == [(1, 5, 2)]
