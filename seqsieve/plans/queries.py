@@ -302,6 +302,15 @@ def names_with_bar(spark, sf_dir):
     return checks.with_bar(urls.unionByName(more), "url")
 
 
+@query("SELECT DISTINCT url FROM pages WHERE contains(url, '|') UNION ALL SELECT o_orderpriority || '|' FROM orders WHERE starts_with(o_orderpriority, '1')")
+def all_names_with_bar(spark, sf_dir):
+    """As names_with_bar, with all orders; a bar is put into the names of urgent ones."""
+    urls = _table(spark, sf_dir, "pages").select("url").distinct()
+    name = F.col("o_orderpriority")
+    more = _table(spark, sf_dir, "orders").select(F.when(name.startswith("1"), F.concat(name, F.lit("|"))).otherwise(name).alias("url"))
+    return checks.with_bar(urls.unionByName(more), "url")
+
+
 def _species(spark, sf_dir, column):
     joined = index_full_join(spark, sf_dir)
     return resolve.matches(sheet(spark, sf_dir), column, joined, resolve.synonym_table(joined))

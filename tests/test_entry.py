@@ -32,3 +32,9 @@ def test_screen_compares_whole_passages(spark, tmp_path):
     spark.createDataFrame([(1, f"x {passage} y"), (2, passage[:40] + " another end")], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([(5, passage)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     assert [tuple(r) for r in core.QUERIES["whole_passage_screen"](spark, str(tmp_path)).collect()] == [(1, 5, 2)]
+
+
+def test_all_orders_reach_the_check_of_names(spark, small):
+    urgent = spark.read.parquet(f"{small}/orders.parquet").filter("o_orderpriority like '1%'").count()
+    got = [r["url"] for r in core.QUERIES["all_names_with_bar"](spark, small).collect()]
+    assert urgent > 0 and sum(x.startswith("1-") and x.endswith("|") for x in got) == urgent
