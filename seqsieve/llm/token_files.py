@@ -7,9 +7,9 @@ written under a name of the attempt and renamed at the end, so a task that is lo
 copy. Bases of partitions are prefix sums of their token counts (one small row for each partition).
 
 Every text is encoded by the tokenizers library, part by part, each distinct part once while a bounded table holds
-it. Its normaliser and its pre-tokeniser never look across a space or line feed, so any text may be cut there. Text of
-ASCII and Latin-1 letters alone is cut finer, at the pre-tokeniser's own rule, if the tokenizer is one that lower-cases
-and has that rule (CUTS); such parts are pre-tokens, and many of them are encoded as one text of words.
+it, if the tokenizer is one that lower-cases and pre-tokenises by the rule CUTS: its normaliser and pre-tokeniser never
+look across a space or line feed, so a text may be cut there. Text of ASCII and Latin-1 letters alone is cut finer, at
+that rule, and many such pre-tokens are encoded as one text of words. Any other tokenizer encodes whole texts.
 
 Files go to the shared folder; on stores that have no paths (any URI but file:) pyarrow's file systems are used and
 a partition's arrays are read instead of mapped.
@@ -22,7 +22,6 @@ from __future__ import annotations
 
 import json
 import os
-import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -37,24 +36,67 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import map_batches, steps, utf8
+from .parts import PartTable, coded, with_ends
 
-#: Parts of texts whose ids a worker keeps.
-MAX_PARTS = 500_000
-#: Text bytes of a step; a step copies the table of parts, so steps are not small.
+#: Parts of texts whose ids a worker keeps; parts of more bytes than LONGEST are forgotten when they fill a STEP.
+MAX_PARTS, LONGEST = 500_000, 256
+#: Text bytes of a step.
 STEP = 4 << 20
 #: Words that are encoded as one text.
 JOINED = 512
 NO_ID = np.iinfo(np.int64).min
 
-
-#: The pre-tokeniser's rule as tokenizer files state it, and the same rule for lower-cased Latin text.
+#: The pre-tokeniser's rule as tokenizer files state it, and its endings after an apostrophe.
 CUTS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-LATIN = re.compile("[\x00-\x1b\x20-\x7fÀ-ÖØ-öø-ÿ]*")
-PRETOKENS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^ \t\n\x0b\x0c\ra-zß-öø-ÿ0-9]+")
+ENDINGS = [b"s", b"t", b"re", b"ve", b"m", b"ll", b"d"]
+#: Kinds of bytes in text of ASCII and Latin-1 letters: SPACE, LETTER, DIGIT, MARK; ODD bytes may stand in no such text.
+SPACE, LETTER, DIGIT, MARK, ODD = range(5)
+KINDS = np.array([SPACE if c in (9, 10, 11, 12, 13, 32) else ODD if 0x1C <= c <= 0x1F or c >= 0x80 else LETTER if chr(c).isalpha() else DIGIT if chr(c).isdigit() else MARK for c in range(256)], np.uint8)
+#: The byte before the second byte of the letters from U+00C0 to U+00FF, and second bytes that are no letters there.
+LATIN, NO_LETTERS = 0xC3, (0x97, 0xB7)
+
+
+def latin(body: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The body in lower case and the kinds of its bytes, as far as it is ASCII and Latin-1 letters."""
+    kinds, low = KINDS[body], body
+    capital = (body >= 65) & (body <= 90)
+    lead = np.flatnonzero(body == LATIN)
+    lead = lead[lead + 1 < len(body)]
+    second = body[lead + 1]
+    good = ~np.isin(second, NO_LETTERS)
+    lead, second = lead[good], second[good]
+    kinds[lead] = kinds[lead + 1] = LETTER
+    capital[lead[second <= 0x9E] + 1] = True
+    if capital.any():
+        low = np.where(capital, body + np.uint8(32), body)
+    return low, kinds
+
+
+def pretokens(body: np.ndarray, kinds: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Where the pre-tokens of lower-cased Latin text begin, by the rule CUTS; first: where a row begins."""
+    begins = np.empty(len(kinds), bool)
+    begins[:1], begins[1:] = True, (kinds[1:] != kinds[:-1]) | (kinds[1:] == DIGIT)
+    begins[first] = True
+    # an apostrophe alone before a letter takes an ending with it
+    quote = np.flatnonzero((body == 39) & begins)
+    quote = quote[quote + 1 < len(body)]
+    quote = quote[begins[quote + 1] & (kinds[quote + 1] == LETTER)]
+    quote = quote[~np.isin(quote + 1, first, assume_unique=True)] if len(quote) else quote
+    if len(quote):
+        ends = first[np.searchsorted(first, quote, side="right") % len(first)]
+        ends = np.where(ends > quote, ends, len(body))
+        for ending in ENDINGS:
+            here = quote[quote + len(ending) < ends]
+            for i, c in enumerate(ending, 1):
+                here = here[body[here + i] == c]
+            begins[here + 1] = False
+            after = here + len(ending) + 1
+            begins[after[after < len(body)]] = True
+    return begins
 
 
 class PartEncoder:
-    """Token ids of texts, from ids of their parts."""
+    """Token ids of texts, from ids of their parts if the tokenizer is known to allow it, else from whole texts."""
 
     def __init__(self, path: str, end_id: int):
         from tokenizers import Tokenizer
@@ -66,75 +108,88 @@ class PartEncoder:
         rules = [x.get("type") for x in (said["normalizer"] or {}).get("normalizers", [])]
         cuts = [(x.get("pattern") or {}).get("Regex") for x in (said["pre_tokenizer"] or {}).get("pretokenizers", [])]
         suffix = said["model"].get("end_of_word_suffix")
-        self.fine = rules == ["NFC", "Replace", "Lowercase"] and CUTS in cuts and bool(suffix)
+        self.known = rules == ["NFC", "Replace", "Lowercase"] and CUTS in cuts and bool(suffix)
         self.special = [x["content"] for x in said["added_tokens"]]
         self.last = np.zeros(self.tokenizer.get_vocab_size(), bool)
-        if self.fine:
+        if self.known:
             self.last[[i for t, i in self.tokenizer.get_vocab(with_added_tokens=False).items() if t.endswith(suffix)]] = True
         self.clear()
 
     def clear(self) -> None:
-        #: None stands for the end of a text, the empty part has no ids.
-        self.index: dict[str | None, int] = {None: 0, "": 1}
-        self.flat, self.sizes = np.array([self.end_id], np.uint32), np.array([1, 0], np.int64)
-        self.starts = np.array([0, 1], np.int64)
-
-    def add(self, parts: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
-        n = len(self.sizes)
-        self.index.update(zip(parts, range(n, n + len(parts)), strict=True))
-        self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(sizes) - sizes])
-        self.sizes, self.flat = np.concatenate([self.sizes, sizes]), np.concatenate([self.flat, ids])
-
-    def gather(self, at: np.ndarray) -> np.ndarray:
-        """The ids of the table's entries at these places, one after the other."""
-        sizes = self.sizes[at]
-        ends = np.cumsum(sizes)
-        shift = np.repeat(self.starts[at] - ends + sizes, sizes)
-        return self.flat[np.arange(len(shift)) + shift]
-
-    def keep(self, wanted: set[str | None]) -> None:
-        """Forgets the parts that are not wanted now."""
-        old = [p for p, i in self.index.items() if i > 1 and p in wanted]
-        at = np.array([self.index[p] for p in old], np.int64)
-        ids, sizes = self.gather(at), self.sizes[at]
-        self.clear()
-        self.add(old, ids, sizes)
+        #: Entry 0 stands for the end of a text; the empty part has no ids.
+        self.table, self.long = PartTable(np.uint32), 0
+        self.table.add([None, b""], np.array([self.end_id], np.uint32), np.array([1, 0]))
 
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(g.ids, np.uint32) for g in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def learn(self, words: list[str], others: list[str]) -> None:
+    def _learn(self, words: list[bytes], others: list[bytes]) -> None:
         """Encodes new parts; words are pre-tokens, so each ends with its first id that ends a word."""
         if words:
-            ids = np.concatenate(self._ids([" ".join(words[i : i + JOINED]) for i in range(0, len(words), JOINED)]))
-            self.add(words, ids, np.diff(np.flatnonzero(self.last[ids]), prepend=-1))
+            ids = np.concatenate(self._ids([b" ".join(words[i : i + JOINED]).decode() for i in range(0, len(words), JOINED)]))
+            self.table.add(words, ids, np.diff(np.flatnonzero(self.last[ids]), prepend=-1))
         if others:
-            got = self._ids(others)
-            self.add(others, np.concatenate(got), np.array([len(g) for g in got], np.int64))
-
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids one after the other, and the number of ids of each text with its end."""
-        parts: list[str | None] = []
-        counts = np.zeros(len(texts), np.int64)
-        fine: set[str] = set()
-        coarse: set[str] = set()
-        for i, text in enumerate(texts):
-            if self.fine and LATIN.fullmatch(text) and not any(x in text for x in self.special):
-                found = PRETOKENS.findall(text.lower())
-                fine.update(found)
+            got = self._ids([p.decode() for p in others])
+            self.table.add(others, np.concatenate(got), np.array([len(g) for g in got], np.int64))
+
+    def _places(self, body: np.ndarray, begins: np.ndarray, words: bool) -> np.ndarray:
+        """The table's entries of the parts that begin there. A part is told apart with the white space after it."""
+        numbers, found = coded(body, np.flatnonzero(begins), len(body))
+        names = [p.rstrip(b" \t\n\x0b\x0c\r") if words else p.rstrip(b" \n") for p in found]
+        if len(self.table.index) > MAX_PARTS or self.long > STEP:
+            self.table, self.long = self.table.kept([None, b"", *(p for p in {*names} - {b""} if p in self.table.index)]), 0
+        index = self.table.index
+        new = list({p for p in names if p not in index})
+        self._learn(*((new, []) if words else ([], new)))
+        self.long += sum(len(p) for p in new if len(p) > LONGEST)
+        return np.fromiter(map(index.__getitem__, names), np.int64, len(names))[numbers]
+
+    def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of a column of texts one after the other, and the number of ids of each text with its end."""
+        column = pc.fill_null(column, "")
+        n = len(column)
+        if not self.known:
+            got = [np.append(x, np.uint32(self.end_id)) for x in self._ids(column.to_pylist())]
+            return np.concatenate([*got, np.zeros(0, np.uint32)]).astype(self.dtype), np.array([len(g) for g in got], np.int64)
+        body, offsets = utf8(column)
+        low, kinds = latin(body)
+        odd = np.concatenate([[0], np.cumsum(kinds == ODD)])
+        plain = odd[offsets[1:]] == odd[offsets[:-1]]
+        for text in self.special:
+            plain &= ~pc.match_substring(column, text).to_numpy(zero_copy_only=False)
+        sizes = np.diff(offsets)
+        counts = np.zeros(n, np.int64)
+        done = []
+        for words in (True, False):
+            rows = np.flatnonzero(plain == words)
+            if not len(rows):
+                continue
+            if len(rows) == n:
+                part, kind, at = (low if words else body), kinds, offsets
+            else:
+                held = np.repeat(plain == words, sizes)
+                part, kind, at = (low if words else body)[held], kinds[held], np.concatenate([[0], np.cumsum(sizes[rows])])
+            first = at[:-1][np.diff(at) > 0]
+            if words:
+                begins = pretokens(part, kind, first)
+                begins &= (kind != SPACE)
             else:
-                found = text.replace("\n", " ").split(" ")
-                coarse.update(found)
-            counts[i] = len(found) + 1
-            parts += found
-            parts.append(None)
-        if len(self.index) > MAX_PARTS:
-            self.keep(fine | coarse)
-        self.learn(list(fine - self.index.keys()), list(coarse - fine - self.index.keys()))
-        at = np.fromiter(map(self.index.__getitem__, parts), np.int64, len(parts))
-        ends = np.cumsum(self.sizes[at])
-        last = np.cumsum(counts) - 1
-        return self.gather(at).astype(self.dtype), np.diff(ends[last], prepend=0) if len(texts) else counts
+                gap = (part == 32) | (part == 10)
+                begins = ~gap
+                begins[1:] &= gap[:-1]
+            begins[first] = True
+            cut = np.concatenate([[0], np.cumsum(begins)])[at]
+            places = with_ends(self._places(part, begins, words), np.diff(cut), 0)
+            ends = np.concatenate([[0], np.cumsum(self.table.sizes.values[places])])
+            last = np.cumsum(np.diff(cut) + 1)
+            counts[rows] = np.diff(ends[last], prepend=0)
+            done.append((rows, self.table.gather(places).astype(self.dtype)))
+        if len(done) == 1:
+            return done[0][1], counts
+        ids, of = np.empty(counts.sum(), self.dtype), np.repeat(plain, counts)
+        for rows, got in done:
+            ids[of == plain[rows[0]]] = got
+        return ids, counts
 
 
 @lru_cache(maxsize=2)
@@ -235,7 +290,7 @@ def write(docs: DataFrame, tokenizer_path: str, uri: str, end_id: int, id_col: s
         for batch in batches:
             _, offsets = utf8(batch.column(1))
             for start, end in steps(offsets, STEP):
-                ids, counts = encoder.encode(pc.fill_null(batch.column(1)[start:end], "").to_pylist())
+                ids, counts = encoder.encode(batch.column(1)[start:end])
                 files["ids"].write(ids.tobytes())
                 files["offsets"].write((n_tokens + np.cumsum(counts)).astype("<i8").tobytes())
                 files["docs"].write(pc.fill_null(batch.column(0)[start:end], NO_ID).to_numpy(zero_copy_only=False).astype("<i8").tobytes())

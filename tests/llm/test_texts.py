@@ -6,11 +6,12 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from seqsieve.llm import licenses, media, pieces, spm_model, token_counts, token_files
+from seqsieve.llm import licenses, media, parts, pieces, spm_model, token_counts, token_files
 from seqsieve.llm.common import shared_path
 from seqsieve.llm.queries import tokenizer_path
 
@@ -189,12 +190,12 @@ def test_token_files(spark, docs, rows, empty):
     assert none.read(spark).count() == 0
 
 
-@settings(max_examples=60, deadline=None)
-@given(st.lists(st.text(st.sampled_from("abCDéß ÿÀ×'s'td're\n\t\x0b\x1c\x1f²½01-_.,;<|>İ́"), max_size=30), max_size=6))
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.text(st.sampled_from("abCDéß ÿÀÞ×'s'td're'll'v\n\t\x0b\x00\x1c\x1f²½01-_.,;<|>İ́"), max_size=30), max_size=6))
 def test_parts_encode_as_whole_texts(texts):
     path = tokenizer_path("word_bpe_49k.json")
     encoder = token_files._encoder(path, 1)
-    ids, counts = encoder.encode(texts)
+    ids, counts = encoder.encode(pa.array(texts, pa.string()))
     at = np.concatenate([[0], np.cumsum(counts)]).astype(int)
     for i, whole in enumerate(encoder.tokenizer.encode_batch(texts, add_special_tokens=False)):
         assert ids[at[i] : at[i + 1]].tolist() == whole.ids + [1]
@@ -204,9 +205,42 @@ def test_full_table_keeps_what_is_in_use(monkeypatch):
     monkeypatch.setattr(token_files, "MAX_PARTS", 5)
     encoder = token_files.PartEncoder(tokenizer_path("word_bpe_49k.json"), 1)
     for text in ("the cat sat on the mat again", "the dog ran, ran and ran away", "the cat"):
-        ids, _ = encoder.encode([text])
+        ids, _ = encoder.encode(pa.array([text]))
+        assert ids.tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids + [1]
+    assert len(encoder.table.index) < 14
+
+
+def test_other_tokenizers_encode_whole_texts(spark, docs, rows):
+    from tokenizers import Tokenizer
+
+    path = tokenizer_path("byte_bpe_50k.json")
+    library = Tokenizer.from_file(path)
+    got = token_files.write(docs, path, shared_path(spark, "t"), 50256).read(spark, with_ids=True)
+    expected = Counter((i, tuple(library.encode(t or "", add_special_tokens=False).ids) + (50256,)) for i, t in rows)
+    assert Counter((r["doc_id"], tuple(r["ids"])) for r in got.collect()) == expected
+
+
+def test_long_parts_are_forgotten(monkeypatch):
+    monkeypatch.setattr(token_files, "STEP", 1000)
+    encoder = token_files.PartEncoder(tokenizer_path("word_bpe_49k.json"), 1)
+    for text in ("a" * 2000 + " b", "日" * 700 + " c", "d e"):
+        ids, _ = encoder.encode(pa.array([text]))
         assert ids.tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids + [1]
-    assert len(encoder.index) < 14
+    assert max(len(p or b"") for p in encoder.table.index) < 10
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.binary(max_size=12), max_size=20))
+def test_parts_are_told_apart(texts):
+    body = np.frombuffer(b"".join(texts), np.uint8)
+    starts = np.cumsum([0] + [len(t) for t in texts])[:-1].astype(np.int64)
+    numbers, found = parts.coded(body, starts, len(body))
+    assert [found[i] for i in numbers] == texts and len(set(found)) == len(found)
+    table = parts.PartTable(np.int32)
+    table.add(found, np.arange(sum(map(len, found))), np.array([len(p) for p in found], np.int64))
+    assert len(table.gather(np.asarray(numbers, np.int64))) == len(body)
+    some = found[::2]
+    assert table.kept(some).gather(np.arange(len(some))).tolist() == table.gather(np.array([table.index[p] for p in some], np.int64)).tolist()
 
 
 # 5
