@@ -10,6 +10,7 @@ import pyarrow as pa
 
 #: Most bytes of a step whose parts are told apart by 32-bit offsets; a longer row has 64-bit ones.
 NARROW = (1 << 31) - 1
+LONGEST = 256
 
 
 class Growing:
@@ -33,14 +34,19 @@ class Growing:
 
 
 class PartTable:
-    """Ids of parts. keys: any hashable form of a part; entries are numbered in the order they are added."""
+    """Ids of parts; entries are numbered in the order they are added. The first one has no part but the key None."""
 
-    def __init__(self, dtype):
-        self.index: dict = {}
+    def __init__(self, dtype, first: Iterable[int] = ()):
+        self.index: dict[bytes | None, int] = {}
         self.flat, self.starts, self.sizes = Growing(dtype), Growing(np.int64), Growing(np.int64)
+        #: Bytes of parts that are longer than LONGEST: such parts hardly come again.
+        self.long = 0
+        first = np.array(list(first), dtype)
+        self.add([None, b""], first, np.array([len(first), 0]))
 
-    def add(self, keys: Iterable, ids: np.ndarray, sizes: np.ndarray) -> None:
+    def add(self, keys: list, ids: np.ndarray, sizes: np.ndarray) -> None:
         self.index.update(zip(keys, range(self.sizes.n, self.sizes.n + len(sizes)), strict=True))
+        self.long += sum(len(k) for k in keys if k is not None and len(k) > LONGEST)
         self.starts.extend(self.flat.n + np.cumsum(sizes) - sizes)
         self.sizes.extend(sizes)
         self.flat.extend(ids)
@@ -53,10 +59,13 @@ class PartTable:
         shift += np.arange(len(shift))
         return self.flat.values[shift]
 
-    def kept(self, keys: list) -> PartTable:
-        """A table of these entries alone, in this order."""
+    def for_step(self, names: list[bytes], most: int, long: int) -> PartTable:
+        """This table, or if it has more than `most` parts, or `long` bytes of long ones, one of these parts alone."""
+        if len(self.index) <= most and self.long <= long:
+            return self
+        keys = [k for k in {*names} - {b""} if k in self.index]
         at = np.array([self.index[k] for k in keys], np.int64)
-        table = PartTable(self.flat.room.dtype)
+        table = PartTable(self.flat.room.dtype, self.gather(np.zeros(1, np.int64)))
         table.add(keys, self.gather(at), self.sizes.values[at])
         return table
 

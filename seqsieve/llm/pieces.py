@@ -1,11 +1,15 @@
 """Operator 5, SentencePiece encoding and decoding on the tokenizers library.
 
-The model's protobuf is parsed here and rebuilt: normaliser and metaspace marker, scores (a Unigram model keeps them;
-a BPE model's scores give its merges) and byte fallback. Words are encoded in multithreaded batches, each distinct one
-once while a bounded table holds it; a cut before a marker is safe since no piece holds a marker after another
-character (checked, else texts are encoded whole). Parity: the sentencepiece library encodes each distinct part too,
-and a text agrees if all its parts do; where a text does not, the library's ids of the whole text stand.
-Decoding goes from ids to text by the rebuilt decoder. Map-only: nothing is shuffled.
+The model's protobuf is parsed here and rebuilt with the tokenizers library: the normaliser (character map, spaces and
+metaspace marker), scores (a Unigram model keeps them; a BPE model's scores give its merges), byte fallback, and
+user-defined pieces, which are cut out of a text first. Texts are cut before markers, which is safe as no piece holds a
+marker after another character (checked, else texts are encoded whole), and each distinct part is encoded once, in
+multithreaded batches, while a bounded table holds it. Parity: the sentencepiece library encodes every whole text too;
+parity tells whether the ids are the same, and where they are not, the library's stand. Decoding goes from ids to text
+by the rebuilt decoder. Map-only: nothing is shuffled.
+
+Known to differ from the library, so that parity is false: pieces marked as unused, texts that hold a byte piece's name
+under a Unigram model, and characters that the two libraries' character maps treat apart.
 
 Edge cases: null and empty texts have no ids; repeated rows give a row each; an empty table gives no rows; special
 strings such as "<s>" in a text are ordinary characters; other columns are ignored, whatever their names.
@@ -18,6 +22,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -27,12 +32,15 @@ from pyspark.sql import functions as F
 
 from . import spm_model
 from .common import map_batches, steps, utf8
+from .parts import PartTable, coded
 from .spm_model import SPACE
 
-#: Words whose ids a worker keeps.
-MAX_WORDS = 200_000
+#: Parts whose ids a worker keeps, and bytes of long ones.
+MAX_WORDS, MAX_LONG = 200_000, 4 << 20
 #: Parts that are encoded as one text.
 JOINED = 1024
+#: What stands in a Unigram table for a piece that no text may match: a code point that is no character.
+NO_TEXT = "\U0010ffff"
 SCHEMA = "doc_id long, ids array<int>, n_tokens long, ids_crc32 long, parity boolean, round_trip boolean"
 
 
@@ -48,20 +56,40 @@ def merges_of(model: spm_model.PieceModel) -> list[tuple[str, str]]:
     return [(left, right) for *_, left, right in sorted(found)]
 
 
+def unigram_table(model: spm_model.PieceModel) -> list[tuple[str, float]]:
+    """A Unigram model's pieces and scores; pieces that no text may match have other names and the lowest score."""
+    plain = (spm_model.NORMAL, spm_model.USER_DEFINED)
+    least = min((s for s, k in zip(model.scores, model.kinds, strict=True) if k == spm_model.NORMAL), default=0.0)
+    named = lambda i, p, k: p if k in (*plain, spm_model.BYTE) else f"{NO_TEXT}{i}"
+    return [(named(i, p, k), s if k in plain else least) for i, (p, s, k) in enumerate(zip(model.pieces, model.scores, model.kinds, strict=True))]
+
+
+def normaliser(model: spm_model.PieceModel):
+    """The model's normaliser, whose result has the marker in place of spaces."""
+    from tokenizers import Regex, normalizers
+
+    steps_ = [normalizers.Precompiled(model.charsmap)] if model.charsmap else []
+    if model.remove_extra:
+        steps_ += [normalizers.Replace(Regex(" {2,}"), " "), normalizers.Replace(Regex("^ | $"), "")]
+    marker = SPACE if model.escape else " "
+    if model.dummy_prefix:
+        steps_.append(normalizers.Prepend(marker))
+    return normalizers.Sequence([*steps_, normalizers.Replace(" ", marker)])
+
+
 def rebuild(model: spm_model.PieceModel):
     """A Tokenizer for normalised text, where the marker stands for a space."""
-    from tokenizers import Tokenizer, decoders, models
+    from tokenizers import AddedToken, Tokenizer, decoders, models
 
-    if model.charsmap:
-        raise ValueError("models with a character map are not supported; identity normalisation is")
     if model.model_type == spm_model.BPE:
         vocab = {p: i for i, p in enumerate(model.pieces)}
         built = models.BPE(vocab, merges_of(model), unk_token=model.pieces[model.unk_id], fuse_unk=True, byte_fallback=model.byte_fallback)
     elif model.model_type == spm_model.UNIGRAM:
-        built = models.Unigram(list(zip(model.pieces, model.scores, strict=True)), model.unk_id, model.byte_fallback)
+        built = models.Unigram(unigram_table(model), model.unk_id, model.byte_fallback)
     else:
         raise ValueError(f"model type {model.model_type} is not supported")
     tokenizer = Tokenizer(built)
+    tokenizer.add_tokens([AddedToken(p, normalized=False) for p, k in zip(model.pieces, model.kinds, strict=True) if k == spm_model.USER_DEFINED])
     tokenizer.decoder = decoders.Sequence([decoders.Replace(SPACE, " "), decoders.ByteFallback(), decoders.Fuse()])
     return tokenizer
 
@@ -75,129 +103,125 @@ def _library(path: str):
 
 class Codec:
     def __init__(self, path: str):
-        self.model = spm_model.load(path)
-        self.tokenizer = rebuild(self.model)
+        self.model = model = spm_model.load(path)
+        self.tokenizer, self.normaliser = rebuild(model), normaliser(model)
         self.library = _library(path)
-        self.cuttable = all(SPACE not in p.lstrip(SPACE) for p in self.model.pieces)
-        # control characters that no piece of several characters holds never merge, so texts are cut around them too
-        merged = set("".join(p for p, k in zip(self.model.pieces, self.model.kinds, strict=True) if k == spm_model.NORMAL and len(p) > 1))
-        alone = "".join(c for c in "\t\n\r" if c not in merged)
-        self.newline = self.model.pieces.index("<0x0A>") if "\n" in alone and self.model.byte_fallback and "\n" not in self.model.pieces else None
-        self.part = re.compile(f" +[^ {alone}]*|[^ {alone}]+" + (f"|[{alone}]+" if alone else ""))
-        self.bytes = [self._bytes(p, k) for p, k in zip(self.model.pieces, self.model.kinds, strict=True)]
+        normal = {p for p, k in zip(model.pieces, model.kinds, strict=True) if k == spm_model.NORMAL}
+        self.cuttable = model.escape and SPACE in normal and all(SPACE not in p.lstrip(SPACE) for p in model.pieces)
+        # control characters that become bytes and that no piece holds never merge, so texts are cut around them too
+        held = set("".join(model.pieces))
+        self.alone = np.zeros(256, bool)
+        self.alone[[ord(c) for c in "\t\n\r" if c not in held and model.byte_fallback]] = True
+        self.newline = model.pieces.index("<0x0A>") if self.alone[10] else None
+        self.bytes = pa.array([self._bytes(p, k) for p, k in zip(model.pieces, model.kinds, strict=True)], pa.large_binary())
         self.clear()
 
-    @staticmethod
-    def _bytes(piece: str, kind: int) -> bytes:
+    def _bytes(self, piece: str, kind: int) -> bytes:
+        if kind == spm_model.UNKNOWN:
+            return " \u2047 ".encode()  # as the library decodes it
+        if kind == spm_model.CONTROL:
+            return b""
         return bytes([int(piece[3:5], 16)]) if kind == spm_model.BYTE else piece.replace(SPACE, " ").encode()
 
     def clear(self) -> None:
-        self.index: dict[str, int] = {}
-        self.flat, self.starts, self.sizes, self.agreed = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool)
-
-    def keep(self, wanted: set[str]) -> None:
-        """Forgets the parts that are not wanted now."""
-        old = [w for w in self.index if w in wanted]
-        at = np.array([self.index[w] for w in old], dtype=np.int64)
-        ids, sizes, agreed = self.gather(at), self.sizes[at], self.agreed[at]
-        self.clear()
-        self.add(old, ids, sizes, agreed)
-
-    def add(self, words: list[str], ids: np.ndarray, sizes: np.ndarray, agreed: np.ndarray) -> None:
-        n = len(self.sizes)
-        self.index.update(zip(words, range(n, n + len(words)), strict=True))
-        self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(sizes) - sizes])
-        self.sizes, self.flat = np.concatenate([self.sizes, sizes]), np.concatenate([self.flat, ids])
-        self.agreed = np.concatenate([self.agreed, agreed])
-
-    def gather(self, at: np.ndarray) -> np.ndarray:
-        """The ids of the table's entries at these places, one after the other."""
-        sizes = self.sizes[at]
-        ends = np.cumsum(sizes)
-        shift = np.repeat(self.starts[at] - ends + sizes, sizes)
-        return self.flat[np.arange(len(shift)) + shift]
-
-    def learn(self, words: list[str]) -> None:
-        """Encodes new parts, and the library encodes them too. Parts that hold no line feed are joined by it, as it
-        merges with nothing, and their ids are cut at its id, so that one call takes many parts."""
-        newline = self.newline
-        joined = [w for w in words if newline is not None and "\n" not in w]
-        texts = ["\n".join(joined[i : i + JOINED]) for i in range(0, len(joined), JOINED)]
-        got = [np.array(g.ids, dtype=np.int32) for g in self.tokenizer.encode_batch_fast([t.replace(" ", SPACE) for t in texts], add_special_tokens=False)]
-        if got:
-            ids, sizes = self._cut(got)
-            # a line feed before the first part parts it from the marker that the library puts before a text
-            skip = 1 + self.model.dummy_prefix
-            theirs, their_sizes = self._cut([np.array(x[skip:], dtype=np.int32) for x in self.library.encode(["\n" + t for t in texts])])
-            same = np.zeros(len(joined), bool)
-            if np.array_equal(sizes, their_sizes):
-                wrong = np.concatenate([[0], np.cumsum(ids != theirs)])
-                ends = np.cumsum(sizes)
-                same = wrong[ends] == wrong[ends - sizes]
-            self.add(joined, ids, sizes, same)
-        rest = [w for w in words if newline is None or "\n" in w]
-        got = [np.array(g.ids, dtype=np.int32) for g in self.tokenizer.encode_batch_fast([w.replace(" ", SPACE) for w in rest], add_special_tokens=False)]
-        if got:
-            if self.cuttable:  # runs of characters that merge with nothing; what they are alone they are anywhere
-                skip = len(self.library.encode("a"))
-                same = [g.tolist() == x[skip:] for g, x in zip(got, self.library.encode(["a" + w for w in rest]), strict=True)]
-            else:
-                same = [g.tolist() == x for g, x in zip(got, self.library.encode([w[self.model.dummy_prefix :] for w in rest]), strict=True)]
-            self.add(rest, np.concatenate(got), np.array([len(g) for g in got], dtype=np.int64), np.array(same, bool))
-
-    def _cut(self, rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of joined parts without the line feeds, and how many each part has."""
-        ids = np.concatenate([x for row in rows for x in (row, [self.newline])]).astype(np.int32)
-        cut = np.flatnonzero(ids == self.newline)
-        return np.delete(ids, cut), np.diff(cut, prepend=-1) - 1
+        self.table = PartTable(np.int32)
+
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(g.ids, np.int32) for g in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def learn(self, words: list[bytes]) -> None:
+        """Encodes new parts. Parts that hold no line feed are joined by it, as it merges with nothing, and their ids are
+        cut at its id, so that one call takes many parts."""
+        marked = lambda w: w.decode().replace(" ", SPACE) if self.model.escape else w.decode()
+        joined = [w for w in words if self.newline is not None and b"\n" not in w]
+        if joined:
+            got = self._ids([marked(b"\n".join(joined[i : i + JOINED])) for i in range(0, len(joined), JOINED)])
+            ids = np.concatenate([x for row in got for x in (row, [self.newline])]).astype(np.int32)
+            cut = np.flatnonzero(ids == self.newline)
+            self.table.add(joined, np.delete(ids, cut), np.diff(cut, prepend=-1) - 1)
+        rest = [w for w in words if self.newline is None or b"\n" in w]
+        if rest:
+            got = self._ids([marked(w) for w in rest])
+            self.table.add(rest, np.concatenate(got), np.array([len(g) for g in got], np.int64))
 
     def normalise(self, text: str) -> str:
-        """The model's normaliser for an identity character map."""
-        if self.model.remove_extra:
-            text = re.sub(" +", " ", text).strip(" ")
-        if not text:
-            return ""
-        return (" " if self.model.dummy_prefix else "") + text
-
-    def words(self, text: str) -> list[str]:
-        """Parts of the normalised text that no piece reaches across: a run of spaces and what follows it."""
-        text = self.normalise(text).replace(SPACE, " ")
-        if not text:
-            return []
-        return self.part.findall(text) if self.cuttable else [text]
-
-    def encode(self, texts: list[str]) -> tuple[list[np.ndarray], np.ndarray]:
-        """Ids of each text, and whether the library agrees on all its parts. Parts are looked up in a bounded table; new ones are encoded in one batch."""
-        parts: list[str] = []
-        counts = np.zeros(len(texts), np.int64)
-        for i, text in enumerate(texts):
-            found = self.words(text)
-            counts[i] = len(found)
-            parts += found
-        wanted = set(parts)
-        if len(self.index) > MAX_WORDS:
-            self.keep(wanted)
-        new = list(wanted - self.index.keys())
-        self.learn(new)
-        at = np.fromiter(map(self.index.__getitem__, parts), np.int64, len(parts))
-        ends = np.concatenate([[0], np.cumsum(self.sizes[at])])
-        if not len(texts):
-            return [], np.zeros(0, bool)
-        last = np.cumsum(counts)
-        wrong = np.concatenate([[0], np.cumsum(~self.agreed[at])])
-        return np.split(self.gather(at), ends[last][:-1]), wrong[last] == wrong[last - counts]
+        """The text as the model's normaliser leaves it, with spaces for markers."""
+        if not self.model.charsmap:
+            if self.model.remove_extra:
+                text = re.sub(" +", " ", text).strip(" ")
+            return (" " if self.model.dummy_prefix and text else "") + text.replace(SPACE, " ")
+        found = self.normaliser.normalize_str(text).replace(SPACE, " ") if text else ""
+        return "" if self.model.remove_extra and found == " " else found
+
+    def parts(self, body: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Where parts of normalised texts begin: a run of spaces and what follows it, or characters that stand alone."""
+        first = offsets[:-1][np.diff(offsets) > 0]
+        begins = np.zeros(len(body), bool)
+        if self.cuttable:
+            gap, alone = body == 32, self.alone[body]
+            begins[1:] = (gap[1:] & ~gap[:-1]) | (alone[1:] != alone[:-1])
+        begins[first] = True
+        return begins
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
+        """All ids one after the other, the number of ids of each text, whether the library agrees with the whole text,
+        and the normalised texts."""
+        body, offsets = utf8(pa.array([self.normalise(t) for t in texts], pa.large_string()))
+        begins = self.parts(body, offsets)
+        numbers, names = coded(body, np.flatnonzero(begins), len(body))
+        self.table = self.table.for_step(names, MAX_WORDS, MAX_LONG)
+        index = self.table.index
+        self.learn([p for p in names if p not in index])
+        places = np.fromiter(map(index.__getitem__, names), np.int64, len(names))[numbers]
+        cut = np.concatenate([[0], np.cumsum(begins)])[offsets]
+        ends = np.concatenate([[0], np.cumsum(self.table.sizes.values[places])])[cut]
+        ids, counts = self.table.gather(places), np.diff(ends)
+        theirs = self.library.encode(texts)
+        sizes = np.array([len(x) for x in theirs], np.int64)
+        same = sizes == counts
+        flat = np.fromiter(chain.from_iterable(theirs), np.int32, int(sizes.sum()))
+        if same.all():
+            wrong = np.concatenate([[0], np.cumsum(ids != flat)])[ends]
+            same = wrong[1:] == wrong[:-1]
+        else:
+            at = np.cumsum(sizes) - sizes
+            same = np.array([n == m and np.array_equal(ids[a : a + n], flat[b : b + n]) for n, m, a, b in zip(counts, sizes, ends, at, strict=False)], bool)
+        if not same.all():  # the library's ids stand; they are the same where it agrees
+            ids, counts = flat, sizes
+        data = body.tobytes()
+        return ids, counts, same, [data[a:b] for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+
+    def raw(self, ids: np.ndarray, counts: np.ndarray) -> list[bytes]:
+        """The bytes of the pieces of each text."""
+        found = self.bytes.take(pa.array(ids))
+        offsets = np.frombuffer(found.buffers()[1], np.int64, len(ids) + 1) if len(ids) else np.zeros(1, np.int64)
+        data = found.buffers()[2].to_pybytes() if len(ids) else b""
+        at = offsets[np.concatenate([[0], np.cumsum(counts)])]
+        return [data[a:b] for a, b in zip(at[:-1], at[1:], strict=True)]
 
     def decode(self, ids: list[np.ndarray]) -> list[str]:
         """Texts of ids: pieces and bytes are joined; where bytes are no UTF-8, the rebuilt decoder replaces them."""
-        table, texts = self.bytes.__getitem__, []
-        for row in ids:
+        counts = np.array([len(x) for x in ids], np.int64)
+        texts = []
+        for row, found in zip(ids, self.raw(np.concatenate([*ids, np.zeros(0, np.int32)]).astype(np.int32), counts), strict=True):
             try:
-                text = b"".join(map(table, row.tolist())).decode("utf-8")
+                text = found.decode("utf-8")
             except UnicodeDecodeError:
                 text = self.tokenizer.decode(row.tolist(), skip_special_tokens=False)
-            texts.append(text[1:] if self.model.dummy_prefix and text.startswith(" ") else text)
+            texts.append(text[self._lead(row) :])
         return texts
 
+    def _lead(self, row: np.ndarray) -> int:
+        """How many spaces before a text were put there, or would have been taken away, by the normaliser."""
+        n = 0
+        for i in row.tolist():
+            piece = self.model.pieces[i]
+            marks = len(piece) - len(piece.lstrip(SPACE)) if self.model.kinds[i] == spm_model.NORMAL else 0
+            n += marks
+            if marks < len(piece):
+                break
+        return n if self.model.remove_extra else min(n, 1) if self.model.dummy_prefix else 0
+
 
 @lru_cache(maxsize=2)
 def _codec(path: str) -> Codec:
@@ -205,7 +229,8 @@ def _codec(path: str) -> Codec:
 
 
 def encode(docs: DataFrame, model_path: str, threads: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """SCHEMA for each row of docs. round_trip: the decoded ids give the text (its normalised form) again."""
+    """SCHEMA for each row of docs. parity: the library gives the whole text the same ids.
+    round_trip: the ids' pieces give the normalised text again."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "true"
@@ -215,20 +240,16 @@ def encode(docs: DataFrame, model_path: str, threads: int = 2, id_col: str = "do
             _, offsets = utf8(batch.column(1))
             for start, end in steps(offsets):
                 texts = pc.fill_null(batch.column(1)[start:end], "").to_pylist()
-                ids, parity = codec.encode(texts)
-                for i in np.flatnonzero(~parity):
-                    ids[i] = np.array(codec.library.encode(texts[i]), dtype=np.int32)
-                back = codec.decode(ids)
-                same = [b == codec.normalise(t)[codec.model.dummy_prefix :].replace(SPACE, " ") for t, b in zip(texts, back, strict=True)]
-                lengths = np.array([len(x) for x in ids], dtype=np.int64)
-                flat = np.concatenate(ids) if ids else np.zeros(0, np.int32)
+                flat, lengths, parity, normal = codec.encode(texts)
+                same = [a == b for a, b in zip(codec.raw(flat, lengths), normal, strict=True)]
                 at = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
+                wide = flat.astype("<u4")
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0)[start:end],
                         pa.ListArray.from_arrays(pa.array(at), pa.array(flat)),
                         pa.array(lengths),
-                        pa.array([zlib.crc32(x.astype("<u4").tobytes()) for x in ids], pa.int64()),
+                        pa.array([zlib.crc32(wide[a:b]) for a, b in zip(at[:-1], at[1:], strict=True)], pa.int64()),
                         pa.array(parity, pa.bool_()),
                         pa.array(same, pa.bool_()),
                     ],

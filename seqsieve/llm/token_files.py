@@ -38,10 +38,8 @@ from pyspark.sql import functions as F
 from .common import map_batches, steps, utf8
 from .parts import PartTable, coded, with_ends
 
-#: Parts of texts whose ids a worker keeps; parts of more bytes than LONGEST are forgotten when they fill a STEP.
-MAX_PARTS, LONGEST = 500_000, 256
-#: Text bytes of a step.
-STEP = 4 << 20
+#: Parts of texts whose ids a worker keeps, and text bytes of a step (and of long parts that are kept).
+MAX_PARTS, STEP = 500_000, 4 << 20
 #: Words that are encoded as one text.
 JOINED = 512
 NO_ID = np.iinfo(np.int64).min
@@ -113,12 +111,7 @@ class PartEncoder:
         self.last = np.zeros(self.tokenizer.get_vocab_size(), bool)
         if self.known:
             self.last[[i for t, i in self.tokenizer.get_vocab(with_added_tokens=False).items() if t.endswith(suffix)]] = True
-        self.clear()
-
-    def clear(self) -> None:
-        #: Entry 0 stands for the end of a text; the empty part has no ids.
-        self.table, self.long = PartTable(np.uint32), 0
-        self.table.add([None, b""], np.array([self.end_id], np.uint32), np.array([1, 0]))
+        self.table = PartTable(np.uint32, [self.end_id])
 
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(g.ids, np.uint32) for g in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -136,12 +129,10 @@ class PartEncoder:
         """The table's entries of the parts that begin there. A part is told apart with the white space after it."""
         numbers, found = coded(body, np.flatnonzero(begins), len(body))
         names = [p.rstrip(b" \t\n\x0b\x0c\r") if words else p.rstrip(b" \n") for p in found]
-        if len(self.table.index) > MAX_PARTS or self.long > STEP:
-            self.table, self.long = self.table.kept([None, b"", *(p for p in {*names} - {b""} if p in self.table.index)]), 0
+        self.table = self.table.for_step(names, MAX_PARTS, STEP)
         index = self.table.index
         new = list({p for p in names if p not in index})
         self._learn(*((new, []) if words else ([], new)))
-        self.long += sum(len(p) for p in new if len(p) > LONGEST)
         return np.fromiter(map(index.__getitem__, names), np.int64, len(names))[numbers]
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import struct
 import zlib
 from collections import Counter
 
@@ -145,8 +146,6 @@ def colour_jpeg(dc, width, height):
         block(0, True)
     bits += [1] * (-len(bits) % 8)
     scan = bytes(int("".join(map(str, bits[i : i + 8])), 2) for i in range(0, len(bits), 8)).replace(b"\xff", b"\xff\x00")
-    import struct
-
     seg = media._segment
     return b"".join(
         [
@@ -236,11 +235,15 @@ def test_parts_are_told_apart(texts):
     starts = np.cumsum([0] + [len(t) for t in texts])[:-1].astype(np.int64)
     numbers, found = parts.coded(body, starts, len(body))
     assert [found[i] for i in numbers] == texts and len(set(found)) == len(found)
-    table = parts.PartTable(np.int32)
-    table.add(found, np.arange(sum(map(len, found))), np.array([len(p) for p in found], np.int64))
-    assert len(table.gather(np.asarray(numbers, np.int64))) == len(body)
-    some = found[::2]
-    assert table.kept(some).gather(np.arange(len(some))).tolist() == table.gather(np.array([table.index[p] for p in some], np.int64)).tolist()
+    table = parts.PartTable(np.int32, [7])
+    new = [p for p in found if p]
+    table.add(new, np.arange(sum(map(len, new))), np.array([len(p) for p in new], np.int64))
+    places = lambda t, names: np.array([t.index[p] for p in names], np.int64)
+    assert len(table.gather(places(table, texts))) == len(body)
+    less = table.for_step(new[::2], 1, 0)
+    assert set(less.index) >= {None, b"", *new[::2]} and len(less.index) <= len(table.index)
+    assert less.gather(places(less, new[::2])).tolist() == table.gather(places(table, new[::2])).tolist()
+    assert less.gather(np.array([0])).tolist() == [7]
 
 
 # 5
@@ -263,17 +266,73 @@ def test_pieces(spark, docs, rows, empty):
 @given(st.lists(st.text(max_size=40) | st.text(st.sampled_from("ab ▁.,\n\té'\"(){}0"), max_size=30), max_size=6))
 def test_pieces_equal_the_library(texts):
     codec = pieces._codec(tokenizer_path(PIECES))
-    ids, agreed = codec.encode(texts)
-    assert agreed.all() and [x.tolist() for x in ids] == codec.library.encode(texts)
-    assert codec.decode(ids) == [codec.library.decode(x.tolist()) for x in ids]
+    ids, agreed = encoded(codec, texts)
+    assert agreed.all() and ids == codec.library.encode(texts)
+    assert codec.decode([np.array(x, np.int32) for x in ids]) == [codec.library.decode(x) for x in ids]
 
 
-def test_unigram_models_are_rebuilt():
-    model = spm_model.PieceModel(["<unk>", "▁a", "b", "▁ab", "c"], [0, -1.0, -2.0, -1.5, -3.0], [2, 1, 1, 1, 1])
-    assert pieces.rebuild(model).encode("▁abc").ids == [3, 4]
-    model.charsmap = b"x"
-    with pytest.raises(ValueError):
-        pieces.rebuild(model)
+def encoded(codec, texts):
+    flat, counts, agreed, normal = codec.encode(texts)
+    assert [a == b for a, b in zip(codec.raw(flat, counts), normal, strict=True)] == [True] * len(texts) or not codec.model.byte_fallback
+    return [x.tolist() for x in np.split(flat, np.cumsum(counts))[:-1]], agreed
+
+
+def field(number, value):
+    """A protobuf field: numbers, floats, texts and bytes."""
+
+    def varint(n):
+        return bytes([n & 0x7F | 0x80]) + varint(n >> 7) if n > 127 else bytes([n])
+
+    if isinstance(value, float):
+        return varint(number << 3 | 5) + struct.pack("<f", value)
+    if isinstance(value, int):
+        return varint(number << 3) + varint(value)
+    value = value.encode() if isinstance(value, str) else value
+    return varint(number << 3 | 2) + varint(len(value)) + value
+
+
+def unigram_file(path, byte_fallback, charsmap=b"", user=()):
+    """A Unigram model in the format of the library, written by hand: letters, some words, and scores by rank."""
+    words = ["▁", *"etaoinshrdlucmfwypvbgkjqxz", "▁the", "▁th", "he", "in", "ing", "▁a", "an", "and", "▁and", "er", "re", "é", "ab", "abc", "▁ab", "bc", "1", "2", "ffi"]
+    pieces_ = [("<unk>", 0.0, 2), ("<s>", 0.0, 3), ("</s>", 0.0, 3), *((u, 0.0, 4) for u in user)]
+    pieces_ += [(f"<0x{n:02X}>", 0.0, 6) for n in range(256 * byte_fallback)]
+    pieces_ += [(w, -2.0 - 0.37 * ((n * 7) % 41), 1) for n, w in enumerate(words)]
+    body = b"".join(field(1, field(1, p) + field(2, s) + field(3, k)) for p, s, k in pieces_)
+    body += field(2, field(3, 1) + field(4, len(pieces_)) + field(35, int(byte_fallback)))
+    body += field(3, field(1, "own") + (field(2, charsmap) if charsmap else b"") + field(3, 1) + field(4, 1) + field(5, 1))
+    path.write_bytes(body)
+    return str(path)
+
+
+TEXTS = ["the abc and  abcabc in her", "", "  ", "a<s>b </s> x", "<mark>the<mark> <mark>abc", "xyz 12 é\n\tq", "日本 the 日本", "ＡＢＣ the ﬁ ½ ab", "▁the", "a" * 500]
+
+
+@pytest.mark.parametrize("user", [(), ("<mark>", "bca")])
+@pytest.mark.parametrize("fallback", [True, False])
+@pytest.mark.parametrize("mapped", [True, False])
+def test_unigram_models_equal_the_library(spark, tmp_path, fallback, mapped, user):
+    import sentencepiece
+
+    charsmap = b""
+    if mapped:
+        rules = spm_model._fields(sentencepiece.SentencePieceNormalizer(rule_name="nmt_nfkc").serialized_model_proto())
+        charsmap = dict(spm_model._fields(dict(rules)[3]))[2]
+        assert len(charsmap) > 1000
+    path = unigram_file(tmp_path / "own.model", fallback, charsmap, user)
+    library = sentencepiece.SentencePieceProcessor(model_file=path)
+    codec = pieces.Codec(path)
+    ids, agreed = encoded(codec, TEXTS)
+    assert ids == library.encode(TEXTS) and agreed.all(), [t for t, a in zip(TEXTS, agreed, strict=True) if not a]
+    got = pieces.encode(spark.createDataFrame(list(enumerate(TEXTS)), "doc_id long, text string"), path)
+    assert [r["ids"] for r in got.orderBy("doc_id").collect()] == ids
+    assert codec.decode([np.array(x, np.int32) for x in ids]) == [library.decode(x) for x in ids]
+
+
+def test_library_stands_where_it_differs(tmp_path):
+    codec = pieces.Codec(unigram_file(tmp_path / "own.model", True))
+    texts = ["the <0x41>", "the abc"]
+    ids, agreed = encoded(codec, texts)
+    assert agreed.tolist() == [False, True] and ids == codec.library.encode(texts)
 
 
 # 8
