@@ -71,10 +71,11 @@ def map_batches(df: DataFrame, run, schema) -> DataFrame:
 
 
 def utf8(column) -> tuple[np.ndarray, np.ndarray]:
-    """The bytes of a text column and its row offsets (one more than rows); nulls are empty."""
+    """The bytes of a column of texts or bytes and its row offsets (one more than rows); nulls are empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    column = pc.fill_null(column, "")
+    if column.null_count:
+        column = pc.fill_null(column, pa.scalar("", column.type) if pa.types.is_string(column.type) or pa.types.is_large_string(column.type) else pa.scalar(b"", column.type))
     wide = pa.types.is_large_string(column.type) or pa.types.is_large_binary(column.type)
     _, offsets, data = column.buffers()
     at = np.frombuffer(offsets, dtype=np.int64 if wide else np.int32, count=len(column) + 1 + column.offset)

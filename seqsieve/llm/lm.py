@@ -8,15 +8,20 @@ HELD_OUT is 0 are held out; all others are learnt from.
    classes of one size, and each class is a number as well. Words outside the table are the class OTHER, and a word's
    share of OTHER comes from its count, smoothed by SMOOTH.
 2. The model predicts a token from the two before it: exp(b[w] + (A[u] + B[v]) . R[w]). It starts from the unigram
-   distribution. Every task trains its own copy on all of its training texts, in numpy, by noise-contrastive estimation
-   with noise words shared in a batch; the copies' parameters are averaged, weighted by tokens, in two steps of sums.
+   distribution and is trained in numpy by noise-contrastive estimation with noise words shared in a batch. Training
+   rows are dealt by hash to shards of about SHARD tokens, and shards to ROUNDS rounds; each round begins with the
+   parameters (and learning rates' sums) of the one before, every shard learns a copy in the order of its rows' ids and
+   hashes, and the copies' mean, weighted by tokens, is the round's result. Sums are of whole numbers (values in steps
+   of 1 / FINE), so they don't depend on their order: the model is the same however rows are partitioned. Shards keep
+   their size as a corpus grows, so each copy learns as much; what a task holds is one copy.
    A class's words have vectors T and biases of their own: the share of w in its class is exp(t[w] + (A[u] + B[v]) . T[w])
    over the sum of the class, from the counts' shares on, learnt by exact gradients and averaged in the same way. As a
    context such a word is its class.
 3. Scores: exp(A[u] . R[w]) and exp(B[v] . R[w] + b[w]) are matrices over the vocabulary, and their product holds the
    normaliser of every context, so each token's log-probability is exact and normalised.
-4. Rare words' counts come by a join: frequent words are a broadcast table of fixed size, and only rarer words of each
-   text are shuffled to their counts.
+4. Texts are cut into words twice: to count, and to write their words' numbers as a table, which training and scoring
+   read. Rare words' counts come by a join: frequent words are a broadcast table of fixed size, and only rarer words of
+   each text are shuffled to their counts.
 
 Edge cases: null and empty texts are one end token; a null id counts as an empty text for the held-out rule; repeated
 rows are learnt from and scored each; without training rows counts are 0 and V is 0, so each token has probability
@@ -28,42 +33,58 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
-from itertools import chain, repeat
+from dataclasses import dataclass, replace
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import map_batches, materialise, steps, utf8
+from .licenses import NO_ID
+from .parts import coded, with_ends
 from .quality import held_out as remainder_is_0
+from .words import DARK_BYTES, lower_ascii
 
 HELD_OUT, SMOOTH = 10, 0.1
 #: Most numbers of the model (OTHER, START, words and classes), width of its vectors, and words that are broadcast with
 #: counts; words that are no class's.
 HEADS, WIDTH, FREQUENT = 2048, 16, 1 << 17
 SINGLE = 1022
-#: Floats of a piece of the parameters as they are summed, and sums of each piece before the last one.
+#: Numbers of a piece of the parameters as they are summed, and sums of each piece before the last one.
 PIECE, SALTS = 1 << 16, 16
 #: Bytes of the longest word that may be broadcast: bounds that table.
 LONGEST = 64
+#: Tokens of a shard, most rounds, steps of a parameter of size 1, and tokens that weigh 1 in the mean.
+SHARD, ROUNDS, FINE, WEIGHT = 1 << 22, 4, 1 << 20, 1 << 18
 OTHER, START, END = 0, 1, 2
 BATCH, NOISE, RATE, CLASS_RATE = 8192, 25, 0.03, 0.1
+#: Tokens that a shard learns from before its classes take a step, and text bytes of a step of counting.
+WINDOW, STEP = 16 * BATCH, 4 << 20
 #: Words that a task counts before it passes the counts on.
 FLUSH = 300_000
 END_WORD = b""
 
 
-def tokens(text: bytes) -> list[bytes]:
-    """The words of a text, and its end."""
-    found = text.lower().split()  # on bytes: ASCII letters and ASCII white space only
-    found.append(END_WORD)
-    return found
+#: Fixed value: what separates words.
+WHITE = b" \t\n\x0b\x0c\r"
 
 
-def _texts(column, start: int, end: int) -> list[bytes]:
-    return [(t or "").encode() for t in column[start:end].to_pylist()]
+def words_of(column) -> tuple[np.ndarray, list[bytes], np.ndarray]:
+    """The words of a column of texts: the number of each among the distinct ones, these, and how many each text has."""
+    body, offsets = utf8(column)
+    body = lower_ascii(body)
+    dark = DARK_BYTES[body]
+    begins = dark.copy()
+    begins[1:] &= ~dark[:-1]
+    first = offsets[:-1][np.diff(offsets) > 0]
+    begins[first] = dark[first]
+    starts = np.flatnonzero(begins)
+    numbers, found = coded(body, starts, len(body))
+    # white space before a text's first word belongs to the word before
+    return numbers, [w.rstrip(WHITE) for w in found], np.diff(np.searchsorted(starts, offsets))
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -74,9 +95,11 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         _, offsets = utf8(batch.column(0))
-        for start, end in steps(offsets):
-            for text in _texts(batch.column(0), start, end):
-                counts.update(tokens(text))
+        for start, end in steps(offsets, STEP):
+            numbers, names, _ = words_of(batch.column(0)[start:end])
+            for word, n in zip(names, np.bincount(numbers, minlength=len(names)).tolist(), strict=True):
+                counts[word] += n
+            counts[END_WORD] += end - start
             if len(counts) > FLUSH:
                 yield out()
                 counts.clear()
@@ -155,9 +178,9 @@ def _summed_rows(rows: np.ndarray, values: np.ndarray, size: int) -> np.ndarray:
 class Trainer:
     """Noise-contrastive steps with a learning rate for each row that falls with what the row has learnt."""
 
-    def __init__(self, model: Model):
+    def __init__(self, model: Model, unigram: np.ndarray):
         self.model = model
-        self.noise = np.exp(model.bias.astype(np.float64))
+        self.noise = np.exp(unigram.astype(np.float64))
         self.noise /= self.noise.sum()
         self.cumulative = np.cumsum(self.noise)
         self.log_noise = np.log(self.noise * NOISE).astype(np.float32)
@@ -249,47 +272,171 @@ class Members:
         return out
 
 
-def _places(frequent: Frequent, words: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
-    """The place of each word of all texts (-1: not in the table), and the first position of each text."""
-    sizes = np.array([len(w) for w in words], np.int64)
-    places = np.fromiter(map(frequent.index.get, chain.from_iterable(words), repeat(-1)), np.int64, int(sizes.sum()))
-    return places, np.cumsum(sizes) - sizes
+@dataclass
+class State:
+    """All that a round hands on: parameters, and sums of squares that set the learning rates."""
+
+    trainer: Trainer
+    members: Members
+
+    @classmethod
+    def begin(cls, frequent: Frequent) -> State:
+        model = initial(frequent)
+        return cls(Trainer(model, model.bias), Members(frequent))
+
+    def _arrays(self) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        model = self.trainer.model
+        return [model.far, model.near, model.word, model.bias, self.members.values], [*self.trainer.learnt, *self.members.learnt]
+
+    def flat(self) -> np.ndarray:
+        """All parameters and the roots of all sums, one after the other."""
+        values, sums = self._arrays()
+        return np.concatenate([x.ravel() for x in values] + [np.sqrt(x) for x in sums])
+
+    def load(self, flat: np.ndarray) -> None:
+        at, (values, sums) = 0, self._arrays()
+        for i, array in enumerate([*values, *sums]):
+            part = flat[at : at + array.size].reshape(array.shape)
+            array[...] = part if i < len(values) else part**2
+            at += array.size
+
+
+def _numbers(column) -> tuple[np.ndarray, np.ndarray]:
+    """The written places of all rows, and the rows' offsets among them."""
+    body, offsets = utf8(column)
+    return np.frombuffer(body.tobytes(), "<i4").astype(np.int64), offsets // 4
+
+
+class Learner:
+    """One shard's copy: tokens are learnt from in windows of one size, whatever batches they come in."""
+
+    def __init__(self, state: State, shard: int):
+        self.state, self.random, self.seen = state, np.random.RandomState(shard % 2**32), 0
+        self.kept: list[np.ndarray] = [np.zeros(0, np.int64)] * 4
 
+    def add(self, frequent: Frequent, places: np.ndarray, first: np.ndarray) -> None:
+        ids = frequent.head_ids(places)
+        self.kept = [np.concatenate(x) for x in zip(self.kept, (*contexts(ids, first), ids, places), strict=True)]
+        whole = len(places) and len(self.kept[0]) // WINDOW * WINDOW
+        for low in range(0, whole, WINDOW):
+            self._learn([x[low : low + WINDOW] for x in self.kept])
+        self.kept = [x[whole:] for x in self.kept]
+
+    def _learn(self, part: list[np.ndarray]) -> None:
+        far, near, ids, places = part
+        self.state.trainer.learn(far, near, ids, self.random)
+        self.state.members.learn(self.state.trainer.model, far, near, places)
+        self.seen += len(ids)
+
+    def result(self) -> tuple[np.ndarray, int]:
+        """The copy in whole steps, times its weight, and the weight."""
+        if len(self.kept[0]):
+            self._learn(self.kept)
+        weight = max(1, self.seen // WEIGHT)
+        return np.rint(self.state.flat().astype(np.float64) * FINE).astype(np.int64) * weight, weight
+
+
+def _trained(frequent: Frequent, start: np.ndarray):
+    """Sums of the copies of a task's shards, whose rows come one shard after the other."""
 
-def _trained(frequent: Frequent):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, random, seen = initial(frequent), np.random.RandomState(5), 0
-        trainer, members = Trainer(model), Members(frequent)
+        total, weights, shard, learner = None, 0, None, None
+
+        def close():
+            nonlocal total, weights
+            values, weight = learner.result()
+            total, weights = values if total is None else total + values, weights + weight
+
         for batch in batches:
-            _, offsets = utf8(batch.column(0))
-            for start, end in steps(offsets):
-                places, first = _places(frequent, [tokens(t) for t in _texts(batch.column(0), start, end)])
-                ids = frequent.head_ids(places)
-                far, near = contexts(ids, first)
-                trainer.learn(far, near, ids, random)
-                members.learn(model, far, near, places)
-                seen += len(ids)
-        if seen:
-            flat = np.concatenate([x.ravel() for x in (model.far, model.near, model.word, model.bias, members.values)]) * np.float32(seen)
-            parts = [flat[at : at + PIECE].tobytes() for at in range(0, len(flat), PIECE)]
-            salt = random.randint(SALTS)
+            shards = batch.column(0).to_numpy()
+            _, offsets = utf8(batch.column(1))
+            for a, b in steps(offsets):
+                cut = [a, *(np.flatnonzero(np.diff(shards[a:b])) + a + 1).tolist(), b]
+                for low, high in zip(cut[:-1], cut[1:], strict=True):
+                    if shards[low] != shard:
+                        if learner is not None:
+                            close()
+                        shard, state = shards[low], State.begin(frequent)
+                        state.load(start)
+                        learner = Learner(state, int(shard))
+                    places, at = _numbers(batch.column(1)[low:high])
+                    learner.add(frequent, places, at[:-1])
+        if learner is not None:
+            close()
+            parts = [total[at : at + PIECE].tobytes() for at in range(0, len(total), PIECE)]
+            salt = TaskContext.get().partitionId() % SALTS
             yield pa.RecordBatch.from_pydict(
-                {"row": pa.array(np.arange(len(parts)), pa.int32()), "salt": pa.array(np.full(len(parts), salt), pa.int32()), "tokens": pa.array(np.full(len(parts), seen), pa.int64()), "values": pa.array(parts, pa.binary())}
+                {"row": pa.array(np.arange(len(parts)), pa.int32()), "salt": pa.array(np.full(len(parts), salt), pa.int32()), "weight": pa.array(np.full(len(parts), weights), pa.int64()), "values": pa.array(parts, pa.binary())}
             )
 
     return run
 
 
+SUMS = "row int, weight long, values binary"
+
+
 def _summed(table: pa.Table) -> pa.Table:
-    row = table.column("row")[0].as_py()
-    total = np.sum([np.frombuffer(v, np.float32) for v in table.column("values").to_pylist()], axis=0, dtype=np.float64).astype(np.float32)
-    return pa.table({"row": pa.array([row], pa.int32()), "tokens": pa.array([sum(table.column("tokens").to_pylist())], pa.int64()), "values": pa.array([total.tobytes()], pa.binary())})
+    total = np.sum([np.frombuffer(v, np.int64) for v in table.column("values").to_pylist()], axis=0)
+    weight = sum(table.column("weight").to_pylist())
+    return pa.table({"row": table.column("row")[:1], "weight": pa.array([weight], pa.int64()), "values": pa.array([total.tobytes()], pa.binary())})
+
+
+def train(rows: DataFrame, frequent: Frequent) -> State:
+    """The state after all rounds over rows of key, mark and places (numbers of words, see _placed)."""
+    shards = max(1, -(-frequent.n // SHARD))
+    rounds = min(ROUNDS, shards)
+    state = State.begin(frequent)
+    bare = replace(frequent, index={})
+    dealt = rows.withColumn("shard", F.pmod(F.xxhash64(F.xxhash64("key", "mark")), F.lit(shards)))
+    for number in range(rounds):
+        mine = dealt.filter(F.pmod("shard", F.lit(rounds)) == number)
+        mine = mine.repartition("shard").sortWithinPartitions("shard", "key", "mark").select("shard", "places")
+        sums = mine.transform(map_batches, _trained(bare, state.flat()), "row int, salt int, weight long, values binary")
+        half = sums.groupBy("row", "salt").applyInArrow(_summed, SUMS)  # SALTS sums of each piece come before its one sum
+        got = sorted(half.groupBy("row").applyInArrow(_summed, SUMS).collect(), key=lambda r: r["row"])
+        if got:  # a round may have no rows
+            state.load(np.concatenate([np.frombuffer(r["values"], np.int64) / (r["weight"] * FINE) for r in got]).astype(np.float32))
+    return state
+
+
+def _placed(frequent: Frequent):
+    """Numbers of the words of each text, its sums over words of the table, and its other words with their counts."""
+    log_counts = np.append(np.log10(frequent.counts + SMOOTH), 0.0)  # the last place stands for a word outside the table
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index = frequent.index
+        for batch in batches:
+            _, offsets = utf8(batch.column(3))
+            for start, end in steps(offsets, STEP):
+                numbers, names, counts = words_of(batch.column(3)[start:end])
+                at = np.fromiter(map(index.get, names, repeat(-1)), np.int64, len(names))
+                places = with_ends(at[numbers] if len(names) else numbers, counts, index.get(END_WORD, -1))
+                ends = np.concatenate([[0], np.cumsum(counts + 1)])
+                known = (places >= 0).astype(np.int64)
+                rare = np.flatnonzero(at[numbers] < 0) if len(names) else np.zeros(0, np.int64)
+                row = np.repeat(np.arange(end - start), counts)[rare]
+                pairs, n = np.unique(row * max(1, len(names)) + numbers[rare], return_counts=True)
+                of, word = pairs // max(1, len(names)), pairs % max(1, len(names))
+                cut = pa.array(np.searchsorted(of, np.arange(end - start + 1)).astype(np.int32))
+                written = pa.py_buffer(np.ascontiguousarray(places.astype("<i4")))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        *(batch.column(c)[start:end] for c in (0, 1, 2)),
+                        batch.column(4)[start:end],
+                        pa.array(counts + 1),
+                        pa.Array.from_buffers(pa.large_binary(), end - start, [None, pa.py_buffer(ends * 4), written]).cast(pa.binary()),
+                        pa.array(np.add.reduceat(known, ends[:-1])),
+                        pa.array(np.add.reduceat(log_counts[places], ends[:-1])),
+                        pa.ListArray.from_arrays(cut, pa.array(names, pa.binary()).take(pa.array(word))),
+                        pa.ListArray.from_arrays(cut, pa.array(n.astype(np.int64))),
+                    ],
+                    names=["doc_id", "key", "mark", "held_out", "n_tokens", "places", "n_frequent", "base", "rare", "rare_n"],
+                )
 
-def _averaged(trained: DataFrame) -> list:
-    """The token-weighted mean of the tasks' parameters, in pieces; SALTS sums of each piece come before its one sum."""
-    half = trained.groupBy("row", "salt").applyInArrow(_summed, "row int, tokens long, values binary")
-    return half.groupBy("row").applyInArrow(_summed, "row int, tokens long, values binary").collect()
+    return run
+
+
+PLACED = "doc_id long, key long, mark long, held_out boolean, n_tokens long, places binary, n_frequent long, base double, rare array<binary>, rare_n array<long>"
 
 
 _TABLES: dict[bytes, tuple] = {}
@@ -297,7 +444,6 @@ _TABLES: dict[bytes, tuple] = {}
 
 def _scored(frequent: Frequent, model: Model, members: Members):
     stamp = model.word.tobytes()[:64] + model.bias.tobytes()[:64]
-    log_counts = np.log10(frequent.counts + SMOOTH)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if stamp not in _TABLES:
@@ -305,48 +451,28 @@ def _scored(frequent: Frequent, model: Model, members: Members):
             _TABLES[stamp] = model.tables()
         a, b, z = _TABLES[stamp]
         for batch in batches:
-            _, offsets = utf8(batch.column(2))
+            _, offsets = utf8(batch.column(batch.num_columns - 1))
             for start, end in steps(offsets):
-                words = [tokens(t) for t in _texts(batch.column(2), start, end)]
-                places, first = _places(frequent, words)
+                places, at = _numbers(batch.column(batch.num_columns - 1)[start:end])
                 ids = frequent.head_ids(places)
-                far, near = contexts(ids, first)
+                far, near = contexts(ids, at[:-1])
                 logs = ((a[far, ids] + b[near, ids] - z[far, near]).astype(np.float64) + members.logs(model, far, near, places)) / math.log(10)
-                known = places >= 0
-                base = np.where(known, log_counts[places], 0.0) if len(log_counts) else np.zeros(len(places))
-                sums = [np.add.reduceat(x, first) for x in (logs, base, known.astype(np.int64))]
-                rare, rare_n = [], []
-                for text, at in zip(words, first.tolist(), strict=True):
-                    missing = np.flatnonzero(~known[at : at + len(text)])
-                    found = Counter(text[i] for i in missing.tolist())
-                    rare.append(list(found))
-                    rare_n.append(list(found.values()))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0)[start:end],
-                        batch.column(1)[start:end],
-                        pa.array([len(w) for w in words], pa.int64()),
-                        pa.array(sums[2]),
-                        pa.array(sums[1]),
-                        pa.array(sums[0]),
-                        pa.array(rare, pa.list_(pa.binary())),
-                        pa.array(rare_n, pa.list_(pa.int64())),
-                    ],
-                    names=["doc_id", "held_out", "n_tokens", "n_frequent", "base", "model", "rare", "rare_n"],
-                )
+                yield pa.RecordBatch.from_arrays([*(c[start:end] for c in batch.columns[:-1]), pa.array(np.add.reduceat(logs, at[:-1]))], names=[*batch.schema.names[:-1], "model"])
 
     return run
 
 
-ROWS = "doc_id long, held_out boolean, n_tokens long, n_frequent long, base double, model double, rare array<binary>, rare_n array<long>"
-
-
-def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score (log10 of the text's probability)."""
-    held = remainder_is_0(id_col, HELD_OUT)
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), held.alias("held_out"), F.col(text_col).alias("text"))
-    training = rows.filter("not held_out").select("text")
-    counts = training.transform(map_batches, _counted, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+def counted(docs: DataFrame, id_col: str, text_col: str) -> tuple[Frequent, DataFrame, DataFrame]:
+    """The table of frequent words, the written counts of all training words, and the rows with key, mark (see
+    licenses.keyed), text and held_out."""
+    rows = docs.select(
+        F.col(id_col).cast("long").alias("doc_id"),
+        F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("key"),
+        F.xxhash64(text_col).alias("mark"),
+        F.col(text_col).alias("text"),
+        remainder_is_0(id_col, HELD_OUT).alias("held_out"),
+    )
+    counts = rows.filter("not held_out").select("text").transform(map_batches, _counted, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
     counts = materialise(counts, "word-counts")
     n, v = (x or 0 for x in counts.agg(F.sum("n"), F.count("*")).first())
     # words from the rarest class of counts on whose words, with all more frequent ones, are FREQUENT at most
@@ -363,20 +489,23 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     places = {w: i for i, w in enumerate(words)}
     numbers = np.array([by_word.get(w, 0) for w in words], np.int64)
     heads = min(SINGLE, len(places))
-    frequent = Frequent(places, numbers, heads, n, v, n - int(numbers.sum()), v - len(places), -(-(len(places) - heads) // (HEADS - 2 - heads)))
-
-    model, members = initial(frequent), Members(frequent)
-    if n:
-        got = sorted(_averaged(training.transform(map_batches, _trained(frequent), "row int, salt int, tokens long, values binary")), key=lambda r: r["row"])
-        flat = np.concatenate([np.frombuffer(r["values"], np.float32) / r["tokens"] for r in got]).astype(np.float32)
-        *vectors, bias, rest = np.split(flat, np.cumsum([frequent.size * WIDTH] * 3 + [frequent.size]))
-        model = Model(*(x.reshape(-1, WIDTH) for x in vectors), bias.copy())
-        members = Members(frequent, rest.reshape(-1, WIDTH + 1))
+    return Frequent(places, numbers, heads, n, v, n - int(numbers.sum()), v - len(places), -(-(len(places) - heads) // (HEADS - 2 - heads))), counts, rows
+
+
+def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score (log10 of the text's probability)."""
+    frequent, counts, rows = counted(docs, id_col, text_col)
+    n, v = frequent.n, frequent.v
+    placed = rows.transform(map_batches, _placed(frequent), PLACED).withColumn("row", F.monotonically_increasing_id())
+    placed = materialise(placed, "placed-words")
+    state = train(placed.filter("not held_out").select("key", "mark", "places"), frequent) if n else State.begin(frequent)
+    model, members = state.trainer.model, state.members
     model.bias[START] = -1e4  # never a token
 
-    scored = rows.transform(map_batches, _scored(frequent, model, members), ROWS).withColumn("row", F.monotonically_increasing_id())
-    scored = materialise(scored, "scored-rows")
-    rare = scored.select("row", F.explode(F.arrays_zip("rare", "rare_n")).alias("x")).select("row", F.col("x.rare").alias("word"), F.col("x.rare_n").alias("m"))
+    known = "row long, doc_id long, held_out boolean, n_tokens long, n_frequent long, base double"
+    inputs = placed.select(*(c.split()[0] for c in known.split(", ")), "places")
+    scored = inputs.transform(map_batches, _scored(frequent, model, members), f"{known}, model double")
+    rare = placed.select("row", F.explode(F.arrays_zip("rare", "rare_n")).alias("x")).select("row", F.col("x.rare").alias("word"), F.col("x.rare_n").alias("m"))
     logs = F.log10(F.coalesce(F.col("n"), F.lit(0)) + SMOOTH)
     sums = rare.join(counts, "word", "left").groupBy("row").agg(
         F.sum(F.col("m") * logs).alias("rare_logs"), F.sum("m").alias("n_rare"), F.sum(F.when(F.col("n") > 0, F.col("m")).otherwise(0)).alias("rare_known")

@@ -222,17 +222,21 @@ def test_decontamination_equals_sql(spark, small):
 # 9
 
 
+def lm_tokens(text):
+    return [*re.sub(rb"[A-Z]", lambda m: m[0].lower(), (text or "").encode()).split(), b""]
+
+
 @pytest.mark.parametrize("frequent", [1 << 17, 40])
 def test_lm(spark, docs, rows, empty, monkeypatch, frequent):
     monkeypatch.setattr(lm, "FREQUENT", frequent)
     counts = Counter()
     for i, t in rows:
         if zlib.crc32(("" if i is None else str(i)).encode()) % 10:
-            counts.update(lm.tokens((t or "").encode()))
+            counts.update(lm_tokens(t))
     n, v = sum(counts.values()), len(counts)
     expected = Counter()
     for i, t in rows:
-        w = lm.tokens((t or "").encode())
+        w = lm_tokens(t)
         base = sum(math.log10((counts[x] + 0.1) / (n + 0.1 * (v + 1))) for x in w)
         expected[i, zlib.crc32(("" if i is None else str(i)).encode()) % 10 == 0, len(w), sum(counts[x] > 0 for x in w), n, round(base, 6)] += 1
     got = lm.score(docs).collect()
@@ -242,13 +246,83 @@ def test_lm(spark, docs, rows, empty, monkeypatch, frequent):
     assert lm.score(empty).count() == 0
 
 
+def test_lm_is_one_model_however_rows_are_parted(spark, docs, rows, monkeypatch):
+    monkeypatch.setattr(lm, "SHARD", 3000)
+    monkeypatch.setattr(lm, "WINDOW", 512)
+    monkeypatch.setattr(lm, "BATCH", 128)
+    monkeypatch.setattr(lm, "FREQUENT", 200)
+    monkeypatch.setattr(lm, "SINGLE", 30)
+    monkeypatch.setattr(lm, "HEADS", 62)
+    found = []
+    for parts, shuffles in ((2, 3), (24, 7)):
+        monkeypatch.setattr(lm, "STEP", 1 << 20 if parts == 2 else 3000)
+        spark.conf.set("spark.sql.shuffle.partitions", shuffles)
+        try:
+            found.append(Counter(tuple(r) for r in lm.score(docs.repartition(parts)).collect()))
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", 4)
+    key = lambda r: (str(r[:5]), r[5], r[6])
+    one, two = (sorted(f.elements(), key=key) for f in found)
+    assert [r[:5] for r in one] == [r[:5] for r in two]
+    assert np.allclose([r[5:] for r in one], [r[5:] for r in two], rtol=1e-9, atol=0)
+
+
+def test_lm_scores_by_the_models_own_numbers(spark, docs, rows, monkeypatch):
+    """Scores from the trained parameters by plain sums over the whole vocabulary."""
+    monkeypatch.setattr(lm, "SHARD", 4000)
+    monkeypatch.setattr(lm, "FREQUENT", 150)
+    monkeypatch.setattr(lm, "SINGLE", 20)
+    monkeypatch.setattr(lm, "HEADS", 42)
+    states = []
+    train = lm.train
+    monkeypatch.setattr(lm, "train", lambda *a: states.append((train(*a), a[1])) or states[-1][0])
+    got = Counter((r["doc_id"], round(r["score"], 4)) for r in lm.score(docs).collect())
+    (state, table), counts = states[0], Counter()
+    for i, t in rows:
+        if zlib.crc32(("" if i is None else str(i)).encode()) % 10:
+            counts.update(lm_tokens(t))
+    model, values = state.trainer.model, state.members.values.astype(float)
+    assert table.members > 1 and abs(model.far).max() > 0.11
+    number = lambda w: int(table.head_ids(np.array([table.index.get(w, -1)]))[0])
+    other_n = sum(n for w, n in counts.items() if w not in table.index)
+    other_v = sum(w not in table.index for w in counts)
+    known = {}
+
+    def log(far, near, word):
+        if (far, near, word) not in known:
+            query = model.far[far].astype(float) + model.near[near]
+            logits = model.word @ query + model.bias
+            total = logits[number(word)] - math.log(np.exp(logits).sum())
+            place = table.index.get(word, -1)
+            if place >= table.heads:
+                low = (place - table.heads) // table.members * table.members
+                mine = values[low : low + table.members] @ np.append(query, 1.0)
+                total += mine[place - table.heads - low] - math.log(np.exp(mine).sum())
+            if place < 0:
+                total += math.log((counts[word] + 0.1) / (other_n + 0.1 * (other_v + 1)))
+            known[far, near, word] = total / math.log(10)
+        return known[far, near, word]
+
+    expected = Counter()
+    for i, t in rows:
+        far = near = lm.START
+        total = 0.0
+        for w in lm_tokens(t):
+            total += log(far, near, w)
+            far, near = near, number(w)
+        expected[i, round(total, 4)] += 1
+    near_ = lambda a, b: a[0] == b[0] and math.isclose(a[1], b[1], rel_tol=1e-5, abs_tol=1e-3)
+    key = lambda x: (x[0] is not None, x[0] or 0, x[1])
+    assert all(near_(a, b) for a, b in zip(sorted(got.elements(), key=key), sorted(expected.elements(), key=key), strict=True))
+
+
 def test_lm_is_normalised():
     frequent = lm.Frequent({b"": 0, b"a": 1, b"b": 2}, np.array([10, 30, 5]), 3, 50, 8, 5, 5)
     model = lm.initial(frequent)
     r = np.random.RandomState(1)
     ids = r.choice([2, 3, 3, 4, 0], 4000)
     first = np.arange(0, 4000, 20)
-    trainer = lm.Trainer(model)
+    trainer = lm.Trainer(model, model.bias)
     before = model.bias.copy()
     trainer.learn(*lm.contexts(ids, first), ids, r)
     a, b, z = model.tables()
