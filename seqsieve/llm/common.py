@@ -11,13 +11,14 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Text bytes that one numpy step handles at once; bounds the temporary arrays of a task.
 STEP_BYTES = 1 << 20
 #: Bytes of an Arrow batch between Spark and Python, the setting's name and its default.
 BATCH_BYTES, ARROW_BYTES, ARROW_DEFAULT = 4 << 20, "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
-#: Most ids that are broadcast (32 MB of longs); more are joined by a shuffle.
-BROADCAST_IDS = 4_000_000
+#: Bytes of a table that may be broadcast.
+BROADCAST_BYTES = 64 << 20
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -44,11 +45,18 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def with_ids(df: DataFrame, ids: DataFrame, id_col: str, how: str = "inner") -> DataFrame:
-    """Joins df to ids (a written table, one row per id). The ids are broadcast if their counted number is within
-    BROADCAST_IDS, and joined by a shuffle beyond it; the rows are the same."""
-    small = ids.count() <= BROADCAST_IDS
-    return df.join(F.broadcast(ids) if small else ids, id_col, how)
+def row_bytes(df: DataFrame) -> int:
+    """Bytes of a row of numbers in a broadcast table, with the room that a hash table takes for it."""
+    for field in df.schema.fields:
+        if not isinstance(field.dataType, (T.NumericType, T.BooleanType)):
+            raise TypeError(f"{field.name} has no fixed size")
+    return 48 + 16 * len(df.columns)
+
+
+def small(df: DataFrame, rows: int) -> DataFrame:
+    """df, a table of numbers with this counted number of rows, marked to be broadcast if it takes BROADCAST_BYTES at
+    most. Beyond that Spark joins it by a shuffle; the rows are the same."""
+    return F.broadcast(df) if rows * row_bytes(df) <= BROADCAST_BYTES else df
 
 
 def free_names(df: DataFrame, *names: str) -> list[str]:

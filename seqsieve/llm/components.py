@@ -5,20 +5,36 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import free_names, materialise
 
 
-def _smallest(edges: DataFrame) -> DataFrame:
-    """Joins to each row its node a's smallest neighbour m. Sums come first and the join's hot side can be split, so a
-    node with very many links is no single task's work."""
-    return edges.join(edges.groupBy("a").agg(F.min("b").alias("m")), "a")
+#: Rows of one key that are one task's work in any case, and most keys that may have more.
+HOT_ROWS, HOT_KEYS = 1000, 10_000
 
 
-def _round(edges: DataFrame) -> DataFrame:
+def split_join(rows: DataFrame, sums: DataFrame, key: str, by: str, total: int) -> DataFrame:
+    """rows joined to sums by key, for sums with one row for each key and n, the number of its rows. Rows of a key with
+    many of them are dealt by column `by` to as many tasks as it needs. total: the number of rows, which bounds the
+    broadcast list of such keys by HOT_KEYS."""
+    limit = max(HOT_ROWS, total // HOT_KEYS)
+    splits, salt = free_names(rows, "__splits", "__salt")
+    sums = sums.withColumn(splits, F.ceil(F.col("n") / limit).cast("int"))
+    hot = F.broadcast(sums.filter(F.col(splits) > 1).select(key, splits))
+    dealt = rows.join(hot, key, "left").withColumn(salt, F.pmod(F.xxhash64(by), F.coalesce(splits, F.lit(1)))).drop(splits)
+    spread = sums.withColumn(salt, F.explode(F.sequence(F.lit(0).cast("long"), F.col(splits).cast("long") - 1))).drop(splits)
+    return dealt.join(spread, [key, salt]).drop(salt)
+
+
+def _smallest(edges: DataFrame, total: int) -> DataFrame:
+    """Joins to each row its node a's smallest neighbour m."""
+    return split_join(edges, edges.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n")), "a", "b", total).drop("n")
+
+
+def _round(edges: DataFrame, total: int) -> DataFrame:
     """A large-star, then a small-star step; edges run from the larger node a to the smaller node b."""
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    large = _smallest(both).filter("b > a").select(F.col("b").alias("a"), F.least("a", "m").alias("b")).distinct()
-    small = _smallest(large)
+    large = _smallest(both, 2 * total).filter("b > a").select(F.col("b").alias("a"), F.least("a", "m").alias("b")).distinct()
+    small = _smallest(large, total)
     ends = F.explode(F.array(F.struct(F.col("a"), F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b"))))
     return small.select(ends.alias("e")).select("e.a", "e.b").filter("a > b").distinct()
 
@@ -34,7 +50,7 @@ def connected_components(links: DataFrame) -> DataFrame:
         if state == seen or state[0] == 0:
             break
         seen = state
-        edges = materialise(_round(edges), "links")
+        edges = materialise(_round(edges, state[0]), "links")
     stars = edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
     return stars.unionByName(stars.select(F.col("root").alias("node"), "root").distinct())
 
@@ -48,10 +64,12 @@ def blocks(members: DataFrame, size: int) -> DataFrame:
 
 def block_pairs(items: DataFrame, groups: int, by: str = "root") -> DataFrame:
     """A row for each pair of blocks that an item (by, block, n_blocks) takes part in. The columns part and pair tell
-    a task's group: whole small components share one of `groups` parts, a pair of blocks of a large one stands alone."""
+    a task's group: whole small components share one of `groups` parts, a pair of blocks of a large one stands alone.
+    side is 0 inside a block, and 1 or 2 in a pair of two blocks, of which one may have no items."""
     others = F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)).alias("other")
     rows = items.select("*", others)
     pair = F.least("block", "other").cast("long") * F.col("n_blocks") + F.greatest("block", "other")
     small = F.col("n_blocks") == 1
     part = F.when(small, F.pmod(F.xxhash64(by), F.lit(groups))).otherwise(F.col(by))
-    return rows.withColumn("part", part).withColumn("pair", F.when(small, F.lit(-1).cast("long")).otherwise(pair)).drop("other")
+    side = F.when(F.col("block") == F.col("other"), 0).when(F.col("block") < F.col("other"), 1).otherwise(2)
+    return rows.withColumn("part", part).withColumn("side", side).withColumn("pair", F.when(small, F.lit(-1).cast("long")).otherwise(pair)).drop("other")

@@ -9,7 +9,7 @@ probe the table of all sketches, and a document that meets enough of an item's s
 verified: the item's shingles are counted in the document by their words.
 
 The tables of items are broadcast if their counted rows are within MAX_BROADCAST_ROWS and shuffled beyond it; so are
-candidate ids (see common.with_ids). All that is shuffled are hits.
+candidate ids (see common.small). All that is shuffled are hits.
 
 Edge cases: an item with fewer than five words has no shingles and is never found; null items and texts hold nothing;
 repeated rows with one id and text are one document, and so is an id with several texts for the pairs (the largest
@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_IDS, free_names, materialise
+from .common import free_names, materialise, small
 from .licenses import NO_ID, keyed, word_array
 
 SHINGLE, CONTAINMENT, MARGIN = 5, 0.8, 4
@@ -65,8 +65,7 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
     candidates = materialise(met.filter("n >= need_sketch").select("key", "mark", "item_id"), "leak-candidates")
 
     ids = candidates.select("key", "mark").distinct()
-    ids = F.broadcast(ids) if candidates.count() <= BROADCAST_IDS else ids
-    held = _shingles(rows.join(ids, ["key", "mark"], "left_semi"), ["key", "mark"])
+    held = _shingles(rows.join(small(ids, candidates.count()), ["key", "mark"], "left_semi"), ["key", "mark"])
     exact = held.join(_small(table.select("item_id", "hash", "shingle", "n_shingles", "need")), ["hash", "shingle"])
     exact = exact.join(candidates, ["key", "mark", "item_id"], "left_semi")
     exact = exact.groupBy("key", "mark", "item_id", "n_shingles", "need").agg(F.count_distinct("shingle").alias("n_shared"))
@@ -85,6 +84,5 @@ def drop_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
     found = materialise(leaks(docs, items, id_col, text_col).select("key", "mark").distinct(), "leaking")
     key, mark = free_names(docs, "__key", "__mark")
     found = found.withColumnsRenamed({"key": key, "mark": mark})
-    found = F.broadcast(found) if found.count() <= BROADCAST_IDS else found
     here = (F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)) == F.col(key)) & (F.xxhash64(text_col) == F.col(mark))
-    return docs.join(found, here, "left_anti")
+    return docs.join(small(found, found.count()), here, "left_anti")

@@ -54,7 +54,7 @@ HELD_OUT, SMOOTH = 10, 0.1
 HEADS, WIDTH, FREQUENT = 2048, 16, 1 << 17
 SINGLE = 1022
 #: Numbers of a piece of the parameters as they are summed, and sums of each piece before the last one.
-PIECE, SALTS = 1 << 16, 16
+PIECE, SALTS = 1 << 16, 4
 #: Bytes of the longest word that may be broadcast: bounds that table.
 LONGEST = 64
 #: Tokens of a shard, most rounds, steps of a parameter of size 1, and tokens that weigh 1 in the mean.
@@ -328,12 +328,22 @@ class Learner:
         self.state.members.learn(self.state.trainer.model, far, near, places)
         self.seen += len(ids)
 
-    def result(self) -> tuple[np.ndarray, int]:
-        """The copy in whole steps, times its weight, and the weight."""
+    def result(self, start: np.ndarray) -> tuple[np.ndarray, int]:
+        """What the copy has moved from the start, in whole steps, times its weight, and the weight."""
         if len(self.kept[0]):
             self._learn(self.kept)
         weight = max(1, self.seen // WEIGHT)
-        return np.rint(self.state.flat().astype(np.float64) * FINE).astype(np.int64) * weight, weight
+        return np.rint((self.state.flat() - start.astype(np.float64)) * FINE).astype(np.int64) * weight, weight
+
+
+def packed(values: np.ndarray) -> bytes:
+    """Whole numbers with their lowest bytes first, then all second bytes and so on: most of it is alike and
+    compresses well in a shuffle."""
+    return values.astype("<i8").view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, np.uint8).reshape(8, -1).T.copy().view("<i8").ravel()
 
 
 def _trained(frequent: Frequent, start: np.ndarray):
@@ -344,7 +354,7 @@ def _trained(frequent: Frequent, start: np.ndarray):
 
         def close():
             nonlocal total, weights
-            values, weight = learner.result()
+            values, weight = learner.result(start)
             total, weights = values if total is None else total + values, weights + weight
 
         for batch in batches:
@@ -363,7 +373,7 @@ def _trained(frequent: Frequent, start: np.ndarray):
                     learner.add(frequent, places, at[:-1])
         if learner is not None:
             close()
-            parts = [total[at : at + PIECE].tobytes() for at in range(0, len(total), PIECE)]
+            parts = [packed(total[at : at + PIECE]) for at in range(0, len(total), PIECE)]
             salt = TaskContext.get().partitionId() % SALTS
             yield pa.RecordBatch.from_pydict(
                 {"row": pa.array(np.arange(len(parts)), pa.int32()), "salt": pa.array(np.full(len(parts), salt), pa.int32()), "weight": pa.array(np.full(len(parts), weights), pa.int64()), "values": pa.array(parts, pa.binary())}
@@ -376,9 +386,9 @@ SUMS = "row int, weight long, values binary"
 
 
 def _summed(table: pa.Table) -> pa.Table:
-    total = np.sum([np.frombuffer(v, np.int64) for v in table.column("values").to_pylist()], axis=0)
+    total = np.sum([unpacked(v) for v in table.column("values").to_pylist()], axis=0)
     weight = sum(table.column("weight").to_pylist())
-    return pa.table({"row": table.column("row")[:1], "weight": pa.array([weight], pa.int64()), "values": pa.array([total.tobytes()], pa.binary())})
+    return pa.table({"row": table.column("row")[:1], "weight": pa.array([weight], pa.int64()), "values": pa.array([packed(total)], pa.binary())})
 
 
 def train(rows: DataFrame, frequent: Frequent) -> State:
@@ -391,11 +401,13 @@ def train(rows: DataFrame, frequent: Frequent) -> State:
     for number in range(rounds):
         mine = dealt.filter(F.pmod("shard", F.lit(rounds)) == number)
         mine = mine.repartition("shard").sortWithinPartitions("shard", "key", "mark").select("shard", "places")
-        sums = mine.transform(map_batches, _trained(bare, state.flat()), "row int, salt int, weight long, values binary")
+        start = state.flat()
+        sums = mine.transform(map_batches, _trained(bare, start), "row int, salt int, weight long, values binary")
         half = sums.groupBy("row", "salt").applyInArrow(_summed, SUMS)  # SALTS sums of each piece come before its one sum
         got = sorted(half.groupBy("row").applyInArrow(_summed, SUMS).collect(), key=lambda r: r["row"])
         if got:  # a round may have no rows
-            state.load(np.concatenate([np.frombuffer(r["values"], np.int64) / (r["weight"] * FINE) for r in got]).astype(np.float32))
+            moved = np.concatenate([unpacked(r["values"]) / (r["weight"] * FINE) for r in got])
+            state.load((start + moved).astype(np.float32))
     return state
 
 

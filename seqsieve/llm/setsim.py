@@ -55,7 +55,7 @@ def fingerprint(values: np.ndarray) -> tuple[int, int]:
 
 
 _RANDOM = np.random.RandomState(1234567)
-_FACTORS = (_RANDOM.randint(0, 2**31, 256, dtype=np.int64) * 2 + 1).astype(np.uint32)
+_FACTORS = (_RANDOM.randint(0, 2**31, 512, dtype=np.int64) * 2 + 1).astype(np.uint32)
 
 
 def minhash(sets: list[np.ndarray], k: int) -> np.ndarray:
@@ -68,7 +68,7 @@ def minhash(sets: list[np.ndarray], k: int) -> np.ndarray:
         v = (low ^ (high >> np.uint32(i % 13))) * _FACTORS[i]
         v ^= v >> np.uint32(16)
         v *= np.uint32(0x85EBCA6B)
-        v += high * _FACTORS[255 - i]
+        v += high * _FACTORS[511 - i]
         v ^= v >> np.uint32(15)
         out[:, i] = np.minimum.reduceat(v * np.uint32(0xC2B2AE35), at)
     return out

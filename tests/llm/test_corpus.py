@@ -14,7 +14,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from seqsieve.llm import components, decontaminate, jaccard_join, line_dedup, lm, quality, setsim, words
+from seqsieve.llm import common, components, decontaminate, jaccard_join, line_dedup, lm, quality, setsim, words
 from seqsieve.llm import queries as module
 
 # shared parts
@@ -83,7 +83,8 @@ def test_near_copies(spark, docs, rows, empty):
 
 def test_near_copies_in_blocks(spark, docs, rows, monkeypatch):
     monkeypatch.setattr(jaccard_join, "BLOCK", 4)
-    monkeypatch.setattr(jaccard_join, "with_ids", lambda df, ids, c, how="inner": df.join(ids, c, how))
+    monkeypatch.setattr(components, "HOT_ROWS", 3)
+    monkeypatch.setattr(common, "BROADCAST_BYTES", 0)
     got = Counter(tuple(r) for r in jaccard_join.near_copies(docs).collect())
     assert got == Counter((rows[k][0], *v) for k, v in brute.near_copies(rows).items())
 
@@ -93,7 +94,35 @@ def test_keep_first(spark, docs, rows):
     assert kept.columns == docs.columns
     ids = [r["doc_id"] for r in kept.collect()]
     expected = brute.near_copies(rows)
-    assert Counter(ids) == Counter([i for i in {rows[k][0] for k, v in expected.items() if v[1] == rows[k][0]} if i is not None] + [None, None])
+    alone = [rows[k][0] for k, v in expected.items() if v[2] == 0]
+    assert Counter(ids) == Counter(alone + list({v[1] for v in expected.values() if v[2]}))
+
+
+def test_keep_first_tells_texts_of_one_id_apart(spark):
+    a, b = "alpha beta gamma delta epsilon zeta eta theta", "iota kappa lambda mu nu xi omicron pi rho"
+    rows = [(1, a), (5, a), (5, "one unique text that stays whatever others do"), (9, "x1 x2 x3 x4 x5 x6"), (9, "y1 y2 y3 y4 y5 y6"), (7, b), (7, b), (7, b), (8, b.upper()), (None, a), (None, a), (3, None), (3, None), (4, ""), (2, "short"), (6, "Short!")]
+    table = spark.createDataFrame([(i, t, str(n)) for n, (i, t) in enumerate(rows)], "doc_id long, text string, node string")
+    got = Counter((r["doc_id"], r["text"]) for r in jaccard_join.keep_first(table).collect())
+    assert got == Counter([(1, a), (5, rows[2][1]), rows[3], rows[4], (7, b), (None, a), (None, a), (3, None), (3, None), (4, ""), (2, "short")])
+    assert jaccard_join.keep_first(table.limit(0)).count() == 0
+
+
+def test_keep_first_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "BLOCK", 3)
+    monkeypatch.setattr(jaccard_join, "GROUP_ROWS", 7)
+    monkeypatch.setattr(components, "HOT_ROWS", 2)
+    r = random.Random(3)
+    base = [f"w{n}" for n in range(150)]
+    rows = []
+    for n in range(50):
+        w = list(base)
+        w[r.randrange(150)] = f"x{n}"
+        rows.append((n // 2, " ".join(w)))
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(tuple(x) for x in jaccard_join.near_copies(table).collect())
+    assert got == sorted((rows[k][0], rows[k][0], *v[1:]) for k, v in brute.near_copies(rows).items())
+    assert max(x[3] for x in got) > 20
+    assert jaccard_join.keep_first(table).count() == len({v[1] for v in brute.near_copies(rows).values()})
 
 
 # 7
@@ -209,7 +238,7 @@ def test_decontamination(spark, rows, empty):
 
 def test_decontamination_by_shuffles(spark, rows, monkeypatch):
     monkeypatch.setattr(decontaminate, "MAX_BROADCAST_ROWS", 0)
-    monkeypatch.setattr(decontaminate, "BROADCAST_IDS", 0)
+    monkeypatch.setattr(common, "BROADCAST_BYTES", 0)
     texts, items = leaky(rows[:30])
     got = decontaminate.leaked_pairs(spark.createDataFrame(texts, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
     assert Counter(tuple(r)[:4] for r in got.collect()) == plain_leaks(texts, items)
