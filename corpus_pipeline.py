@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seqsieve.llm import decontaminate, jaccard_join, line_dedup, pieces, quality
-from seqsieve.llm.common import documents, materialise
+from seqsieve.llm.common import documents, free_names, materialise
 from seqsieve.llm.queries import tokenizer_path
 
 
@@ -20,15 +20,17 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def remove_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Later matches of lines go from the texts; a document that loses its whole text goes. n_chars follows the text."""
-    found = line_dedup.dedup_lines(docs)
-    found = found.filter("n_removed = 0 or n_removed < n_lines")
+    lines, removed = free_names(docs, "n_lines", "n_removed")
+    found = line_dedup.dedup_lines(docs, counts=(lines, removed))
+    found = found.filter((F.col(removed) == 0) | (F.col(removed) < F.col(lines)))
     if "n_chars" in docs.columns:
-        found = found.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars")).cast("long"))
-    return found.select(*docs.columns)
+        n_chars = F.when(F.col(removed) > 0, F.length("text")).otherwise(F.col("n_chars"))
+        found = found.withColumn("n_chars", n_chars.cast(docs.schema["n_chars"].dataType))
+    return found.drop(lines, removed)
 
 
 def join_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays, the one with the smallest id."""
+    """One document of each group of near copies stays, the first by id and text."""
     return jaccard_join.keep_first(docs)
 
 
