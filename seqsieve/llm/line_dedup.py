@@ -2,8 +2,8 @@
 
 A line's tokens are its five-word shingles (the rule for near copies here), so a line is a set and two lines match at
 Jaccard similarity 0.8 or more. A line goes if any earlier line matches it, in the order of id, text and line number,
-whether or not that line goes as well. With short=True a line of one to four words is one token, and only lines without
-any word stay unmatched; without it lines of fewer than five words have no tokens and stay.
+whether or not that line goes as well. A line of one to four words is one token, so it matches lines of the same words;
+only lines without any word have no tokens and stay.
 
 1. Rarity: tokens are counted over all lines in 65,536 hash buckets, a table of fixed size. Any order that is the same
    everywhere keeps the join exact; this one puts rare tokens first and common passages last.
@@ -18,11 +18,11 @@ any word stay unmatched; without it lines of fewer than five words have no token
    classes have an earlier match.
 5. Texts are built anew without the lines that go.
 
-Lists of lines are broadcast if they are counted and few (MAX_BROADCAST_LINES), and shuffled beyond it.
+Lists of lines are broadcast if they are counted and take LIST_BYTES at most, and joined by a shuffle of texts beyond it.
 
 Edge cases: null texts stay null, empty texts empty; a text may lose all lines and is then empty (see dedup_lines);
 rows that are alike in id and text are one document and keep the same lines; null ids come first; an empty table gives
-no rows; other columns are kept.
+no rows; all other columns are kept.
 """
 
 from __future__ import annotations
@@ -37,15 +37,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import free_names, map_batches, materialise, steps, utf8
-from .components import block_pairs, blocks, connected_components
+from .components import block_pairs, blocks, connected_components, split_join
 from .licenses import NO_ID, keyed
 from .setsim import needed, shingles, similar
 from .words import mix
 
 BUCKET_BITS, BLOCK = 16, 256
 #: Classes of a block of one token, and lines whose tokens make about one group's work.
-TOKEN_BLOCK, GROUP_LINES = 512, 8192
-MAX_BROADCAST_LINES = 1_000_000
+TOKEN_BLOCK, GROUP_LINES = 512, 2048
+#: Bytes of a line in a broadcast list, with its share of a hash table, and most bytes of such a list.
+LINE_BYTES, LIST_BYTES = 128, 128 << 20
+#: Most tokens of a bucket whose tokens' rows come together without being summed first.
+HOT_TOKENS = 1_000_000
 #: Least size of a set that a different set can match: 4 of 5 tokens.
 ALONE = 4
 
@@ -75,19 +78,20 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             at = offsets[start : end + 1]
             part = body[at[0] : at[-1]]
             lines, _, _ = line_offsets(part, at - at[0])
-            total += np.bincount(_bucket(shingles(part, lines, short=False)[0]), minlength=len(total))
+            total += np.bincount(_bucket(shingles(part, lines)[0]), minlength=len(total))
     some = np.flatnonzero(total)
     yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], names=["bucket", "n"])
 
 
-def rarity(docs: DataFrame, text_col: str = "text") -> np.ndarray:
-    """The rank of each bucket of tokens, by the number of its tokens in all lines; the driver gets the fixed table."""
+def rarity(docs: DataFrame, text_col: str = "text") -> tuple[np.ndarray, np.ndarray]:
+    """The rank of each bucket of tokens, by the number of its tokens in all lines, and these numbers; the driver gets the
+    fixed table."""
     rows = docs.select(F.col(text_col).alias("text")).transform(map_batches, _counts, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).collect()
     total = np.zeros(1 << BUCKET_BITS, np.int64)
     total[[r["bucket"] for r in rows]] = [r["n"] for r in rows]
     rank = np.empty(len(total), np.uint16)
     rank[np.argsort(total, kind="stable")] = np.arange(len(total))
-    return rank
+    return rank, total
 
 
 def ordered(found: np.ndarray, of: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -115,7 +119,7 @@ def joined(n: np.ndarray) -> np.ndarray:
     return np.where(n < ALONE, 0, prefix(n))
 
 
-def _lines(rank: np.ndarray, short: bool):
+def _lines(rank: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             body, offsets = utf8(batch.column(2))
@@ -123,7 +127,7 @@ def _lines(rank: np.ndarray, short: bool):
                 at = offsets[start : end + 1]
                 part = body[at[0] : at[-1]]
                 lines, owner, number = line_offsets(part, at - at[0])
-                found, of = ordered(*shingles(part, lines, short=short), rank)
+                found, of = ordered(*shingles(part, lines), rank)
                 if not len(found):
                     continue
                 first = np.flatnonzero(np.diff(of, prepend=-1))
@@ -171,7 +175,7 @@ def _token_sets(rank: np.ndarray):
                     rows += wanted
                     lines += [parts[w["line_no"]] for w in wanted]
                 body, at = utf8(pa.array(lines, pa.large_string()))
-                found, of = ordered(*shingles(body, at, short=False), rank)
+                found, of = ordered(*shingles(body, at), rank)
                 cut = np.searchsorted(of, np.arange(len(lines) + 1))
                 held = [found[cut[i] : cut[i + 1]].tobytes() for i in range(len(lines))]
                 kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32()]
@@ -190,7 +194,7 @@ def _met(table: pa.Table) -> pa.Table:
     """A spanning forest of the links of one group's tokens: each class with the root of its tree."""
     order = np.argsort(table.column("token").to_numpy(), kind="stable")
     table = table.take(pa.array(order))
-    token, name, block, size, place = (table.column(c).to_numpy() for c in ("token", "print_a", "block", "size", "place"))
+    token, name, side, size, place = (table.column(c).to_numpy() for c in ("token", "print_a", "side", "size", "place"))
     bits = [table.column(c).to_numpy().view(np.uint64) for c in ("bits_a", "bits_b")]
     size, rest = size.astype(np.int64), size.astype(np.int64) - place
     parent, alive = np.arange(len(token)), np.arange(len(token))
@@ -199,7 +203,8 @@ def _met(table: pa.Table) -> pa.Table:
         alive = alive[token[alive] == token[alive + ahead]]
         if not len(alive):
             break
-        left, right = alive, alive + ahead
+        left = alive[(side[alive] == 0) | (side[alive] != side[alive + ahead])]
+        right = left + ahead
         need = needed(size[left], size[right])
         differ = sum(np.bitwise_count(b[left] ^ b[right]).astype(np.int64) for b in bits)
         good = (np.minimum(rest[left], rest[right]) >= need) & (np.minimum(size[left], size[right]) >= need) & (differ <= size[left] + size[right] - 2 * need)
@@ -218,7 +223,7 @@ def _met(table: pa.Table) -> pa.Table:
     return pa.table({"a": name[some], "b": name[parent[some]]})
 
 
-def candidates(sets: list[np.ndarray], block: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def candidates(sets: list[np.ndarray], side: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Pairs that share a prefix token and pass the positional and the length filter; sets are ordered by rarity."""
     size = np.array([len(s) for s in sets], np.int64)
     first = prefix(size)
@@ -234,8 +239,8 @@ def candidates(sets: list[np.ndarray], block: np.ndarray) -> tuple[np.ndarray, n
             of, left = item[a:b], rest[a:b]
             need = needed(size[of][:, None], size[of][None, :])
             may[np.ix_(of, of)] |= (np.minimum(left[:, None], left[None, :]) >= need) & (np.minimum(size[of][:, None], size[of][None, :]) >= need)
-    if (block != block[0]).any():
-        may &= block[:, None] != block[None, :]
+    if side.any():
+        may &= side[:, None] != side[None, :]
     return np.nonzero(np.triu(may, 1))
 
 
@@ -244,7 +249,7 @@ def _matched(table: pa.Table) -> pa.Table:
     roots = table.column("root").to_numpy()
     order = np.argsort(roots, kind="stable")
     table, roots = table.take(pa.array(order)), roots[order]
-    key, mark, line, a, b, block = (table.column(c).to_numpy() for c in ("key", "mark", "line_no", "print_a", "print_b", "block"))
+    key, mark, line, a, b, side = (table.column(c).to_numpy() for c in ("key", "mark", "line_no", "print_a", "print_b", "side"))
     held = table.column("held").to_pylist()
     cut = np.append(np.flatnonzero(np.diff(roots, prepend=np.nan)), len(roots))
     late: list[np.ndarray] = []
@@ -253,7 +258,7 @@ def _matched(table: pa.Table) -> pa.Table:
         if len(rows) < 2:
             continue
         sets = [np.frombuffer(held[i], np.uint64) for i in rows]
-        left, right = candidates(sets, block[rows])
+        left, right = candidates(sets, side[rows])
         good = similar(sets, left, right)
         order = np.empty(len(rows), np.int64)
         order[np.lexsort((line[rows], mark[rows], key[rows]))] = np.arange(len(rows))
@@ -263,25 +268,39 @@ def _matched(table: pa.Table) -> pa.Table:
     return pa.table({"print_a": a[found], "print_b": b[found]})
 
 
+def _shared(tokens: DataFrame, hot: np.ndarray, total: int) -> DataFrame:
+    """token, print_a, its first place and n_blocks of the tokens that several classes have. Tokens of buckets that hold
+    HOT_TOKENS tokens at most meet in one step; those of `hot` buckets are summed by class first, and a token of many
+    classes is no single task's work."""
+    same = Window.partitionBy("token")
+    n_blocks = F.ceil(F.col("n") / TOKEN_BLOCK).cast("int").alias("n_blocks")
+    is_hot = F.shiftrightunsigned("token", 64 - BUCKET_BITS).isin([int(x) for x in hot])
+    few = (tokens.filter(~is_hot) if len(hot) else tokens).withColumns({"low": F.min("print_a").over(same), "high": F.max("print_a").over(same)}).filter("low < high")
+    few = few.groupBy("token", "print_a").agg(F.min("place").alias("place")).withColumn("n", F.count("*").over(same))
+    few = few.select("token", "print_a", "place", n_blocks)
+    if not len(hot):
+        return few
+    many = tokens.filter(is_hot).groupBy("token", "print_a").agg(F.min("place").alias("place"))
+    many = split_join(many, many.groupBy("token").agg(F.count("*").alias("n")).filter("n > 1"), "token", "print_a", total)
+    return few.unionByName(many.select("token", "print_a", "place", n_blocks))
+
+
 def _maybe(df: DataFrame, lines: int) -> DataFrame:
-    return F.broadcast(df) if lines <= MAX_BROADCAST_LINES else df
+    """df, a table of lists with this number of lines, to be broadcast if it takes LIST_BYTES at most."""
+    return F.broadcast(df) if lines * LINE_BYTES <= LIST_BYTES else df
 
 
-def later_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", short: bool = False) -> DataFrame:
-    """key, mark (see licenses.keyed) and line_no of every line that goes; a written table. Tokens of short lines have no
-    rank and are not asked for again, as their classes are never joined."""
-    rank = rarity(docs, text_col)
+def later_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """key, mark (see licenses.keyed) and line_no of every line that goes; a written table."""
+    rank, totals = rarity(docs, text_col)
     texts = keyed(docs, id_col, text_col).select("key", "mark", "text")
-    lines = materialise(texts.transform(map_batches, _lines(rank, short), LINES), "lines")
+    lines = materialise(texts.transform(map_batches, _lines(rank), LINES), "lines")
     place = F.min(F.struct("key", "mark", "line_no")).alias("place")
     first = lines.groupBy("print_a", "print_b").agg(place).select("print_a", "print_b", "place.*")
     first = materialise(first, "first-lines")
 
     tokens = lines.select("print_a", F.posexplode("tokens").alias("place", "token"))
-    same = Window.partitionBy("token")
-    shared = tokens.withColumns({"low": F.min("print_a").over(same), "high": F.max("print_a").over(same)}).filter("low < high")
-    shared = shared.groupBy("token", "print_a").agg(F.min("place").alias("place"))
-    shared = shared.withColumn("n_blocks", F.ceil(F.count("*").over(same) / TOKEN_BLOCK).cast("int"))
+    shared = _shared(tokens, np.flatnonzero(totals > HOT_TOKENS), int(totals.sum()))
     light = lines.groupBy("print_a").agg(F.first("size").alias("size"), F.first("bits_a").alias("bits_a"), F.first("bits_b").alias("bits_b"))
     shared = shared.join(light, "print_a").withColumn("block", F.pmod(F.xxhash64("print_a"), F.col("n_blocks")).cast("int"))
     groups = max(1, lines.count() // GROUP_LINES)
@@ -302,18 +321,18 @@ def later_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return materialise(gone.select("key", "mark", "line_no"), "later-lines")
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", short: bool = False) -> DataFrame:
-    """docs with their later lines removed from the text, and columns n_lines (before) and n_removed. A text of which
-    all lines went is empty and has n_removed = n_lines. With short, repeats of lines of one to four words go as well."""
-    gone = later_lines(docs, id_col, text_col, short)
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", counts: tuple[str, str] = ("n_lines", "n_removed")) -> DataFrame:
+    """docs with their later lines removed from the text, and two columns more: the number of lines before, and of those
+    that went. A text of which all lines went is empty and has as many removed as it had lines. counts: names of these
+    columns; where docs has such a column, in any case of letters, underscores are put before the name."""
+    gone = later_lines(docs, id_col, text_col)
     n_gone = gone.count()
-    key, mark, late = free_names(docs, "__key", "__mark", "__late")
+    key, mark, late, *counts = free_names(docs, "__key", "__mark", "__late", *counts)
     by_text = gone.groupBy(F.col("key").alias(key), F.col("mark").alias(mark)).agg(F.collect_set("line_no").alias(late))
     same = (F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)) == F.col(key)) & (F.xxhash64(text_col) == F.col(mark))
     joined = docs.join(_maybe(by_text, n_gone), same, "left")
-    columns = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
-    kinds = {f.name: f.dataType for f in docs.schema.fields}
-    schema = T.StructType([T.StructField(c, kinds[c]) for c in columns] + [T.StructField(c, T.LongType()) for c in ("n_lines", "n_removed")])
+    columns = docs.columns
+    schema = T.StructType([*docs.schema.fields, *(T.StructField(c, T.LongType()) for c in counts)])
     place = columns.index(text_col)
 
     def rebuilt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -50,18 +50,19 @@ def near_copies(rows):
 
 
 def dedup_lines(rows):
-    """(n_lines, n_removed, text) for rows (doc_id, text) with different ids."""
-    lines = [(i, n, shingle_set(x, short=False)) for i, t in rows for n, x in enumerate((t or "").split("\n"))]
-    lines.sort(key=lambda r: ((r[0] is not None, r[0] or 0), r[1]))
+    """(n_lines, n_removed, text) for rows (doc_id, text, mark): mark puts texts of one id in order, rows alike in id and
+    text are one document, and null ids come first."""
+    order = lambda r: (r[0] is not None, r[0] or 0, r[2])
+    lines = [(i, m, n, shingle_set(x)) for i, t, m in sorted({*rows}, key=order) for n, x in enumerate((t or "").split("\n"))]
     by_token, gone = defaultdict(list), set()
-    for at, (i, n, s) in enumerate(lines):
-        if any(alike(s, lines[j][2]) for j in {j for x in s for j in by_token[x]}):
-            gone.add((i, n))
+    for at, (i, m, n, s) in enumerate(lines):
+        if any(alike(s, lines[j][3]) for j in {j for x in s for j in by_token[x]}):
+            gone.add((i, m, n))
         for x in s:
             by_token[x].append(at)
     out = []
-    for i, t in rows:
+    for i, t, m in rows:
         parts = (t or "").split("\n")
-        kept = [x for n, x in enumerate(parts) if (i, n) not in gone]
+        kept = [x for n, x in enumerate(parts) if (i, m, n) not in gone]
         out.append((len(parts), len(parts) - len(kept), "\n".join(kept)))
     return out

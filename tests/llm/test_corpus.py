@@ -128,19 +128,37 @@ def test_keep_first_in_blocks(spark, monkeypatch):
 # 7
 
 
+def marked(frame):
+    return [tuple(r) for r in frame.select("doc_id", "text", F.xxhash64("text")).collect()]
+
+
+def deduped(frame):
+    return Counter((r["doc_id"], r["n_lines"], r["n_removed"], r["text"] or "") for r in frame.collect())
+
+
 def test_line_dedup(spark, docs, rows, empty):
-    some = [(i, t) for i, t in dict(rows).items() if i is not None]
-    table = docs.filter("doc_id is not null").dropDuplicates(["doc_id"])
-    some = [(r["doc_id"], r["text"]) for r in table.collect()]
-    table = spark.createDataFrame(some, "doc_id long, text string")
-    got = {r["doc_id"]: (r["n_lines"], r["n_removed"], r["text"] or "") for r in line_dedup.dedup_lines(table).collect()}
-    assert got == {i: v for (i, _), v in zip(some, brute.dedup_lines(some), strict=True)}
     whole = line_dedup.dedup_lines(docs)
+    table = marked(docs)
+    assert deduped(whole) == Counter((i, *v) for (i, _, _), v in zip(table, brute.dedup_lines(table), strict=True))
     assert whole.columns == [*docs.columns, "n_lines", "n_removed"] and whole.count() == docs.count()
     assert whole.filter("text is null").count() == 2
     assert line_dedup.dedup_lines(empty).count() == 0
 
 
+def test_line_dedup_keeps_columns_of_its_names(spark):
+    table = spark.createDataFrame([(1, "a b c\nx", 7, "k"), (2, "a b c\ny", 8, "l"), (None, "x", 9, None)], "doc_id long, text string, N_Lines int, n_removed string")
+    got = line_dedup.dedup_lines(table)
+    assert got.columns == [*table.columns, "_n_lines", "_n_removed"]
+    assert Counter(tuple(r) for r in got.collect()) == Counter([(1, "a b c", 7, "k", 2, 1), (2, "y", 8, "l", 2, 1), (None, "x", 9, None, 1, 0)])
+
+
+def test_line_dedup_of_hot_tokens(spark, docs, monkeypatch):
+    monkeypatch.setattr(line_dedup, "HOT_TOKENS", 3)
+    monkeypatch.setattr(components, "HOT_ROWS", 2)
+    table = marked(docs)
+    assert deduped(line_dedup.dedup_lines(docs)) == Counter((i, *v) for (i, _, _), v in zip(table, brute.dedup_lines(table), strict=True))
+
+
 def test_line_dedup_in_blocks(spark, monkeypatch):
     r = random.Random(8)
     base = [f"w{n}" for n in range(40)]
@@ -151,23 +169,10 @@ def test_line_dedup_in_blocks(spark, monkeypatch):
         texts.append((n, " ".join(w) + "\nshort line\n" + " ".join(r.choice(base) for _ in range(9))))
     monkeypatch.setattr(line_dedup, "BLOCK", 7)
     monkeypatch.setattr(line_dedup, "TOKEN_BLOCK", 5)
-    monkeypatch.setattr(line_dedup, "MAX_BROADCAST_LINES", 0)
-    got = {x["doc_id"]: (x["n_lines"], x["n_removed"], x["text"]) for x in line_dedup.dedup_lines(spark.createDataFrame(texts, "doc_id long, text string")).collect()}
-    assert got == {i: v for (i, _), v in zip(texts, brute.dedup_lines(texts), strict=True)}
-
-
-def plain_dedup_of_all_lines(rows):
-    """As brute.dedup_lines, with lines of one to four words as one token."""
-    seen, out = [], []
-    for i, t in sorted(rows):
-        parts, kept = t.split("\n"), []
-        for x in parts:
-            s = brute.shingle_set(x)
-            if not any(brute.alike(s, y) for y in seen):
-                kept.append(x)
-            seen.append(s)
-        out.append((i, len(parts), len(parts) - len(kept), "\n".join(kept)))
-    return out
+    monkeypatch.setattr(line_dedup, "LIST_BYTES", 0)
+    frame = spark.createDataFrame(texts, "doc_id long, text string")
+    table = marked(frame)
+    assert deduped(line_dedup.dedup_lines(frame)) == Counter((i, *v) for (i, _, _), v in zip(table, brute.dedup_lines(table), strict=True))
 
 
 def test_line_dedup_of_short_lines(spark, monkeypatch):
@@ -181,8 +186,8 @@ def test_line_dedup_of_short_lines(spark, monkeypatch):
         texts.append((n, "\n".join([r.choice(menu) for _ in range(6)] + [" ".join(w), " ".join(near[n % 4 : n % 4 + 5 + n % 5])])))
     monkeypatch.setattr(line_dedup, "BLOCK", 7)
     table = spark.createDataFrame(texts, "doc_id long, text string")
-    got = sorted((x["doc_id"], x["n_lines"], x["n_removed"], x["text"]) for x in line_dedup.dedup_lines(table, short=True).collect())
-    assert got == plain_dedup_of_all_lines(texts)
+    rows = marked(table)
+    assert deduped(line_dedup.dedup_lines(table)) == Counter((i, *v) for (i, _, _), v in zip(rows, brute.dedup_lines(rows), strict=True))
 
 
 def test_op7_removes_short_lines(spark, tmp_path):
@@ -438,9 +443,9 @@ def test_pipeline(spark, small):
     assert good.columns == docs.columns
     assert {r["doc_id"] for r in good.collect()} == {r["doc_id"] for r in scores.filter("predicted = 1").collect()}
 
-    table = [(r["doc_id"], r["text"]) for r in good.collect()]
+    table = marked(good)
     lines = stages["line_dedup"](spark, good, small)
-    expected = {i: v[2] for (i, _), v in zip(table, brute.dedup_lines(table), strict=True) if v[1] == 0 or v[1] < v[0]}
+    expected = {i: v[2] for (i, _, _), v in zip(table, brute.dedup_lines(table), strict=True) if v[1] == 0 or v[1] < v[0]}
     rows = [(r["doc_id"], r["text"], r["n_chars"]) for r in lines.collect()]
     assert lines.columns == docs.columns and {i: t for i, t, _ in rows} == expected and all(n == len(t) for _, t, n in rows)
 
@@ -457,3 +462,48 @@ def test_pipeline(spark, small):
 
     last = corpus_pipeline.run(spark, small)
     assert {r["doc_id"] for r in last.filter("parity and round_trip").collect()} == kept - leaking
+
+
+ODD = "doc_id long, text string, lang string, source string, n_chars int, N_Lines string, n_removed int, node long, bucket string, Held binary, key string, mark string, __key int, words string, held_out string, ids string, n_tokens string"
+
+
+def odd_tables(spark, folder, rows, labels, items):
+    full = [(i, t, None, None if n % 3 else "s", None if n % 5 == 0 else 7, *[None] * 12) for n, (i, t) in enumerate(rows)]
+    for name, data, schema in (("documents", full, ODD), ("labels", labels, "doc_id long, quality int, toxic int, text string"), ("benchmark", items, "item_id long, text string, key string")):
+        spark.createDataFrame(data, schema).coalesce(1).write.parquet(f"{folder}/{name}.parquet")
+    return str(folder)
+
+
+def test_stages_of_odd_tables(spark, rows, tmp_path):
+    """Nulls, repeated rows, clashing names and odd texts through every stage, each on its own input and in a chain."""
+    import corpus_pipeline
+
+    item = "one benchmark item of some eight or nine words"
+    more = [(300, f"Before it {item} after it"), (300, f"Before it {item} after it"), (None, item), (301, "a\na\na"), (302, "\n")]
+    labels = [(i, n % 2, None, None) for n, (i, _) in enumerate(rows)] + [(None, None, None, None), (0, None, 1, "x")]
+    folder = odd_tables(spark, tmp_path, rows + more, labels, [(1, item, None), (1, item, "k"), (None, item, "k"), (2, None, None), (3, "too short", None)])
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        got = stage(spark, docs, folder)
+        assert got.columns == docs.columns and got.schema["n_chars"] == docs.schema["n_chars"], name
+        n = {"line_dedup": None, "decontamination": docs.count() - 3}.get(name)
+        assert n is None or got.count() == n, name
+    table = marked(docs)
+    kept = Counter((i, v[2]) for (i, _, _), v in zip(table, brute.dedup_lines(table), strict=True) if v[1] == 0 or v[1] < v[0])
+    assert Counter((r["doc_id"], r["text"] or "") for r in dict(corpus_pipeline.STAGES)["line_dedup"](spark, docs, folder).collect()) == kept
+    first = dict(corpus_pipeline.STAGES)["jaccard_join"](spark, docs, folder)
+    found = brute.near_copies([(i, t) for i, t, _ in table])
+    assert first.count() == sum(v[2] == 0 for v in found.values()) + len({v[1] for v in found.values() if v[2]})
+    last = corpus_pipeline.run(spark, folder)
+    assert last.filter("not parity or not round_trip").count() == 0 and last.filter("doc_id = 300 or doc_id = 301 and n_tokens > 3").count() == 0
+
+
+def test_stages_of_empty_tables(spark, tmp_path):
+    import corpus_pipeline
+
+    folder = odd_tables(spark, tmp_path, [], [], [])
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES:
+        got = stage(spark, docs, folder)
+        assert got.count() == 0 and (name == "sentencepiece" or got.columns == docs.columns), name
+    assert corpus_pipeline.run(spark, folder).count() == 0
