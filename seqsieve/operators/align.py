@@ -11,8 +11,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Places of a piece of a long sequence, and characters that an exact screen joins by.
-PIECE, SEED = 64, 16
+#: Places of a piece of a long sequence, and the longest stride between seeds of an exact screen.
+PIECE, LONGEST_STRIDE = 64, 32
 #: Which base pairs with which, and the scores of a match, of a mismatch, and of an alignment that counts.
 BASES, PARTNERS = "ACGTacgt", "TGCAtgca"
 MATCH, MISMATCH, LEAST_SCORE = 5, -4, 100
@@ -35,14 +35,21 @@ def _pieces(df: DataFrame, keep: list[str], overlap: int) -> DataFrame:
     return cut.select(*keep, (low - F.length(left)).alias("start"), low.alias("low"), (low + F.length("part")).alias("high"), F.concat(left, "part", right).alias("seq"))
 
 
-def reference_kmers(references: DataFrame, k: int, length: int) -> DataFrame:
-    """The seed index: a row for each place of a reference (genome, chromosome, seq) with its k-mer's hash and the piece
-    of the reference around it (from place start on) that covers any read of this length. It is built once for a set of
-    references and can be written as a table."""
-    cut = _pieces(references.filter(F.length("seq") >= k), ["genome", "chromosome"], length)
-    places = cut.select("genome", "chromosome", "start", F.col("seq").alias("around"), F.explode(F.sequence(F.col("low"), F.col("high") - 1)).alias("place"))
-    places = places.filter(F.col("place") - F.col("start") + k <= F.length("around"))
-    return places.withColumn("seed", F.xxhash64(F.expr(f"substring(around, place - start + 1, {k})")))
+def reference_kmers(references: DataFrame, k: int) -> DataFrame:
+    """The seed index: genome, chromosome, place and the hash of the k characters there, for each place of the references
+    (genome, chromosome, seq). It holds no text. It is built once for a set of references and can be written as a table."""
+    cut = _pieces(references.filter(F.length("seq") >= k), ["genome", "chromosome"], k)
+    places = F.expr(f"transform(sequence(low, high - 1), p -> struct(p AS place, substring(seq, p - start + 1, {k}) AS kmer))")
+    places = cut.select("genome", "chromosome", F.explode(places).alias("p")).filter(F.length("p.kmer") == k)
+    return places.select("genome", "chromosome", F.col("p.place").alias("place"), F.xxhash64("p.kmer").alias("seed"))
+
+
+def reference_pieces(references: DataFrame, length: int) -> DataFrame:
+    """The references' text in pieces, each with enough of the next one for any read that begins in it: genome,
+    chromosome, piece, start and text."""
+    size = max(PIECE, length)
+    cut = _pieces(references, ["genome", "chromosome"], length)
+    return cut.select("genome", "chromosome", F.floor(F.col("low") / size).cast("int").alias("piece"), "start", F.col("seq").alias("text"))
 
 
 def _verified(length: int, most: int):
@@ -58,27 +65,30 @@ def _verified(length: int, most: int):
     return run
 
 
-def align_ungapped(reads: DataFrame, references: DataFrame, max_mismatches: int = 2, length: int = 36) -> DataFrame:
+def align_ungapped(reads: DataFrame, references: DataFrame, max_mismatches: int = 2, length: int = 36, index: DataFrame | None = None) -> DataFrame:
     """The best alignment of each read to each genome with at most max_mismatches mismatches.
 
     reads: id (sample), read, seq of exactly `length` bases (others are left out, as the trimmed reads of a run have
-    one length). references: genome, chromosome, seq. Result: id, read, genome, chromosome, position (from 0), strand,
+    one length). references: genome, chromosome, seq. index: a written reference_kmers() of them with k =
+    length // (max_mismatches + 1), else it is made here. Result: id, read, genome, chromosome, position (from 0), strand,
     sequence (as aligned), mismatches.
 
     By the pigeonhole principle one of max_mismatches + 1 segments of a read matches exactly, so reads are joined by
-    their segments with the references' k-mers; nothing that fits is lost. Frequent k-mers are split by the skew-join
-    rule, since both sides are plain shuffled joins."""
+    their segments with the references' k-mers; nothing that fits is lost. A place that several segments point to is
+    one candidate; its text comes by a join to the references' pieces. Frequent k-mers are split by the skew-join rule,
+    since both sides are plain shuffled joins."""
     k = length // (max_mismatches + 1)
-    index = reference_kmers(references, k, length)
+    index = reference_kmers(references, k) if index is None else index
     whole = reads.filter(F.length("seq") == length).select("id", "read", "seq")
     strands = F.explode(F.array(F.struct(F.lit("+").alias("strand"), F.col("seq").alias("seq")), F.struct(F.lit("-").alias("strand"), reverse_complement(F.col("seq")).alias("seq"))))
     both = whole.select("id", "read", strands.alias("s")).select("id", "read", "s.strand", "s.seq")
     offsets = F.explode(F.array(*(F.lit(i * k) for i in range(max_mismatches + 1)))).alias("offset")
     seeds = both.select("*", offsets).withColumn("seed", F.xxhash64(F.expr(f"substring(seq, offset + 1, {k})")))
-    hits = seeds.join(index, "seed").withColumn("position", F.col("place") - F.col("offset"))
-    window = F.expr(f"substring(around, position - start + 1, {length})")
-    inside = (F.col("position") >= F.col("start")) & (F.col("position") - F.col("start") + length <= F.length("around"))
-    hits = hits.filter(inside).withColumn("window", window)
+    position = (F.col("place") - F.col("offset")).alias("position")
+    hits = seeds.join(index, "seed").select("id", "read", "strand", "seq", "genome", "chromosome", position).filter("position >= 0").distinct()
+    hits = hits.withColumn("piece", F.floor(F.col("position") / max(PIECE, length)).cast("int"))
+    hits = hits.join(reference_pieces(references, length), ["genome", "chromosome", "piece"])
+    hits = hits.withColumn("window", F.expr(f"substring(text, position - start + 1, {length})")).filter(F.length("window") == length)
     hits = hits.select("id", "read", "genome", "chromosome", F.col("position").cast("long").alias("position"), "strand", "seq", "window")
     kinds = dict(reads.select("id", "read").dtypes) | dict(references.select("genome", "chromosome").dtypes)
     schema = f"id {kinds['id']}, read {kinds['read']}, genome {kinds['genome']}, chromosome {kinds['chromosome']}, position long, strand string, seq string, mismatches int"
@@ -169,17 +179,36 @@ def exact_run(least: int, longest: int) -> int:
     return max(1, best)
 
 
+def _strides(passages: DataFrame) -> DataFrame:
+    """Adds stride, a power of two up to LONGEST_STRIDE, and seed_length: every run of as many characters as the passage
+    has holds, whatever its place, a whole seed that begins at a multiple of the stride."""
+    length = F.length("passage")
+    stride = F.pow(F.lit(2), F.floor(F.log2((length + 1) / 3 + 1e-9))).cast("int")
+    stride = F.least(F.lit(LONGEST_STRIDE), F.greatest(F.lit(1), stride))
+    return passages.filter(length > 0).withColumn("stride", stride).withColumn("seed_length", F.least(2 * F.col("stride"), length))
+
+
 def exact_hits(texts: DataFrame, passages: DataFrame) -> DataFrame:
     """(doc, item, position) of the first place where a passage stands in a text, letter by letter: a literal screen.
-    Passages are joined by their first SEED characters, so no text is compared with every passage. Passages shorter
-    than that are not looked for."""
-    key = lambda text: F.xxhash64(F.expr(text))
-    passages = passages.filter(F.length("passage") >= SEED).select("item", "passage", key(f"substring(passage, 1, {SEED})").alias("seed"))
-    longest = passages.agg(F.max(F.length("passage"))).first()[0] or SEED
-    cut = _pieces(texts.filter(F.length("seq") >= SEED), ["doc"], longest)
-    places = cut.select("doc", "start", "seq", F.explode(F.sequence(F.col("low"), F.col("high") - 1)).alias("at"))
-    seeds = places.withColumn("seed", key(f"substring(seq, at - start + 1, {SEED})"))
-    # the whole passage is compared only where the first characters' hash is met
-    there = F.expr(f"substring(seq, at - start + 1, {longest})").startswith(F.col("passage"))
-    found = seeds.join(passages, (seeds["seed"] == passages["seed"]) & there)
-    return found.groupBy("doc", "item").agg(F.min("at").cast("long").alias("position"))
+
+    Texts give the hash of a seed at every multiple of a stride, and passages at each of their first places up to the
+    stride, so that long passages need few seeds of a text and short ones are found as well. Seeds are joined without
+    any text; passages are compared in the texts that their seeds point to. Empty and null passages stand nowhere."""
+    wanted = _strides(passages.select("item", "passage"))
+    kinds = [tuple(r) for r in wanted.select("stride", "seed_length").distinct().collect()]  # a handful: powers of two
+    found = None
+    for stride, k in sorted(kinds):
+        seeds = wanted.filter((F.col("stride") == stride) & (F.col("seed_length") == k))
+        seeds = seeds.select("item", "passage", F.explode(F.sequence(F.lit(0), F.lit(stride - 1))).alias("offset"))
+        seeds = seeds.withColumn("seed", F.xxhash64(F.expr(f"substring(passage, offset + 1, {k})")))
+        cut = _pieces(texts.select("doc", "seq"), ["doc"], k)
+        places = F.expr(f"transform(sequence(low, high - 1, {stride}), p -> struct(p AS place, xxhash64(substring(seq, p - start + 1, {k})) AS seed))")
+        places = cut.select("doc", F.explode(places).alias("p")).select("doc", "p.place", "p.seed")
+        met = places.join(seeds, "seed").select("doc", "item", "passage", (F.col("place") - F.col("offset")).alias("position"))
+        found = met if found is None else found.unionByName(met)
+    if found is None:
+        return texts.join(passages.select("item"), F.lit(False)).select("doc", "item", F.lit(0).cast("long").alias("position"))
+    found = found.filter("position >= 0").distinct().withColumnRenamed("doc", "__doc")
+    there = F.expr("substring(seq, position + 1, length(passage))") == F.col("passage")
+    held = found.join(texts.select("doc", "seq"), F.col("__doc").eqNullSafe(F.col("doc"))).filter(there)
+    return held.groupBy("doc", "item").agg(F.min("position").cast("long").alias("position"))

@@ -295,16 +295,9 @@ def key_duplicates(spark, sf_dir):
     return checks.duplicates(_table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("id")), "id")
 
 
-@query("SELECT DISTINCT url FROM pages WHERE contains(url, '|') UNION ALL SELECT o_orderpriority || '|' FROM orders WHERE o_orderkey % 100 = 0")
-def names_with_bar(spark, sf_dir):
-    urls = _table(spark, sf_dir, "pages").select("url").distinct()
-    more = _table(spark, sf_dir, "orders").filter("o_orderkey % 100 = 0").select(F.concat("o_orderpriority", F.lit("|")).alias("url"))
-    return checks.with_bar(urls.unionByName(more), "url")
-
-
 @query("SELECT DISTINCT url FROM pages WHERE contains(url, '|') UNION ALL SELECT o_orderpriority || '|' FROM orders WHERE starts_with(o_orderpriority, '1')")
-def all_names_with_bar(spark, sf_dir):
-    """As names_with_bar, with all orders; a bar is put into the names of urgent ones."""
+def names_with_bar(spark, sf_dir):
+    """Names of pages and of all orders; a bar is put into the names of urgent ones."""
     urls = _table(spark, sf_dir, "pages").select("url").distinct()
     name = F.col("o_orderpriority")
     more = _table(spark, sf_dir, "orders").select(F.when(name.startswith("1"), F.concat(name, F.lit("|"))).otherwise(name).alias("url"))
@@ -396,21 +389,10 @@ def record_problems(spark, sf_dir):
     return rows.select("doc_id", checks.record_problem().alias("problem"))
 
 
-@query("""SELECT doc_id, '@' || doc_id || ' ' || lang || chr(10) || t || chr(10) || '+' || chr(10) || t AS fastq,
-'>' || doc_id || chr(10) || regexp_replace(rtrim(regexp_replace(t, '(.{80})', '\\1' || chr(10), 'g'), chr(10)), '^$', '') AS fasta
-FROM (SELECT doc_id, lang, substring(replace(text, chr(10), ' '), 1, 200) AS t FROM documents)""")
-def record_texts(spark, sf_dir):
-    docs = _table(spark, sf_dir, "documents")
-    t = F.substring(F.replace("text", F.lit("\n"), F.lit(" ")), 1, 200)
-    name = F.col("doc_id").cast("string")
-    return docs.select("doc_id", fastq_text(name, F.col("lang"), t, t).alias("fastq"), fasta_text(name, F.lit(None).cast("string"), t).alias("fasta"))
-
-
 @query("""SELECT doc_id, '@' || doc_id || ' ' || lang || chr(10) || t || chr(10) || '+' || chr(10) || t AS fastq,
 '>' || doc_id || chr(10) || rtrim(regexp_replace(t, '(.{80})', '\\1' || chr(10), 'g'), chr(10)) AS fasta
 FROM (SELECT doc_id, lang, replace(text, chr(10), ' ') AS t FROM documents)""")
-def whole_record_texts(spark, sf_dir):
-    """As record_texts, with whole texts."""
+def record_texts(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents")
     t = F.replace("text", F.lit("\n"), F.lit(" "))
     name = F.col("doc_id").cast("string")
@@ -438,24 +420,49 @@ def printed_values(spark, sf_dir):
 # alignment
 
 
-@query("""SELECT doc_id AS doc, item_id AS item, position(p IN text) - 1 AS position
-FROM documents JOIN (SELECT item_id, substring(text, 1, 36) AS p FROM benchmark) ON contains(text, p)""")
-def exact_seed_screen(spark, sf_dir):
-    texts = _table(spark, sf_dir, "documents").select(F.col("doc_id").alias("doc"), F.col("text").alias("seq"))
-    passages = _table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("item"), F.substring("text", 1, 36).alias("passage"))
-    return align.exact_hits(texts, passages)
+ADAPTED = """WITH reads AS (SELECT s_suppkey AS read, n_name AS id, s_name || n_name || replace(n_name, 'I', 'x') || translate(reverse(n_name), 'ACGT', 'TGCA') || s_acctbal AS seq FROM supplier JOIN nation ON s_nationkey = n_nationkey),
+names AS (SELECT DISTINCT n_name AS adapter FROM nation),
+forms AS (SELECT adapter, '+' AS strand, adapter AS form, 2 * row_number() OVER (ORDER BY adapter) AS number FROM names
+  UNION ALL SELECT adapter, '-', translate(reverse(adapter), 'ACGTacgt', 'TGCAtgca'), 2 * row_number() OVER (ORDER BY adapter) + 1 FROM names),
+cells AS (SELECT id, read, number, x, y, CASE WHEN seq[x + 1] = form[y + 1] THEN 5 ELSE -4 END AS s
+  FROM (SELECT id, read, seq, number, form, x, unnest(range(length(form))) AS y FROM (SELECT *, unnest(range(length(seq))) AS x FROM reads, forms))),
+sums AS (SELECT *, sum(s) OVER d AS p FROM cells WINDOW d AS (PARTITION BY id, read, number, x - y ORDER BY x)),
+starts AS (SELECT *, min((p - s) * 1000 - x) OVER (PARTITION BY id, read, number, x - y ORDER BY x) AS m FROM sums),
+segments AS (SELECT *, (((-m) % 1000) + 1000) % 1000 AS a FROM starts),
+scored AS (SELECT id, read, number, a, a - (x - y) AS b, x - a + 1 AS n, p - (m + a) // 1000 AS score FROM segments),
+best AS (SELECT *, row_number() OVER (PARTITION BY id, read ORDER BY score DESC, number, a, b, n) AS place FROM scored WHERE score >= 20)
+SELECT id, read, a::INT AS start, (a + n)::INT AS "end", '+' AS strand, adapter, (CASE strand WHEN '+' THEN b ELSE length(form) - b END)::INT AS "adapter start",
+  (CASE strand WHEN '+' THEN b + n ELSE length(form) - b - n END)::INT AS "adapter end", strand AS "adapter strand", 100.0::DOUBLE * ((score + 4 * n) // 9) / n AS "percent identity", score::INT AS score
+FROM best JOIN forms USING (number) WHERE place = 1"""
+
+
+@query(ADAPTED)
+def adapter_matches_native(spark, sf_dir):
+    """Reads are lines of all suppliers that hold their nation's name, the name with other letters, and its reverse
+    complement; adapters are the nations' names."""
+    rows = _table(spark, sf_dir, "supplier").join(_table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+    name = F.col("n_name")
+    seq = F.concat("s_name", name, F.replace(name, F.lit("I"), F.lit("x")), F.translate(F.reverse(name), "ACGT", "TGCA"), F.col("s_acctbal").cast("string"))
+    names = _table(spark, sf_dir, "nation").select(name.alias("name"), name.alias("seq"))
+    return align.match_adapters(rows.select(name.alias("id"), F.col("s_suppkey").alias("read"), seq.alias("seq")), names, 20)
+
 
+SCREENED = "(SELECT item_id AS item, text AS p FROM benchmark UNION ALL SELECT 1000000000 + n_nationkey, n_name FROM nation UNION ALL SELECT 2000000000 + r_regionkey, lower(r_name) FROM region)"
 
-@query("""SELECT doc_id AS doc, item_id AS item, position(p IN text) - 1 AS position
-FROM documents JOIN (SELECT item_id, text AS p FROM benchmark) ON contains(text, p)""")
-def whole_passage_screen(spark, sf_dir):
-    """As exact_seed_screen, with whole passages."""
+
+@query(f"SELECT doc_id AS doc, item, position(p IN text) - 1 AS position FROM documents JOIN {SCREENED} ON contains(text, p)")
+def exact_seed_screen(spark, sf_dir):
+    """Whole passages of the benchmark, and names of four to fourteen letters."""
     texts = _table(spark, sf_dir, "documents").select(F.col("doc_id").alias("doc"), F.col("text").alias("seq"))
-    return align.exact_hits(texts, _table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("item"), F.col("text").alias("passage")))
+    passages = _table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("item"), F.col("text").alias("passage"))
+    names = _table(spark, sf_dir, "nation").select((F.col("n_nationkey") + 1000000000).cast("long").alias("item"), F.col("n_name").alias("passage"))
+    words = _table(spark, sf_dir, "region").select((F.col("r_regionkey") + 2000000000).cast("long").alias("item"), F.lower("r_name").alias("passage"))
+    return align.exact_hits(texts, passages.unionByName(names).unionByName(words))
 
 
-UNGAPPED = """WITH forms AS (SELECT item_id AS read, '+' AS strand, substring(text, 1, 36) AS seq FROM benchmark WHERE length(text) >= 36
-  UNION ALL SELECT item_id, '-', translate(reverse(substring(text, 1, 36)), 'ACGTacgt', 'TGCAtgca') FROM benchmark WHERE length(text) >= 36),
+UNGAPPED = """WITH cut AS (SELECT item_id AS item, unnest(range((length(text) + 35) // 36)) AS part, text FROM benchmark WHERE length(text) >= 36),
+reads AS (SELECT item || '.' || part AS read, substring(text, least(part * 36, length(text) - 36)::BIGINT + 1, 36) AS seq FROM cut),
+forms AS (SELECT read, '+' AS strand, seq FROM reads UNION ALL SELECT read, '-', translate(reverse(seq), 'ACGTacgt', 'TGCAtgca') FROM reads),
 windows AS (SELECT lang AS genome, doc_id AS chromosome, i AS position, substring(text, i + 1, 36) AS w FROM (SELECT lang, doc_id, text, unnest(range(length(text) - 35)) AS i FROM documents WHERE length(text) >= 36)),
 near AS (SELECT f.read, f.strand, f.seq, w.genome, w.chromosome, w.position, w.w FROM forms f JOIN windows w ON substring(f.seq, 1, 12) = substring(w.w, 1, 12)
   UNION SELECT f.read, f.strand, f.seq, w.genome, w.chromosome, w.position, w.w FROM forms f JOIN windows w ON substring(f.seq, 13, 12) = substring(w.w, 13, 12)
@@ -467,7 +474,11 @@ SELECT 'benchmark' AS id, read, genome, chromosome, position, strand, seq AS seq
 
 @query(UNGAPPED)
 def ungapped_alignment(spark, sf_dir):
-    short = _table(spark, sf_dir, "benchmark").select(F.lit("benchmark").alias("id"), F.col("item_id").alias("read"), F.substring("text", 1, 36).alias("seq"))
+    """Reads are whole benchmark texts in pieces of 36 letters, the last one up to the end."""
+    part, length = F.col("part"), F.length("text")
+    cut = _table(spark, sf_dir, "benchmark").filter(length >= 36).select("item_id", "text", F.explode(F.sequence(F.lit(0), F.floor((length - 1) / 36).cast("int"))).alias("part"))
+    seq = F.substring("text", F.least(part * 36, length - 36) + 1, F.lit(36))
+    short = cut.select(F.lit("benchmark").alias("id"), F.concat_ws(".", "item_id", "part").alias("read"), seq.alias("seq"))
     references = _table(spark, sf_dir, "documents").select(F.col("lang").alias("genome"), F.col("doc_id").alias("chromosome"), F.col("text").alias("seq"))
     return align.align_ungapped(short, references, 2, 36)
 
