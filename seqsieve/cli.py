@@ -9,10 +9,17 @@ from .config import ScreenConfig
 
 def parser() -> argparse.ArgumentParser:
     out = argparse.ArgumentParser(prog="seqsieve", description="Screens sequencing reads for the genomes that they come from.")
-    out.add_argument("--sample-sheet", required=True, help="CSV with columns id, fastq, species, controls")
-    out.add_argument("--genome-details", required=True, help="CSV with columns genome, species, synonyms")
-    out.add_argument("--references", nargs="+", required=True, help="a FASTA file for each genome, named GENOME.fa")
-    out.add_argument("--adapters", required=True, help="FASTA file of adapters")
+    own = out.add_argument_group("a screen of reads")
+    own.add_argument("--sample-sheet", help="CSV with columns id, fastq, species, controls")
+    own.add_argument("--genome-details", help="CSV with columns genome, species, synonyms")
+    own.add_argument("--references", nargs="+", help="a FASTA file for each genome, named GENOME.fa")
+    own.add_argument("--adapters", help="FASTA file of adapters")
+    ready = out.add_argument_group("summaries of alignments that other tools made")
+    ready.add_argument("--checked-samples", help="CSV with columns id, user_id, species, controls, genomes, control_genomes")
+    ready.add_argument("--checked-genomes", help="CSV with columns genome, species")
+    ready.add_argument("--sampling-summary", help="CSV with columns id, read, sampled")
+    ready.add_argument("--genome-alignments", help="tab-separated genome alignments")
+    ready.add_argument("--adapter-alignments", help="tab-separated adapter alignments")
     defaults = ScreenConfig()
     for name in ("sample_size", "max_reads", "chunk_size", "trim_start", "trim_length", "max_mismatches"):
         out.add_argument("--" + name.replace("_", "-"), type=int, default=getattr(defaults, name), help="default: %(default)s")
@@ -21,22 +28,30 @@ def parser() -> argparse.ArgumentParser:
     return out
 
 
+OWN = ("sample_sheet", "genome_details", "references", "adapters")
+READY = ("checked_samples", "checked_genomes", "sampling_summary", "genome_alignments", "adapter_alignments")
+
+
 def main(args: list[str] | None = None) -> None:
-    given = vars(parser().parse_args(args))
-    files = {k: given.pop(k) for k in ("sample_sheet", "genome_details", "references", "adapters")}
+    reader = parser()
+    given = vars(reader.parse_args(args))
+    own, ready = ([given.pop(k) for k in names] for names in (OWN, READY))
+    if all(own) == all(ready) or any(own) and any(ready):
+        reader.error("give all files of a screen of reads, or all files of ready alignments")
     config = ScreenConfig(**given)
     from pyspark.sql import SparkSession
 
-    from .plans.screen import chart, run_files
+    from .sources.store import Store
+    from .plans.screen import chart, run_files, summarise_files
 
     spark = SparkSession.builder.appName("seqsieve").getOrCreate()
     print("\n".join(f"{k}: {v}" for k, v in given.items()))
-    result = run_files(spark, files["sample_sheet"], files["genome_details"], files["references"], files["adapters"], config)
+    result = run_files(spark, *own, config) if all(own) else summarise_files(spark, *ready)
     for warning in result.warnings:
         print(f"Warning: {warning}")
     result.write(config)
-    with open(config.output_path("chart.svg"), "w") as out:
-        out.write(chart(result))
+    with Store(config.output_path("")).create(config.output_path("chart.svg")) as out:
+        out.write(chart(result).encode())
 
 
 if __name__ == "__main__":

@@ -16,7 +16,7 @@ from . import checks
 
 def cleaned(df: DataFrame) -> DataFrame:
     """A metadata table whose empty and NA values are null."""
-    return df.select(*(null_if_missing(F.col(c)).alias(c) if t == "string" else F.col(c) for c, t in df.dtypes))
+    return df.select(*(null_if_missing(F.col(f"`{c}`")).alias(c) if t == "string" else F.col(f"`{c}`") for c, t in df.dtypes))
 
 
 def add_ids(sheet: DataFrame) -> DataFrame:

@@ -25,6 +25,9 @@ class ScreenResult:
     warnings: list[str] = field(default_factory=list)
     #: what the tables above share and Spark keeps until release(); lost parts are computed anew
     kept: list[DataFrame] = field(default_factory=list)
+    #: the sampling summary and the checked metadata, where this run made them
+    sampled: DataFrame | None = None
+    resolved: resolve.Resolved | None = None
 
     def release(self) -> None:
         for df in self.kept:
@@ -36,10 +39,20 @@ class ScreenResult:
         return plot_data(placed, self.summary)
 
     def write(self, config: ScreenConfig) -> None:
+        """The tables of the result, and what a run has checked and sampled."""
         tables.write_table(self.summary, config.output_path("summary.csv"))
         tables.write_table(self.alignment_summary, config.output_path("alignment_summary.csv"))
-        tables.write_table(self.genome_alignments, config.output_path("genome_alignments.tsv"), "\t", True, False)
-        tables.write_table(self.adapter_alignments, config.output_path("adapter_alignments.tsv"), "\t", True, False)
+        write_alignments(self.genome_alignments, config.output_path("genome_alignments.tsv"))
+        write_alignments(self.adapter_alignments, config.output_path("adapter_alignments.tsv"))
+        if self.sampled is not None:
+            tables.write_table(self.sampled.select("id", "read", "sampled"), config.output_path("sampling_summary.csv"))
+        if self.resolved is not None:
+            write_checked(self.resolved, config)
+
+
+def write_alignments(df: DataFrame, path: str) -> None:
+    """Alignments as zipped, tab-separated files in the order of the rows."""
+    tables.write_table(df, path, "\t", True, False)
 
 
 def ordinals(df: DataFrame, column: str) -> DataFrame:
@@ -111,6 +124,7 @@ def run_screen(samples: DataFrame, reads: DataFrame, details: DataFrame, referen
     checked, genomes = resolved.samples.persist(), resolved.genomes.persist()
     result = summarise(checked, genomes, counts, found, matched, resolved.warnings)
     result.kept = [counts, found, matched, sampled, checked, genomes]
+    result.sampled, result.resolved = counts, resolved
     return result
 
 
@@ -144,7 +158,7 @@ def run_files(spark: SparkSession, sheet: str, details: str, references: list[st
     listed = samples.select(F.col("id").cast("string").alias("id"), "fastq").orderBy("id").collect()
     if missing := [r["id"] for r in listed if not r["fastq"]]:
         raise checks.ScreenError(f"no FASTQ files for samples {missing}")
-    reads = fastq.read_samples(spark, [(r["id"], [config.input_path(p.strip()) for p in r["fastq"].split("|")]) for r in listed])
+    reads = fastq.read_samples(spark, [(r["id"], [config.input_path(p.strip()) for p in r["fastq"].split("|")]) for r in listed], config.max_reads)
     genomes = spark.read.format("fasta").option("paths", ",".join(references)).load()
     genomes = genomes.select(F.regexp_extract("file", "([^/]*?)\\.(fa|fasta|fna)(\\.gz)?$", 1).alias("genome"), F.col("name").alias("chromosome"), "seq")
     known = spark.read.format("fasta").option("paths", adapters).load().select("name", "seq")

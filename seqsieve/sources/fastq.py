@@ -7,18 +7,24 @@ gzip stream cannot be split; files of several gzip members are one stream."""
 
 from __future__ import annotations
 
-import glob
 import gzip
 import io
 import os
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
-from urllib.parse import urlparse
+from itertools import islice
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
 
+from .store import Store
+
+#: Rows and characters of a reader's batch.
+BATCH_ROWS, BATCH_CHARS = 10_000, 4 << 20
+
 
 class FormatError(ValueError):
     """A file that breaks the rules of its format."""
@@ -94,24 +100,16 @@ def parse_fasta(lines: Iterable[str], name: str = "input") -> Iterator[tuple[str
 
 
 def open_text(path: str) -> io.TextIOBase:
-    """Lines of a file, unzipped if its name ends with .gz. Stores without paths are opened by pyarrow."""
-    parsed = urlparse(path)
-    if parsed.scheme in ("", "file"):
-        raw = open(parsed.path, "rb")
-    else:
-        from pyarrow import fs
-
-        store, inner = fs.FileSystem.from_uri(path)
-        raw = store.open_input_stream(inner)
-    return io.TextIOWrapper(gzip.open(raw, "rb") if path.endswith(".gz") else raw, encoding="latin-1", newline="\n")
+    """Lines of a file in UTF-8, unzipped if its name ends with .gz."""
+    raw = Store(path).read(path)
+    return io.TextIOWrapper(gzip.open(raw, "rb") if path.endswith(".gz") else raw, encoding="utf-8", newline="\n")
 
 
 def expand(patterns: Iterable[str]) -> list[str]:
     """The files of each pattern in order of their names; a pattern without files is an error."""
     found = []
     for pattern in patterns:
-        parsed = urlparse(pattern)
-        files = sorted(glob.glob(parsed.path)) if parsed.scheme in ("", "file") else [pattern]
+        files = Store(pattern).find(pattern)
         if not files:
             raise FileNotFoundError(f"no file fits {pattern}")
         found += files
@@ -135,20 +133,38 @@ class _Reader(DataSourceReader):
 
 
 class FastqReader(_Reader):
-    def read(self, partition: _FilePartition):
+    def read(self, partition: _FilePartition) -> Iterator[pa.RecordBatch]:
+        """Records that are long enough, in Arrow batches; reading stops after the last record that is wanted."""
         with open_text(partition.path) as lines:
-            for n, r in enumerate(parse_fastq(lines, os.path.basename(partition.path))):
-                if 0 <= self.most <= n:
-                    break
-                if len(r.seq) >= self.least:
-                    yield partition.path, partition.number, n, r.id, r.desc, r.seq, r.qual
+            records = enumerate(parse_fastq(lines, os.path.basename(partition.path)))
+            wanted = ((n, r.id, r.desc, r.seq, r.qual) for n, r in (records if self.most < 0 else islice(records, self.most)) if len(r.seq) >= self.least)
+            for columns, n in _batches(wanted, (3, 4)):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([partition.path] * n), pa.array(np.full(n, partition.number, np.int32)), *(pa.array(c, t) for c, t in zip(columns, (pa.int64(), *[pa.string()] * 4), strict=True))],
+                    names=["file", "file_number", "record", "id", "desc", "seq", "qual"],
+                )
 
 
 class FastaReader(_Reader):
-    def read(self, partition: _FilePartition):
+    def read(self, partition: _FilePartition) -> Iterator[pa.RecordBatch]:
         with open_text(partition.path) as lines:
-            for n, (name, desc, seq) in enumerate(parse_fasta(lines, os.path.basename(partition.path))):
-                yield partition.path, n, name, desc, seq
+            records = ((n, *r) for n, r in enumerate(parse_fasta(lines, os.path.basename(partition.path))))
+            for columns, n in _batches(records, (3,)):
+                yield pa.RecordBatch.from_arrays([pa.array([partition.path] * n), *(pa.array(c, t) for c, t in zip(columns, (pa.int64(), *[pa.string()] * 3), strict=True))], names=["file", "record", "name", "desc", "seq"])
+
+
+def _batches(records: Iterator[tuple], sized: tuple[int, ...]) -> Iterator[tuple[list[tuple], int]]:
+    """Columns of up to BATCH_ROWS records whose texts at places `sized` have about BATCH_CHARS characters."""
+    rows: list[tuple] = []
+    chars = 0
+    for row in records:
+        rows.append(row)
+        chars += sum(len(row[i]) for i in sized)
+        if len(rows) >= BATCH_ROWS or chars >= BATCH_CHARS:
+            yield list(zip(*rows, strict=True)), len(rows)
+            rows, chars = [], 0
+    if rows:
+        yield list(zip(*rows, strict=True)), len(rows)
 
 
 class FastqSource(DataSource):
@@ -192,30 +208,32 @@ class FastqWriter(DataSourceWriter):
     """A file for each partition in a folder; files take their names when the job commits. Option gzip."""
 
     def __init__(self, options: dict):
-        self.folder = urlparse(options["path"]).path
+        self.folder = options["path"].rstrip("/")
         self.zipped = str(options.get("gzip", "false")).lower() == "true"
 
     def write(self, iterator) -> WriterCommitMessage:
         from pyspark import TaskContext
 
-        context = TaskContext.get()
-        os.makedirs(self.folder, exist_ok=True)
+        context, store = TaskContext.get(), Store(self.folder)
         final = f"{self.folder}/chunk.{context.partitionId() + 1}.fq" + ".gz" * self.zipped
         temporary = f"{final}.attempt-{context.taskAttemptId()}"
-        with gzip.open(temporary, "wt", compresslevel=1) if self.zipped else open(temporary, "w") as out:
+        with store.create(temporary) as raw:
+            out = gzip.GzipFile(fileobj=raw, mode="wb", compresslevel=1) if self.zipped else raw
             for r in iterator:
-                out.write(f"@{r['id']}{' ' + r['desc'] if r['desc'] else ''}\n{r['seq']}\n+\n{r['qual']}\n")
+                out.write(f"@{r['id']}{' ' + r['desc'] if r['desc'] else ''}\n{r['seq']}\n+\n{r['qual']}\n".encode())
+            if self.zipped:
+                out.close()
         return _Written(temporary, final)
 
     def commit(self, messages) -> None:
         for m in messages:
             if m is not None:
-                os.replace(m.temporary, m.final)
+                Store(self.folder).rename(m.temporary, m.final)
 
     def abort(self, messages) -> None:
         for m in messages:
-            if m is not None and os.path.exists(m.temporary):
-                os.remove(m.temporary)
+            if m is not None:
+                Store(self.folder).remove(m.temporary)
 
 
 def register(spark) -> None:
@@ -224,23 +242,28 @@ def register(spark) -> None:
     spark.dataSource.register(FastaSource)
 
 
-def read_samples(spark, samples: list[tuple[str, list[str]]]) -> DataFrame:
+def read_samples(spark, samples: list[tuple[str, list[str]]], most: int = -1) -> DataFrame:
     """Reads of all samples: sample, ordinal (over a sample's files in order), id, desc, seq, qual. Ordinals come from
-    counts of each file, so that files are read side by side."""
+    counts of each file, so that files are read side by side; a sample of one file needs none. most: reads that are
+    wanted of a sample at most, so no file is read further than that."""
     register(spark)
     files = [(sample, path) for sample, patterns in samples for path in expand(patterns)]
     if not files:
         raise FileNotFoundError("no FASTQ files")
     order = spark.createDataFrame([(n, s) for n, (s, _) in enumerate(files)], "file_number int, sample string")
-    reads = spark.read.format("fastq").option("paths", ",".join(p for _, p in files)).load()
-    counts = {r["file_number"]: r["n"] for r in reads.groupBy("file_number").agg((F.max("record") + 1).alias("n")).collect()} if len(files) > 1 else {}
+    reads = spark.read.format("fastq").option("paths", ",".join(p for _, p in files)).option("maxRecords", most).load()
+    again = {s for s, _ in files if sum(x == s for x, _ in files) > 1}
+    counted = [n for n, (s, _) in enumerate(files) if s in again]
+    rows = reads.filter(F.col("file_number").isin(counted)).groupBy("file_number").agg((F.max("record") + 1).alias("n")).collect() if counted else []
+    counts = {r["file_number"]: r["n"] for r in rows}
     base, bases = {}, []
     for n, (sample, _) in enumerate(files):
         bases.append((n, base.get(sample, 0)))
         base[sample] = base.get(sample, 0) + counts.get(n, 0)
     bases = spark.createDataFrame(bases, "file_number int, base long")
     joined = reads.join(F.broadcast(order), "file_number").join(F.broadcast(bases), "file_number")  # a row for each file
-    return joined.select("sample", (F.col("base") + F.col("record")).alias("ordinal"), "id", "desc", "seq", "qual")
+    found = joined.select("sample", (F.col("base") + F.col("record")).alias("ordinal"), "id", "desc", "seq", "qual")
+    return found.filter(F.col("ordinal") < most) if most >= 0 else found
 
 
 def fastq_text(id_: Column, desc: Column, seq: Column, qual: Column) -> Column:

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from ..functions import mismatch_count, yes_no
 from ..operators.checks import require_columns
 from ..operators.resolve import cleaned
+from .store import Store
 
 GENOME_ALIGNMENTS = {"id": "string", "read": "string", "genome": "string", "chromosome": "string", "position": "long", "strand": "string", "sequence": "string", "quality": "string", "mismatches": "string"}
 CHECKED_SAMPLES = ["id", "user_id", "species", "controls", "genomes", "control_genomes"]
@@ -51,9 +52,47 @@ def sampling_summary(spark: SparkSession, path: str) -> DataFrame:
     return df.select("id", *(F.col(c).cast("double").cast("long").alias(c) for c in ("read", "sampled")))
 
 
-def write_by_sample(df: DataFrame, path: str) -> None:
-    """A folder of files for each sample that has rows; each row's id is in its folder's name."""
-    printable(df).write.mode("overwrite").partitionBy("id").options(header=True, sep="\t", quote="", compression="gzip").csv(path)
+#: Columns of the written summaries that the chart reads, with their kinds.
+ALIGNMENT_SUMMARY = {
+    "id": "string", "genome": "string", "species": "string", "expected": "string", "control": "string", "aligned": "long", "aligned %": "double", "error rate": "double",
+    "assigned": "long", "assigned %": "double", "assigned error rate": "double",
+}
+SUMMARY = {"id": "string", "sequences": "long", "sampled": "long", "adapter": "long"}
+
+
+def _summary(spark: SparkSession, path: str, columns: dict[str, str]) -> DataFrame:
+    df = read_metadata(spark, path, list(columns))
+    return df.select(*(F.col(f"`{c}`").cast(t).alias(c) for c, t in columns.items()))
+
+
+def summary(spark: SparkSession, path: str) -> DataFrame:
+    """The columns of a written sample summary that the chart needs."""
+    return _summary(spark, path, SUMMARY)
+
+
+def alignment_summary(spark: SparkSession, path: str, place: str | None = None) -> DataFrame:
+    """A written alignment summary; place: a column for the rows' order in the one file that it is."""
+    df = _summary(spark, path, ALIGNMENT_SUMMARY)
+    return df if place is None else df.coalesce(1).withColumn(place, F.monotonically_increasing_id())
+
+
+BY_SAMPLE = {"header": True, "sep": "\t", "quote": "", "compression": "gzip"}
+
+
+def write_by_sample(df: DataFrame, samples: DataFrame, path: str) -> None:
+    """A folder path/id=ID of files for each sample, told by column id; a sample without rows has a file with the header
+    alone. samples: the sheet, whose few ids the driver lists."""
+    out = printable(df)
+    out.write.mode("overwrite").partitionBy("id").options(**BY_SAMPLE).csv(path)
+    empty = [r["id"] for r in samples.select("id").join(df.select("id").distinct(), "id", "left_anti").collect()]
+    for name in empty:
+        out.drop("id").limit(0).write.mode("overwrite").options(**BY_SAMPLE).csv(f"{path.rstrip('/')}/id={name}")
+
+
+def read_by_sample(spark: SparkSession, path: str, columns: dict[str, str]) -> DataFrame:
+    """What write_by_sample wrote."""
+    kinds = ", ".join(f"`{c}` {t}" for c, t in columns.items())
+    return spark.read.csv(path, header=True, sep="\t", quote="", schema=kinds)
 
 
 def index_names(files: list[str]) -> list[str]:
@@ -63,6 +102,8 @@ def index_names(files: list[str]) -> list[str]:
 
 
 def index_table(spark: SparkSession, files: list[str]) -> DataFrame:
+    """Names of indexes from names of files, or of all files that fit a pattern."""
+    files = [x for f in files for x in (Store(f).find(f) if "*" in f else [f])]
     return spark.createDataFrame([(n,) for n in index_names(files)], "id string")
 
 

@@ -97,3 +97,32 @@ def test_fasta(spark, tmp_path):
 def test_record_problems(spark):
     df = spark.createDataFrame([("r", "A", "I"), ("", "A", "I"), ("r", "é", "I"), ("r", "A", "é"), ("r", "AC", "I")], "id string, seq string, qual string")
     assert [r["p"] for r in df.select(record_problem().alias("p")).collect()] == [None, "no id", "sequence is not ASCII", "quality is not ASCII", "sequence and quality differ in length"]
+
+
+def test_store_by_pyarrow(tmp_path):
+    """What a store without paths does, on a folder that is reached through pyarrow."""
+    from pyarrow import fs
+
+    from seqsieve.sources.store import Store
+
+    root = f"file://{tmp_path}"
+    store = Store(root)
+    store.local, store.fs = False, fs.LocalFileSystem()
+    for name in ("a/x.1.fq", "a/x.2.fq", "b/x.1.fq", "a/deep/x.3.fq"):
+        with store.create(f"{root}/{name}") as f:
+            f.write(name.encode())
+    assert store.find(f"{root}/a/x.*.fq") == [f"{root}/a/x.1.fq", f"{root}/a/x.2.fq"] == [f"file://{p}" for p in Store(root).find(f"{root}/a/x.*.fq")]
+    assert store.find(f"{root}/*/x.1.fq") == [f"{root}/a/x.1.fq", f"{root}/b/x.1.fq"]
+    assert store.find(f"{root}/none/*") == [] and store.find(f"{root}/a/x.1.fq") == [f"{root}/a/x.1.fq"]
+    store.rename(f"{root}/b/x.1.fq", f"{root}/b/y.fq")
+    store.remove(f"{root}/a/x.1.fq")
+    store.remove(f"{root}/a/x.1.fq")
+    assert store.read(f"{root}/b/y.fq").read() == b"b/x.1.fq" and not (tmp_path / "a" / "x.1.fq").exists()
+
+
+def test_reader_stops_at_the_cap(spark, tmp_path):
+    (tmp_path / "a.1.fq").write_text("@r1\nA\n+\nI\n@r2\nC\n+\nI\n" + "not a record\n")
+    (tmp_path / "a.2.fq").write_text("@r3\nG\n+\nI\n@r4\nT\n+\nI\nnot a record\n")
+    (tmp_path / "b.fq").write_text("@r5\nGé\n+\nII\n@r6\nT\n+\nI\nnot a record\n")
+    reads = fastq.read_samples(spark, [("a", [f"{tmp_path}/a.*"]), ("b", [f"{tmp_path}/b.fq"])], 2)
+    assert sorted((r["sample"], r["ordinal"], r["id"], r["seq"]) for r in reads.collect()) == [("a", 0, "r1", "A"), ("a", 1, "r2", "C"), ("b", 0, "r5", "Gé"), ("b", 1, "r6", "T")]

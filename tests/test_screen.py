@@ -241,6 +241,9 @@ def test_whole_run_of_files(spark, tmp_path):
     found.write(config)
     assert (tmp_path / "out" / "x.summary.csv").is_dir()
     assert "<svg" in screen.chart(found)
+    written = {p.name for p in (tmp_path / "out").iterdir()}
+    assert written == {f"x.{n}" for n in ("summary.csv", "alignment_summary.csv", "genome_alignments.tsv", "adapter_alignments.tsv", "sampling_summary.csv", "samples.checked.csv", "genomes.checked.csv")}
+    assert [tuple(r) for r in tables.sampling_summary(spark, str(tmp_path / "out" / "x.sampling_summary.csv")).collect()] == [("1", 82, 81)]
 
 
 def test_stream_of_alignments(spark, tmp_path):
@@ -266,8 +269,25 @@ def test_summaries_of_files(spark, tmp_path):
     found = screen.summarise_files(spark, *(str(tmp_path / n) for n in ("samples.csv", "genomes.csv", "sampled.csv", "genome.tsv", "adapter.tsv")))
     assert [(r["id"], r["genome aligned"], r["adapter"], r["unmapped"]) for r in found.summary.collect()] == [("B", 0, 0, 0), ("A", 2, 1, 1)]
     assert [r["genome"] for r in found.alignment_summary.collect()] == ["mmu", "hsa", "phix", "unmapped", "mmu", "hsa", "phix", "unmapped"]
-    tables.write_by_sample(found.adapter_alignments, str(tmp_path / "by"))
-    assert [p.name for p in (tmp_path / "by").glob("id=*")] == ["id=A"]
+    tables.write_by_sample(found.adapter_alignments, found.summary.select("id"), str(tmp_path / "by"))
+    assert sorted(p.name for p in (tmp_path / "by").glob("id=*")) == ["id=A", "id=B"]
+
+
+def test_command_line_takes_reads_or_ready_alignments(tmp_path):
+    from seqsieve import cli
+
+    for args in ([], ["--sample-sheet", "a"], ["--checked-samples", "a", "--sample-sheet", "b"]):
+        with pytest.raises(SystemExit):
+            cli.main(args)
+    (tmp_path / "samples.csv").write_text("id,user_id,species,controls,genomes,control_genomes\n1,A,human,,hsa,\n")
+    (tmp_path / "genomes.csv").write_text("genome,species\nhsa,Homo sapiens\n")
+    (tmp_path / "sampled.csv").write_text("id,read,sampled\n1,10,4\n")
+    (tmp_path / "genome.tsv").write_text("\t".join(tables.GENOME_ALIGNMENTS) + f"\n1\tr1\thsa\tc\t5\t+\t{'A' * 36}\t{'I' * 36}\t\n")
+    (tmp_path / "adapter.tsv").write_text("\t".join(tables.ADAPTER_ALIGNMENTS) + "\n1\tr2\t0\t30\t+\ta1\t0\t30\t+\t99.5\t140\n")
+    names = zip(cli.READY, ("samples.csv", "genomes.csv", "sampled.csv", "genome.tsv", "adapter.tsv"), strict=True)
+    cli.main([x for k, n in names for x in ("--" + k.replace("_", "-"), str(tmp_path / n))] + ["--output-dir", str(tmp_path / "out")])
+    assert "<svg" in (tmp_path / "out" / "chart.svg").read_text()
+    assert (tmp_path / "out" / "summary.csv").is_dir() and not (tmp_path / "out" / "samples.checked.csv").exists()
 
 
 def test_chunks(spark, tmp_path):
