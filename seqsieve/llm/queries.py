@@ -79,6 +79,9 @@ def queries() -> dict[str, Query]:
 
 _WORDS = r"[w FOR w IN string_split_regex(lower(coalesce(text, '')), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+') IF w <> '']"
 
+#: The same with A-Z alone in lower case, as the operators on raw bytes have it.
+_ASCII = _WORDS.replace("lower(coalesce(text, ''))", "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")
+
 #: Brute force: every document's shingles against every item's.
 OP3_SQL = f"""
 WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
@@ -92,5 +95,71 @@ FROM m JOIN n USING (item_id) WHERE n_shared * 5 >= n_shingles * 4
 """
 
 
+#: Brute force: pairs of texts that share a shingle, their exact similarity, and components by spreading the smallest
+#: row to neighbours until nothing changes. Texts of one to four words are one shingle.
+OP6_SQL = f"""
+WITH RECURSIVE d AS (SELECT doc_id, {_ASCII} AS w FROM documents),
+x AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s FROM (SELECT doc_id, w, unnest(CASE WHEN len(w) BETWEEN 1 AND 4 THEN [1] ELSE range(1, len(w) - 3) END) AS i FROM d)),
+n AS (SELECT doc_id, count(*) AS n, bit_xor(hash(s)) AS p, sum(hash(s) % 1000000007) AS q FROM x GROUP BY doc_id),
+class AS (SELECT n, p, q, min(doc_id) AS copy_id, count(*) AS n_docs FROM n GROUP BY n, p, q),
+of AS (SELECT doc_id, copy_id FROM n JOIN class USING (n, p, q)),
+cx AS (SELECT x.doc_id AS c, s FROM x JOIN class ON doc_id = copy_id),
+shared AS (SELECT a.c AS a, b.c AS b, count(*) AS m FROM cx a JOIN cx b ON a.s = b.s AND a.c <> b.c GROUP BY a.c, b.c),
+near AS (SELECT a, b, u.n_docs FROM shared JOIN class t ON t.copy_id = a JOIN class u ON u.copy_id = b WHERE m * 5 >= (t.n + u.n - m) * 4),
+reach AS (SELECT copy_id AS a, copy_id AS b FROM class UNION SELECT r.a, e.b FROM reach r JOIN near e ON e.a = r.b),
+root AS (SELECT a AS copy_id, min(b) AS class_id FROM reach GROUP BY a),
+links AS (SELECT copy_id, any_value(class.n_docs) - 1 + coalesce(sum(near.n_docs), 0) AS n_links FROM class LEFT JOIN near ON a = copy_id GROUP BY copy_id)
+SELECT d.doc_id, coalesce(o.copy_id, d.doc_id) AS copy_id, coalesce(r.class_id, d.doc_id) AS class_id, coalesce(l.n_links, 0)::BIGINT AS n_links
+FROM d LEFT JOIN of o ON o.doc_id = d.doc_id LEFT JOIN root r ON r.copy_id = o.copy_id LEFT JOIN links l ON l.copy_id = o.copy_id
+"""
+
+#: Brute force: every line's shingles against those of all lines before it. Of copies of one token set only the first
+#: is compared with others, as the rest match it.
+OP7_SQL = f"""
+WITH t AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS p FROM documents),
+l AS (SELECT doc_id, unnest(range(1, len(p) + 1)) AS n, unnest(p) AS text FROM t),
+d AS (SELECT doc_id, n, {_ASCII} AS w FROM l),
+x AS (SELECT DISTINCT doc_id, n, array_to_string(w[i:i + 4], ' ') AS s FROM (SELECT doc_id, n, w, unnest(CASE WHEN len(w) BETWEEN 1 AND 4 THEN [1] ELSE range(1, len(w) - 3) END) AS i FROM d)),
+k AS (SELECT doc_id, n, count(*) AS k, bit_xor(hash(s)) AS p, sum(hash(s) % 1000000007) AS q, doc_id * 1000000 + n AS place FROM x GROUP BY doc_id, n),
+f AS (SELECT *, min(place) OVER (PARTITION BY k, p, q) AS first FROM k),
+c AS (SELECT first, s FROM x JOIN f USING (doc_id, n) WHERE place = first),
+sizes AS (SELECT first, any_value(k) AS k FROM f GROUP BY first),
+m AS (SELECT a.first AS a, b.first AS b, count(*) AS m FROM c a JOIN c b ON a.s = b.s AND b.first < a.first GROUP BY a.first, b.first),
+late AS (SELECT DISTINCT a FROM m JOIN sizes u ON u.first = a JOIN sizes v ON v.first = b WHERE m * 5 >= (u.k + v.k - m) * 4),
+gone AS (SELECT doc_id, n FROM f WHERE place > first OR first IN (SELECT a FROM late)),
+g AS (SELECT doc_id, list(n) AS ns FROM gone GROUP BY doc_id)
+SELECT t.doc_id, len(p)::BIGINT AS n_lines, coalesce(len(ns), 0)::BIGINT AS n_removed,
+  md5(array_to_string([p[i] FOR i IN range(1, len(p) + 1) IF NOT list_contains(coalesce(ns, []), i)], chr(10))) AS text_md5
+FROM t LEFT JOIN g ON g.doc_id = t.doc_id
+"""
+
+
+def _op8_sql() -> str:
+    """The same votes by SQL: exact trigrams at diagonals, neighbours merged, spans verified."""
+    rows = [(n, text, label, n < len(licenses.PHRASES)) for n, (text, label) in enumerate([*licenses.PHRASES, *licenses.TEMPLATES])]
+    values = ", ".join(f"({n}, '{text}', '{label}', {base})" for n, text, label, base in rows)
+    return f"""
+WITH t AS (SELECT template, string_split(text, ' ') AS w, label, base FROM (VALUES {values}) AS v(template, text, label, base)),
+tg AS (SELECT template, label, base, len(w) - 2 AS n_grams, i AS t_pos, w[i + 1] AS a, w[i + 2] AS b, w[i + 3] AS c FROM (SELECT *, unnest(range(len(w) - 2)) AS i FROM t)),
+d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+dg AS (SELECT doc_id, i AS pos, w[i + 1] AS a, w[i + 2] AS b, w[i + 3] AS c FROM (SELECT *, unnest(range(len(w) - 2)) AS i FROM d)),
+hits AS (SELECT DISTINCT doc_id, template, label, base, n_grams, t_pos, pos - t_pos AS diagonal FROM dg JOIN tg USING (a, b, c)),
+votes AS (SELECT doc_id, template, label, base, n_grams, diagonal, list(t_pos) AS held FROM hits GROUP BY ALL),
+marked AS (SELECT *, coalesce((diagonal - lag(diagonal) OVER o > {licenses.MERGE})::INT, 1) AS new FROM votes WINDOW o AS (PARTITION BY doc_id, template ORDER BY diagonal)),
+parts AS (SELECT *, sum(new) OVER (PARTITION BY doc_id, template ORDER BY diagonal) AS part FROM marked),
+merged AS (SELECT doc_id, template, label, n_grams, part, len(list_distinct(flatten(list(held)))) / n_grams AS coverage, min(diagonal + list_min(held)) AS first, max(diagonal + list_max(held) + {licenses.K}) AS last,
+  coalesce(list(diagonal) FILTER (base AND len(held) = n_grams), []) AS places FROM parts GROUP BY doc_id, template, label, n_grams, part),
+found AS (SELECT * FROM merged WHERE len(places) > 0 OR (coverage >= {licenses.COVERAGE} AND last - first <= {licenses.STRETCH} * (n_grams + {licenses.K - 1}))),
+sums AS (SELECT doc_id, sum(len(places)) AS n_base, min(list_min(places)) AS first_word, max(list_max(places)) AS last_word,
+  string_agg(DISTINCT CASE WHEN len(places) > 0 THEN label END, ',' ORDER BY CASE WHEN len(places) > 0 THEN label END) AS base_labels, string_agg(DISTINCT label, ',' ORDER BY label) AS labels,
+  max(CASE WHEN len(places) > 0 THEN 1.0::DOUBLE ELSE coverage END) AS score FROM found GROUP BY doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word::BIGINT AS first_word, last_word::BIGINT AS last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0)::DOUBLE AS score
+FROM d LEFT JOIN sums ON sums.doc_id = d.doc_id
+"""
+
+
+OP8_SQL = _op8_sql()
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_decontamination": OP3_SQL}
+    return {"op3_decontamination": OP3_SQL, "op6_jaccard_join": OP6_SQL, "op7_line_dedup": OP7_SQL, "op8_licenses": OP8_SQL}

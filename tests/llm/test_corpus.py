@@ -249,8 +249,9 @@ def test_decontamination_by_shuffles(spark, rows, monkeypatch):
     assert Counter(tuple(r)[:4] for r in got.collect()) == plain_leaks(texts, items)
 
 
-def test_decontamination_equals_sql(spark, small):
-    compare(spark, "op3", module.op3_decontamination(spark, small), module.OP3_SQL, small)
+@pytest.mark.parametrize("name", sorted(module.oracle_sql()))
+def test_query_equals_sql(spark, small, name):
+    compare(spark, name, module.queries()[name](spark, small), module.oracle_sql()[name], small)
 
 
 # 9
