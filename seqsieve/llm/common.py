@@ -45,6 +45,17 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def rewritten(df: DataFrame, name: str, old: str | None) -> tuple[DataFrame, str]:
+    """As materialise(), for a step that replaces the table below `old`, which is deleted when the new one is written.
+    Also the new table's path."""
+    spark, path = df.sparkSession, shared_path(df.sparkSession, name)
+    df.write.parquet(path)
+    if old is not None:
+        gone = spark._jvm.org.apache.hadoop.fs.Path(old)
+        gone.getFileSystem(spark._jsc.hadoopConfiguration()).delete(gone, True)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
 def row_bytes(df: DataFrame) -> int:
     """Bytes of a row of numbers in a broadcast table, with the room that a hash table takes for it."""
     for field in df.schema.fields:

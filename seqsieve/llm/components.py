@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import free_names, materialise
+from .common import free_names, rewritten
 
 
 #: Rows of one key that are one task's work in any case, and most keys that may have more.
@@ -41,16 +41,17 @@ def _round(edges: DataFrame, total: int) -> DataFrame:
 
 def connected_components(links: DataFrame) -> DataFrame:
     """node and root (the smallest node it is linked with) for links with long columns a and b. Only nodes that have a
-    link to another node are returned. Each round is a written table; rounds grow with the logarithm of the size."""
+    link to another node are returned. Each round is a written table that replaces the last
+    one; rounds grow with the logarithm of the size."""
     edges = links.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    edges = materialise(edges, "links")
+    edges, path = rewritten(edges, "links", None)
     seen = None
     while True:
         state = edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first()
         if state == seen or state[0] == 0:
             break
         seen = state
-        edges = materialise(_round(edges, state[0]), "links")
+        edges, path = rewritten(_round(edges, state[0]), "links", path)
     stars = edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
     return stars.unionByName(stars.select(F.col("root").alias("node"), "root").distinct())
 

@@ -36,7 +36,7 @@ from .words import mix
 
 BANDS, ROWS, HASHES, STEP, TOLERANCE = 30, 4, 64, 16, 1e-9
 #: Classes of a block of one bucket, rows of about one group, and bytes of the sets of one.
-BLOCK, GROUP_ROWS, GROUP_BYTES = 256, 1024, 8 << 20
+BLOCK, GROUP_ROWS, GROUP_BYTES = 256, 1024, 1 << 20
 
 
 def band_keys(signatures: np.ndarray) -> np.ndarray:

@@ -430,6 +430,95 @@ def test_quality_never_sees_held_out_labels(spark):
     assert scores[0] == scores[1]
 
 
+MASK = 2**64 - 1
+
+
+def plain_mix(h):
+    h ^= h >> 32
+    h = h * 0xD6E8FEB86659FD93 & MASK
+    h ^= h >> 29
+    h = h * 0xA24BAED4963EE407 & MASK
+    return h ^ h >> 32
+
+
+def plain_indicators(text):
+    """Places of the n-grams of a text: three bytes, and one to three word shapes."""
+    found = {plain_mix(text[i] << 16 | text[i + 1] << 8 | text[i + 2]) >> 64 - quality.BITS for i in range(len(text) - 2)}
+    shapes, before = [], None
+    for word in text.split():
+        caps, small = sum(65 <= c <= 90 for c in word), sum(97 <= c <= 122 for c in word)
+        marks = min(len(word) - caps - small - sum(c >= 128 for c in word), 4)
+        case = 0 if caps == 0 else 1 if caps == 1 else 3 if small == 0 else 2
+        shapes.append((((word[-1] if marks else 0) * 5 + marks) * 4 + case) * 2 + (word == before))
+        before = word
+    for k in (1, 2, 3):
+        for i in range(len(shapes) - k + 1):
+            h = k
+            for shape in shapes[i : i + k]:
+                h = plain_mix((h * 31 + shape) & MASK)
+            found.add(h >> 64 - quality.BITS)
+    return found
+
+
+def plain_machine(rows, labels):
+    """Naive Bayes ratios and the hinge-loss machine by plain dual coordinate descent, until it stands still."""
+    size = [quality.ALPHA * quality.SIZE + sum(len(x) for x, y in zip(rows, labels, strict=True) if y == c) for c in (0, 1)]
+    counts = [Counter(i for x, y in zip(rows, labels, strict=True) if y == c for i in x) for c in (0, 1)]
+    ratio = lambda i: math.log((counts[1][i] + quality.ALPHA) / size[1]) - math.log((counts[0][i] + quality.ALPHA) / size[0])
+    vectors = []
+    for x in rows:
+        v = {i: ratio(i) for i in x}
+        norm = math.sqrt(sum(a * a for a in v.values()) + 1e-9)
+        vectors.append({i: a / norm for i, a in v.items()})
+    weights, alpha = Counter(), [0.0] * len(rows)
+    for _ in range(400):
+        most = 0.0
+        for n, (v, y) in enumerate(zip(vectors, labels, strict=True)):
+            if not any(v.values()):
+                continue
+            sign = 1 if y else -1
+            new = min(max(alpha[n] - (sign * sum(weights[i] * a for i, a in v.items()) - 1) / sum(a * a for a in v.values()), 0.0), quality.COST)
+            for i, a in v.items():
+                weights[i] += (new - alpha[n]) * sign * a
+            most = max(most, abs(new - alpha[n]))
+            alpha[n] = new
+        if most < 1e-7:
+            break
+    loss = sum(w * w for w in weights.values()) / 2 + quality.COST * sum(max(0.0, 1 - (1 if y else -1) * sum(weights[i] * a for i, a in v.items())) for v, y in zip(vectors, labels, strict=True))
+    return vectors, weights, loss
+
+
+def test_quality_by_plain_descent():
+    r = random.Random(6)
+    texts = [" ".join(brute_words(r, 14)) for _ in range(30)] + junk(r, 12) + ["É x x Y", "a", "", "### !!", " ".join(brute_words(r, 8)).upper()]
+    raw = [t.encode() for t in texts]
+    offsets = np.concatenate([[0], np.cumsum([len(t) for t in raw])])
+    rows = list(quality.indicators(np.frombuffer(b"".join(raw), np.uint8), offsets))
+    plain = [plain_indicators(t) for t in raw]
+    assert [x.tolist() for x in rows] == [sorted(x) for x in plain]
+    labels = np.array([1] * 28 + [0, 0] + [0] * 11 + [1] + [1, 0, 1, 0, 0])
+    vectors, weights, loss = plain_machine(plain, labels)
+    ratios = quality.log_count_ratios(rows, labels)
+    values = [ratios[x] / math.sqrt(float(ratios[x] @ ratios[x]) + 1e-9) for x in rows]
+    assert all(np.allclose(v, [p[i] for i in x.tolist()]) for v, p, x in zip(values, vectors, rows, strict=True))
+    got = quality.descend(rows, values, labels)
+    margins = np.array([float(got[x] @ v) for x, v in zip(rows, values, strict=True)])
+    mine = float(got @ got) / 2 + quality.COST * np.maximum(0, 1 - np.where(labels == 1, 1, -1) * margins).sum()
+    assert loss - 1e-6 <= mine <= loss * 1.01
+    assert np.allclose(margins, [sum(weights[i] * a for i, a in v.items()) for v in vectors], atol=0.05)
+    model = quality.Model(got, ratios, 1.5, -0.25)
+    assert all(math.isclose(model.score(x), 1 / (1 + math.exp(-1.5 * m + 0.25)), rel_tol=1e-9) for x, m in zip(rows, margins, strict=True))
+
+
+def test_quality_of_very_long_texts(spark):
+    r = random.Random(7)
+    docs = spark.createDataFrame([(n, " ".join(brute_words(r, 40))) for n in range(40)] + [(100 + n, t) for n, t in enumerate(junk(r, 40))] + [(200, " ".join(brute_words(r, 300_000))), (201, "x" * 3_000_000)], "doc_id long, text string")
+    labels = spark.createDataFrame([(n, 1) for n in range(40)] + [(100 + n, 0) for n in range(40)] + [(200, 1)], "doc_id long, quality int")
+    got = {x["doc_id"]: x for x in quality.score(docs, quality.fit(docs, labels)).collect()}
+    assert len(got) == 82 and got[200]["predicted"] == 1 and 0 <= got[201]["score"] <= 1
+    assert quality.fit(docs.limit(0), labels).slope == 0.0
+
+
 # pipeline
 
 

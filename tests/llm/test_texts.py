@@ -27,11 +27,11 @@ def by_row(frame):
 
 
 def plain_counts(word, scores, floor):
-    best = [(0.0, 0)]
+    best = [(0.0, 0, 0)]
     for end in range(1, len(word) + 1):
-        found = [(best[i][0] + scores[word[i:end]], best[i][1] + 1) for i in range(end) if word[i:end] in scores]
+        found = [(best[i][0] + scores[word[i:end]], best[i][1] + 1, best[i][2]) for i in range(end) if word[i:end] in scores]
         if word[end - 1] not in scores:
-            found.append((best[end - 1][0] + floor - token_counts.PENALTY, best[end - 1][1] + len(word[end - 1].encode())))
+            found.append((best[end - 1][0] + floor - token_counts.PENALTY, best[end - 1][1] + len(word[end - 1].encode()), best[end - 1][2] + 1))
         best.append(max(found))
     return best[-1]
 
@@ -46,9 +46,10 @@ def test_token_counts_equal_plain_segmentation(spark, docs, rows, empty):
         for w in found:
             if w not in known:
                 known[w] = plain_counts("▁" + w, scores, floor)
-        expected[i, len(found), sum(known[w][1] for w in found)] += 1
+        expected[i, len(found), sum(known[w][1] for w in found), sum(known[w][2] for w in found), round(sum(known[w][0] for w in found), 4)] += 1
     got = token_counts.token_counts(docs, tokenizer_path(PIECES))
-    assert Counter((r["doc_id"], r["n_pretokens"], r["n_tokens"]) for r in got.collect()) == expected
+    assert Counter((*tuple(r)[:4], round(r["log_prob"], 4)) for r in got.collect()) == expected
+    assert any(k[3] for k in expected)
     assert token_counts.token_counts(empty, tokenizer_path(PIECES)).count() == 0
 
 
@@ -112,6 +113,28 @@ def test_media_of_several_frames_and_markers():
         media.parse_frames(b"\x00\x01")
 
 
+def plain_feature(text):
+    """The feature of a text by loops over its payload, a picture of one byte for each sample."""
+    body = text + b"\xff" * (max(-(-len(text) // media.UNIT), 1) * media.UNIT - len(text))
+    wide = media.WIDTH
+    picture = [body[i : i + wide] for i in range(0, len(body), wide)]
+    rows, columns = ([n * i // 8 for i in range(8)] + [n] for n in (len(picture), wide))
+    means = []
+    for a, b in zip(rows[:-1], rows[1:], strict=True):
+        for c, d in zip(columns[:-1], columns[1:], strict=True):
+            area = [x for line in picture[a : max(b, a + 1)] for x in line[c : max(d, c + 1)]]
+            means.append(sum(area) / len(area))
+    middle = np.mean(means)
+    bits = int("".join("1" if m >= middle else "0" for m in means), 2)
+    return f"{wide}x{len(picture)}:{-(-len(picture) // media.FRAME_ROWS)}:{bits:016x}"
+
+
+def test_media_features_by_loops(spark, docs, rows):
+    got = Counter((r["doc_id"], r["feature"]) for r in media.read_features(media.store_texts(docs)).collect())
+    assert got == Counter((i, plain_feature((t or "").encode())) for i, t in rows)
+    assert len({f for _, f in got}) > 5
+
+
 def colour_jpeg(dc, width, height):
     """A plain writer of a baseline file with 2 x 2, 1 x 1, 1 x 1 sampling and some AC values, no restart intervals.
     dc: luminance DC values in the order of the scan."""
