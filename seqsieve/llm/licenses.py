@@ -29,7 +29,7 @@ PHRASES = [
     ("apache license version 2", "apache-2"),
     ("cc by nc", "cc-by-nc"),
 ]
-#: Sentences that licenses and notices share, with the method's labels. Names that differ from another's
+#: Sentences and paragraphs of licenses and notices, with the method's labels. Names that differ from another's
 #: by one word or number are so short that a text must hold them whole.
 TEMPLATES = [
     ("permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files", "mit"),
@@ -46,6 +46,35 @@ TEMPLATES = [
     ("creative commons attribution noncommercial 4 0 international", "cc-by-nc"),
     ("this is free and unencumbered software released into the public domain", "unlicense"),
     ("permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted", "isc"),
+    (
+        "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction "
+        "including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished "
+        "to do so subject to the following conditions the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software",
+        "mit",
+    ),
+    (
+        "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer redistributions in binary form must reproduce the above copyright "
+        "notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution",
+        "bsd",
+    ),
+    ("neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission", "bsd-3"),
+    (
+        "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express "
+        "or implied see the license for the specific language governing permissions and limitations under the license",
+        "apache-2",
+    ),
+    (
+        "this program is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose see the gnu "
+        "general public license for more details",
+        "gpl",
+    ),
+    (
+        "this software is provided as is without any express or implied warranty in no event will the authors be held liable for any damages arising from the use of this software permission is granted "
+        "to anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely",
+        "zlib",
+    ),
+    ("anyone is free to copy modify publish use compile sell or distribute this software either in source code form or as a compiled binary for any purpose commercial or non commercial and by any means", "unlicense"),
+    ("to the extent possible under law the author has waived all copyright and related or neighboring rights to this work", "cc0"),
 ]
 
 
