@@ -8,8 +8,8 @@ documents are too long for a sketch of their own to show a short item, so each d
 probe the table of all sketches, and a document that meets enough of an item's sketch is a candidate. Candidates are
 verified: the item's shingles are counted in the document by their words.
 
-The tables of items are broadcast if their counted rows are within MAX_BROADCAST_ROWS and shuffled beyond it; so are
-candidate ids (see common.small). All that is shuffled are hits.
+The tables of items are broadcast if their counted rows and bytes take common.BROADCAST_BYTES at most and shuffled
+beyond it; so are candidate ids. All that is shuffled are hits.
 
 Edge cases: an item with fewer than five words has no shingles and is never found; null items and texts hold nothing;
 repeated rows with one id and text are one document, and so is an id with several texts for the pairs (the largest
@@ -21,11 +21,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import free_names, materialise, small
+from .common import free_names, materialise, measured, small
 from .licenses import NO_ID, keyed, word_array
 
 SHINGLE, CONTAINMENT, MARGIN = 5, 0.8, 4
-MAX_BROADCAST_ROWS = 2_000_000
 
 
 def _shingles(rows: DataFrame, keep: list[str]) -> DataFrame:
@@ -36,11 +35,6 @@ def _shingles(rows: DataFrame, keep: list[str]) -> DataFrame:
     return rows.select(*keep, F.xxhash64(*word).alias("hash"), F.concat_ws(" ", *word).alias("shingle"))
 
 
-def _small(df: DataFrame) -> DataFrame:
-    """df, to be broadcast if its rows are counted and few."""
-    return F.broadcast(df) if df.count() <= MAX_BROADCAST_ROWS else df
-
-
 def item_shingles(items: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
     """Distinct shingles of the items with their number n_shingles, the number need that a leak holds, and whether
     the shingle is in the item's sketch, of which need_sketch must be found."""
@@ -59,14 +53,14 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
     """key, mark, item_id, n_shared, n_shingles of each document (see licenses.keyed) and item that it leaks."""
     table = materialise(item_shingles(items, item_col, item_text_col), "item-shingles")
     rows = keyed(docs, id_col, text_col).select("key", "mark", word_array(F.col("text")).alias("words"))
-    sketches = _small(table.filter("sketch").select("item_id", "hash", "need_sketch"))
+    sketches = measured(table.filter("sketch").select("item_id", "hash", "need_sketch"))
     probes = _shingles(rows, ["key", "mark"]).select("key", "mark", "hash")
     met = probes.join(sketches, "hash").groupBy("key", "mark", "item_id", "need_sketch").agg(F.count_distinct("hash").alias("n"))
     candidates = materialise(met.filter("n >= need_sketch").select("key", "mark", "item_id"), "leak-candidates")
 
     ids = candidates.select("key", "mark").distinct()
     held = _shingles(rows.join(small(ids, candidates.count()), ["key", "mark"], "left_semi"), ["key", "mark"])
-    exact = held.join(_small(table.select("item_id", "hash", "shingle", "n_shingles", "need")), ["hash", "shingle"])
+    exact = held.join(measured(table.select("item_id", "hash", "shingle", "n_shingles", "need")), ["hash", "shingle"])
     exact = exact.join(candidates, ["key", "mark", "item_id"], "left_semi")
     exact = exact.groupBy("key", "mark", "item_id", "n_shingles", "need").agg(F.count_distinct("shingle").alias("n_shared"))
     return exact.filter("n_shared >= need").select("key", "mark", "item_id", "n_shared", "n_shingles")

@@ -242,13 +242,22 @@ def test_decontamination(spark, rows, empty):
 
 
 def test_decontamination_by_shuffles(spark, rows, monkeypatch):
-    monkeypatch.setattr(decontaminate, "MAX_BROADCAST_ROWS", 0)
     monkeypatch.setattr(common, "BROADCAST_BYTES", 0)
     texts, items = leaky(rows[:30])
     got = decontaminate.leaked_pairs(spark.createDataFrame(texts, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
     assert Counter(tuple(r)[:4] for r in got.collect()) == plain_leaks(texts, items)
 
 
+def test_tables_are_broadcast_by_their_bytes(spark, monkeypatch):
+    rows = spark.createDataFrame([(n, "é" * 100) for n in range(10)] + [(10, None)], "n long, text string")
+    hinted = lambda df: "ResolvedHint" in df._jdf.queryExecution().analyzed().toString()
+    size = 11 * (48 + 16 + 24) + 10 * 200
+    monkeypatch.setattr(common, "BROADCAST_BYTES", size)
+    assert hinted(common.measured(rows)) and hinted(common.measured(rows.limit(0)))
+    monkeypatch.setattr(common, "BROADCAST_BYTES", size - 1)
+    assert not hinted(common.measured(rows))
+
+
 @pytest.mark.parametrize("name", sorted(module.oracle_sql()))
 def test_query_equals_sql(spark, small, name):
     compare(spark, name, module.queries()[name](spark, small), module.oracle_sql()[name], small)
