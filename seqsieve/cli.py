@@ -20,6 +20,9 @@ def parser() -> argparse.ArgumentParser:
     ready.add_argument("--sampling-summary", help="CSV with columns id, read, sampled")
     ready.add_argument("--genome-alignments", help="tab-separated genome alignments")
     ready.add_argument("--adapter-alignments", help="tab-separated adapter alignments")
+    written = out.add_argument_group("a chart of written summaries")
+    written.add_argument("--summary", help="the sample summary that a run wrote")
+    written.add_argument("--alignment-summary", help="the alignment summary that a run wrote")
     defaults = ScreenConfig()
     for name in ("sample_size", "max_reads", "chunk_size", "trim_start", "trim_length", "max_mismatches"):
         out.add_argument("--" + name.replace("_", "-"), type=int, default=getattr(defaults, name), help="default: %(default)s")
@@ -30,28 +33,30 @@ def parser() -> argparse.ArgumentParser:
 
 OWN = ("sample_sheet", "genome_details", "references", "adapters")
 READY = ("checked_samples", "checked_genomes", "sampling_summary", "genome_alignments", "adapter_alignments")
+WRITTEN = ("summary", "alignment_summary")
 
 
 def main(args: list[str] | None = None) -> None:
     reader = parser()
     given = vars(reader.parse_args(args))
-    own, ready = ([given.pop(k) for k in names] for names in (OWN, READY))
-    if all(own) == all(ready) or any(own) and any(ready):
-        reader.error("give all files of a screen of reads, or all files of ready alignments")
+    own, ready, written = kinds = [[given.pop(k) for k in names] for names in (OWN, READY, WRITTEN)]
+    if sum(map(any, kinds)) != 1 or not any(map(all, kinds)):
+        reader.error("give all files of a screen of reads, all files of ready alignments, or both written summaries")
     config = ScreenConfig(**given)
     from pyspark.sql import SparkSession
 
-    from .sources.store import Store
-    from .plans.screen import chart, run_files, summarise_files
+    from .plans.screen import plot_of_files, run_files, summarise_files, write_charts
 
     spark = SparkSession.builder.appName("seqsieve").getOrCreate()
     print("\n".join(f"{k}: {v}" for k, v in given.items()))
+    if all(written):
+        write_charts(plot_of_files(spark, *written), config)
+        return
     result = run_files(spark, *own, config) if all(own) else summarise_files(spark, *ready)
     for warning in result.warnings:
         print(f"Warning: {warning}")
     result.write(config)
-    with Store(config.output_path("")).create(config.output_path("chart.svg")) as out:
-        out.write(chart(result).encode())
+    write_charts(result.plot_data(), config)
 
 
 if __name__ == "__main__":

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from ..config import ScreenConfig
 from ..functions import split_tokens
 from ..operators import align, assign, checks, resolve, sampling, summarize
-from ..operators.chart import bar_chart, plot_data
+from ..operators.chart import bar_chart, bar_chart_pdf, plot_data
 from ..sources import fastq, tables
+from ..sources.store import Store
 
 TIES = ["genome_ordinal", "chromosome", "position", "strand"]
 
@@ -166,5 +167,20 @@ def run_files(spark: SparkSession, sheet: str, details: str, references: list[st
     return run_screen(samples, reads, tables.read_metadata(spark, details, ["genome", "species", "synonyms"]), genomes, known, config)
 
 
+def plot_of_files(spark: SparkSession, summary: str, alignment_summary: str) -> DataFrame:
+    """Chart data of written summaries, with the order of their rows."""
+    return plot_data(tables.alignment_summary(spark, alignment_summary, "place"), tables.summary(spark, summary))
+
+
 def chart(result: ScreenResult) -> str:
     return bar_chart(result.plot_data())
+
+
+def write_charts(plot: DataFrame, config: ScreenConfig) -> None:
+    """chart.svg and chart.pdf of chart data, which is computed once."""
+    plot = plot.persist()
+    for name, drawn in (("chart.svg", bar_chart(plot).encode()), ("chart.pdf", bar_chart_pdf(plot))):
+        path = config.output_path(name)
+        with Store(path).create(path) as out:
+            out.write(drawn)
+    plot.unpersist()

@@ -13,6 +13,7 @@ import os
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from itertools import islice
+from typing import IO
 
 import numpy as np
 import pyarrow as pa
@@ -289,3 +290,11 @@ def write_chunks(records: DataFrame, folder: str, chunk_size: int, compress: boo
 
 def write_text(records: DataFrame, text: Column, path: str, compress: bool = False) -> None:
     records.select(text.alias("value")).write.mode("overwrite").option("compression", "gzip" if compress else "none").text(path)
+
+
+def print_text(records: DataFrame, text: Column, out: IO[str]) -> None:
+    """The records' text to a stream such as standard output, in their order. The driver holds one partition at a time;
+    for more than a look at some records, write_text() is the way."""
+    for row in records.select(text.alias("value")).toLocalIterator():
+        out.write(row["value"] + "\n")
+    out.flush()

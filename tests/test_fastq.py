@@ -126,3 +126,12 @@ def test_reader_stops_at_the_cap(spark, tmp_path):
     (tmp_path / "b.fq").write_text("@r5\nGé\n+\nII\n@r6\nT\n+\nI\nnot a record\n")
     reads = fastq.read_samples(spark, [("a", [f"{tmp_path}/a.*"]), ("b", [f"{tmp_path}/b.fq"])], 2)
     assert sorted((r["sample"], r["ordinal"], r["id"], r["seq"]) for r in reads.collect()) == [("a", 0, "r1", "A"), ("a", 1, "r2", "C"), ("b", 0, "r5", "Gé"), ("b", 1, "r6", "T")]
+
+
+def test_text_to_a_stream(spark):
+    import io
+
+    rows = spark.createDataFrame([(f"r{n}", None, "ACGT", "IIII") for n in range(5)], "id string, desc string, seq string, qual string").repartitionByRange(3, "id")
+    out = io.StringIO()
+    fastq.print_text(rows, fastq.fasta_text(*(F.col(c) for c in ("id", "desc", "seq"))), out)
+    assert out.getvalue() == "".join(f">r{n}\nACGT\n" for n in range(5))

@@ -6,7 +6,7 @@ from hypothesis import strategies as st
 
 from seqsieve.config import ScreenConfig, check_tool_limits
 from seqsieve.operators import align, assign, checks, resolve, sampling
-from seqsieve.operators.chart import bar_chart
+from seqsieve.operators.chart import bar_chart, bar_chart_pdf
 from seqsieve.plans import screen
 from seqsieve.sources import tables
 
@@ -276,7 +276,7 @@ def test_summaries_of_files(spark, tmp_path):
 def test_command_line_takes_reads_or_ready_alignments(tmp_path):
     from seqsieve import cli
 
-    for args in ([], ["--sample-sheet", "a"], ["--checked-samples", "a", "--sample-sheet", "b"]):
+    for args in ([], ["--sample-sheet", "a"], ["--checked-samples", "a", "--sample-sheet", "b"], ["--summary", "a"], ["--summary", "a", "--alignment-summary", "b", "--adapters", "c"]):
         with pytest.raises(SystemExit):
             cli.main(args)
     (tmp_path / "samples.csv").write_text("id,user_id,species,controls,genomes,control_genomes\n1,A,human,,hsa,\n")
@@ -288,6 +288,27 @@ def test_command_line_takes_reads_or_ready_alignments(tmp_path):
     cli.main([x for k, n in names for x in ("--" + k.replace("_", "-"), str(tmp_path / n))] + ["--output-dir", str(tmp_path / "out")])
     assert "<svg" in (tmp_path / "out" / "chart.svg").read_text()
     assert (tmp_path / "out" / "summary.csv").is_dir() and not (tmp_path / "out" / "samples.checked.csv").exists()
+    cli.main(["--summary", f"{tmp_path}/out/summary.csv", "--alignment-summary", f"{tmp_path}/out/alignment_summary.csv", "--output-dir", str(tmp_path / "again")])
+    for name in ("chart.svg", "chart.pdf"):
+        assert (tmp_path / "again" / name).read_bytes() == (tmp_path / "out" / name).read_bytes()
+
+
+def test_pdf_is_well_formed(spark):
+    import re
+
+    fields = "user_id string, type string, scaled_count double, category string, bounded_error_rate double, reference string, group int"
+    rows = [("A (1\\\n)é漢", "genome", 3.0, "control", 0.25, "x", 1), ("A (1\\\n)é漢", "genome", 1.0, "unmapped", 1.5, "y", 2), ("B", "adapter", None, "adapter", None, "adapter", 3)]
+    for some in (rows, []):
+        drawn = bar_chart_pdf(spark.createDataFrame(some, fields))
+        start = int(re.search(rb"startxref\n(\d+)\n%%EOF\n$", drawn)[1])
+        assert drawn[start:].startswith(b"xref\n0 6\n")
+        places = [int(x) for x in re.findall(rb"(\d{10}) 00000 n \n", drawn)]
+        assert [drawn[p:].split(b"\n", 1)[0] for p in places] == [b"%d 0 obj" % n for n in range(1, 6)]
+        length, stream = re.search(rb"/Length (\d+) >>\nstream\n(.*)\nendstream", drawn, re.S).groups()
+        assert int(length) == len(stream)
+        assert stream.count(b" re B") == len(some) + 5
+    drawn = bar_chart_pdf(spark.createDataFrame(rows, fields))
+    assert b"(A \\(1\\\\ \\)\xe9?) Tj" in drawn
 
 
 def test_chunks(spark, tmp_path):
