@@ -1,4 +1,4 @@
-"""The ten operators with production parameters on the whole documents table, and their SQL where it exists."""
+"""The operators with production parameters on the whole documents table, and their SQL where it exists."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, jaccard_join, licenses, line_dedup, lm, media, pieces, quality, token_counts, token_files
+from . import decontaminate, jaccard_join, licenses, line_dedup, lm, media, pieces, quality, spelling, token_counts, token_files
 from .common import documents, shared_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,6 +62,10 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(documents(spark, sf_dir))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_token_counts": op1_token_counts,
@@ -74,6 +78,7 @@ def queries() -> dict[str, Query]:
         "op8_licenses": op8_licenses,
         "op9_lm_scores": op9_lm_scores,
         "op10_quality": op10_quality,
+        "op11_spelling_variants": op11_spelling_variants,
     }
 
 
@@ -161,5 +166,36 @@ FROM d LEFT JOIN sums ON sums.doc_id = d.doc_id
 OP8_SQL = _op8_sql()
 
 
+#: A CTE with the table of CRC-32, and the checksum of a text of one-byte characters or of a list of bytes.
+_CRC_TABLE = "crc AS (SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)), lambda a, k: xor(a >> 1, CASE WHEN a % 2 = 1 THEN 3988292384 ELSE 0 END))) AS tab)"
+
+
+def _crc(codes: str) -> str:
+    return f"xor(list_reduce(list_prepend(4294967295, {codes}), lambda a, b: xor(a >> 8, tab[(xor(a, b) & 255) + 1])), 4294967295)"
+
+
+#: The bytes of a text of code points below 2,048 in UTF-8.
+_BYTES = "flatten(list_transform(string_split({0}, ''), lambda x: CASE WHEN unicode(x) < 128 THEN [unicode(x)::BIGINT] ELSE [192 + unicode(x) // 64, 128 + unicode(x) % 64]::BIGINT[] END))"
+
+#: Words with each letter taken out meet where they differ by one letter; those that lost a letter at different places are
+#: compared again.
+OP11_SQL = f"""
+WITH RECURSIVE {_CRC_TABLE},
+runs AS (SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\u00C0-\u00FF]+')) AS run FROM documents),
+counted AS (SELECT doc_id, run, count(*) AS n FROM runs WHERE length(run) >= 6 GROUP BY doc_id, run),
+summed AS (SELECT run, n, {_crc(_BYTES.format("coalesce(doc_id::VARCHAR, '') || ':' || run"))} AS h FROM counted, crc),
+altered AS (SELECT CASE WHEN h % 199 = 0 THEN substring(run, 1, (h % length(run))::BIGINT) || substring(run, (h % length(run))::BIGINT + 2) ELSE run END AS word, n FROM summed),
+words AS (SELECT word, sum(n)::BIGINT AS n FROM altered WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+gaps AS (SELECT word, n, i, substring(word, 1, i) || substring(word, i + 2) AS rest FROM (SELECT word, n, unnest(range(length(word))) AS i FROM words)),
+near AS (SELECT DISTINCT a.word, a.n, b.word AS other, b.n AS other_n FROM gaps a JOIN gaps b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION SELECT w.word, w.n, g.word, g.n FROM words w JOIN gaps g ON w.word = g.rest UNION SELECT g.word, g.n, w.word, w.n FROM words w JOIN gaps g ON w.word = g.rest),
+best AS (SELECT word, n, count(*) AS n_near, first(other ORDER BY other_n DESC, other) AS other, max(other_n) AS other_n FROM near GROUP BY word, n),
+found AS (SELECT words.word, CASE WHEN other_n >= 5 * words.n THEN other END AS form, words.n, coalesce(n_near, 0) AS n_near, CASE WHEN other_n >= 5 * words.n THEN other_n END AS form_n FROM words LEFT JOIN best ON best.word = words.word),
+chain AS (SELECT word, word AS at FROM found UNION ALL SELECT c.word, f.form FROM chain c JOIN found f ON f.word = c.at WHERE f.form IS NOT NULL),
+ends AS (SELECT c.word, c.at AS root FROM chain c JOIN found f ON f.word = c.at WHERE f.form IS NULL)
+SELECT found.word, form, root, n, n_near, form_n FROM found JOIN ends ON ends.word = found.word
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_decontamination": OP3_SQL, "op6_jaccard_join": OP6_SQL, "op7_line_dedup": OP7_SQL, "op8_licenses": OP8_SQL}
+    return {"op3_decontamination": OP3_SQL, "op6_jaccard_join": OP6_SQL, "op7_line_dedup": OP7_SQL, "op8_licenses": OP8_SQL, "op11_spelling_variants": OP11_SQL}
