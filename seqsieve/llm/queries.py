@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, jaccard_join, licenses, line_dedup, lm, media, pieces, quality, spelling, token_counts, token_files
+from . import decontaminate, html_text, jaccard_join, licenses, line_dedup, lm, media, pieces, quality, spelling, token_counts, token_files, turn_trie
 from .common import documents, shared_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -66,6 +66,15 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.spelling_variants(documents(spark, sf_dir))
 
 
+def op12_main_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.main_texts(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
+def op13_turn_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    arrays = turn_trie.turn_arrays(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+    return turn_trie.prefix_trie(turn_trie.with_shared_starts(arrays))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_token_counts": op1_token_counts,
@@ -79,6 +88,8 @@ def queries() -> dict[str, Query]:
         "op9_lm_scores": op9_lm_scores,
         "op10_quality": op10_quality,
         "op11_spelling_variants": op11_spelling_variants,
+        "op12_main_texts": op12_main_texts,
+        "op13_turn_trie": op13_turn_trie,
     }
 
 
@@ -197,5 +208,23 @@ SELECT found.word, form, root, n, n_near, form_n FROM found JOIN ends ON ends.wo
 """
 
 
+#: Every prefix of every rebuilt conversation by its texts, and sums over the nodes below.
+OP13_SQL = f"""
+WITH {_CRC_TABLE},
+t AS (SELECT conv_id, turn, {{'role': coalesce(role, ''), 'text': coalesce(text, '')}} AS t FROM conversations WHERE conv_id IS NOT NULL),
+a AS (SELECT conv_id, list(t ORDER BY turn NULLS FIRST, t) AS turns FROM t GROUP BY conv_id),
+c AS (SELECT conv_id, turns, ({_crc("list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)")} % 6)::BIGINT AS h FROM a, crc),
+r AS (SELECT c.conv_id, list_concat(list_slice(b.turns, 1, h), list_slice(c.turns, h + 1, len(c.turns))) AS turns FROM c LEFT JOIN a b ON b.conv_id = c.conv_id - c.conv_id % 100),
+p AS (SELECT conv_id, d, list_slice(turns, 1, d) AS prefix, len(turns) = d AS ends, turns[d].text AS text FROM (SELECT *, unnest(range(len(turns) + 1)) AS d FROM r)),
+n AS (SELECT prefix, d, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * coalesce(length(any_value(text)), 0) AS saved,
+  sha256(coalesce(string_agg(CASE WHEN ends THEN conv_id::VARCHAR END, ',' ORDER BY conv_id), '')) AS ends FROM p GROUP BY prefix, d),
+k AS (SELECT list_slice(prefix, 1, d - 1) AS prefix, count(*) AS n_children FROM n WHERE d > 0 GROUP BY 1),
+u AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN k ON k.prefix = n.prefix),
+up AS (SELECT list_slice(prefix, 1, i) AS prefix, count(*) FILTER (n_children = 0) AS n_leaves, sum(saved)::BIGINT AS saved_tokens FROM (SELECT *, unnest(range(d + 1)) AS i FROM u) GROUP BY 1)
+SELECT u.conv_id, u.d AS depth, n.conv_id AS parent_conv_id, u.n_convs, u.n_children, n_leaves, saved_tokens, u.ends AS ends_sha256
+FROM u JOIN up ON up.prefix = u.prefix LEFT JOIN n ON u.d > 0 AND n.d = u.d - 1 AND n.prefix = list_slice(u.prefix, 1, u.d - 1)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_decontamination": OP3_SQL, "op6_jaccard_join": OP6_SQL, "op7_line_dedup": OP7_SQL, "op8_licenses": OP8_SQL, "op11_spelling_variants": OP11_SQL}
+    return {"op3_decontamination": OP3_SQL, "op6_jaccard_join": OP6_SQL, "op7_line_dedup": OP7_SQL, "op8_licenses": OP8_SQL, "op11_spelling_variants": OP11_SQL, "op13_turn_trie": OP13_SQL}
