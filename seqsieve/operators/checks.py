@@ -85,6 +85,8 @@ def record_problem() -> Column:
     ascii_only = "^[\\x00-\\x7F]*$"
     return (
         F.when(F.coalesce(F.col("id"), F.lit("")) == "", "no id")
+        .when(F.col("seq").isNull(), "no sequence")
+        .when(F.col("qual").isNull(), "no quality")
         .when(~F.col("seq").rlike(ascii_only), "sequence is not ASCII")
         .when(~F.col("qual").rlike(ascii_only), "quality is not ASCII")
         .when(F.length("seq") != F.length("qual"), "sequence and quality differ in length")

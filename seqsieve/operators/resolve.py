@@ -19,23 +19,32 @@ def cleaned(df: DataFrame) -> DataFrame:
     return df.select(*(null_if_missing(F.col(f"`{c}`")).alias(c) if t == "string" else F.col(f"`{c}`") for c, t in df.dtypes))
 
 
+def in_order(df: DataFrame, column: str = "ordinal") -> DataFrame:
+    """Numbers the rows of a metadata table from 1 in their order. The table is small and its order is the file's, so one
+    task numbers it."""
+    placed = df.coalesce(1).withColumn("__place", F.monotonically_increasing_id())
+    return placed.withColumn(column, F.row_number().over(Window.orderBy("__place"))).drop("__place")
+
+
 def add_ids(sheet: DataFrame) -> DataFrame:
-    """Numbers the rows of a checked sheet in their order: id, and the user's id as user_id. The sheet is small and its
-    order is the file's, so one task numbers it."""
+    """Numbers the rows of a checked sheet in their order: id, and the user's id as user_id."""
     sheet = checks.require_columns(cleaned(sheet), ["id", "fastq", "species", "controls"], "sample sheet")
     checks.require_unique(checks.require_value(checks.require_rows(sheet, "sample sheet"), "id", "sample sheet"), "id", "sample sheet")
-    placed = sheet.coalesce(1).withColumn("place", F.monotonically_increasing_id())
-    numbered = placed.withColumn("n", F.row_number().over(Window.orderBy("place")))
-    return numbered.select(F.col("n").alias("id"), F.col("id").alias("user_id"), "fastq", "species", "controls")
+    return in_order(sheet, "n").select(F.col("n").alias("id"), F.col("id").alias("user_id"), "fastq", "species", "controls")
 
 
 def with_index(details: DataFrame, indexes: DataFrame) -> DataFrame:
     """Genome details joined with indexes (column id) by name whatever the case: genome, species, synonyms, has_index.
-    Rows of one side stay, and the index's spelling wins."""
-    left = details.select("genome", "species", "synonyms", F.lower("genome").alias("lower"))
+    Rows of one side stay, and the index's spelling wins. If details have an ordinal, so has the result: theirs, and
+    after them indexes without details by name."""
+    ordered = [F.col("ordinal")] if "ordinal" in details.columns else []
+    left = details.select("genome", "species", "synonyms", F.lower("genome").alias("lower"), *ordered)
     right = indexes.select("id", F.lower("id").alias("lower"))
     joined = left.join(right, "lower", "full_outer")
-    return joined.select(F.coalesce("id", "genome").alias("genome"), "species", "synonyms", F.col("id").isNotNull().alias("has_index"))
+    name = F.coalesce("id", "genome")
+    if ordered:
+        ordered = [F.row_number().over(Window.orderBy(F.asc_nulls_last("ordinal"), name)).alias("ordinal")]
+    return joined.select(name.alias("genome"), "species", "synonyms", F.col("id").isNotNull().alias("has_index"), *ordered)
 
 
 def synonym_table(genomes: DataFrame) -> DataFrame:
@@ -95,11 +104,13 @@ def _warnings(found: DataFrame, what: str) -> list[str]:
 
 
 def resolve(samples: DataFrame, details: DataFrame, indexes: DataFrame) -> Resolved:
-    """Checks the metadata and finds each sample's genomes. samples: id, user_id, species, controls."""
-    samples = checks.require_columns(cleaned(samples), ["id", "user_id", "species", "controls"], "samples")
+    """Checks the metadata and finds each sample's genomes. samples: id, user_id, species, controls. An ordinal of samples
+    or of details is kept, in the checked samples and genomes."""
+    kept = lambda df: ["ordinal"] if "ordinal" in df.columns else []
+    samples = checks.require_columns(cleaned(samples), ["id", "user_id", "species", "controls", *kept(samples)], "samples")
     checks.require_unique(checks.require_value(checks.require_rows(samples, "samples"), "id", "samples"), "id", "samples")
     checks.require_case_unique(checks.require_no_bar(indexes, "id", "indexes"), "id", "indexes")
-    details = checks.require_columns(cleaned(details), ["genome", "species", "synonyms"], "genome details")
+    details = checks.require_columns(cleaned(details), ["genome", "species", "synonyms", *kept(details)], "genome details")
     checks.require_unique(checks.require_no_bar(details, "genome", "genome details"), "genome", "genome details")
     checks.require_case_unique(checks.require_value(details, "genome", "genome details"), "genome", "genome details")
 
@@ -113,4 +124,4 @@ def resolve(samples: DataFrame, details: DataFrame, indexes: DataFrame) -> Resol
     control = first_places(controls)
     expected = without(first_places(species), control)
     out = samples.join(collapsed(expected, "genomes"), "id", "left").join(collapsed(control, "control_genomes"), "id", "left")
-    return Resolved(out, genomes.filter("has_index").select("genome", "species"), expected, control, _warnings(species, "species") + _warnings(controls, "controls"))
+    return Resolved(out, genomes.filter("has_index").select("genome", "species", *kept(genomes)), expected, control, _warnings(species, "species") + _warnings(controls, "controls"))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import trimmed
+from ..sources.store import shared_folder
 
 
 def long_enough(reads: DataFrame, min_length: int) -> DataFrame:
@@ -28,9 +29,27 @@ def trim_to(reads: DataFrame, length: int) -> DataFrame:
     return trim(reads, 1, length)
 
 
-def chunk_numbers(reads: DataFrame, chunk_size: int) -> DataFrame:
-    """Adds chunk: every chunk_size reads of a sample, from 0. Sinks use it; no result depends on it."""
-    return reads.withColumn("chunk", F.floor(F.col("ordinal") / chunk_size).cast("long"))
+def with_place(rows: DataFrame, order: list[str], column: str = "place") -> DataFrame:
+    """Adds the place of each row, from 0, in an order over all rows. Rows are sorted into ranges and written to the shared
+    folder; a range's first place is the sum of the rows in the ranges before it, so no task sees more than its range."""
+    spark = rows.sparkSession
+    path = shared_folder(spark, "placed")
+    ranges = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    ranges.withColumns({"__range": F.spark_partition_id(), "__row": F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))}).write.parquet(path)
+    table = spark.read.parquet(path)
+    counts = table.groupBy("__range").agg(F.count("*").alias("n")).orderBy("__range").collect()  # a row for each range
+    first, bases = 0, []
+    for r in counts:
+        bases.append((r["__range"], first))
+        first += r["n"]
+    bases = spark.createDataFrame(bases, "__range int, __base long")
+    return table.join(F.broadcast(bases), "__range").withColumn(column, F.col("__base") + F.col("__row")).drop("__range", "__row", "__base")
+
+
+def chunk_numbers(reads: DataFrame, chunk_size: int, order: list[str] | None = None) -> DataFrame:
+    """Adds place and chunk: every chunk_size reads over all samples, from 0. Sinks use it; no result depends on it."""
+    placed = with_place(reads, order or ["sample", "ordinal"])
+    return placed.withColumn("chunk", F.floor(F.col("place") / chunk_size).cast("long"))
 
 
 def hash_sample(rows: DataFrame, group: str, size: int, seed: str, *key: str) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..config import ScreenConfig
 from ..operators import resolve, sampling
 from ..operators.chart import plot_data
-from ..sources import fastq, tables
+from ..sources import fastq, fastq_index, tables
 from ..sources.store import Store, shared_folder
 from . import queries as core
 from . import screen
@@ -78,14 +78,60 @@ def capped_files(spark, sf_dir):
     return sampling.long_enough(reads, 300).select("sample", "ordinal", "id")
 
 
-@query(f"SELECT kind, count(*) AS n_records FROM (VALUES ('fastq'), ('fasta')) AS k(kind), ({RECORDS} FROM documents) GROUP BY kind")
+@query(f"""WITH {READS}, r AS (SELECT *, {SEQ.replace("text", "seq")} AS s, row_number() OVER (ORDER BY sample, ordinal) - 1 AS place FROM reads),
+kinds AS (SELECT 'fq' AS kind UNION ALL SELECT 'fa')
+SELECT place // 400 + 1 AS chunk, kind, place % 400 AS place, id::VARCHAR AS id, CASE WHEN kind = 'fq' THEN substring(s, 11, 36) ELSE s END AS seq FROM r, kinds""")
 def chunk_files(spark, sf_dir):
-    """Pairs of FASTQ and FASTA files of at most 400 records, read back and counted."""
+    """Pairs of files of 400 records each over all samples, read back: trimmed FASTQ, and FASTA of whole texts."""
     fastq.register(spark)
     folder = shared_folder(spark, "chunks")
-    fastq.write_chunks(_records(spark, sf_dir), folder, 400, True)
-    counts = [spark.read.format(kind).option("paths", f"{folder}/{kind}/part-*.gz").load().select(F.lit(kind).alias("kind")) for kind in ("fastq", "fasta")]
-    return counts[0].unionByName(counts[1]).groupBy("kind").agg(F.count("*").alias("n_records"))
+    rows = core.reads(spark, sf_dir).select("sample", "ordinal", F.col("id").cast("string").alias("id"), F.lit(None).cast("string").alias("desc"), F.translate("seq", FORBIDDEN, INSTEAD).alias("seq"))
+    fastq.write_chunks(sampling.chunk_numbers(rows.withColumn("qual", F.col("seq")), 400), folder, 11, 36, compress=True)
+    chunk = F.regexp_extract("file", "chunk\\.(\\d+)\\.", 1).cast("long").alias("chunk")
+    pairs = spark.read.format("fastq").option("paths", f"{folder}/chunk.*.fq.gz").load(), spark.read.format("fasta").option("paths", f"{folder}/chunk.*.fa.gz").load().withColumnRenamed("name", "id")
+    found = [df.select(chunk, F.lit(kind).alias("kind"), F.col("record").alias("place"), "id", "seq") for df, kind in zip(pairs, ("fq", "fa"), strict=True)]
+    return found[0].unionByName(found[1])
+
+
+def _sorted_files(spark: SparkSession, sf_dir: str, folder: str, records: DataFrame) -> list[str]:
+    """A file for each source with its records (source, doc_id, value) in order; the sources."""
+    records.repartition("source").sortWithinPartitions("source", "doc_id").select("source", "value").write.partitionBy("source").text(folder)
+    return [r["source"] for r in records.select("source").distinct().orderBy("source").collect()]
+
+
+def _split(files: list[str]) -> int:
+    """Bytes of a range, so that all files are some dozens of ranges."""
+    return max(1 << 14, sum(Store(f).stamp(f)[0] for f in files) // 64)
+
+
+@query(f"WITH {READS} SELECT sample, ordinal, id::VARCHAR AS id, {SEQ.replace('text', 'seq')} AS seq, {SEQ.replace('text', 'seq')} AS qual FROM reads")
+def split_files(spark, sf_dir):
+    """A plain file for each sample, each read in ranges by many tasks, with the numbers of its records."""
+    folder = shared_folder(spark, "split")
+    rows = _records(spark, sf_dir)
+    listed = _sorted_files(spark, sf_dir, folder, rows.select("source", "doc_id", fastq.fastq_text(*(F.col(c) for c in ("id", "desc", "seq", "qual"))).alias("value")))
+    files = fastq.expand([f"{folder}/source=*/part-*.txt"])
+    return fastq.read_samples(spark, [(s, [f"{folder}/source={s}/part-*.txt"]) for s in listed], index=f"{folder}-index", split=_split(files)).select("sample", "ordinal", "id", "seq", "qual")
+
+
+@query(f"""WITH r AS (SELECT source, doc_id, {SEQ} AS seq, CASE doc_id % 9 WHEN 0 THEN 'a record must begin with @' WHEN 3 THEN 'no id' WHEN 6 THEN 'space in the sequence' END AS problem FROM documents),
+n AS (SELECT *, lag(problem) OVER o IS NULL AS starts FROM r WINDOW o AS (PARTITION BY source ORDER BY doc_id)),
+i AS (SELECT *, sum(starts::INT) OVER (PARTITION BY source ORDER BY doc_id) AS island FROM n WHERE problem IS NOT NULL)
+SELECT source, doc_id::VARCHAR AS id, seq, NULL AS problem, NULL AS bad FROM r WHERE problem IS NULL
+UNION ALL SELECT source, NULL, NULL, arg_min(problem, doc_id), string_agg(CASE problem WHEN 'no id' THEN '@' WHEN 'space in the sequence' THEN '@' || doc_id ELSE '#' || doc_id END || chr(10)
+  || CASE problem WHEN 'space in the sequence' THEN ' ' ELSE '' END || seq || chr(10) || '+' || chr(10) || seq || chr(10), '' ORDER BY doc_id) FROM i GROUP BY source, island""")
+def damaged_files(spark, sf_dir):
+    """Files of which a third of the records break a rule: these come with the reason and their text, the others as ever."""
+    fastq.register(spark)
+    folder = shared_folder(spark, "damaged")
+    kind, id_ = F.col("doc_id") % 9, F.col("id")
+    head = F.when(kind == 3, "@").when(kind == 0, F.concat(F.lit("#"), id_)).otherwise(F.concat(F.lit("@"), id_))
+    seq = F.when(kind == 6, F.concat(F.lit(" "), "seq")).otherwise(F.col("seq"))
+    _sorted_files(spark, sf_dir, folder, _records(spark, sf_dir).select("source", "doc_id", F.concat_ws("\n", head, seq, F.lit("+"), "qual").alias("value")))
+    files = fastq.expand([f"{folder}/source=*/part-*.txt"])
+    fastq_index.ensure(spark, files, f"{folder}-index", _split(files))
+    rows = spark.read.format("fastq").option("paths", ",".join(files)).option("mode", "PERMISSIVE").option("index", f"{folder}-index").load()
+    return rows.select(F.regexp_extract("file", "source=([^/]*)/", 1).alias("source"), "id", "seq", "problem", "bad")
 
 
 # tables
@@ -218,6 +264,37 @@ def alignment_summary_file(spark, sf_dir):
     return tables.alignment_summary(spark, path)
 
 
+ORDERED = """WITH s AS (SELECT row_number() OVER (ORDER BY s_suppkey % 10, s_suppkey DESC) AS ordinal, s_suppkey, s_name FROM supplier),
+g AS (SELECT n_name, n_nationkey, row_number() OVER (ORDER BY n_nationkey % 3, n_nationkey DESC) AS ordinal FROM nation),
+c AS (SELECT l_suppkey AS s_suppkey, l_partkey % 25 AS n_nationkey, count(*) AS n FROM (SELECT DISTINCT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem) GROUP BY ALL),
+rows AS (SELECT s.ordinal, s_name AS id, n_name AS genome, coalesce(n, 0) AS assigned, g.ordinal AS place FROM s CROSS JOIN g LEFT JOIN c USING (s_suppkey, n_nationkey)
+  UNION ALL SELECT ordinal, s_name, 'unmapped', 10, NULL FROM s)
+SELECT row_number() OVER (ORDER BY ordinal, place IS NULL, assigned DESC, place) - 1 AS row, id, genome, assigned FROM rows"""
+
+
+@query(ORDERED)
+def row_order(spark, sf_dir):
+    """Rows of the alignment summary and their places, for all suppliers as samples and nations as genomes in orders that
+    are not alphabetical: sheet and details give the order."""
+    folder = shared_folder(spark, "order")
+    supplier, nation = core._table(spark, sf_dir, "supplier"), core._table(spark, sf_dir, "nation")
+    none = F.lit(None).cast("string")
+    tables.write_table(supplier.orderBy(F.col("s_suppkey") % 10, F.desc("s_suppkey")).select(F.col("s_name").alias("id"), F.lit("a.fq").alias("fastq"), none.alias("species"), none.alias("controls")), f"{folder}/sheet")
+    tables.write_table(nation.orderBy(F.col("n_nationkey") % 3, F.desc("n_nationkey")).select(F.col("n_name").alias("genome"), none.alias("species"), none.alias("synonyms")), f"{folder}/details")
+    sheet = screen.with_ordinal(resolve.add_ids(tables.read_metadata(spark, f"{folder}/sheet", ["id", "fastq", "species", "controls"])))
+    details = resolve.in_order(tables.read_metadata(spark, f"{folder}/details", ["genome", "species", "synonyms"]))
+    screen.write_checked(resolve.resolve(sheet, details, nation.select(F.col("n_name").alias("id"))), ScreenConfig(output_dir=folder))
+    samples, genomes = (resolve.in_order(tables.read_metadata(spark, f"{folder}/{n}.checked.csv", c)) for n, c in (("samples", tables.CHECKED_SAMPLES), ("genomes", ["genome", "species"])))
+    keys = supplier.select("s_suppkey", F.col("s_name").alias("user_id")).join(sheet.select("id", "user_id"), "user_id").select("id", F.col("s_suppkey").alias("l_suppkey"))
+    rows = core._table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").distinct()
+    rows = rows.join(keys, "l_suppkey").join(nation.withColumnRenamed("n_name", "genome"), F.col("l_partkey") % 25 == F.col("n_nationkey"))
+    texts = {c: F.lit("") for c in ("chromosome", "strand", "sequence", "quality")}
+    found = rows.select("id", F.concat_ws("|", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("read"), "genome", F.lit(0).alias("position"), F.lit(0).alias("mismatches"), F.lit(36).alias("length")).withColumns(texts)
+    counts = sheet.select("id").join(found.groupBy("id").agg(F.count("*").alias("n")), "id", "left").select("id", (F.coalesce("n", F.lit(0)) + 10).alias("read"))
+    result = screen.summarise(samples, genomes, counts.withColumn("sampled", F.col("read")), found, found.select("id", "read").limit(0))
+    return result.alignment_summary.coalesce(1).withColumn("row", F.monotonically_increasing_id()).select("row", "id", "genome", "assigned")
+
+
 @query(PLOT)
 def chart_of_files(spark, sf_dir):
     """Chart data from the two summaries as they were written."""

@@ -358,9 +358,9 @@ def read_cap(spark, sf_dir):
     return sampling.capped(reads(spark, sf_dir), 7).select("sample", "ordinal", "id")
 
 
-@query(f"WITH {READS} SELECT sample, ordinal, id, ordinal // 10 AS chunk FROM reads")
+@query(f"WITH {READS} SELECT sample, ordinal, id, place, place // 10 AS chunk FROM (SELECT *, row_number() OVER (ORDER BY sample, ordinal) - 1 AS place FROM reads)")
 def chunked_reads(spark, sf_dir):
-    return sampling.chunk_numbers(reads(spark, sf_dir), 10).select("sample", "ordinal", "id", "chunk")
+    return sampling.chunk_numbers(reads(spark, sf_dir), 10).select("sample", "ordinal", "id", "place", "chunk")
 
 
 HASHED = f"WITH {READS}, h AS (SELECT sample, ordinal, id, row_number() OVER (PARTITION BY sample ORDER BY md5('7|' || sample || '|' || ordinal)) AS n FROM reads WHERE length(seq) >= 500)"

@@ -61,6 +61,11 @@ def ordinals(df: DataFrame, column: str) -> DataFrame:
     return df.withColumn("ordinal", F.row_number().over(Window.orderBy(column)))
 
 
+def with_ordinal(samples: DataFrame) -> DataFrame:
+    """Numbered samples whose number is text from here on, as ids of alignments are, and keeps their order as ordinal."""
+    return samples.withColumn("ordinal", F.col("id")).withColumn("id", F.col("id").cast("string"))
+
+
 def bridges(samples: DataFrame, genomes: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Distinct (id, genome) of expected and of control genomes, from checked samples. Names without an index are text
     of a sample but no genome of the screen."""
@@ -111,7 +116,8 @@ def sample_and_trim(reads: DataFrame, config: ScreenConfig) -> tuple[DataFrame,
 
 def run_screen(samples: DataFrame, reads: DataFrame, details: DataFrame, references: DataFrame, adapters: DataFrame, config: ScreenConfig) -> ScreenResult:
     """A screen with the native aligners. samples: id, user_id, species, controls; reads: sample, ordinal, id, seq,
-    qual; details: genome, species, synonyms; references: genome, chromosome, seq; adapters: name, seq."""
+    qual; details: genome, species, synonyms; references: genome, chromosome, seq; adapters: name, seq. Samples and
+    genomes stand in the order of a column ordinal of samples and details, else of their ids and names."""
     names = [(r["genome"],) for r in references.select("genome").distinct().orderBy("genome").collect()]  # metadata: some dozens
     resolved = resolve.resolve(samples, details, samples.sparkSession.createDataFrame(names, "id string"))
     sampled, trimmed, counts = sample_and_trim(reads, config)
@@ -130,22 +136,19 @@ def run_screen(samples: DataFrame, reads: DataFrame, details: DataFrame, referen
 
 
 def write_checked(resolved: resolve.Resolved, config: ScreenConfig) -> None:
-    """The checked samples and the genomes that have an index."""
-    tables.write_table(resolved.samples.select(*tables.CHECKED_SAMPLES), config.output_path("samples.checked.csv"))
-    tables.write_table(resolved.genomes, config.output_path("genomes.checked.csv"))
+    """The checked samples and the genomes that have an index, in their order."""
+    for df, columns, name in ((resolved.samples, tables.CHECKED_SAMPLES, "samples"), (resolved.genomes, ["genome", "species"], "genomes")):
+        df = df.orderBy("ordinal") if "ordinal" in df.columns else df
+        tables.write_table(df.select(*columns), config.output_path(f"{name}.checked.csv"))
 
 
 def summarise_files(spark: SparkSession, samples: str, genomes: str, sampled: str, genome_alignments: str, adapter_alignments: str) -> ScreenResult:
     """The relational core on files that other tools made: checked samples and genomes, a sampling summary, and
     alignments. Samples and genomes keep the order of their files."""
 
-    def placed(df: DataFrame) -> DataFrame:
-        rows = df.coalesce(1).withColumn("place", F.monotonically_increasing_id())  # a small table in its file's order
-        return ordinals(rows, "place").drop("place")
-
     return summarise(
-        placed(tables.read_metadata(spark, samples, tables.CHECKED_SAMPLES)),
-        placed(tables.read_metadata(spark, genomes, ["genome", "species"])),
+        resolve.in_order(tables.read_metadata(spark, samples, tables.CHECKED_SAMPLES)),
+        resolve.in_order(tables.read_metadata(spark, genomes, ["genome", "species"])),
         tables.sampling_summary(spark, sampled),
         tables.genome_alignments(spark, genome_alignments),
         tables.adapter_alignments(spark, adapter_alignments),
@@ -156,15 +159,16 @@ def run_files(spark: SparkSession, sheet: str, details: str, references: list[st
     """A screen of files: a sample sheet, genome details, a FASTA file for each genome (named GENOME.fa) and adapters."""
     fastq.register(spark)
     samples = resolve.add_ids(tables.read_metadata(spark, sheet, ["id", "fastq", "species", "controls"]))
-    listed = samples.select(F.col("id").cast("string").alias("id"), "fastq").orderBy("id").collect()
+    listed = samples.orderBy("id").select(F.col("id").cast("string").alias("id"), "fastq").collect()
     if missing := [r["id"] for r in listed if not r["fastq"]]:
         raise checks.ScreenError(f"no FASTQ files for samples {missing}")
     reads = fastq.read_samples(spark, [(r["id"], [config.input_path(p.strip()) for p in r["fastq"].split("|")]) for r in listed], config.max_reads)
     genomes = spark.read.format("fasta").option("paths", ",".join(references)).load()
     genomes = genomes.select(F.regexp_extract("file", "([^/]*?)\\.(fa|fasta|fna)(\\.gz)?$", 1).alias("genome"), F.col("name").alias("chromosome"), "seq")
     known = spark.read.format("fasta").option("paths", adapters).load().select("name", "seq")
-    samples = samples.withColumn("id", F.col("id").cast("string"))
-    return run_screen(samples, reads, tables.read_metadata(spark, details, ["genome", "species", "synonyms"]), genomes, known, config)
+    samples = with_ordinal(samples)
+    listed_genomes = resolve.in_order(tables.read_metadata(spark, details, ["genome", "species", "synonyms"]))
+    return run_screen(samples, reads, listed_genomes, genomes, known, config)
 
 
 def plot_of_files(spark: SparkSession, summary: str, alignment_summary: str) -> DataFrame:

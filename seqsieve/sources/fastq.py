@@ -2,26 +2,30 @@
 
 Rules of the reader: a record may have several sequence and quality lines; blank lines may stand before a record; the
 id ends at the first space and the rest is the description; what follows + is ignored; the quality is read by length,
-so it may begin with @; lines end with LF or CR LF, and the last one may have no end. A file is one partition, as a
-gzip stream cannot be split; files of several gzip members are one stream."""
+so it may begin with @; lines end with LF or CR LF, and the last one may have no end. Files of several gzip members are
+one stream. With an index (see fastq_index) plain and BGZF files are read in ranges, each by its own task; without one a
+file is one partition, and other gzip files always are."""
 
 from __future__ import annotations
 
 import gzip
 import io
 import os
+from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
-from itertools import islice
 from typing import IO
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
 
-from .store import Store
+from . import fastq_index
+from .blocks import Fault, Records, Stream, kind_of
+from .store import Store, shared_folder
 
 #: Rows and characters of a reader's batch.
 BATCH_ROWS, BATCH_CHARS = 10_000, 4 << 20
@@ -118,32 +122,78 @@ def expand(patterns: Iterable[str]) -> list[str]:
 
 
 class _FilePartition(InputPartition):
-    def __init__(self, number: int, path: str):
+    """A file's records from a place on: the number of the first, and how many are wanted (None: all)."""
+
+    def __init__(self, number: int, path: str, kind: str | None = None, start: int = 0, first: int = 0, n: int | None = None):
         super().__init__(number)
-        self.number, self.path = number, path
+        self.number, self.path, self.kind, self.start, self.first, self.n = number, path, kind, start, first, n
 
 
 class _Reader(DataSourceReader):
     def __init__(self, options: dict):
         paths = options.get("path") or options.get("paths") or ""
         self.paths = [p for p in paths.split(",") if p]
-        self.least, self.most = int(options.get("minlength", 0)), int(options.get("maxrecords", -1))
+        self.least, self.caps = int(options.get("minlength", 0)), [int(x) for x in str(options.get("maxrecords", -1)).split(",")]
+        self.mode = options.get("mode", FAILFAST).upper()
+        if self.mode not in (FAILFAST, PERMISSIVE, DROPMALFORMED):
+            raise ValueError(f"mode must be {FAILFAST}, {PERMISSIVE} or {DROPMALFORMED}")
+        self.index = options.get("index")
 
     def partitions(self) -> list[InputPartition]:
-        return [_FilePartition(i, p) for i, p in enumerate(expand(self.paths))]
+        files = expand(self.paths)
+        entries, missing = fastq_index.read(self.index, files) if self.index else ([], files)
+        known: dict[str, list[fastq_index.Entry]] = {}
+        for e in entries:
+            known.setdefault(e.path, []).append(e)
+        out: list[InputPartition] = []
+        if len(self.caps) not in (1, len(files)):
+            raise ValueError("maxRecords must be a number, or a number for each file")
+        for i, (path, most) in enumerate(zip(files, self.caps * len(files) if len(self.caps) == 1 else self.caps, strict=True)):
+            if path in known:
+                wanted = (e for e in known[path] if most < 0 or e.first < most)
+                out += [_FilePartition(i, path, e.kind, e.start, e.first, e.n if most < 0 else min(e.n, most - e.first)) for e in wanted]
+            elif path in missing and most:  # one that the index knows to be empty needs no task
+                out.append(_FilePartition(i, path, n=None if most < 0 else most))
+        return out or [_FilePartition(0, "", n=0)]  # Spark wants one
+
+
+#: What is done about a record that breaks the rules: an error, a row with its text and the reason, or nothing.
+FAILFAST, PERMISSIVE, DROPMALFORMED = "FAILFAST", "PERMISSIVE", "DROPMALFORMED"
 
 
 class FastqReader(_Reader):
     def read(self, partition: _FilePartition) -> Iterator[pa.RecordBatch]:
         """Records that are long enough, in Arrow batches; reading stops after the last record that is wanted."""
-        with open_text(partition.path) as lines:
-            records = enumerate(parse_fastq(lines, os.path.basename(partition.path)))
-            wanted = ((n, r.id, r.desc, r.seq, r.qual) for n, r in (records if self.most < 0 else islice(records, self.most)) if len(r.seq) >= self.least)
-            for columns, n in _batches(wanted, (3, 4)):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([partition.path] * n), pa.array(np.full(n, partition.number, np.int32)), *(pa.array(c, t) for c, t in zip(columns, (pa.int64(), *[pa.string()] * 4), strict=True))],
-                    names=["file", "file_number", "record", "id", "desc", "seq", "qual"],
-                )
+        if partition.n == 0:
+            return
+        name, kind = os.path.basename(partition.path), partition.kind or kind_of(partition.path)
+        stream = Stream(partition.path, kind, partition.start)
+        number, left = partition.first, partition.n
+        try:
+            for step in Records(stream).steps():
+                n = step.n if left is None else min(step.n, left)
+                columns = [c.slice(0, n) for c in step.columns]
+                faults = pc.is_valid(columns[4])
+                if self.mode == FAILFAST and pc.any(faults).as_py():
+                    at = pc.index(faults, True).as_py()
+                    raise FormatError(f"{name}, record {number + at + 1}: {columns[4][at].as_py()}")
+                keep = pc.greater_equal(pc.utf8_length(columns[2]), self.least)
+                keep = pc.or_(pc.fill_null(keep, False), faults) if self.mode == PERMISSIVE else pc.fill_null(keep, False)
+                rows = pa.RecordBatch.from_arrays(
+                    [pa.array([partition.path]).take(pa.array(np.zeros(n, np.int64))), pa.array(np.full(n, partition.number, np.int32)), pa.array(np.arange(number, number + n)), *columns],
+                    names=["file", "file_number", "record", "id", "desc", "seq", "qual", "problem", "bad"],
+                ).filter(keep)
+                rows = rows if self.mode == PERMISSIVE else rows.select(rows.schema.names[:7])
+                for at in range(0, len(rows), BATCH_ROWS):
+                    yield rows.slice(at, BATCH_ROWS)
+                number += n
+                left = None if left is None else left - n
+                if left == 0:
+                    return
+        except Fault as fault:  # of the compressed file
+            raise FormatError(f"{name}: {fault}") from None
+        finally:
+            stream.close()
 
 
 class FastaReader(_Reader):
@@ -169,14 +219,17 @@ def _batches(records: Iterator[tuple], sized: tuple[int, ...]) -> Iterator[tuple
 
 
 class FastqSource(DataSource):
-    """spark.read.format("fastq").option("paths", "a.fq,b.*.fq.gz"); options minLength and maxRecords (of each file)."""
+    """spark.read.format("fastq").option("paths", "a.fq,b.*.fq.gz"); options minLength, maxRecords (of each file, or a list with a
+    number for each), index (a folder, see fastq_index) and mode: FAILFAST; PERMISSIVE, with the columns problem and bad (the text) for what is no
+    record; or DROPMALFORMED. What is no record counts in the numbers of records."""
 
     @classmethod
     def name(cls) -> str:
         return "fastq"
 
     def schema(self) -> str:
-        return "file string, file_number int, record long, id string, desc string, seq string, qual string"
+        more = ", problem string, bad string" if self.options.get("mode", "").upper() == PERMISSIVE else ""
+        return "file string, file_number int, record long, id string, desc string, seq string, qual string" + more
 
     def reader(self, schema) -> DataSourceReader:
         return FastqReader(self.options)
@@ -243,26 +296,36 @@ def register(spark) -> None:
     spark.dataSource.register(FastaSource)
 
 
-def read_samples(spark, samples: list[tuple[str, list[str]]], most: int = -1) -> DataFrame:
-    """Reads of all samples: sample, ordinal (over a sample's files in order), id, desc, seq, qual. Ordinals come from
-    counts of each file, so that files are read side by side; a sample of one file needs none. most: reads that are
-    wanted of a sample at most, so no file is read further than that."""
+def read_samples(spark, samples: list[tuple[str, list[str]]], most: int = -1, index: str | None = None, split: int = fastq_index.SPLIT) -> DataFrame:
+    """Reads of all samples: sample, ordinal (over a sample's files in order), id, desc, seq, qual. most: reads that are
+    wanted of a sample at most, so no file is read further than that.
+
+    Large files and samples of several files need an index of their records, which is looked for in the folder `index`
+    (else a new shared one) and made where it is missing or out of date: with it large files are read in ranges of
+    `split` bytes, and each file's records are numbered after those of the sample's files before it."""
     register(spark)
     files = [(sample, path) for sample, patterns in samples for path in expand(patterns)]
     if not files:
         raise FileNotFoundError("no FASTQ files")
-    order = spark.createDataFrame([(n, s) for n, (s, _) in enumerate(files)], "file_number int, sample string")
-    reads = spark.read.format("fastq").option("paths", ",".join(p for _, p in files)).option("maxRecords", most).load()
-    again = {s for s, _ in files if sum(x == s for x, _ in files) > 1}
-    counted = [n for n, (s, _) in enumerate(files) if s in again]
-    rows = reads.filter(F.col("file_number").isin(counted)).groupBy("file_number").agg((F.max("record") + 1).alias("n")).collect() if counted else []
-    counts = {r["file_number"]: r["n"] for r in rows}
-    base, bases = {}, []
-    for n, (sample, _) in enumerate(files):
-        bases.append((n, base.get(sample, 0)))
-        base[sample] = base.get(sample, 0) + counts.get(n, 0)
-    bases = spark.createDataFrame(bases, "file_number int, base long")
-    joined = reads.join(F.broadcast(order), "file_number").join(F.broadcast(bases), "file_number")  # a row for each file
+    paths = [p for _, p in files]
+    times = Counter(s for s, _ in files)
+    needed = list(dict.fromkeys(p for s, p in files if times[s] > 1 or Store(p).stamp(p)[0] > split))
+    reader = spark.read.format("fastq").option("paths", ",".join(paths))
+    counts: Counter[str] = Counter()
+    if needed:
+        index = index or shared_folder(spark, "fastq-index")
+        for e in fastq_index.ensure(spark, needed, index, split):
+            counts[e.path] += e.n
+        reader = reader.option("index", index)
+    base: Counter[str] = Counter()
+    bases = []
+    for n, (sample, path) in enumerate(files):
+        bases.append((n, sample, base[sample]))
+        base[sample] += counts[path]
+    if most >= 0:
+        reader = reader.option("maxRecords", ",".join(str(max(0, most - b)) for _, _, b in bases))
+    bases = spark.createDataFrame(bases, "file_number int, sample string, base long")
+    joined = reader.load().join(F.broadcast(bases), "file_number")  # a row for each file
     found = joined.select("sample", (F.col("base") + F.col("record")).alias("ordinal"), "id", "desc", "seq", "qual")
     return found.filter(F.col("ordinal") < most) if most >= 0 else found
 
@@ -280,12 +343,60 @@ def fasta_text(name: Column, desc: Column, seq: Column, width: int = 80) -> Colu
     return F.concat_ws("\n", head, F.when(seq != "", wrapped))
 
 
-def write_chunks(records: DataFrame, folder: str, chunk_size: int, compress: bool = False) -> None:
-    """FASTQ and FASTA files of at most chunk_size records each, below folder/fastq and folder/fasta."""
-    name, desc, seq, qual = (F.col(c) for c in ("id", "desc", "seq", "qual"))
-    for kind, text in (("fastq", fastq_text(name, desc, seq, qual)), ("fasta", fasta_text(name, desc, seq))):
-        out = records.select(text.alias("value")).write.mode("overwrite").option("maxRecordsPerFile", chunk_size)
-        out.option("compression", "gzip" if compress else "none").text(f"{folder}/{kind}")
+def write_chunks(chunked: DataFrame, folder: str, start: int | None = None, length: int | None = None, fasta: bool = True, compress: bool = False) -> list[tuple[int, int]]:
+    """Pairs of files chunk.N.fq and chunk.N.fa (N from 1) in a folder: the chunk's records trimmed (from start, counted
+    from 1, at most length letters), and the same records untrimmed. chunked: id, desc, seq, qual, and place and chunk as
+    chunk_numbers() has them. Result: the number and the records of each chunk.
+
+    A chunk is written by one task, as rows stream by. Files take their names when all are written, so a lost task leaves
+    none."""
+    short = [F.substring(c, F.lit(start or 1), F.lit(length if length is not None else 1 << 30)) for c in ("seq", "qual")]
+    texts = [fastq_text(F.col("id"), F.col("desc"), *short).alias("fastq"), fasta_text(F.col("id"), F.col("desc"), F.col("seq")).alias("fasta")]
+    dealt = chunked.select("chunk", "place", *texts).repartition("chunk").sortWithinPartitions("chunk", "place").select("chunk", "fastq", "fasta")
+    endings = {"fastq": ".fq", **({"fasta": ".fa"} if fasta else {})}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        store, attempt, chunk, n, files = Store(folder), TaskContext.get().taskAttemptId(), None, 0, {}
+
+        def close() -> pa.RecordBatch:
+            for raw, out in files.values():
+                if out is not raw:
+                    out.close()
+                raw.close()
+            return pa.RecordBatch.from_pydict({"chunk": pa.array([chunk], pa.int64()), "n": pa.array([n], pa.int64()), "attempt": pa.array([attempt], pa.int64())})
+
+        for batch in batches:
+            numbers = batch.column("chunk").to_numpy()
+            edges = [0, *(np.flatnonzero(np.diff(numbers)) + 1).tolist(), len(numbers)]
+            for a, b in zip(edges, edges[1:], strict=False):
+                if a == b:
+                    continue
+                if chunk != int(numbers[a]):
+                    if chunk is not None:
+                        yield close()
+                    chunk, n, files = int(numbers[a]), 0, {}
+                    for kind, ending in endings.items():
+                        raw = store.create(f"{_chunk(folder, chunk, ending, compress)}.attempt-{attempt}")
+                        files[kind] = raw, gzip.GzipFile(fileobj=raw, mode="wb", compresslevel=1) if compress else raw
+                for kind, (_, out) in files.items():
+                    out.write(("\n".join(batch.column(kind).slice(a, b - a).to_pylist()) + "\n").encode())
+                n += b - a
+        if chunk is not None:
+            yield close()
+
+    written = dealt.mapInArrow(run, "chunk long, n long, attempt long").collect()  # a row for each chunk
+    store = Store(folder)
+    for r in written:
+        for ending in endings.values():
+            final = _chunk(folder, r["chunk"], ending, compress)
+            store.rename(f"{final}.attempt-{r['attempt']}", final)
+    return sorted((r["chunk"] + 1, r["n"]) for r in written)
+
+
+def _chunk(folder: str, chunk: int, ending: str, compress: bool) -> str:
+    return f"{folder.rstrip('/')}/chunk.{chunk + 1}{ending}{'.gz' if compress else ''}"
 
 
 def write_text(records: DataFrame, text: Column, path: str, compress: bool = False) -> None:

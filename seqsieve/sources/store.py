@@ -32,6 +32,18 @@ class Store:
     def read(self, uri: str):
         return open(self._path(uri), "rb") if self.local else self.fs.open_input_stream(self._path(uri), compression=None)
 
+    def open(self, uri: str):
+        """As read(), for reading at any place."""
+        return open(self._path(uri), "rb") if self.local else self.fs.open_input_file(self._path(uri))
+
+    def stamp(self, uri: str) -> tuple[int, int]:
+        """Size in bytes, and when the file was changed (in microseconds)."""
+        if self.local:
+            found = os.stat(self._path(uri))
+            return found.st_size, found.st_mtime_ns // 1000
+        info = self.fs.get_file_info(self._path(uri))
+        return info.size, (info.mtime_ns or 0) // 1000
+
     def create(self, uri: str):
         path = self._path(uri)
         if self.local:

@@ -95,8 +95,8 @@ def test_fasta(spark, tmp_path):
 
 
 def test_record_problems(spark):
-    df = spark.createDataFrame([("r", "A", "I"), ("", "A", "I"), ("r", "é", "I"), ("r", "A", "é"), ("r", "AC", "I")], "id string, seq string, qual string")
-    assert [r["p"] for r in df.select(record_problem().alias("p")).collect()] == [None, "no id", "sequence is not ASCII", "quality is not ASCII", "sequence and quality differ in length"]
+    df = spark.createDataFrame([("r", "A", "I"), (None, "A", "I"), ("r", None, "I"), ("r", "A", None), ("", "A", "I"), ("r", "é", "I"), ("r", "A", "é"), ("r", "AC", "I")], "id string, seq string, qual string")
+    assert [r["p"] for r in df.select(record_problem().alias("p")).collect()] == [None, "no id", "no sequence", "no quality", "no id", "sequence is not ASCII", "quality is not ASCII", "sequence and quality differ in length"]
 
 
 def test_store_by_pyarrow(tmp_path):

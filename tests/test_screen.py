@@ -314,7 +314,32 @@ def test_pdf_is_well_formed(spark):
 def test_chunks(spark, tmp_path):
     from seqsieve.sources import fastq
 
-    reads = spark.createDataFrame([(f"r{n}", None, "ACGT", "IIII") for n in range(25)], "id string, desc string, seq string, qual string").coalesce(1)
-    fastq.write_chunks(reads, str(tmp_path), 10)
-    assert sorted(len(p.read_text().splitlines()) // 4 for p in (tmp_path / "fastq").glob("part-*")) == [5, 10, 10]
-    assert sorted(len(p.read_text().splitlines()) // 2 for p in (tmp_path / "fasta").glob("part-*")) == [5, 10, 10]
+    rows = [(s, n, f"{s}{n}", None, f"ACGT{'ACGT'[n % 4] * n}", f"IIII{'#' * n}") for s in "ab" for n in range(17)]
+    reads = spark.createDataFrame(rows, "sample string, ordinal long, id string, desc string, seq string, qual string").repartition(5)
+    written = fastq.write_chunks(sampling.chunk_numbers(reads, 8), str(tmp_path), 3, 4)
+    assert written == [(1, 8), (2, 8), (3, 8), (4, 8), (5, 2)]
+    assert {p.name for p in tmp_path.iterdir()} == {f"chunk.{n}.{e}" for n in range(1, 6) for e in ("fq", "fa")}
+    for n in range(5):
+        here = rows[8 * n : 8 * n + 8]
+        assert (tmp_path / f"chunk.{n + 1}.fq").read_text() == "".join(f"@{r[2]}\n{r[4][2:6]}\n+\n{r[5][2:6]}\n" for r in here)
+        assert (tmp_path / f"chunk.{n + 1}.fa").read_text() == "".join(f">{r[2]}\n{r[4]}\n" for r in here)
+    assert fastq.write_chunks(sampling.chunk_numbers(reads.limit(0), 8), str(tmp_path / "none")) == []
+    assert fastq.write_chunks(sampling.chunk_numbers(reads, 100), str(tmp_path / "one"), fasta=False, compress=True) == [(1, 34)]
+
+
+def test_order_of_a_run_is_that_of_the_files(spark, tmp_path):
+    """Twelve samples, and genomes in no alphabetical order."""
+    bases = {"zebra": "ACGTTGCA" * 20, "apple": "GGATCCTA" * 20, "mango": "TTTACACG" * 20}
+    for name, seq in bases.items():
+        (tmp_path / f"{name}.fa").write_text(f">c\n{seq}\n")
+    (tmp_path / "adapters.fa").write_text(">a\nAGATCGGAAGAGCACACGTC\n")
+    (tmp_path / "genomes.csv").write_text("genome,species,synonyms\nzebra,z,\nmango,m,\napple,a,\n")
+    (tmp_path / "sheet.csv").write_text("id,fastq,species,controls\n" + "".join(f"u{n},{n}.fq,,\n" for n in range(1, 13)))
+    for n in range(1, 13):
+        (tmp_path / f"{n}.fq").write_text(f"@r\n{'C' * 40}\n+\n{'I' * 40}\n")
+    config = ScreenConfig(fastq_dir=str(tmp_path), output_dir=str(tmp_path / "out"))
+    found = screen.run_files(spark, f"{tmp_path}/sheet.csv", f"{tmp_path}/genomes.csv", [f"{tmp_path}/{g}.fa" for g in sorted(bases)], f"{tmp_path}/adapters.fa", config)
+    assert [r["id"] for r in found.summary.collect()] == [f"u{n}" for n in range(1, 13)]
+    assert [(r["id"], r["genome"]) for r in found.alignment_summary.collect()] == [(f"u{n}", g) for n in range(1, 13) for g in ("zebra", "mango", "apple", "unmapped")]
+    screen.write_checked(found.resolved, config)
+    assert next((tmp_path / "out" / "genomes.checked.csv").glob("part-*")).read_text() == "genome,species\nzebra,z\nmango,m\napple,a\n"
