@@ -6,8 +6,7 @@ word position - template position. Neighbouring diagonals (at most MERGE apart,
 are merged, and a merged span is verified: it must hold at least COVERAGE of the template's trigrams within STRETCH
 times its length. A base phrase stands consecutively where one diagonal holds all of its trigrams.
 
-Text is lower-cased (the rule asks for A-Z; lower-casing other letters makes no ASCII word of any template) and words
-are the runs of digits, letters and non-ASCII characters.
+A-Z become lower case, no other letter does, and words are the runs of digits, letters and non-ASCII characters.
 
 Edge cases: null and empty texts have no words, no place and score 0; repeated rows get the same result each; a null
 id is kept as such; an empty table gives no rows; other columns are ignored, whatever their names.
@@ -78,9 +77,13 @@ TEMPLATES = [
 ]
 
 
+#: The letters that become lower case.
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
 def word_array(text):
     """The words of a text column; a null has none."""
-    return F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), GAPS), "")
+    return F.array_remove(F.split(F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER), GAPS), "")
 
 
 def template_grams(spark: SparkSession, phrases=PHRASES, templates=TEMPLATES) -> DataFrame:

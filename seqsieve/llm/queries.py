@@ -95,15 +95,16 @@ def queries() -> dict[str, Query]:
 
 _WORDS = r"[w FOR w IN string_split_regex(lower(coalesce(text, '')), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+') IF w <> '']"
 
-#: The same with A-Z alone in lower case, as the operators on raw bytes have it.
+#: The same with A-Z alone in lower case, as all operators but the third have it.
 _ASCII = _WORDS.replace("lower(coalesce(text, ''))", "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")
 
 #: Brute force: every document's shingles against every item's.
 OP3_SQL = f"""
 WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
 b AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
-ds AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM d)),
-bs AS (SELECT DISTINCT item_id, array_to_string(w[i:i + 4], ' ') AS s FROM (SELECT item_id, w, unnest(range(1, len(w) - 3)) AS i FROM b)),
+k AS (SELECT DISTINCT least(len(w), 5) AS k FROM b WHERE len(w) > 0),
+ds AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + k - 1], ' ') AS s FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM d, k)),
+bs AS (SELECT DISTINCT item_id, array_to_string(w[i:i + 4], ' ') AS s FROM (SELECT item_id, w, unnest(CASE WHEN len(w) BETWEEN 1 AND 4 THEN [1] ELSE range(1, len(w) - 3) END) AS i FROM b)),
 n AS (SELECT item_id, count(*) AS n_shingles FROM bs GROUP BY item_id),
 m AS (SELECT doc_id, item_id, count(*) AS n_shared FROM ds JOIN bs USING (s) GROUP BY doc_id, item_id)
 SELECT doc_id, item_id, n_shared, n_shingles, n_shared / n_shingles AS containment
@@ -157,7 +158,7 @@ def _op8_sql() -> str:
     return f"""
 WITH t AS (SELECT template, string_split(text, ' ') AS w, label, base FROM (VALUES {values}) AS v(template, text, label, base)),
 tg AS (SELECT template, label, base, len(w) - 2 AS n_grams, i AS t_pos, w[i + 1] AS a, w[i + 2] AS b, w[i + 3] AS c FROM (SELECT *, unnest(range(len(w) - 2)) AS i FROM t)),
-d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+d AS (SELECT doc_id, {_ASCII} AS w FROM documents),
 dg AS (SELECT doc_id, i AS pos, w[i + 1] AS a, w[i + 2] AS b, w[i + 3] AS c FROM (SELECT *, unnest(range(len(w) - 2)) AS i FROM d)),
 hits AS (SELECT DISTINCT doc_id, template, label, base, n_grams, t_pos, pos - t_pos AS diagonal FROM dg JOIN tg USING (a, b, c)),
 votes AS (SELECT doc_id, template, label, base, n_grams, diagonal, list(t_pos) AS held FROM hits GROUP BY ALL),

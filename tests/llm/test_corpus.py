@@ -241,6 +241,15 @@ def test_decontamination(spark, rows, empty):
     assert not re.search("Python|Pandas|MapInArrow", plan)
 
 
+def test_short_items_are_found_whole(spark):
+    items = [(1, "Alpha beta, GAMMA delta"), (2, "é"), (3, "two words"), (4, " ... "), (5, "one two three four five six")]
+    docs = [(1, "so alpha beta gamma delta it is, two words"), (2, "alpha beta delta gamma"), (3, "É"), (None, "two words"), (4, "two"), (5, "x one two three four five six, two  words two words")]
+    frames = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = {tuple(r) for r in decontaminate.leaked_pairs(*frames).collect()}
+    assert got == {(1, 1, 1, 1, 1.0), (1, 3, 1, 1, 1.0), (3, 2, 1, 1, 1.0), (None, 3, 1, 1, 1.0), (5, 3, 1, 1, 1.0), (5, 5, 2, 2, 1.0)}
+    assert {r["doc_id"] for r in decontaminate.drop_leaks(*frames).collect()} == {1, 2, 3, 4, None}
+
+
 def test_decontamination_by_shuffles(spark, rows, monkeypatch):
     monkeypatch.setattr(common, "BROADCAST_BYTES", 0)
     texts, items = leaky(rows[:30])
