@@ -3,6 +3,7 @@
 from .scalars import (
     error_rate,
     mismatch_count,
+    mismatch_places,
     null_if_missing,
     parse_yes,
     percentage,
@@ -13,4 +14,4 @@ from .scalars import (
     yes_no,
 )
 
-__all__ = ["error_rate", "mismatch_count", "null_if_missing", "parse_yes", "percentage", "r_round", "split_tokens", "trim_white", "trimmed", "yes_no"]
+__all__ = ["error_rate", "mismatch_count", "mismatch_places", "null_if_missing", "parse_yes", "percentage", "r_round", "split_tokens", "trim_white", "trimmed", "yes_no"]

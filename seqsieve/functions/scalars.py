@@ -27,8 +27,15 @@ def error_rate(mismatches: Column, length: Column) -> Column:
 
 
 def mismatch_count(described: Column) -> Column:
-    """The number of comma-separated mismatches; null: none."""
-    return F.coalesce(F.regexp_count(described, F.lit(",")) + 1, F.lit(0)).cast("int")
+    """The number of comma-separated mismatches; null or empty: none."""
+    return F.coalesce(F.when(described != "", F.regexp_count(described, F.lit(",")) + 1), F.lit(0)).cast("int")
+
+
+def mismatch_places(described: Column) -> Column:
+    """An array of (place, reference, read) of mismatches that are written as place:reference>read."""
+    one = "(?s)(\\d+):(.)>(.)"
+    part = lambda i: F.regexp_extract_all(described, F.lit(one), F.lit(i))
+    return F.transform(F.arrays_zip(part(1).alias("a"), part(2).alias("b"), part(3).alias("c")), lambda x: F.struct(x["a"].cast("int").alias("place"), x["b"].alias("reference"), x["c"].alias("read")))
 
 
 def null_if_missing(text: Column) -> Column:

@@ -1,151 +1,140 @@
 """Native aligners: ungapped alignment to references by seeds, and the best adapter of each read.
 
-Sequences are compared as they are written, in upper or lower case alike only if the caller makes them so."""
+Sequences are compared as they are written, in upper or lower case alike only if the caller makes them so.
+
+References and texts are many and stream past the reads or passages once (see probe), which are few: these are written to
+the shared folder in groups of PROBE_BYTES at most, and each task loads a group. There is a scan of the references for each
+group, and all that is shuffled are hits."""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Places of a piece of a long sequence, and the longest stride between seeds of an exact screen.
-PIECE, LONGEST_STRIDE = 64, 32
+from ..sources.store import Store, shared_folder
+from . import probe
+
+#: Bytes of reads or passages that a task holds at once, in the table that it loads.
+PROBE_BYTES = 32 << 20
 #: Which base pairs with which, and the scores of a match, of a mismatch, and of an alignment that counts.
 BASES, PARTNERS = "ACGTacgt", "TGCAtgca"
 MATCH, MISMATCH, LEAST_SCORE = 5, -4, 100
 
 
-def reverse_complement(seq):
-    return F.translate(F.reverse(seq), BASES, PARTNERS)
-
+def _complement(seq: str) -> str:
+    return seq.translate(str.maketrans(BASES, PARTNERS))[::-1]
 
-def _pieces(df: DataFrame, keep: list[str], overlap: int) -> DataFrame:
-    """Sequences in pieces of PIECE places or more, with `overlap` more on both sides: columns start (of the piece's
-    text), low and high (the piece's own places, high excluded) and seq. Taking a substring costs time in proportion to
-    its place, so long sequences are cut once, in one pass."""
-    size = max(PIECE, overlap)
-    cut = df.select(*keep, F.split("seq", f"(?s)(?<=\\G.{{{size}}})").alias("parts"))
-    cut = cut.select(*keep, "parts", F.posexplode("parts").alias("n", "part")).filter(F.length("part") > 0)
-    left = F.when(F.col("n") > 0, F.right(F.get("parts", F.col("n") - 1), F.lit(overlap))).otherwise("")
-    right = F.coalesce(F.left(F.get("parts", F.col("n") + 1), F.lit(overlap)), F.lit(""))
-    low = F.col("n") * size
-    return cut.select(*keep, (low - F.length(left)).alias("start"), low.alias("low"), (low + F.length("part")).alias("high"), F.concat(left, "part", right).alias("seq"))
 
+def _groups(df: DataFrame, key: list[str], name: str) -> list[str]:
+    """Folders of written groups of the rows, each of about PROBE_BYTES at most."""
+    spark, path = df.sparkSession, shared_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    size = table.agg(F.sum(sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in df.columns), F.lit(0)))).first()[0] or 0
+    groups = -(-size // PROBE_BYTES)
+    if groups < 2:
+        return [path]
+    table.withColumn("group", F.pmod(F.xxhash64(*key), F.lit(groups))).repartition(groups, "group").write.partitionBy("group").parquet(f"{path}-groups")
+    return [f"{path}-groups/group={g}" for g in range(groups)]
 
-def reference_kmers(references: DataFrame, k: int) -> DataFrame:
-    """The seed index: genome, chromosome, place and the hash of the k characters there, for each place of the references
-    (genome, chromosome, seq). It holds no text. It is built once for a set of references and can be written as a table."""
-    cut = _pieces(references.filter(F.length("seq") >= k), ["genome", "chromosome"], k)
-    places = F.expr(f"transform(sequence(low, high - 1), p -> struct(p AS place, substring(seq, p - start + 1, {k}) AS kmer))")
-    places = cut.select("genome", "chromosome", F.explode(places).alias("p")).filter(F.length("p.kmer") == k)
-    return places.select("genome", "chromosome", F.col("p.place").alias("place"), F.xxhash64("p.kmer").alias("seed"))
 
+def _load(folder: str, columns: list[str]) -> pa.Table:
+    store, parts = Store(folder), []
+    for name in store.find(f"{folder}/*.parquet"):
+        with store.open(name) as f:
+            parts.append(pq.read_table(f, columns=columns))
+    return pa.concat_tables(parts) if parts else pa.table({c: pa.array([], pa.string()) for c in columns})
 
-def reference_pieces(references: DataFrame, length: int) -> DataFrame:
-    """The references' text in pieces, each with enough of the next one for any read that begins in it: genome,
-    chromosome, piece, start and text."""
-    size = max(PIECE, length)
-    cut = _pieces(references, ["genome", "chromosome"], length)
-    return cut.select("genome", "chromosome", F.floor(F.col("low") / size).cast("int").alias("piece"), "start", F.col("seq").alias("text"))
 
+def as_pieces(references: DataFrame) -> DataFrame:
+    """References as pieces: genome, chromosome, start, own (the places that are the piece's own) and text, which goes on into the next
+    piece. A table of whole sequences (genome, chromosome, seq) has a piece for each."""
+    if "text" in references.columns:
+        return references.select("genome", "chromosome", "start", "own", "text")
+    return references.select("genome", "chromosome", F.lit(0).cast("long").alias("start"), F.length("seq").cast("long").alias("own"), F.col("seq").alias("text")).filter("text is not null")
 
-def _verified(length: int, most: int):
-    """Mismatches of whole reads against the reference, a batch at a time."""
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for df in frames:
-            kind = f"U{length}"
-            read, there = (np.array(df[c].tolist(), dtype=kind).view(np.uint32).reshape(len(df), length) if len(df) else np.zeros((0, length)) for c in ("seq", "window"))
-            df = df.assign(mismatches=(read != there).sum(axis=1).astype(np.int32))
-            yield df[df["mismatches"] <= most][["id", "read", "genome", "chromosome", "position", "strand", "seq", "mismatches"]]
-
-    return run
 
-
-def align_ungapped(reads: DataFrame, references: DataFrame, max_mismatches: int = 2, length: int = 36, index: DataFrame | None = None) -> DataFrame:
+def align_ungapped(reads: DataFrame, references: DataFrame, max_mismatches: int = 2, length: int = 36, describe: bool = False) -> DataFrame:
     """The best alignment of each read to each genome with at most max_mismatches mismatches.
 
     reads: id (sample), read, seq of exactly `length` bases (others are left out, as the trimmed reads of a run have
-    one length). references: genome, chromosome, seq. index: a written reference_kmers() of them with k =
-    length // (max_mismatches + 1), else it is made here. Result: id, read, genome, chromosome, position (from 0), strand,
-    sequence (as aligned), mismatches.
-
-    By the pigeonhole principle one of max_mismatches + 1 segments of a read matches exactly, so reads are joined by
-    their segments with the references' k-mers; nothing that fits is lost. A place that several segments point to is
-    one candidate; its text comes by a join to the references' pieces. Frequent k-mers are split by the skew-join rule,
-    since both sides are plain shuffled joins."""
-    k = length // (max_mismatches + 1)
-    index = reference_kmers(references, k) if index is None else index
+    one length). references: see as_pieces(); a piece's text must go on for `length` letters. Result: id, read, genome,
+    chromosome, position (from 0), strand, sequence (as aligned), mismatches, and with describe the column described:
+    mismatches as place:reference>read in the order of the read, comma-separated.
+
+    By the pigeonhole principle one of max_mismatches + 1 segments of a read matches exactly, so nothing that fits is
+    lost. Of a read's places in a piece only the best leaves the task, however often a segment occurs there."""
     whole = reads.filter(F.length("seq") == length).select("id", "read", "seq")
-    strands = F.explode(F.array(F.struct(F.lit("+").alias("strand"), F.col("seq").alias("seq")), F.struct(F.lit("-").alias("strand"), reverse_complement(F.col("seq")).alias("seq"))))
-    both = whole.select("id", "read", strands.alias("s")).select("id", "read", "s.strand", "s.seq")
-    offsets = F.explode(F.array(*(F.lit(i * k) for i in range(max_mismatches + 1)))).alias("offset")
-    seeds = both.select("*", offsets).withColumn("seed", F.xxhash64(F.expr(f"substring(seq, offset + 1, {k})")))
-    position = (F.col("place") - F.col("offset")).alias("position")
-    hits = seeds.join(index, "seed").select("id", "read", "strand", "seq", "genome", "chromosome", position).filter("position >= 0").distinct()
-    hits = hits.withColumn("piece", F.floor(F.col("position") / max(PIECE, length)).cast("int"))
-    hits = hits.join(reference_pieces(references, length), ["genome", "chromosome", "piece"])
-    hits = hits.withColumn("window", F.expr(f"substring(text, position - start + 1, {length})")).filter(F.length("window") == length)
-    hits = hits.select("id", "read", "genome", "chromosome", F.col("position").cast("long").alias("position"), "strand", "seq", "window")
-    kinds = dict(reads.select("id", "read").dtypes) | dict(references.select("genome", "chromosome").dtypes)
-    schema = f"id {kinds['id']}, read {kinds['read']}, genome {kinds['genome']}, chromosome {kinds['chromosome']}, position long, strand string, seq string, mismatches int"
-    found = hits.mapInPandas(_verified(length, max_mismatches), schema)
+    kinds = dict(whole.dtypes) | dict(references.select("genome", "chromosome").dtypes)
+    schema = f"id {kinds['id']}, read {kinds['read']}, genome {kinds['genome']}, chromosome {kinds['chromosome']}, position long, strand string, sequence string, mismatches int, described string"
+
+    def run(folder: str):
+        def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            table = _load(folder, ["id", "read", "seq"])
+            forms = [f for seq in table.column("seq").to_pylist() for f in (seq, _complement(seq))]
+            known = probe.ShortReads(forms, length, max_mismatches) if forms else None
+            for batch in batches:
+                for i, (start, own, text) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("start", "own", "text")), strict=True)):
+                    if known is None or len(text) < length:
+                        continue
+                    form, position, wrong = known.best(text, own)
+                    if not len(form):
+                        continue
+                    here, one = pa.array(form // 2), pa.array(np.full(len(form), i))
+                    told = known.described(text, form, position) if describe else [None] * len(form)
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            table.column("id").take(here).combine_chunks(), table.column("read").take(here).combine_chunks(), batch.column("genome").take(one), batch.column("chromosome").take(one), pa.array(position + start),
+                            pa.array(np.where(form % 2, "-", "+").tolist(), pa.string()), pa.array([forms[f] for f in form], pa.string()), pa.array(wrong, pa.int32()), pa.array(told, pa.string()),
+                        ],
+                        names=["id", "read", "genome", "chromosome", "position", "strand", "sequence", "mismatches", "described"],
+                    )
+
+        return of
+
+    pieces = as_pieces(references)
+    found = reduce(DataFrame.unionByName, (pieces.mapInArrow(run(folder), schema) for folder in _groups(whole, ["id", "read"], "reads")))
     first = F.row_number().over(Window.partitionBy("id", "read", "genome").orderBy("mismatches", "chromosome", "position", "strand"))
-    return found.withColumn("n", first).filter("n = 1").drop("n").withColumnRenamed("seq", "sequence")
+    best = found.withColumn("n", first).filter("n = 1").drop("n")
+    return best if describe else best.drop("described")
 
 
 def best_segment(read: str, adapter: str) -> tuple[int, int, int, int]:
     """The ungapped segment with the highest score: score, start in the read, start in the adapter, length. Of equals
     the first in the read, then in the adapter, counts."""
-    a, b = (np.frombuffer(s.encode("utf-32-le"), np.uint32) for s in (read, adapter))
-    if not len(a) or not len(b):
-        return 0, 0, 0, 0
-    # one running score for each diagonal, all diagonals at once; a diagonal starts anew when its score is not positive
-    n = len(a) + len(b) - 1
-    score, begin, best, first, last = (np.zeros(n, np.int64) for _ in range(5))
-    for y, base in enumerate(b):
-        part = slice(len(b) - 1 - y, len(b) - 1 - y + len(a))
-        anew = score[part] <= 0
-        begin[part] = np.where(anew, y, begin[part])
-        score[part] = np.where(anew, 0, score[part]) + np.where(a == base, MATCH, MISMATCH)
-        more = np.flatnonzero(score[part] > best[part]) + part.start
-        best[more], first[more], last[more] = score[more], begin[more], y + 1
-    top = np.flatnonzero(best == best.max())
-    if best[top[0]] <= 0:
+    if not read or not adapter:
         return 0, 0, 0, 0
-    start = first[top] + top - (len(b) - 1)
-    at = top[np.lexsort((first[top], start))[0]]
-    return int(best[at]), int(first[at] + at - (len(b) - 1)), int(first[at]), int(last[at] - first[at])
+    _, _, start, there, n, score = probe.Adapters([adapter], 1, 1, MATCH, MISMATCH).best([read])
+    return (int(score[0]), int(start[0]), int(there[0]), int(n[0])) if len(score) else (0, 0, 0, 0)
 
 
 def _adapter_hits(adapters: list[tuple[str, str]], least: int, k: int):
-    complement = str.maketrans(BASES, PARTNERS)
-    forms = [(name, strand, s) for name, seq in adapters for strand, s in (("+", seq), ("-", seq.translate(complement)[::-1]))]
-    by_kmer: dict[str, set[int]] = {}
-    for number, (_, _, s) in enumerate(forms):
-        for i in range(len(s) - k + 1):
-            by_kmer.setdefault(s[i : i + k], set()).add(number)
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for df in frames:
-            rows = []
-            for sample, read, seq in df[["id", "read", "seq"]].itertuples(index=False):
-                may = set().union(*(by_kmer.get(seq[i : i + k], ()) for i in range(len(seq) - k + 1))) if len(seq) >= k else set()
-                best = None
-                for number in sorted(may):
-                    score, start, there, n = best_segment(seq, forms[number][2])
-                    if score >= least and (best is None or score > best[0]):
-                        best = (score, start, there, n, number)
-                if best is not None:
-                    score, start, there, n, number = best
-                    name, strand, form = forms[number]
-                    first, last = (there, there + n) if strand == "+" else (len(form) - there, len(form) - there - n)
-                    same = sum(x == y for x, y in zip(seq[start : start + n], form[there : there + n], strict=True))
-                    rows.append((sample, read, start, start + n, "+", name, first, last, strand, 100.0 * same / n, score))
-            yield pd.DataFrame(rows, columns=ADAPTER_COLUMNS)
+    forms = [(name, strand, s) for name, seq in adapters for strand, s in (("+", seq), ("-", _complement(seq)))]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = probe.Adapters([s for _, _, s in forms], least, k, MATCH, MISMATCH)
+        names = pa.array([name for name, _, _ in forms], pa.string())
+        back = np.array([strand == "-" for _, strand, _ in forms], bool)
+        sizes = known.lengths
+        for batch in batches:
+            texts = [s or "" for s in batch.column("seq").to_pylist()]
+            read, form, start, there, n, score = known.best(texts)
+            if not len(read):
+                continue
+            reverse, whole = back[form], sizes[form]
+            same = (score - MISMATCH * n) // (MATCH - MISMATCH)
+            first, last = np.where(reverse, whole - there, there), np.where(reverse, whole - there - n, there + n)
+            rows = pa.array(read)
+            columns = [start, start + n, ["+"] * len(read), names.take(pa.array(form)), first, last, np.where(reverse, "-", "+").tolist(), 100.0 * same / n, score]
+            kinds = [pa.int32(), pa.int32(), pa.string(), pa.string(), pa.int32(), pa.int32(), pa.string(), pa.float64(), pa.int32()]
+            made = [c if isinstance(c, pa.Array) else pa.array(c, t) for c, t in zip(columns, kinds, strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column("id").take(rows), batch.column("read").take(rows), *made], names=ADAPTER_COLUMNS)
 
     return run
 
@@ -159,13 +148,13 @@ def match_adapters(reads: DataFrame, adapters: DataFrame, least_score: int = LEA
     """The best ungapped match of each untrimmed read (id, read, seq) among the adapters (name, seq) on both strands, if
     it scores least_score. A match of that score holds an exact run of some length (see exact_run), which is looked up
     first. Adapters are a short list that goes to every task; more than MAX_ADAPTERS are an error."""
-    listed = sorted({(r["name"], r["seq"]) for r in adapters.select("name", "seq").limit(MAX_ADAPTERS + 1).collect()})
+    listed = sorted({(r["name"], r["seq"]) for r in adapters.select("name", "seq").dropna().limit(MAX_ADAPTERS + 1).collect()})
     if len(listed) > MAX_ADAPTERS:
         raise ValueError(f"more than {MAX_ADAPTERS} adapters")
     kind = dict(reads.dtypes)
     schema = f"id {kind['id']}, read {kind['read']}, start int, end int, strand string, adapter string, `adapter start` int, `adapter end` int, `adapter strand` string, `percent identity` double, score int"
     k = exact_run(least_score, max((len(s) for _, s in listed), default=0))
-    return reads.select("id", "read", "seq").mapInPandas(_adapter_hits(listed, least_score, k), schema)
+    return reads.select("id", "read", "seq").mapInArrow(_adapter_hits(listed, least_score, k), schema)
 
 
 def exact_run(least: int, longest: int) -> int:
@@ -179,36 +168,26 @@ def exact_run(least: int, longest: int) -> int:
     return max(1, best)
 
 
-def _strides(passages: DataFrame) -> DataFrame:
-    """Adds stride, a power of two up to LONGEST_STRIDE, and seed_length: every run of as many characters as the passage
-    has holds, whatever its place, a whole seed that begins at a multiple of the stride."""
-    length = F.length("passage")
-    stride = F.pow(F.lit(2), F.floor(F.log2((length + 1) / 3 + 1e-9))).cast("int")
-    stride = F.least(F.lit(LONGEST_STRIDE), F.greatest(F.lit(1), stride))
-    return passages.filter(length > 0).withColumn("stride", stride).withColumn("seed_length", F.least(2 * F.col("stride"), length))
-
-
 def exact_hits(texts: DataFrame, passages: DataFrame) -> DataFrame:
     """(doc, item, position) of the first place where a passage stands in a text, letter by letter: a literal screen.
 
-    Texts give the hash of a seed at every multiple of a stride, and passages at each of their first places up to the
-    stride, so that long passages need few seeds of a text and short ones are found as well. Seeds are joined without
-    any text; passages are compared in the texts that their seeds point to. Empty and null passages stand nowhere."""
-    wanted = _strides(passages.select("item", "passage"))
-    kinds = [tuple(r) for r in wanted.select("stride", "seed_length").distinct().collect()]  # a handful: powers of two
-    found = None
-    for stride, k in sorted(kinds):
-        seeds = wanted.filter((F.col("stride") == stride) & (F.col("seed_length") == k))
-        seeds = seeds.select("item", "passage", F.explode(F.sequence(F.lit(0), F.lit(stride - 1))).alias("offset"))
-        seeds = seeds.withColumn("seed", F.xxhash64(F.expr(f"substring(passage, offset + 1, {k})")))
-        cut = _pieces(texts.select("doc", "seq"), ["doc"], k)
-        places = F.expr(f"transform(sequence(low, high - 1, {stride}), p -> struct(p AS place, xxhash64(substring(seq, p - start + 1, {k})) AS seed))")
-        places = cut.select("doc", F.explode(places).alias("p")).select("doc", "p.place", "p.seed")
-        met = places.join(seeds, "seed").select("doc", "item", "passage", (F.col("place") - F.col("offset")).alias("position"))
-        found = met if found is None else found.unionByName(met)
-    if found is None:
-        return texts.join(passages.select("item"), F.lit(False)).select("doc", "item", F.lit(0).cast("long").alias("position"))
-    found = found.filter("position >= 0").distinct().withColumnRenamed("doc", "__doc")
-    there = F.expr("substring(seq, position + 1, length(passage))") == F.col("passage")
-    held = found.join(texts.select("doc", "seq"), F.col("__doc").eqNullSafe(F.col("doc"))).filter(there)
-    return held.groupBy("doc", "item").agg(F.min("position").cast("long").alias("position"))
+    Texts are read once and not shuffled. Empty and null passages stand nowhere; of a doc or an item with several texts the
+    first place of any counts."""
+    wanted = passages.select("item", "passage").filter(F.length("passage") > 0)
+    schema = f"doc {dict(texts.dtypes)['doc']}, item {dict(passages.dtypes)['item']}, position long"
+
+    def run(folder: str):
+        def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            table = _load(folder, ["item", "passage"])
+            known = probe.Passages(table.column("passage").to_pylist())
+            items = table.column("item").combine_chunks() if table.num_rows else None
+            for batch in batches:
+                for i, text in enumerate(batch.column("seq").to_pylist()):
+                    passage, position = known.first(text or "")
+                    if len(passage):
+                        yield pa.RecordBatch.from_arrays([batch.column("doc").take(pa.array(np.full(len(passage), i))), items.take(pa.array(passage)), pa.array(position)], names=["doc", "item", "position"])
+
+        return of
+
+    found = reduce(DataFrame.unionByName, (texts.select("doc", "seq").mapInArrow(run(folder), schema) for folder in _groups(wanted, ["item", "passage"], "passages")))
+    return found.groupBy("doc", "item").agg(F.min("position").alias("position"))

@@ -7,9 +7,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import ScreenConfig
-from ..operators import resolve, sampling
+from ..operators import align, resolve, sampling
 from ..operators.chart import plot_data
-from ..sources import fastq, fastq_index, tables
+from ..sources import fastq, fastq_index, genomes, tables
 from ..sources.store import Store, shared_folder
 from . import queries as core
 from . import screen
@@ -134,6 +134,38 @@ def damaged_files(spark, sf_dir):
     return rows.select(F.regexp_extract("file", "source=([^/]*)/", 1).alias("source"), "id", "seq", "problem", "bad")
 
 
+def _fasta_files(spark: SparkSession, sf_dir: str) -> tuple[str, dict[str, list[str]]]:
+    """Documents of each language as FASTA files, in lines of 80 letters: the folder, and patterns by language."""
+    folder = shared_folder(spark, "genomes")
+    rows = core._table(spark, sf_dir, "documents").select("lang", fastq.fasta_text(F.col("doc_id").cast("string"), F.lit("a text"), F.translate("text", FORBIDDEN, INSTEAD)).alias("value"))
+    rows.repartition("lang").write.partitionBy("lang").text(f"{folder}/fasta")
+    listed = [r["lang"] for r in rows.select("lang").distinct().orderBy("lang").collect()]
+    return folder, {x: [f"{folder}/fasta/lang={x}/part-*.txt"] for x in listed}
+
+
+@query(f"SELECT doc_id::VARCHAR AS chromosome, length(text) AS letters, md5({SEQ}) AS whole FROM documents WHERE text <> ''")
+def fasta_pieces(spark, sf_dir):
+    """FASTA files read in ranges of bytes and in pieces that go on into the next one; put together, they are the texts."""
+    _, files = _fasta_files(spark, sf_dir)
+    patterns = [p for ps in files.values() for p in ps]
+    pieces = genomes.read_pieces(spark, patterns, 1000, 40, _split(fastq.expand(patterns)))
+    own = F.array_sort(F.collect_list(F.struct("start", F.left("text", F.col("own").cast("int")).alias("text"))))
+    whole = F.array_join(F.transform(own, lambda x: x["text"]), "")
+    return pieces.groupBy("chromosome").agg(F.sum("own").alias("letters"), F.md5(whole.cast("binary")).alias("whole"))
+
+
+@query(core.UNGAPPED.replace("FROM benchmark WHERE", f"FROM (SELECT item_id, {SEQ} AS text FROM benchmark) WHERE").replace("FROM documents WHERE", f"FROM (SELECT lang, doc_id::VARCHAR AS doc_id, {SEQ} AS text FROM documents) WHERE"))
+def stored_alignment(spark, sf_dir):
+    """The aligner on genomes that were stored before, each for itself, and found by listing."""
+    folder, files = _fasta_files(spark, sf_dir)
+    for name, patterns in files.items():  # a genome at a time, as they come
+        genomes.store_genome(spark, name, patterns, f"{folder}/stored")
+    if genomes.stored_names(f"{folder}/stored") != sorted(files):
+        raise ValueError("stored genomes are not found")
+    reads = core.benchmark_reads(spark, sf_dir, F.translate("text", FORBIDDEN, INSTEAD))
+    return align.align_ungapped(reads, genomes.stored_pieces(spark, f"{folder}/stored"), 2, 36)
+
+
 # tables
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import mismatch_count, yes_no
+from ..functions import mismatch_places as places_of
 from ..operators import align, assign, checks, resolve, sampling, summarize
 from ..operators.chart import plot_data
 from ..sources.fastq import fasta_text, fastq_text
@@ -474,13 +475,45 @@ SELECT 'benchmark' AS id, read, genome, chromosome, position, strand, seq AS seq
   SELECT *, row_number() OVER (PARTITION BY read, genome ORDER BY mismatches, chromosome, position, strand) AS n FROM counted WHERE mismatches <= 2) WHERE n = 1"""
 
 
-@query(UNGAPPED)
-def ungapped_alignment(spark, sf_dir):
-    """Reads are whole benchmark texts in pieces of 36 letters, the last one up to the end."""
+def benchmark_reads(spark: SparkSession, sf_dir: str, text=None) -> DataFrame:
+    """Whole benchmark texts in pieces of 36 letters, the last one up to the end: id, read, seq."""
+    text = F.col("text") if text is None else text
     part, length = F.col("part"), F.length("text")
-    cut = _table(spark, sf_dir, "benchmark").filter(length >= 36).select("item_id", "text", F.explode(F.sequence(F.lit(0), F.floor((length - 1) / 36).cast("int"))).alias("part"))
+    rows = _table(spark, sf_dir, "benchmark").select("item_id", text.alias("text")).filter(length >= 36)
+    cut = rows.select("item_id", "text", F.explode(F.sequence(F.lit(0), F.floor((length - 1) / 36).cast("int"))).alias("part"))
     seq = F.substring("text", F.least(part * 36, length - 36) + 1, F.lit(36))
-    short = cut.select(F.lit("benchmark").alias("id"), F.concat_ws(".", "item_id", "part").alias("read"), seq.alias("seq"))
-    references = _table(spark, sf_dir, "documents").select(F.col("lang").alias("genome"), F.col("doc_id").alias("chromosome"), F.col("text").alias("seq"))
-    return align.align_ungapped(short, references, 2, 36)
+    return cut.select(F.lit("benchmark").alias("id"), F.concat_ws(".", "item_id", "part").alias("read"), seq.alias("seq"))
+
+
+def text_references(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table(spark, sf_dir, "documents").select(F.col("lang").alias("genome"), F.col("doc_id").alias("chromosome"), F.col("text").alias("seq"))
+
+
+@query(UNGAPPED)
+def ungapped_alignment(spark, sf_dir):
+    return align.align_ungapped(benchmark_reads(spark, sf_dir), text_references(spark, sf_dir), 2, 36)
+
+
+_CUT = "substring(text, least(part * 36, length(text) - 36)::BIGINT + 1, 36)"
+MISMATCHES = f"""{UNGAPPED.rsplit("SELECT 'benchmark'", 1)[0].replace(_CUT, f"substring({_CUT}, 1, 9) || '#' || substring({_CUT}, 11, 26)")}, best AS (SELECT * FROM (
+  SELECT *, row_number() OVER (PARTITION BY read, genome ORDER BY mismatches, chromosome, position, strand) AS n FROM counted WHERE mismatches <= 2) WHERE n = 1)
+SELECT read, genome, strand, (CASE strand WHEN '+' THEN i - 1 ELSE 36 - i END)::INT AS place, w[i] AS reference, seq[i] AS base FROM (SELECT *, unnest(range(1, 37)) AS i FROM best) WHERE seq[i] <> w[i]"""
+
+
+@query(MISMATCHES)
+def mismatch_places(spark, sf_dir):
+    """Each mismatch of the best alignments: its place in the read, and the two letters. A letter of each read is another."""
+    reads = benchmark_reads(spark, sf_dir).withColumn("seq", F.overlay("seq", F.lit("#"), 10))
+    found = align.align_ungapped(reads, text_references(spark, sf_dir), 2, 36, describe=True)
+    rows = found.select("read", "genome", "strand", F.explode(places_of(F.col("described"))).alias("m"))
+    return rows.select("read", "genome", "strand", "m.place", "m.reference", F.col("m.read").alias("base"))
+
 
+@query("")
+def adapters_in_texts(spark, sf_dir):
+    """The beginnings of benchmark texts as adapters, and all whole documents as reads. Scoring every cell in SQL takes too
+    long for whole texts; tests compare it with a plain search. Seven eighths of an adapter must match, as short runs of
+    letters are frequent in prose."""
+    starts = _table(spark, sf_dir, "benchmark").select(F.col("item_id").cast("string").alias("name"), F.left("text", F.lit(40)).alias("seq"))
+    docs = _table(spark, sf_dir, "documents").select(F.col("source").alias("id"), F.col("doc_id").alias("read"), F.col("text").alias("seq"))
+    return align.match_adapters(docs, starts, 170)

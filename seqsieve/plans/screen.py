@@ -7,11 +7,11 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..config import ScreenConfig
+from ..config import ScreenConfig, check_tool_limits
 from ..functions import split_tokens
 from ..operators import align, assign, checks, resolve, sampling, summarize
 from ..operators.chart import bar_chart, bar_chart_pdf, plot_data
-from ..sources import fastq, tables
+from ..sources import fastq, genomes, tables
 from ..sources.store import Store
 
 TIES = ["genome_ordinal", "chromosome", "position", "strand"]
@@ -114,16 +114,18 @@ def sample_and_trim(reads: DataFrame, config: ScreenConfig) -> tuple[DataFrame,
     return sampled, sampling.trim(sampled, config.trim_start, config.trim_length), sampling.sampling_summary(capped, sampled)
 
 
-def run_screen(samples: DataFrame, reads: DataFrame, details: DataFrame, references: DataFrame, adapters: DataFrame, config: ScreenConfig) -> ScreenResult:
+def run_screen(samples: DataFrame, reads: DataFrame, details: DataFrame, references: DataFrame, adapters: DataFrame, config: ScreenConfig, names: list[str] | None = None) -> ScreenResult:
     """A screen with the native aligners. samples: id, user_id, species, controls; reads: sample, ordinal, id, seq,
-    qual; details: genome, species, synonyms; references: genome, chromosome, seq; adapters: name, seq. Samples and
-    genomes stand in the order of a column ordinal of samples and details, else of their ids and names."""
-    names = [(r["genome"],) for r in references.select("genome").distinct().orderBy("genome").collect()]  # metadata: some dozens
-    resolved = resolve.resolve(samples, details, samples.sparkSession.createDataFrame(names, "id string"))
+    qual; details: genome, species, synonyms; references: see align.as_pieces; adapters: name, seq. Samples and
+    genomes stand in the order of a column ordinal of samples and details, else of their ids and names. names: of the
+    genomes that references hold, else they are looked for there."""
+    if names is None:
+        names = [r["genome"] for r in references.select("genome").distinct().orderBy("genome").collect()]  # metadata: some dozens
+    resolved = resolve.resolve(samples, details, samples.sparkSession.createDataFrame([(n,) for n in names], "id string"))
     sampled, trimmed, counts = sample_and_trim(reads, config)
     counts = counts.persist()
     short = trimmed.select(F.col("sample").alias("id"), F.col("id").alias("read"), "seq", "qual")
-    found = align.align_ungapped(short, references, config.max_mismatches, config.trim_length)
+    found = align.align_ungapped(short, references, config.max_mismatches, config.trim_length, describe=True)
     found = found.join(short.select("id", "read", F.col("qual").alias("quality")), ["id", "read"])
     found = found.withColumn("length", F.length("sequence")).persist()
     whole = sampled.select(F.col("sample").alias("id"), F.col("id").alias("read"), "seq")
@@ -155,20 +157,25 @@ def summarise_files(spark: SparkSession, samples: str, genomes: str, sampled: st
     )
 
 
-def run_files(spark: SparkSession, sheet: str, details: str, references: list[str], adapters: str, config: ScreenConfig) -> ScreenResult:
-    """A screen of files: a sample sheet, genome details, a FASTA file for each genome (named GENOME.fa) and adapters."""
+def run_files(spark: SparkSession, sheet: str, details: str, references: list[str] | None, adapters: str, config: ScreenConfig, genome_dir: str | None = None) -> ScreenResult:
+    """A screen of files: a sample sheet, genome details, adapters, and as references a FASTA file for each genome (named
+    GENOME.fa) or a folder of stored genomes."""
     fastq.register(spark)
     samples = resolve.add_ids(tables.read_metadata(spark, sheet, ["id", "fastq", "species", "controls"]))
     listed = samples.orderBy("id").select(F.col("id").cast("string").alias("id"), "fastq").collect()
     if missing := [r["id"] for r in listed if not r["fastq"]]:
         raise checks.ScreenError(f"no FASTQ files for samples {missing}")
-    reads = fastq.read_samples(spark, [(r["id"], [config.input_path(p.strip()) for p in r["fastq"].split("|")]) for r in listed], config.max_reads)
-    genomes = spark.read.format("fasta").option("paths", ",".join(references)).load()
-    genomes = genomes.select(F.regexp_extract("file", "([^/]*?)\\.(fa|fasta|fna)(\\.gz)?$", 1).alias("genome"), F.col("name").alias("chromosome"), "seq")
+    files = [(r["id"], [config.input_path(p.strip()) for p in r["fastq"].split("|")]) for r in listed]
+    check_tool_limits([p for _, ps in files for p in ps], sample_size=config.sample_size, max_reads=config.max_reads, chunk_size=config.chunk_size)
+    reads = fastq.read_samples(spark, files, config.max_reads)
+    if genome_dir is not None:
+        names, pieces = genomes.stored_names(genome_dir), genomes.stored_pieces(spark, genome_dir)
+    else:
+        names, pieces = genomes.genome_names(references), genomes.read_pieces(spark, references)
     known = spark.read.format("fasta").option("paths", adapters).load().select("name", "seq")
     samples = with_ordinal(samples)
     listed_genomes = resolve.in_order(tables.read_metadata(spark, details, ["genome", "species", "synonyms"]))
-    return run_screen(samples, reads, listed_genomes, genomes, known, config)
+    return run_screen(samples, reads, listed_genomes, pieces, known, config, names)
 
 
 def plot_of_files(spark: SparkSession, summary: str, alignment_summary: str) -> DataFrame:

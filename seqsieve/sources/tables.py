@@ -36,9 +36,11 @@ def read_tsv(spark: SparkSession, path: str, columns: dict[str, str]) -> DataFra
     return df.select(*(F.col(f"`{c}`").cast(t).alias(c) for c, t in columns.items()))
 
 
-def genome_alignments(spark: SparkSession, path: str) -> DataFrame:
-    """Alignments as the operators want them: mismatches counted, and the aligned length."""
+def genome_alignments(spark: SparkSession, path: str, describe: bool = False) -> DataFrame:
+    """Alignments as the operators want them: mismatches counted, and the aligned length. describe: the mismatches as they
+    are written stay in the column described, as the native aligner has them."""
     df = read_tsv(spark, path, GENOME_ALIGNMENTS)
+    df = df.withColumn("described", F.coalesce("mismatches", F.lit(""))) if describe else df
     return df.withColumns({"mismatches": mismatch_count(F.col("mismatches")), "length": F.length("sequence")})
 
 
