@@ -38,3 +38,42 @@ def assign(best: DataFrame, ties: list[str]) -> DataFrame:
     order = [F.desc("expected"), F.desc("genome_count"), *(F.col(c) for c in ties)]
     first = F.row_number().over(Window.partitionBy("id", "read").orderBy(*order)) == 1
     return counted.withColumn("assigned", first).drop("genome_count")
+
+
+def read_level(noted: DataFrame) -> DataFrame:
+    """Annotated alignments with what is known of their reads, by one shuffle: fewest mismatches of all, of expected
+    genomes that are no controls, and of controls, with lengths, and first: true for one alignment of each read."""
+    by_read = Window.partitionBy("id", "read")
+    kinds = {"expected_reads": F.col("expected") & ~F.col("control"), "control_reads": F.col("control")}
+    columns = {"fewest": F.min("mismatches").over(by_read), "first": F.row_number().over(by_read.orderBy("mismatches")) == 1}
+    for kind, of in kinds.items():
+        columns[f"{kind}_mismatches"] = F.min(F.when(of, F.col("mismatches"))).over(by_read)
+        columns[f"{kind}_length"] = F.max(F.when(of, F.col("length"))).over(by_read)
+    return noted.withColumns(columns)
+
+
+def chosen_and_sums(rows: DataFrame, ties: list[str], pairs: int) -> tuple[DataFrame, DataFrame]:
+    """From read_level(), kept by Spark: the best alignments with assigned, and a row for each sample and genome with all that the summaries add up: numbers
+    (aligned, assigned, expected_reads, control_reads), mismatches and lengths. pairs: the number of samples times that of
+    genomes, which bounds the table of counts.
+
+    The alignments are scanned and shuffled once, by read, as what is kept stays dealt by read. Sums are made of partial
+    ones, and a read's figures stand in the sums of one of its genomes."""
+    n = lambda of: F.sum(F.when(of, 1).otherwise(0))
+    figures = [F.count("*").alias("aligned"), F.sum("mismatches").alias("aligned_mismatches"), F.sum("length").alias("aligned_length"), n(F.col("mismatches") == F.col("fewest")).alias("genome_count")]
+    for kind in ("expected_reads", "control_reads"):
+        here = F.col("first") & F.col(f"{kind}_mismatches").isNotNull()
+        figures += [n(here).alias(kind), *(F.sum(F.when(here, F.col(f"{kind}_{c}"))).alias(f"{kind}_{c}") for c in ("mismatches", "length"))]
+    sums = rows.groupBy("id", "genome").agg(*figures)
+    counts = sums.select("id", "genome", "genome_count")
+    counts = F.broadcast(counts) if pairs <= SMALL_PAIRS else counts
+    own = [c for c in rows.columns if c not in ("fewest", "first") and not c.startswith(("expected_reads", "control_reads"))]
+    best = rows.filter("mismatches = fewest").select(*own).join(counts, ["id", "genome"])
+    order = [F.desc("expected"), F.desc("genome_count"), *(F.col(c) for c in ties)]
+    chosen = best.withColumn("assigned", F.row_number().over(Window.partitionBy("id", "read").orderBy(*order)) == 1).drop("genome_count")
+    assigned = chosen.filter("assigned").groupBy("id", "genome").agg(F.count("*").alias("assigned"), F.sum("mismatches").alias("assigned_mismatches"), F.sum("length").alias("assigned_length"))
+    return chosen, sums.drop("genome_count").join(assigned, ["id", "genome"], "left")
+
+
+#: Pairs of samples and genomes whose counts are broadcast.
+SMALL_PAIRS = 500_000

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import null_if_missing, split_tokens, trim_white
+from ..sources.store import written
 from . import checks
 
 
@@ -107,20 +108,20 @@ def resolve(samples: DataFrame, details: DataFrame, indexes: DataFrame) -> Resol
     """Checks the metadata and finds each sample's genomes. samples: id, user_id, species, controls. An ordinal of samples
     or of details is kept, in the checked samples and genomes."""
     kept = lambda df: ["ordinal"] if "ordinal" in df.columns else []
-    samples = checks.require_columns(cleaned(samples), ["id", "user_id", "species", "controls", *kept(samples)], "samples")
+    samples = written(checks.require_columns(cleaned(samples), ["id", "user_id", "species", "controls", *kept(samples)], "samples"), "samples")
     checks.require_unique(checks.require_value(checks.require_rows(samples, "samples"), "id", "samples"), "id", "samples")
     checks.require_case_unique(checks.require_no_bar(indexes, "id", "indexes"), "id", "indexes")
-    details = checks.require_columns(cleaned(details), ["genome", "species", "synonyms", *kept(details)], "genome details")
+    details = written(checks.require_columns(cleaned(details), ["genome", "species", "synonyms", *kept(details)], "genome details"), "details")
     checks.require_unique(checks.require_no_bar(details, "genome", "genome details"), "genome", "genome details")
     checks.require_case_unique(checks.require_value(details, "genome", "genome details"), "genome", "genome details")
 
-    genomes = with_index(details, indexes)
-    synonyms = synonym_table(genomes)
+    genomes = written(with_index(details, indexes), "genomes")
+    synonyms = written(synonym_table(genomes), "synonyms")
     several = [r[0] for r in checks.ambiguous_synonyms(synonyms).orderBy("synonym").limit(20).collect()]
     if several:
         raise checks.ScreenError("synonyms of more than one genome: " + ", ".join(f"'{x}'" for x in several))
 
-    species, controls = (matches(samples, c, genomes, synonyms) for c in ("species", "controls"))
+    species, controls = (written(matches(samples, c, genomes, synonyms), "matches") for c in ("species", "controls"))
     control = first_places(controls)
     expected = without(first_places(species), control)
     out = samples.join(collapsed(expected, "genomes"), "id", "left").join(collapsed(control, "control_genomes"), "id", "left")

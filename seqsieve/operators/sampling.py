@@ -4,11 +4,16 @@ Reads have sample, ordinal (place among the sample's reads over all of its files
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import trimmed
-from ..sources.store import shared_folder
+from ..sources.store import shared_folder, written
 
 
 def long_enough(reads: DataFrame, min_length: int) -> DataFrame:
@@ -78,3 +83,77 @@ def sampling_summary(reads: DataFrame, sampled: DataFrame) -> DataFrame:
     all_reads = reads.groupBy(F.col("sample").alias("id")).agg(F.count("*").alias("read"))
     taken = sampled.groupBy(F.col("sample").alias("id")).agg(F.count("*").alias("sampled"))
     return all_reads.join(taken, "id", "left").fillna(0, ["sampled"])
+
+
+#: Hexadecimal digits of a hash that a task compares rows by; rows that are alike in them stay together.
+DIGITS = 15
+
+
+def _lowest(size: int, names: list[str]):
+    """Keeps the rows of each sample whose hashes are lowest, `size` of them and those alike with the last, and counts all."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept: dict[object, tuple[list[pa.Table], list[np.ndarray]]] = {}
+        counts: dict[object, list[int]] = {}
+        schema = None
+
+        def cut(sample: object) -> None:
+            tables, values = kept[sample]
+            table, value = pa.concat_tables(tables), np.concatenate(values)
+            if len(value) > size:
+                mine = value <= np.partition(value, size - 1)[size - 1]
+                table, value = table.filter(pa.array(mine)).combine_chunks(), value[mine]
+            kept[sample] = [table], [value]
+
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            schema = table.schema
+            codes = batch.column("sample").dictionary_encode()
+            numbers = pc.fill_null(codes.indices, -1).to_numpy(zero_copy_only=False)
+            long_enough_ = batch.column("__eligible").to_numpy(zero_copy_only=False).astype(bool)
+            values = batch.column("__value").to_numpy(zero_copy_only=False)
+            for number in np.unique(numbers).tolist():
+                sample = codes.dictionary[number].as_py() if number >= 0 else None
+                here = numbers == number
+                n = counts.setdefault(sample, [0, 0])
+                n[0] += int(here.sum())
+                here &= long_enough_
+                n[1] += int(here.sum())
+                if here.any():
+                    tables, old = kept.setdefault(sample, ([], []))
+                    tables.append(table.filter(pa.array(here)))
+                    old.append(values[here])
+                    if sum(map(len, old)) > 2 * size + ROWS:
+                        cut(sample)
+        for sample in list(kept):
+            cut(sample)
+            for found in kept[sample][0][0].select(names).to_batches(max_chunksize=ROWS):
+                columns = [*found.columns, pa.nulls(len(found), pa.int64()), pa.nulls(len(found), pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, names=[*names, "__n", "__fit"])
+        if counts:
+            nulls = {c: pa.nulls(len(counts), schema.field(c).type) for c in names}
+            nulls["sample"] = pa.array(list(counts), schema.field("sample").type)
+            columns = [nulls[c] for c in names] + [pa.array([n[i] for n in counts.values()], pa.int64()) for i in (0, 1)]
+            yield pa.RecordBatch.from_arrays(columns, names=[*names, "__n", "__fit"])
+
+    return run
+
+
+#: Rows of a batch, and those beyond twice the sample that a task holds before it cuts them.
+ROWS = 10_000
+
+
+def one_pass_sample(reads: DataFrame, size: int, min_length: int, seed: str) -> tuple[DataFrame, DataFrame]:
+    """sample_reads() and sampling_summary() by one pass over the reads. Each task keeps the lowest hashes of each of its
+    samples, as many as are wanted, and counts all reads; what tasks kept is written, and hash_sample() takes the sample
+    from that. A task holds the reads that are wanted of a sample, twice at most, for the samples whose files it reads."""
+    from pyspark.sql.types import LongType, StructField, StructType
+
+    key = ("sample", "ordinal")
+    value = F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(seed), *(F.col(k).cast("string") for k in key)).cast("binary")), 1, DIGITS), 16, 10).cast("long")
+    marked = reads.withColumns({"__value": value, "__eligible": F.coalesce(F.length("seq") >= min_length, F.lit(False))})
+    schema = StructType([*(StructField(f.name, f.dataType) for f in reads.schema), StructField("__n", LongType()), StructField("__fit", LongType())])
+    table = written(marked.mapInArrow(_lowest(size, reads.columns), schema), "lowest")
+    sampled = hash_sample(table.filter("__n is null").drop("__n", "__fit"), "sample", size, seed, *key)
+    sums = table.filter("__n is not null").groupBy(F.col("sample").alias("id")).agg(F.sum("__n").alias("read"), F.sum("__fit").alias("fit"))
+    return sampled, sums.select("id", "read", F.least("fit", F.lit(size)).alias("sampled"))

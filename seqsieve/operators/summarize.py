@@ -53,6 +53,20 @@ def genome_summary(alignments: DataFrame, samples: DataFrame, genomes: DataFrame
     return _with_share(dense, _totals(samples)).select("id", "genome", "count", "percentage", "error_rate")
 
 
+def genome_part(sums: DataFrame, samples: DataFrame, genomes: DataFrame, kind: str) -> DataFrame:
+    """genome_summary() from assign.chosen_and_sums(); kind: aligned or assigned."""
+    rate = F.when(F.col(kind) > 0, error_rate(F.col(f"{kind}_mismatches"), F.col(f"{kind}_length")))
+    dense = spine(samples, genomes).join(sums.select("id", "genome", F.col(kind).alias("count"), rate.alias("error_rate")), ["id", "genome"], "left")
+    return _with_share(dense, _totals(samples)).select("id", "genome", "count", "percentage", "error_rate")
+
+
+def read_part(sums: DataFrame, samples: DataFrame, kind: str) -> DataFrame:
+    """read_summary() from the same; kind: expected_reads or control_reads."""
+    rate = F.when(F.sum(kind) > 0, error_rate(F.sum(f"{kind}_mismatches"), F.sum(f"{kind}_length")))
+    found = sums.groupBy("id").agg(F.sum(kind).alias("count"), rate.alias("error_rate"))
+    return _with_share(samples.select("id").join(found, "id", "left"), _totals(samples)).select("id", "count", "percentage", "error_rate")
+
+
 def unmapped_summary(assigned: DataFrame, samples: DataFrame) -> DataFrame:
     """Sampled reads that no genome got, from genome_summary() of assigned alignments: id, count, percentage."""
     aligned = assigned.groupBy("id").agg(F.sum("count").alias("aligned"))

@@ -374,7 +374,13 @@ def hash_sample(spark, sf_dir):
 
 @query(f"{HASHED} SELECT sample AS id, count(*) AS read, (SELECT count(*) FROM h WHERE h.sample = r.sample AND n <= 20) AS sampled FROM reads r GROUP BY sample")
 def sampling_summary(spark, sf_dir):
-    return sampling.sampling_summary(reads(spark, sf_dir), sampling.sample_reads(reads(spark, sf_dir), 20, 500, "7"))
+    return sampling.one_pass_sample(reads(spark, sf_dir), 20, 500, "7")[1]
+
+
+@query(f"{HASHED} SELECT sample, ordinal, id, seq FROM h WHERE n <= 20".replace("SELECT sample, ordinal, id, row_number()", "SELECT sample, ordinal, id, seq, row_number()"))
+def one_pass_sample(spark, sf_dir):
+    """The same sample with its texts, by tasks that keep their lowest hashes in one pass."""
+    return sampling.one_pass_sample(reads(spark, sf_dir), 20, 500, "7")[0].select("sample", "ordinal", "id", "seq")
 
 
 @query("SELECT source AS sample, lang AS id, count(*) AS n FROM documents GROUP BY source, lang HAVING count(*) > 1")

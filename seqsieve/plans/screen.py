@@ -12,7 +12,7 @@ from ..functions import split_tokens
 from ..operators import align, assign, checks, resolve, sampling, summarize
 from ..operators.chart import bar_chart, bar_chart_pdf, plot_data
 from ..sources import fastq, genomes, tables
-from ..sources.store import Store
+from ..sources.store import Store, written
 
 TIES = ["genome_ordinal", "chromosome", "position", "strand"]
 
@@ -83,35 +83,37 @@ def summarise(samples: DataFrame, genomes: DataFrame, sampled: DataFrame, alignm
     species; sampled: id, read, sampled; alignments: id, read, genome, chromosome, position, strand, sequence, quality,
     mismatches (a number), length; adapters: as sources.tables.adapter_alignments."""
     samples = samples.join(sampled.select("id", F.col("read").alias("sequences"), "sampled"), "id")
-    samples = ordinals(samples, "id") if "ordinal" not in samples.columns else samples
-    genomes = ordinals(genomes, "genome") if "ordinal" not in genomes.columns else genomes
-    expected, controls = bridges(samples, genomes)
+    samples = written(ordinals(samples, "id") if "ordinal" not in samples.columns else samples, "samples")
+    genomes = written(ordinals(genomes, "genome") if "ordinal" not in genomes.columns else genomes, "genomes")
+    expected, controls = (written(b, "bridge") for b in bridges(samples, genomes))
     here = alignments.join(samples.select("id"), "id", "left_semi").join(genomes.select("genome", F.col("ordinal").alias("genome_ordinal")), "genome")
-    noted = assign.annotate(here, expected, controls)
-    chosen = assign.assign(assign.best_alignments(noted), TIES)
+    rows = assign.read_level(assign.annotate(here, expected, controls)).persist()
+    chosen, sums = assign.chosen_and_sums(rows, TIES, samples.count() * genomes.count())
+    sums = written(sums, "sums")  # metadata: a row for each sample and genome
 
-    aligned = summarize.genome_summary(noted, samples, genomes)
-    assigned = summarize.genome_summary(chosen.filter("assigned"), samples, genomes)
+    aligned, assigned = (summarize.genome_part(sums, samples, genomes, kind) for kind in ("aligned", "assigned"))
     unmapped = summarize.unmapped_summary(assigned, samples)
-    counts = summarize.adapter_counts(adapters, samples)
-    summary = summarize.sample_summary(samples, summarize.expected_summary(noted, samples), summarize.control_summary(noted, samples), unmapped, counts)
+    counts = written(summarize.adapter_counts(adapters, samples), "adapter-counts")
+    reads = (summarize.read_part(sums, samples, kind) for kind in ("expected_reads", "control_reads"))
+    summary = summarize.sample_summary(samples, *reads, unmapped, counts)
     by_genome = summarize.alignment_summary(samples, genomes, aligned, assigned, unmapped, expected, controls)
 
     users = samples.select("id", "user_id", "ordinal")
     out = chosen.join(users, "id").orderBy("ordinal", "read", "genome_ordinal")
     out = out.select(F.col("user_id").alias("id"), "read", "genome", "chromosome", "position", "strand", "sequence", "quality", "mismatches", "expected", "control", "assigned")
     named = adapters.join(users.select("id", "user_id"), "id").withColumn("id", F.col("user_id")).drop("user_id")
-    return ScreenResult(summary, by_genome, out, named, warnings or [])
+    return ScreenResult(summary, by_genome, out, named, warnings or [], [rows])
 
 
 def sample_and_trim(reads: DataFrame, config: ScreenConfig) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The sampled reads, their trimmed form, and the sampling summary. Names must be unique in the sample."""
     capped = sampling.capped(reads, config.max_reads)
-    sampled = sampling.sample_reads(capped, config.sample_size, config.min_length, config.seed).persist()
+    sampled, counts = sampling.one_pass_sample(capped, config.sample_size, config.min_length, config.seed)
+    sampled = sampled.persist()
     again = [(r["sample"], r["id"]) for r in checks.repeated_reads(sampled).limit(5).collect()]
     if again:
         raise checks.ScreenError("reads of one name in a sample: " + ", ".join(f"{s}|{r}" for s, r in again))
-    return sampled, sampling.trim(sampled, config.trim_start, config.trim_length), sampling.sampling_summary(capped, sampled)
+    return sampled, sampling.trim(sampled, config.trim_start, config.trim_length), counts
 
 
 def run_screen(samples: DataFrame, reads: DataFrame, details: DataFrame, references: DataFrame, adapters: DataFrame, config: ScreenConfig, names: list[str] | None = None) -> ScreenResult:
@@ -132,7 +134,7 @@ def run_screen(samples: DataFrame, reads: DataFrame, details: DataFrame, referen
     matched = align.match_adapters(whole, adapters).persist()
     checked, genomes = resolved.samples.persist(), resolved.genomes.persist()
     result = summarise(checked, genomes, counts, found, matched, resolved.warnings)
-    result.kept = [counts, found, matched, sampled, checked, genomes]
+    result.kept += [counts, found, matched, sampled, checked, genomes]
     result.sampled, result.resolved = counts, resolved
     return result
 

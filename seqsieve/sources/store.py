@@ -9,7 +9,7 @@ import tempfile
 import uuid
 from urllib.parse import urlparse
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 class Store:
@@ -98,3 +98,10 @@ def shared_folder(spark: SparkSession, name: str) -> str:
         base = "file://" + tempfile.mkdtemp(prefix="seqsieve-")
         spark.sparkContext.setCheckpointDir(base)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """df as a table in the shared folder: plans that go on from it begin there, and it outlives lost executors."""
+    spark, path = df.sparkSession, shared_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -3,6 +3,7 @@
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from seqsieve.config import ScreenConfig, check_tool_limits
 from seqsieve.operators import align, assign, checks, resolve, sampling
@@ -122,6 +123,48 @@ def test_sampling(spark):
     assert sampling.sample_reads(reads, 10_000, 10, "1").count() == 2 * 480
     assert [tuple(r) for r in sampling.sampling_summary(reads, taken).orderBy("id").collect()] == [("a", 600, 100), ("b", 600, 100)]
     assert sampling.capped(reads, 5).count() == 10
+    for size, parts in ((100, 7), (1, 3), (479, 2), (10_000, 5)):
+        once, counts = sampling.one_pass_sample(reads.repartition(parts), size, 10, "1")
+        assert once.columns == reads.columns
+        assert sorted(map(tuple, once.collect())) == sorted(map(tuple, sampling.sample_reads(reads, size, 10, "1").collect()))
+        assert sorted(map(tuple, counts.collect())) == [("a", 600, min(size, 480)), ("b", 600, min(size, 480))]
+    assert [x.count() for x in sampling.one_pass_sample(reads.limit(0), 5, 1, "1")] == [0, 0]
+    odd = spark.createDataFrame([("a", 0, "r", None, None), ("b", 0, "s", "ACGT", "IIII")], reads.schema)
+    once, counts = sampling.one_pass_sample(odd, 5, 1, "1")
+    assert [r["id"] for r in once.collect()] == ["s"] and sorted(map(tuple, counts.collect())) == [("a", 1, 0), ("b", 1, 1)]
+
+
+def test_samples_are_cut_as_they_come(spark, monkeypatch):
+    monkeypatch.setattr(sampling, "ROWS", 10)
+    reads = spark.createDataFrame([("a" if n % 3 else None, n, f"r{n}", "ACGT", "IIII") for n in range(900)], "sample string, ordinal long, id string, seq string, qual string").coalesce(1)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 50)
+    try:
+        once, counts = sampling.one_pass_sample(reads, 20, 1, "3")
+        assert sorted(map(tuple, once.filter("sample is not null").collect())) == sorted(map(tuple, sampling.sample_reads(reads.filter("sample is not null"), 20, 1, "3").collect()))
+        assert {tuple(r) for r in counts.collect()} == {("a", 600, 20), (None, 300, 20)}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_alignments_are_shuffled_once(spark):
+    noted = assign.annotate(hits(spark, ROWS).withColumn("genome_ordinal", F.lit(1)), *(spark.createDataFrame([("1", g)], "id string, genome string") for g in ("hsa", "phix")))
+    kept = assign.read_level(noted).persist()
+    chosen, sums = assign.chosen_and_sums(kept, screen.TIES, 6)
+    rows = {r["genome"]: r.asDict() for r in sums.collect()}
+    assert (rows["hsa"]["aligned"], rows["hsa"]["assigned"], rows["mmu"]["assigned"]) == (2, 1, 2)
+    assert sum(r["expected_reads"] for r in rows.values()) == 2 and sum(r["control_reads"] for r in rows.values()) == 0
+    kept.count()
+    plan = chosen._jdf.queryExecution().executedPlan().toString()
+    outside, inside = [], None  # lines of the plan that are no part of how the kept rows were made
+    for line in plan.splitlines():
+        depth = next((i for i, c in enumerate(line) if c.isalpha()), 0)
+        inside = None if inside is not None and depth <= inside else inside
+        if inside is None:
+            outside.append(line)
+            inside = depth if "InMemoryRelation" in line else None
+    assert "InMemoryRelation" in plan and not [x for x in outside if "Exchange hashpartitioning(id" in x and "read#" in x], plan
+    assert [r["genome"] for r in chosen.filter("assigned").orderBy("read").collect()] == ["hsa", "mmu", "mmu"]
+    kept.unpersist()
 
 
 def test_trim(spark):
