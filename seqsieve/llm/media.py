@@ -19,6 +19,7 @@ import struct
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -92,7 +93,17 @@ _LANE_BYTES = (WIDTH * (int(_SIZES.max())) + 7) // 8 + 3
 
 
 def encode_payloads(data: np.ndarray, lengths: np.ndarray) -> list[bytes]:
-    """Media bytes of payloads that lie one after the other in data; lengths are positive multiples of UNIT."""
+    """Media bytes of payloads that lie one after the other in data; lengths are positive multiples of UNIT. Frames of about
+    STEP bytes are encoded at once, however long a payload is."""
+    whole = FRAME_ROWS * WIDTH
+    cuts = [[whole] * (n // whole) + [n % whole] * bool(n % whole) for n in lengths.tolist()]
+    pieces = np.array([p for cut in cuts for p in cut], np.int64)
+    at = np.concatenate([[0], np.cumsum(pieces)])
+    made = (x for a, b in steps(at, 2 * STEP) for x in _encode(data[at[a] : at[b]], pieces[a:b]))
+    return [b"".join(islice(made, len(cut))) for cut in cuts]
+
+
+def _encode(data: np.ndarray, lengths: np.ndarray) -> list[bytes]:
     lanes = len(data) // WIDTH
     block = data.reshape(lanes, WIDTH).astype(np.int16)
     diff = np.empty((lanes, WIDTH), np.int16)
@@ -295,7 +306,7 @@ def thumbnails(media: list[bytes]) -> list[list[np.ndarray]]:
             key = (tuple(frame.components), tuple(frame.scan), tuple(sorted(frame.huffman.items())), frame.restart)
             alike.setdefault(key, []).append((i, len(found[i]), frame))
             found[i].append(np.zeros((0, 0), np.uint8))
-    for group in alike.values():
+    for group in (g[a:b] for g in alike.values() for a, b in steps(np.cumsum([0, *(f.end - f.start for *_, f in g)]), 2 * STEP)):
         raw = np.frombuffer(b"".join(media[i][f.start : f.end] for i, _, f in group), np.uint8)
         sizes = np.array([f.end - f.start for *_, f in group], np.int64)
         frame_at = np.concatenate([[0], np.cumsum(sizes)])
@@ -333,7 +344,7 @@ def thumbnails(media: list[bytes]) -> list[list[np.ndarray]]:
 def average_hash(image: np.ndarray) -> str:
     """64 bits: which of the 8 x 8 areas are at least as bright as their mean."""
     rows, columns = (np.linspace(0, n, 9)[:-1].astype(np.int64) for n in image.shape)
-    area = np.add.reduceat(np.add.reduceat(image.astype(np.int64), rows, axis=0), columns, axis=1)
+    area = np.add.reduceat(np.add.reduceat(image, rows, axis=0, dtype=np.int64), columns, axis=1)
     counts = np.diff(np.append(rows, image.shape[0]))[:, None] * np.diff(np.append(columns, image.shape[1]))
     mean = area / np.maximum(counts, 1)
     return np.packbits((mean >= mean.mean()).reshape(-1)).tobytes().hex()
@@ -350,6 +361,9 @@ def payloads(body: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     sizes = np.diff(offsets)
     lengths = np.maximum(-(-sizes // UNIT), 1) * UNIT
     data = np.full(int(lengths.sum()), FILL, np.uint8)
+    if len(sizes) == 1:
+        data[: sizes[0]] = body[offsets[0] : offsets[-1]]
+        return data, lengths, sizes
     shift = np.cumsum(lengths) - lengths - offsets[:-1]
     data[np.arange(offsets[0], offsets[-1]) + np.repeat(shift, sizes)] = body[offsets[0] : offsets[-1]]
     return data, lengths, sizes

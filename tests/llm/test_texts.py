@@ -76,6 +76,23 @@ def test_trie_is_reset_and_shares_prefixes(monkeypatch):
 # 2
 
 
+def test_media_of_a_long_text_take_bounded_memory():
+    import tracemalloc
+
+    body = np.random.default_rng(3).integers(32, 127, 12_000_000, dtype=np.uint8)
+    tracemalloc.start()
+    try:
+        data, lengths, _ = media.payloads(body, np.array([0, len(body)]))
+        items = media.encode_payloads(data, lengths)
+        frames = media.thumbnails(items)[0]
+        told = media.feature(frames)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert b"".join(f.tobytes() for f in frames)[: len(body)] == body.tobytes() and told.split(":")[1] == str(len(frames)) != "1"
+    assert peak < 150 << 20, peak  # some copies of the text, and work on a few frames; before, 54 bytes for each of its bytes
+
+
 def test_media_round_trip(spark, docs, rows, empty):
     got = media.read_features(media.store_texts(docs)).collect()
     expected = Counter()
