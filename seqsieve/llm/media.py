@@ -183,6 +183,8 @@ def parse_frames(media: bytes) -> list[Frame]:
         while True:
             if media[at] != 0xFF:
                 raise ValueError(f"no marker at byte {at}")
+            while media[at + 1 : at + 2] == b"\xff":  # filling before a marker
+                at += 1
             marker = media[at + 1]
             size = int.from_bytes(media[at + 2 : at + 4], "big")
             body, at = media[at + 4 : at + 2 + size], at + 2 + size

@@ -76,6 +76,13 @@ def test_trie_is_reset_and_shares_prefixes(monkeypatch):
 # 2
 
 
+def test_media_with_filling_before_markers():
+    data, lengths, _ = media.payloads(np.frombuffer(b"some text", np.uint8), np.array([0, 9]))
+    item = media.encode_payloads(data, lengths)[0]
+    filled = item[:2] + b"\xff\xff" + item[2:].replace(b"\xff\xda", b"\xff\xff\xda", 1)
+    assert filled != item and np.array_equal(media.thumbnails([filled])[0][0], media.thumbnails([item])[0][0])
+
+
 def test_media_of_a_long_text_take_bounded_memory():
     import tracemalloc
 
