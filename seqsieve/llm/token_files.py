@@ -40,6 +40,8 @@ from .parts import PartTable, coded, with_ends
 
 #: Parts of texts whose ids a worker keeps, and text bytes of a step (and of long parts that are kept).
 MAX_PARTS, STEP = 500_000, 4 << 20
+#: Text bytes of a file at most, about: more texts are more files.
+PART_BYTES = 256 << 20
 #: Words that are encoded as one text.
 JOINED = 512
 NO_ID = np.iinfo(np.int64).min
@@ -265,8 +267,9 @@ class TokenFiles:
 def write(docs: DataFrame, tokenizer_path: str, uri: str, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> TokenFiles:
     """Encodes every text and writes the files below uri; runs at once."""
     spark = docs.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // PART_BYTES))
     # the text's hash parts rows of one id, so that no id, however often repeated, is one task's work
     rows = rows.repartitionByRange(n, F.col("doc_id"), F.xxhash64("text")).sortWithinPartitions(F.col("doc_id"), F.xxhash64("text"))
 

@@ -215,7 +215,7 @@ def test_decoder_reads_colour_files():
 # 4
 
 
-def test_token_files(spark, docs, rows, empty):
+def test_token_files(spark, docs, rows, empty, monkeypatch):
     from tokenizers import Tokenizer
 
     path = tokenizer_path("word_bpe_49k.json")
@@ -234,6 +234,10 @@ def test_token_files(spark, docs, rows, empty):
         start += len(ids)
     none = token_files.write(empty, path, shared_path(spark, "t"), 1)
     assert none.read(spark).count() == 0
+    monkeypatch.setattr(token_files, "PART_BYTES", 20_000)  # more texts are more files
+    more = token_files.write(docs, path, shared_path(spark, "t"), 1)
+    assert len(more.parts) > len(files.parts)
+    assert sorted(map(tuple, more.read(spark).collect()), key=lambda r: r[1]) == [tuple(r)[:4] for r in got]
 
 
 @settings(max_examples=400, deadline=None)
