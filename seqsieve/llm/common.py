@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -98,6 +99,14 @@ def map_batches(df: DataFrame, run, schema) -> DataFrame:
     return df.mapInArrow(run, schema)
 
 
+def give_back() -> None:
+    """Gives memory that a task no longer uses back to the system, as its worker outlives it."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the C library, where it has it
+    if trim is not None:
+        trim(0)
+
+
 def utf8(column) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a column of texts or bytes and its row offsets (one more than rows); nulls are empty."""
     if isinstance(column, pa.ChunkedArray):

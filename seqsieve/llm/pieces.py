@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import spm_model
-from .common import map_batches, steps, utf8
+from .common import give_back, map_batches, steps, utf8
 from .parts import PartTable, coded
 from .spm_model import SPACE
 
@@ -259,6 +259,7 @@ def encode(docs: DataFrame, model_path: str, threads: int = 2, id_col: str = "do
                     names=["doc_id", "ids", "n_tokens", "ids_crc32", "parity", "round_trip"],
                 )
         codec.clear()  # a worker outlives its task, and may serve other stages next
+        give_back()
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).transform(map_batches, run, SCHEMA)
 
