@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from ..functions import mismatch_count, yes_no
 from ..functions import mismatch_places as places_of
 from ..operators import align, assign, checks, resolve, sampling, summarize
-from ..operators.chart import plot_data
 from ..sources.fastq import fasta_text, fastq_text
 from ..sources.tables import printable, split_first_bar
 from .screen import TIES, summarise

@@ -97,7 +97,6 @@ def scan(spark: SparkSession, paths: list[str], split: int = SPLIT) -> list[Entr
         edges = [0] if kind == "gzip" else [*range(0, max(size, 1), split)]
         ranges += [(number, kind, a, b) for a, b in zip(edges, [*edges[1:], REST], strict=True)]
     found = _scan(spark, [(i, files[f][0], kind, a, b, None) for i, (f, kind, a, b) in enumerate(ranges)]) if ranges else {}
-    exact: dict[int, int] = {}
     while True:
         again, entries, file, place, first, halted = [], [], -1, 0, 0, False
         for i, (f, kind, _, end) in enumerate(ranges):
@@ -117,7 +116,6 @@ def scan(spark: SparkSession, paths: list[str], split: int = SPLIT) -> list[Entr
             place, first = stop, first + n
         if not again:
             return entries
-        exact.update({i: place for i, *_, place in again})
         found |= _scan(spark, again)
 
 
