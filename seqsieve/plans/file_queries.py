@@ -86,7 +86,7 @@ def chunk_files(spark, sf_dir):
     fastq.register(spark)
     folder = shared_folder(spark, "chunks")
     rows = core.reads(spark, sf_dir).select("sample", "ordinal", F.col("id").cast("string").alias("id"), F.lit(None).cast("string").alias("desc"), F.translate("seq", FORBIDDEN, INSTEAD).alias("seq"))
-    fastq.write_chunks(sampling.chunk_numbers(rows.withColumn("qual", F.col("seq")), 400), folder, 11, 36, compress=True)
+    fastq.write_chunks(sampling.chunk_numbers(rows, 400).withColumn("qual", F.col("seq")), folder, 11, 36, compress=True)
     chunk = F.regexp_extract("file", "chunk\\.(\\d+)\\.", 1).cast("long").alias("chunk")
     pairs = spark.read.format("fastq").option("paths", f"{folder}/chunk.*.fq.gz").load(), spark.read.format("fasta").option("paths", f"{folder}/chunk.*.fa.gz").load().withColumnRenamed("name", "id")
     found = [df.select(chunk, F.lit(kind).alias("kind"), F.col("record").alias("place"), "id", "seq") for df, kind in zip(pairs, ("fq", "fa"), strict=True)]
@@ -100,8 +100,8 @@ def _sorted_files(spark: SparkSession, sf_dir: str, folder: str, records: DataFr
 
 
 def _split(files: list[str]) -> int:
-    """Bytes of a range, so that all files are some dozens of ranges."""
-    return max(1 << 14, sum(Store(f).stamp(f)[0] for f in files) // 64)
+    """Bytes of a range: all files are some dozens of ranges, or as many more as it takes to bound a range."""
+    return min(genomes.SPLIT, max(1 << 14, sum(Store(f).stamp(f)[0] for f in files) // 64))
 
 
 @query(f"WITH {READS} SELECT sample, ordinal, id::VARCHAR AS id, {SEQ.replace('text', 'seq')} AS seq, {SEQ.replace('text', 'seq')} AS qual FROM reads")
@@ -135,11 +135,14 @@ def damaged_files(spark, sf_dir):
 
 
 def _fasta_files(spark: SparkSession, sf_dir: str) -> tuple[str, dict[str, list[str]]]:
-    """Documents of each language as FASTA files, in lines of 80 letters: the folder, and patterns by language."""
+    """Documents of each language as FASTA files, in lines of 80 letters: the folder, and patterns by language. A language
+    has as many files as ranges of documents, so that no task gets a whole language."""
     folder = shared_folder(spark, "genomes")
-    rows = core._table(spark, sf_dir, "documents").select("lang", fastq.fasta_text(F.col("doc_id").cast("string"), F.lit("a text"), F.translate("text", FORBIDDEN, INSTEAD)).alias("value"))
-    rows.repartition("lang").write.partitionBy("lang").text(f"{folder}/fasta")
-    listed = [r["lang"] for r in rows.select("lang").distinct().orderBy("lang").collect()]
+    docs = core._table(spark, sf_dir, "documents").select("lang", "doc_id", "text")
+    rows = docs.repartitionByRange("lang", "doc_id")
+    value = fastq.fasta_text(F.col("doc_id").cast("string"), F.lit("a text"), F.translate("text", FORBIDDEN, INSTEAD)).alias("value")
+    rows.select("lang", value).write.partitionBy("lang").text(f"{folder}/fasta")
+    listed = [r["lang"] for r in docs.select("lang").distinct().orderBy("lang").collect()]
     return folder, {x: [f"{folder}/fasta/lang={x}/part-*.txt"] for x in listed}
 
 
