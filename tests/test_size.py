@@ -35,3 +35,12 @@ def test_a_language_is_written_by_many_tasks(spark, one_of_each, whole_shuffles)
 def test_a_range_of_a_file_is_bounded(monkeypatch):
     monkeypatch.setattr(Store, "stamp", lambda self, path: (100 << 30, 0))
     assert file_queries._split(["/x"]) == genomes.SPLIT
+
+
+def test_a_genome_is_stored_by_many_tasks(spark, one_of_each, whole_shuffles, monkeypatch):
+    sizes = []
+    monkeypatch.setattr(genomes, "store_genome", lambda spark, name, patterns, folder: sizes.extend(Store(f).stamp(f)[0] for f in expand(patterns)))
+    monkeypatch.setattr(genomes, "stored_names", lambda folder: [])
+    with pytest.raises(ValueError, match="not found"):
+        file_queries.stored_alignment(spark, one_of_each)
+    assert len(sizes) == 4 and max(sizes) < sum(sizes) / 2
