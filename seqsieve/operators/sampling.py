@@ -34,21 +34,29 @@ def trim_to(reads: DataFrame, length: int) -> DataFrame:
     return trim(reads, 1, length)
 
 
-def with_place(rows: DataFrame, order: list[str], column: str = "place") -> DataFrame:
-    """Adds the place of each row, from 0, in an order over all rows. Rows are sorted into ranges and written to the shared
-    folder; a range's first place is the sum of the rows in the ranges before it, so no task sees more than its range."""
+def with_place(rows: DataFrame, order: list[str], column: str = "place", group: str | None = None) -> DataFrame:
+    """Adds the place of each row, from 0, in an order over all rows, or among the rows of its group, by which the order begins.
+    Without an order rows stay in theirs. Rows are sorted into ranges and written to the shared folder; a range's first place is the sum
+    of the rows in the ranges before it, so no task sees more than its range, however many rows a group has."""
     spark = rows.sparkSession
     path = shared_folder(spark, "placed")
-    ranges = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    ranges = rows.repartitionByRange(*order).sortWithinPartitions(*order) if order else rows
     ranges.withColumns({"__range": F.spark_partition_id(), "__row": F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))}).write.parquet(path)
     table = spark.read.parquet(path)
-    counts = table.groupBy("__range").agg(F.count("*").alias("n")).orderBy("__range").collect()  # a row for each range
-    first, bases = 0, []
+    of = F.lit(0) if group is None else F.col(group)
+    # a row for each range, and one more for each group
+    counts = table.groupBy("__range", of.alias("__group")).agg(F.count("*").alias("n"), F.min("__row").alias("least")).orderBy("__range").collect()
+    kind = "int" if group is None else dict(table.dtypes)[group]
+    first: dict[object, int] = {}
+    bases = []
     for r in counts:
-        bases.append((r["__range"], first))
-        first += r["n"]
-    bases = spark.createDataFrame(bases, "__range int, __base long")
-    return table.join(F.broadcast(bases), "__range").withColumn(column, F.col("__base") + F.col("__row")).drop("__range", "__row", "__base")
+        before = first.get(r["__group"], 0)
+        bases.append((r["__range"], r["__group"], before - r["least"]))
+        first[r["__group"]] = before + r["n"]
+    bases = spark.createDataFrame(bases, f"__at int, __group {kind}, __base long")
+    here = (F.col("__range") == F.col("__at")) & of.eqNullSafe(F.col("__group"))
+    placed = table.join(F.broadcast(bases), here).withColumn(column, F.col("__base") + F.col("__row"))
+    return placed.drop("__range", "__row", "__at", "__group", "__base")
 
 
 def chunk_numbers(reads: DataFrame, chunk_size: int, order: list[str] | None = None) -> DataFrame:

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import mismatch_count, yes_no
@@ -334,10 +334,12 @@ def genomes_collapsed(spark, sf_dir):
 # reads
 
 
-def reads(spark, sf_dir):
-    docs = _table(spark, sf_dir, "documents")
-    place = F.row_number().over(Window.partitionBy("source").orderBy("doc_id")) - 1
-    return docs.select(F.col("source").alias("sample"), place.cast("long").alias("ordinal"), F.col("doc_id").alias("id"), F.col("text").alias("seq"), F.reverse("text").alias("qual"))
+def reads(spark, sf_dir, texts=True):
+    """Documents as reads, numbered in their source by sorted ranges, as a source may have any share of them. texts: with
+    sequence and quality."""
+    docs = _table(spark, sf_dir, "documents").select(F.col("source").alias("sample"), F.col("doc_id").alias("id"), *([F.col("text").alias("seq")] if texts else []))
+    placed = sampling.with_place(docs, ["sample", "id"], "ordinal", "sample")
+    return placed.select("sample", "ordinal", "id", *(["seq", F.reverse("seq").alias("qual")] if texts else []))
 
 
 READS = "reads AS (SELECT source AS sample, row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS ordinal, doc_id AS id, text AS seq, reverse(text) AS qual FROM documents)"
@@ -355,12 +357,12 @@ def min_length_filter(spark, sf_dir):
 
 @query(f"WITH {READS} SELECT sample, ordinal, id FROM reads WHERE ordinal < 7")
 def read_cap(spark, sf_dir):
-    return sampling.capped(reads(spark, sf_dir), 7).select("sample", "ordinal", "id")
+    return sampling.capped(reads(spark, sf_dir, texts=False), 7).select("sample", "ordinal", "id")
 
 
 @query(f"WITH {READS} SELECT sample, ordinal, id, place, place // 10 AS chunk FROM (SELECT *, row_number() OVER (ORDER BY sample, ordinal) - 1 AS place FROM reads)")
 def chunked_reads(spark, sf_dir):
-    return sampling.chunk_numbers(reads(spark, sf_dir), 10).select("sample", "ordinal", "id", "place", "chunk")
+    return sampling.chunk_numbers(reads(spark, sf_dir, texts=False), 10).select("sample", "ordinal", "id", "place", "chunk")
 
 
 HASHED = f"WITH {READS}, h AS (SELECT sample, ordinal, id, row_number() OVER (PARTITION BY sample ORDER BY md5('7|' || sample || '|' || ordinal)) AS n FROM reads WHERE length(seq) >= 500)"

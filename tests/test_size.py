@@ -1,9 +1,12 @@
 """What a task gets must not grow with a language, a sample or a genome."""
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from seqsieve.operators import sampling
 from seqsieve.plans import file_queries
+from seqsieve.plans import queries as core
 from seqsieve.sources import genomes
 from seqsieve.sources.fastq import expand
 from seqsieve.sources.store import Store
@@ -44,3 +47,28 @@ def test_a_genome_is_stored_by_many_tasks(spark, one_of_each, whole_shuffles, mo
     with pytest.raises(ValueError, match="not found"):
         file_queries.stored_alignment(spark, one_of_each)
     assert len(sizes) == 4 and max(sizes) < sum(sizes) / 2
+
+
+@pytest.mark.parametrize("name", ["chunked_reads"])
+def test_a_source_is_numbered_by_many_tasks(spark, one_of_each, whole_shuffles, monkeypatch, name):
+    files = []
+    place = sampling.with_place
+
+    def noted(rows, order, column="place", group=None):
+        found = place(rows, order, column, group)
+        files.append((group, len(found.inputFiles())))
+        return found
+
+    monkeypatch.setattr(sampling, "with_place", noted)
+    core.QUERIES[name](spark, one_of_each)
+    assert ("sample", 4) in files
+
+
+def test_places_in_a_group_of_many_ranges(spark, whole_shuffles):
+    rows = spark.range(1000).select(F.when(F.col("id") < 900, F.lit("a")).when(F.col("id") < 950, F.lit("b")).alias("g"), (F.col("id") * 7 % 501).alias("k"))
+    ordered = F.row_number().over(Window.partitionBy("g").orderBy("k")) - 1
+    found = sampling.with_place(rows, ["g", "k"], "n", "g")
+    assert sorted(map(tuple, found.select("g", "k", "n").collect()), key=repr) == sorted(map(tuple, rows.withColumn("n", ordered).collect()), key=repr)
+    kept = sampling.with_place(rows.orderBy(F.desc("k")), [], "n")
+    assert [r["k"] for r in kept.orderBy("n").collect()] == sorted((r["k"] for r in rows.collect()), reverse=True)
+    assert sampling.with_place(rows.limit(0), ["g", "k"], "n", "g").count() == 0
