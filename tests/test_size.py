@@ -49,7 +49,7 @@ def test_a_genome_is_stored_by_many_tasks(spark, one_of_each, whole_shuffles, mo
     assert len(sizes) == 4 and max(sizes) < sum(sizes) / 2
 
 
-@pytest.mark.parametrize("name", ["chunked_reads", "one_pass_sample", "sampling_summary", "sampling_summary_file"])
+@pytest.mark.parametrize("name", ["chunked_reads", "one_pass_sample", "sampling_summary", "sampling_summary_file", "trim_reads"])
 def test_a_source_is_numbered_by_many_tasks(spark, one_of_each, whole_shuffles, monkeypatch, name):
     files = []
     place = sampling.with_place
