@@ -7,6 +7,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.store import written
+
 
 def annotate(alignments: DataFrame, expected: DataFrame, controls: DataFrame) -> DataFrame:
     """Adds expected (true for controls as well) and control from tables of (id, genome). These tables are metadata,
@@ -33,13 +35,24 @@ def assign(best: DataFrame, ties: list[str]) -> DataFrame:
     most best alignments in the sample, then the first by ties.
 
     Counts are summed and joined back, not taken over a window: few samples and genomes share all rows, and a window
-    would bring each one's rows to one task."""
-    counted = best.join(genome_counts(best), ["id", "genome"])
+    would bring each one's rows to one task. So would a join by sample and genome that shuffles: the counts are written, so
+    that Spark knows how small they are."""
+    counted = best.join(written(genome_counts(best), "genome-counts"), ["id", "genome"])
     order = [F.desc("expected"), F.desc("genome_count"), *(F.col(c) for c in ties)]
     first = F.row_number().over(Window.partitionBy("id", "read").orderBy(*order)) == 1
     return counted.withColumn("assigned", first).drop("genome_count")
 
 
+def choose(noted: DataFrame, ties: list[str]) -> DataFrame:
+    """assign() of best_alignments(), by one shuffle and one sort of whole alignments: in the order of mismatches, then that
+    of assign(), a read's first alignment is the assigned one and tells the fewest mismatches."""
+    counts = written(genome_counts(best_alignments(noted.select("id", "read", "genome", "mismatches"))), "genome-counts")
+    order = [F.asc_nulls_last("mismatches"), F.desc("expected"), F.desc("genome_count"), *(F.col(c) for c in ties)]
+    by_read = Window.partitionBy("id", "read").orderBy(*order)
+    placed = noted.join(counts, ["id", "genome"], "left").withColumns({"fewest": F.first("mismatches").over(by_read), "assigned": F.row_number().over(by_read) == 1})
+    return placed.filter("mismatches = fewest").select(*noted.columns, "assigned")
+
+
 def read_level(noted: DataFrame) -> DataFrame:
     """Annotated alignments with what is known of their reads, by one shuffle: fewest mismatches of all, of expected
     genomes that are no controls, and of controls, with lengths, and first: true for one alignment of each read."""

@@ -14,6 +14,7 @@ from ..functions import mismatch_count, yes_no
 from ..functions import mismatch_places as places_of
 from ..operators import align, assign, checks, resolve, sampling, summarize
 from ..sources.fastq import fasta_text, fastq_text
+from ..sources.store import written
 from ..sources.tables import printable, split_first_bar
 from .screen import TIES, summarise
 
@@ -68,7 +69,7 @@ def alignments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bridge(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    ids = samples(spark, sf_dir).select("id")
+    ids = written(samples(spark, sf_dir).select("id"), "ids")  # as small as metadata, which Spark can't tell else
     return tuple(ids.withColumn("genome", F.explode(F.array(*map(F.lit, names)))) for names in (["g1", "g2"], ["g0"]))
 
 
@@ -89,7 +90,7 @@ def noted(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def chosen(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return assign.assign(assign.best_alignments(noted(spark, sf_dir)), TIES)
+    return assign.choose(noted(spark, sf_dir), TIES)
 
 
 ALIGNMENTS = """

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from seqsieve.operators import sampling
+from seqsieve.operators import assign, sampling
 from seqsieve.plans import file_queries
 from seqsieve.plans import queries as core
 from seqsieve.sources import genomes
@@ -72,3 +72,25 @@ def test_places_in_a_group_of_many_ranges(spark, whole_shuffles):
     kept = sampling.with_place(rows.orderBy(F.desc("k")), [], "n")
     assert [r["k"] for r in kept.orderBy("n").collect()] == sorted((r["k"] for r in rows.collect()), reverse=True)
     assert sampling.with_place(rows.limit(0), ["g", "k"], "n", "g").count() == 0
+
+
+def run_plan(df):
+    """A query's plan as it was run to its end."""
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+def test_alignments_are_sorted_once(spark, small):
+    """A task holds its alignments once, as they wait for one sort."""
+    assert run_plan(core.chosen(spark, small)).count("Sort [") == 1
+
+
+def test_choice_in_one_sort(spark):
+    rows = spark.range(4000).select(
+        (F.col("id") % 2).cast("string").alias("id"), (F.col("id") * 13 % 701).alias("read"), F.concat(F.lit("g"), F.col("id") * 7 % 5).alias("genome"),
+        F.when(F.col("id") % 31 > 0, F.col("id") * 11 % 3).alias("mismatches"), (F.col("id") % 3 == 0).alias("expected"), F.col("id").alias("position"),
+    )
+    plain = assign.assign(assign.best_alignments(rows), ["position"])
+    found = assign.choose(rows, ["position"])
+    assert found.columns == [*rows.columns, "assigned"]
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, plain.select(*found.columns).collect()))
