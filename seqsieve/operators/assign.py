@@ -55,10 +55,12 @@ def choose(noted: DataFrame, ties: list[str]) -> DataFrame:
 
 def read_level(noted: DataFrame) -> DataFrame:
     """Annotated alignments with what is known of their reads, by one shuffle: fewest mismatches of all, of expected
-    genomes that are no controls, and of controls, with lengths, and first: true for one alignment of each read."""
+    genomes that are no controls, and of controls, with lengths, first: true for one alignment of each read, and alike: for
+    alignments with the fewest mismatches, how many the read has."""
     by_read = Window.partitionBy("id", "read")
     kinds = {"expected_reads": F.col("expected") & ~F.col("control"), "control_reads": F.col("control")}
-    columns = {"fewest": F.min("mismatches").over(by_read), "first": F.row_number().over(by_read.orderBy("mismatches")) == 1}
+    ordered = by_read.orderBy(F.asc_nulls_last("mismatches"))
+    columns = {"fewest": F.min("mismatches").over(by_read), "first": F.row_number().over(ordered) == 1, "alike": F.count("*").over(ordered)}
     for kind, of in kinds.items():
         columns[f"{kind}_mismatches"] = F.min(F.when(of, F.col("mismatches"))).over(by_read)
         columns[f"{kind}_length"] = F.max(F.when(of, F.col("length"))).over(by_read)
@@ -71,21 +73,29 @@ def chosen_and_sums(rows: DataFrame, ties: list[str], pairs: int) -> tuple[DataF
     genomes, which bounds the table of counts.
 
     The alignments are scanned and shuffled once, by read, as what is kept stays dealt by read. Sums are made of partial
-    ones, and a read's figures stand in the sums of one of its genomes."""
+    ones, and a read's figures stand in the sums of one of its genomes. They are written, as counts are taken from them too.
+    A read's only best alignment is assigned without a look at counts, so that only ties are joined with these and sorted."""
     n = lambda of: F.sum(F.when(of, 1).otherwise(0))
-    figures = [F.count("*").alias("aligned"), F.sum("mismatches").alias("aligned_mismatches"), F.sum("length").alias("aligned_length"), n(F.col("mismatches") == F.col("fewest")).alias("genome_count")]
+    best = F.col("mismatches") == F.col("fewest")
+    only = best & (F.col("alike") == 1)
+    figures = [F.count("*").alias("aligned"), F.sum("mismatches").alias("aligned_mismatches"), F.sum("length").alias("aligned_length"), n(best).alias("genome_count")]
     for kind in ("expected_reads", "control_reads"):
         here = F.col("first") & F.col(f"{kind}_mismatches").isNotNull()
         figures += [n(here).alias(kind), *(F.sum(F.when(here, F.col(f"{kind}_{c}"))).alias(f"{kind}_{c}") for c in ("mismatches", "length"))]
-    sums = rows.groupBy("id", "genome").agg(*figures)
+    figures += [n(only).alias("assigned"), *(F.sum(F.when(only, F.col(c))).alias(f"assigned_{c}") for c in ("mismatches", "length"))]
+    sums = written(rows.groupBy("id", "genome").agg(*figures), "partial-sums")
     counts = sums.select("id", "genome", "genome_count")
     counts = F.broadcast(counts) if pairs <= SMALL_PAIRS else counts
-    own = [c for c in rows.columns if c not in ("fewest", "first") and not c.startswith(("expected_reads", "control_reads"))]
-    best = rows.filter("mismatches = fewest").select(*own).join(counts, ["id", "genome"])
+    own = [c for c in rows.columns if c not in ("fewest", "first", "alike") and not c.startswith(("expected_reads", "control_reads"))]
     order = [F.desc("expected"), F.desc("genome_count"), *(F.col(c) for c in ties)]
-    chosen = best.withColumn("assigned", F.row_number().over(Window.partitionBy("id", "read").orderBy(*order)) == 1).drop("genome_count")
-    assigned = chosen.filter("assigned").groupBy("id", "genome").agg(F.count("*").alias("assigned"), F.sum("mismatches").alias("assigned_mismatches"), F.sum("length").alias("assigned_length"))
-    return chosen, sums.drop("genome_count").join(assigned, ["id", "genome"], "left")
+    first = F.row_number().over(Window.partitionBy("id", "read").orderBy(*order)) == 1
+    tied = rows.filter(best & (F.col("alike") > 1)).select(*own).join(counts, ["id", "genome"]).withColumn("assigned", first).drop("genome_count")
+    chosen = rows.filter(only).select(*own).withColumn("assigned", F.lit(True)).unionByName(tied)
+    names = ["assigned", "assigned_mismatches", "assigned_length"]
+    more = tied.filter("assigned").groupBy("id", "genome").agg(*(x.alias(f"more_{c}") for x, c in zip((F.count("*"), F.sum("mismatches"), F.sum("length")), names, strict=True)))
+    joined = sums.drop("genome_count").join(more, ["id", "genome"], "left")
+    whole = joined.withColumns({c: F.coalesce(F.col(c), F.lit(0)) + F.coalesce(F.col(f"more_{c}"), F.lit(0)) for c in names})
+    return chosen, whole.drop(*(f"more_{c}" for c in names))
 
 
 #: Pairs of samples and genomes whose counts are broadcast.

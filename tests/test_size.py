@@ -94,3 +94,16 @@ def test_choice_in_one_sort(spark):
     found = assign.choose(rows, ["position"])
     assert found.columns == [*rows.columns, "assigned"]
     assert sorted(map(tuple, found.collect())) == sorted(map(tuple, plain.select(*found.columns).collect()))
+
+
+def test_only_ties_are_joined_with_counts(spark):
+    rows = spark.range(4000).select(
+        (F.col("id") % 2).cast("string").alias("id"), (F.col("id") * 13 % 2003).alias("read"), F.concat(F.lit("g"), F.col("id") * 7 % 5).alias("genome"), F.lit(36).alias("length"),
+        F.when(F.col("id") % 31 > 0, F.col("id") * 11 % 3).alias("mismatches"), (F.col("id") % 3 == 0).alias("expected"), F.lit(False).alias("control"), F.col("id").alias("position"),
+    )
+    chosen, sums = assign.chosen_and_sums(assign.read_level(rows), ["position"], 10)
+    assert "Union" in chosen._jdf.queryExecution().optimizedPlan().toString()
+    plain = assign.assign(assign.best_alignments(rows), ["position"]).select(*chosen.columns)
+    assert sorted(map(tuple, chosen.collect())) == sorted(map(tuple, plain.collect()))
+    added = plain.filter("assigned").groupBy("id", "genome").agg(F.count("*"), F.sum("mismatches"), F.sum("length"))
+    assert sorted(map(tuple, sums.select("id", "genome", "assigned", "assigned_mismatches", "assigned_length").collect())) == sorted(map(tuple, added.collect()))
