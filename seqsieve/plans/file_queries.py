@@ -10,7 +10,7 @@ from ..config import ScreenConfig
 from ..operators import align, resolve, sampling
 from ..operators.chart import plot_data
 from ..sources import fastq, fastq_index, genomes, tables
-from ..sources.store import Store, shared_folder
+from ..sources.store import Store, shared_folder, written
 from . import queries as core
 from . import screen
 from .queries import ADAPTED, ALIGNMENT_SUMMARY, ALIGNMENTS, META, PLOT, READS, SAMPLE_SUMMARY, query
@@ -322,12 +322,13 @@ def row_order(spark, sf_dir):
     samples, genomes = (resolve.in_order(tables.read_metadata(spark, f"{folder}/{n}.checked.csv", c)) for n, c in (("samples", tables.CHECKED_SAMPLES), ("genomes", ["genome", "species"])))
     keys = supplier.select("s_suppkey", F.col("s_name").alias("user_id")).join(sheet.select("id", "user_id"), "user_id").select("id", F.col("s_suppkey").alias("l_suppkey"))
     rows = core._table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").distinct()
+    rows = written(rows, "rows")  # two uses
     rows = rows.join(keys, "l_suppkey").join(nation.withColumnRenamed("n_name", "genome"), F.col("l_partkey") % 25 == F.col("n_nationkey"))
     texts = {c: F.lit("") for c in ("chromosome", "strand", "sequence", "quality")}
     found = rows.select("id", F.concat_ws("|", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("read"), "genome", F.lit(0).alias("position"), F.lit(0).alias("mismatches"), F.lit(36).alias("length")).withColumns(texts)
     counts = sheet.select("id").join(found.groupBy("id").agg(F.count("*").alias("n")), "id", "left").select("id", (F.coalesce("n", F.lit(0)) + 10).alias("read"))
     result = screen.summarise(samples, genomes, counts.withColumn("sampled", F.col("read")), found, found.select("id", "read").limit(0))
-    return result.alignment_summary.coalesce(1).withColumn("row", F.monotonically_increasing_id()).select("row", "id", "genome", "assigned")
+    return sampling.with_place(result.alignment_summary.select("id", "genome", "assigned"), [], "row").select("row", "id", "genome", "assigned")
 
 
 @query(PLOT)

@@ -96,6 +96,11 @@ def test_choice_in_one_sort(spark):
     assert sorted(map(tuple, found.collect())) == sorted(map(tuple, plain.select(*found.columns).collect()))
 
 
+def test_rows_are_numbered_by_many_tasks(spark, small):
+    plan = core.QUERIES["row_order"](spark, small)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Repartition 1, false" not in plan
+
+
 def test_only_ties_are_joined_with_counts(spark):
     rows = spark.range(4000).select(
         (F.col("id") % 2).cast("string").alias("id"), (F.col("id") * 13 % 2003).alias("read"), F.concat(F.lit("g"), F.col("id") * 7 % 5).alias("genome"), F.lit(36).alias("length"),
