@@ -10,6 +10,17 @@ from pyspark.sql import functions as F
 from ..sources.store import written
 
 
+#: Alignments that a task takes of those dealt by read.
+ROWS = 500_000
+
+
+def dealt(alignments: DataFrame) -> DataFrame:
+    """Alignments (id, read and more) dealt by read to as many tasks as keep a task's share at about ROWS: packed columns hold
+    so many rows in what Spark takes for a small partition that sorting or grouping them needs much memory. They are counted
+    first, which is quick for tables whose files tell it."""
+    return alignments.repartition(max(1, -(-alignments.count() // ROWS)), "id", "read")
+
+
 def annotate(alignments: DataFrame, expected: DataFrame, controls: DataFrame) -> DataFrame:
     """Adds expected (true for controls as well) and control from tables of (id, genome). These tables are metadata,
     which Spark broadcasts by their size."""

@@ -74,8 +74,11 @@ def bridge(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
 
 def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _table(spark, sf_dir, "lineitem").groupBy(F.col("l_returnflag").alias("id"))
-    rows = rows.agg((F.count("*") + 1000).alias("sequences"), (F.count_distinct("l_orderkey") + 500).alias("sampled"))
+    """Reads are counted where all alignments of a read are: a task that meets a read anywhere in the table would have to
+    hold all reads of its part of it."""
+    lines = _table(spark, sf_dir, "lineitem").select(F.col("l_returnflag").alias("id"), F.col("l_orderkey").alias("read"))
+    reads = assign.dealt(lines).groupBy("id", "read").agg(F.count("*").alias("lines"))
+    rows = reads.groupBy("id").agg((F.sum("lines") + 1000).alias("sequences"), (F.count("read") + 500).alias("sampled"))
     texts = {"species": "human|mouse", "controls": "phix", "genomes": "g1|g2", "control_genomes": "g0"}
     rows = rows.withColumns({c: F.lit(t) for c, t in texts.items()}).withColumn("user_id", F.concat(F.lit("sample "), "id"))
     return rows.withColumn("ordinal", F.ascii("id"))
@@ -90,7 +93,7 @@ def noted(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def chosen(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return assign.choose(noted(spark, sf_dir), TIES)
+    return assign.choose(assign.annotate(assign.dealt(alignments(spark, sf_dir)), *bridge(spark, sf_dir)), TIES)
 
 
 ALIGNMENTS = """

@@ -1,6 +1,9 @@
 """What a task gets must not grow with a language, a sample or a genome."""
 
+import re
+
 import pytest
+from comparing import compare
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -85,6 +88,16 @@ def test_alignments_are_sorted_once(spark, small):
     assert run_plan(core.chosen(spark, small)).count("Sort [") == 1
 
 
+def test_alignments_of_a_task_are_bounded(spark, small, monkeypatch):
+    """Reads are counted and chosen by tasks of a bounded number of alignments, none of which meets a part of a read's."""
+    monkeypatch.setattr(assign, "ROWS", 500)
+    n = -(-core.alignments(spark, small).count() // 500)
+    for df in (core.samples(spark, small), core.chosen(spark, small)):
+        plan = run_plan(df)
+        assert n > 4 and re.findall(r"hashpartitioning\(id#\d+, read#\d+L, (\d+)\), (\w+)", plan) == [(str(n), "REPARTITION_BY_NUM")]
+    compare(spark, "assigned_summary", core.assigned_summary(spark, small), core.SQL["assigned_summary"], small)
+
+
 def test_choice_in_one_sort(spark):
     rows = spark.range(4000).select(
         (F.col("id") % 2).cast("string").alias("id"), (F.col("id") * 13 % 701).alias("read"), F.concat(F.lit("g"), F.col("id") * 7 % 5).alias("genome"),
