@@ -169,6 +169,12 @@ def _pieces(r: _Range, size: int, overlap: int) -> Iterator[tuple[str, int, int,
     yield from cut(True)
 
 
+def _one_each(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A partition for each row, of what stands for a range of a file. repartition() would deal several to some tasks and
+    none to others."""
+    return spark.createDataFrame(spark.sparkContext.parallelize(rows, max(1, len(rows))), schema)
+
+
 def _ranges(spark: SparkSession, paths: list[str], split: int) -> list[_Range]:
     """Ranges of files with what their first letters belong to. The driver holds a row for each."""
     found: list[_Range] = []
@@ -187,7 +193,7 @@ def _ranges(spark: SparkSession, paths: list[str], split: int) -> list[_Range]:
             rows = [(i, *_ends(_Range(path, kind, a, b))) for i, path, kind, a, b in zip(*(c.to_pylist() for c in batch.columns), strict=True)]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int32(), pa.int64(), pa.string(), pa.int64()), strict=True)], ["i", "before", "last", "after"])
 
-    table = spark.createDataFrame([(i, r.path, r.kind, r.begin, r.end) for i, r in enumerate(found)], "i int, path string, kind string, begin long, end long").repartition(len(found))
+    table = _one_each(spark, [(i, r.path, r.kind, r.begin, r.end) for i, r in enumerate(found)], "i int, path string, kind string, begin long, end long")
     told = {r["i"]: r for r in table.mapInArrow(run, "i int, before long, last string, after long").collect()}
     out, name, place = [], None, 0
     for i, r in enumerate(found):
@@ -212,7 +218,7 @@ def read_pieces(spark: SparkSession, patterns: list[str], size: int = PIECE, ove
                     yield pa.RecordBatch.from_pydict({"file": [path], "genome": [genome], "chromosome": [head.partition(" ")[0]], "start": pa.array([start], pa.int64()), "own": pa.array([own], pa.int64()), "text": [text]})
 
     rows = [(r.path, r.kind, r.begin, r.end, r.name, r.place) for r in ranges]
-    table = spark.createDataFrame(rows, "path string, kind string, begin long, end long, name string, place long").repartition(max(1, len(rows)))
+    table = _one_each(spark, rows, "path string, kind string, begin long, end long, name string, place long")
     return table.mapInArrow(run, SCHEMA)
 
 

@@ -52,6 +52,13 @@ def test_a_genome_is_stored_by_many_tasks(spark, one_of_each, whole_shuffles, mo
     assert len(sizes) == 4 and max(sizes) < sum(sizes) / 2
 
 
+def test_a_task_reads_one_range_of_a_genome(spark, tmp_path):
+    (tmp_path / "a.fa").write_text("".join(f">c{i}\n{'ACGT' * 20}\n" for i in range(200)))
+    pieces = genomes.read_pieces(spark, [f"{tmp_path}/a.fa"], 1 << 20, 0, 800)
+    found = [r["n"] for r in pieces.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
+    assert len(found) == -(-(tmp_path / "a.fa").stat().st_size // 800) and max(found) <= 11
+
+
 @pytest.mark.parametrize("name", ["chunked_reads", "one_pass_sample", "sampling_summary", "sampling_summary_file", "trim_reads"])
 def test_a_source_is_numbered_by_many_tasks(spark, one_of_each, whole_shuffles, monkeypatch, name):
     files = []
